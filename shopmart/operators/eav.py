@@ -35,25 +35,34 @@ def eav_pivot(meta: DataFrame, entity: str, keys: Mapping[str, str] | Iterable[s
     entity gives NULL.  ``on_duplicate='error'`` fails the job when an entity
     holds a key twice (a scalar subquery returning two rows); ``'max'`` keeps
     the largest value.
+
+    Plan: the key list is pushed to the scan, each row's key is turned into a
+    small integer once (a literal map lookup), and one aggregate by entity
+    keeps ``max(value)`` per key index.  The aggregation buffer is one slot
+    per key, so memory per entity is bounded whatever the number of rows.
+    Strict mode costs one extra ``count``: an entity has a duplicate exactly
+    when it has more non-NULL values than non-NULL pivoted columns.  The
+    check is folded into every output column so column pruning cannot drop it.
     """
     if on_duplicate not in ("error", "max"):
         raise ValueError("on_duplicate must be 'error' or 'max'")
     km = _keys_map(keys)
-    k, v = F.col(key_col), F.col(value_col)
-    aggs: list[Column] = []
-    for key, name in km.items():
-        hit = k == F.lit(key)
-        value = F.max(F.when(hit, v))
-        if on_duplicate == "error":
-            value = F.when(
-                F.count(F.when(hit, F.lit(1))) > 1,
-                F.raise_error(F.concat(F.lit(f"attribute '{key}' occurs more than once for {entity} "),
-                                       F.col(entity).cast("string"))).cast(value_col_type(meta, value_col)),
-            ).otherwise(value)
-        aggs.append(value.alias(name))
-    out = (meta.where(k.isin(list(km)))
-               .groupBy(entity)
-               .agg(*aggs))
+    names = list(km.values())
+    index = F.create_map(*[x for i, key in enumerate(km) for x in (F.lit(key), F.lit(i))])
+    rows = (meta.where(F.col(key_col).isin(list(km)))
+                .select(F.col(entity), F.element_at(index, F.col(key_col)).alias("_ki"),
+                        F.col(value_col).alias("_v")))
+    aggs: list[Column] = [F.max(F.when(F.col("_ki") == i, F.col("_v"))).alias(n) for i, n in enumerate(names)]
+    if on_duplicate == "error":
+        aggs.append(F.count("_v").alias("_nv"))
+    out = rows.groupBy(entity).agg(*aggs)
+    if on_duplicate == "error":
+        present = sum((F.col(n).isNotNull().cast("int") for n in names), F.lit(0))
+        dup = F.col("_nv") > present
+        vtype = value_col_type(meta, value_col)
+        msg = F.concat(F.lit(f"an attribute occurs more than once for {entity} "), F.col(entity).cast("string"))
+        out = out.select(F.col(entity), *[
+            F.when(dup, F.raise_error(msg).cast(vtype)).otherwise(F.col(n)).alias(n) for n in names])
     if entity_alias:
         out = out.withColumnRenamed(entity, entity_alias)
     return out
