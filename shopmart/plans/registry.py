@@ -11,13 +11,16 @@ from __future__ import annotations
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from ..sources.fixture_star import Raw, raw_from_star
 from . import items as I
 from . import orders as O
+from . import products as P
 
 CUTOFF = "1996-01-01"
 ITEM_EXCLUDED = (7300, 1000003)
+STOCK_EXCLUDED_PARENTS = (1000003, 1000007)
 
 QueryFn = Callable[[SparkSession, str], DataFrame]
 _QUERIES: dict[str, Callable[[Raw], DataFrame]] = {}
@@ -75,6 +78,71 @@ def q_product_choice(raw: Raw) -> DataFrame:
                                                         excluded=ITEM_EXCLUDED).alias("product_id"))
 
 
+@register("category_tree")
+def q_category_tree(raw: Raw) -> DataFrame:
+    from ..operators.terms import category_tree
+    return category_tree(raw.term_taxonomy, raw.terms)
+
+
+@register("products")
+def q_products(raw: Raw) -> DataFrame:
+    from ..sources.fixture_star import NEW_IMAGE_HOST, OLD_IMAGE_HOST
+    return P.products(raw, old_host=OLD_IMAGE_HOST, new_host=NEW_IMAGE_HOST)
+
+
+@register("last_order_by_product")
+def q_last_order(raw: Raw) -> DataFrame:
+    return P.last_order_by_product(raw)
+
+
+@register("term_list")
+def q_term_list(raw: Raw) -> DataFrame:
+    return P.parent_terms(raw).select("object_id", "color", "brand", "order_season")
+
+
+@register("season_flags")
+def q_season_flags(raw: Raw) -> DataFrame:
+    return P.parent_terms(raw).select("object_id", *[f"season_{s}" for s in P.SEASONS])
+
+
+@register("sex_of_product")
+def q_sex(raw: Raw) -> DataFrame:
+    return P.parent_terms(raw).select("object_id", "sex")
+
+
+@register("product_category_path")
+def q_category_path(raw: Raw) -> DataFrame:
+    return P.parent_terms(raw).select("object_id", "category", "primary_category", "super_category")
+
+
+@register("size_by_slug")
+def q_size_by_slug(raw: Raw) -> DataFrame:
+    return P.variation_sizes(raw)
+
+
+@register("thumbnail_url")
+def q_thumbnail_url(raw: Raw) -> DataFrame:
+    from ..operators.eav import eav_pivot
+    from ..sources.fixture_star import NEW_IMAGE_HOST, OLD_IMAGE_HOST
+    pm = eav_pivot(raw.postmeta, "post_id", {"_thumbnail_id": "thumbnail_ref"})
+    return P.thumbnails(raw, pm, OLD_IMAGE_HOST, NEW_IMAGE_HOST)
+
+
+@register("product_variations")
+def q_product_variations(raw: Raw) -> DataFrame:
+    return P.products(raw).select(F.col("id").alias("product_id"), "parent_id", "name")
+
+
+@register("stock")
+def q_stock(raw: Raw) -> DataFrame:
+    return P.stock(raw, excluded_parents=STOCK_EXCLUDED_PARENTS)
+
+
+@register("campaign_trackings")
+def q_campaign_trackings(raw: Raw) -> DataFrame:
+    return P.campaign_trackings(raw)
+
+
 def queries() -> dict[str, QueryFn]:
     def bind(fn):
         return lambda spark, sf_dir: fn(raw_from_star(spark, sf_dir))
