@@ -15,6 +15,7 @@ from pyspark.sql import functions as F
 
 from ..sources.fixture_star import Raw, raw_from_star
 from . import items as I
+from . import loads as L
 from . import orders as O
 from . import products as P
 
@@ -23,12 +24,16 @@ ITEM_EXCLUDED = (7300, 1000003)
 STOCK_EXCLUDED_PARENTS = (1000003, 1000007)
 
 QueryFn = Callable[[SparkSession, str], DataFrame]
-_QUERIES: dict[str, Callable[[Raw], DataFrame]] = {}
+_QUERIES: dict[str, Callable[..., DataFrame]] = {}
+_NEEDS_SPARK: set[str] = set()
 
 
-def register(name: str):
-    def deco(fn: Callable[[Raw], DataFrame]):
+def register(name: str, needs_spark: bool = False):
+    """Register ``fn(raw)`` (or ``fn(spark, raw)`` when it writes) under ``name``."""
+    def deco(fn):
         _QUERIES[name] = fn
+        if needs_spark:
+            _NEEDS_SPARK.add(name)
         return fn
     return deco
 
@@ -143,7 +148,87 @@ def q_campaign_trackings(raw: Raw) -> DataFrame:
     return P.campaign_trackings(raw)
 
 
+HOSTS = None  # set below (image host rewrite of the test data)
+
+
+@register("upsert_single_key")
+def q_upsert_single(raw: Raw) -> DataFrame:
+    return L.upsert_single_key(raw, CUTOFF)
+
+
+@register("upsert_compound_key")
+def q_upsert_compound(raw: Raw) -> DataFrame:
+    return L.upsert_compound_key(raw, CUTOFF, ITEM_EXCLUDED)
+
+
+@register("upsert_many_report", needs_spark=True)
+def q_upsert_many(spark: SparkSession, raw: Raw) -> DataFrame:
+    return L.upsert_many_report(spark, raw, CUTOFF, ITEM_EXCLUDED, STOCK_EXCLUDED_PARENTS, _hosts())
+
+
+@register("fk_violations")
+def q_fk(raw: Raw) -> DataFrame:
+    v = L.key_violations(raw, CUTOFF, ITEM_EXCLUDED, STOCK_EXCLUDED_PARENTS, _hosts())
+    return v.where(~F.col("rule").startswith("unique")).groupBy("table", "rule").agg(
+        F.count(F.lit(1)).alias("violations"))
+
+
+@register("unique_violations")
+def q_unique(raw: Raw) -> DataFrame:
+    v = L.key_violations(raw, CUTOFF, ITEM_EXCLUDED, STOCK_EXCLUDED_PARENTS, _hosts())
+    return v.where(F.col("rule").startswith("unique")).select("table", "rule", "key_text", "detail")
+
+
+@register("align_to_schema")
+def q_align(raw: Raw) -> DataFrame:
+    from ..operators.load import align
+    from . import schemas
+    return align(O.orders_fact(raw, CUTOFF), schemas.SPECS_LATEST["orders"])
+
+
+@register("schema_evolution")
+def q_schema_evolution(raw: Raw) -> DataFrame:
+    return L.schema_evolution(raw)
+
+
+@register("empty_to_null")
+def q_empty_to_null(raw: Raw) -> DataFrame:
+    return L.empty_to_null_addresses(raw, CUTOFF)
+
+
+@register("stock_snapshots", needs_spark=True)
+def q_stock_snapshots(spark: SparkSession, raw: Raw) -> DataFrame:
+    return L.stock_snapshots(spark, raw, STOCK_EXCLUDED_PARENTS)
+
+
+@register("csv_round_trip", needs_spark=True)
+def q_csv(spark: SparkSession, raw: Raw) -> DataFrame:
+    return L.csv_round_trip(spark, raw, CUTOFF)
+
+
+@register("sql_dump_rows", needs_spark=True)
+def q_dump(spark: SparkSession, raw: Raw) -> DataFrame:
+    return L.sql_dump_rows(spark, raw)
+
+
+@register("scan_snapshot", needs_spark=True)
+def q_scan_snapshot(spark: SparkSession, raw: Raw) -> DataFrame:
+    return L.scan_snapshot(spark, raw)
+
+
+@register("pending_dates", needs_spark=True)
+def q_pending_dates(spark: SparkSession, raw: Raw) -> DataFrame:
+    return L.pending_order_days(spark, raw, CUTOFF)
+
+
+def _hosts():
+    from ..sources.fixture_star import NEW_IMAGE_HOST, OLD_IMAGE_HOST
+    return (OLD_IMAGE_HOST, NEW_IMAGE_HOST)
+
+
 def queries() -> dict[str, QueryFn]:
-    def bind(fn):
+    def bind(name, fn):
+        if name in _NEEDS_SPARK:
+            return lambda spark, sf_dir: fn(spark, raw_from_star(spark, sf_dir))
         return lambda spark, sf_dir: fn(raw_from_star(spark, sf_dir))
-    return {n: bind(fn) for n, fn in _QUERIES.items()}
+    return {n: bind(n, fn) for n, fn in _QUERIES.items()}
