@@ -140,3 +140,20 @@ def select_keys(meta: DataFrame, keys: Sequence[str], key_col: str = "meta_key",
     """Rows whose key is (not) in a literal list (pushed to the scan)."""
     cond = F.col(key_col).isin(list(keys))
     return meta.where(~cond if exclude else cond)
+
+
+def eav_pivot_per_key(meta: DataFrame, entity: str, keys: Mapping[str, str] | Iterable[str], *,
+                      key_col: str = "meta_key", value_col: str = "meta_value") -> DataFrame:
+    """The same result as ``eav_pivot(..., on_duplicate='max')`` built the way
+    Spark plans one correlated scalar subquery per attribute: one filtered
+    aggregate and one outer join per key.  Kept as the benchmark baseline and
+    as a cross-check in tests; do not use it for data sets.
+    """
+    km = _keys_map(keys)
+    ents = meta.where(F.col(key_col).isin(list(km))).select(entity).distinct()
+    out = ents
+    for key, name in km.items():
+        one = (meta.where(F.col(key_col) == key).groupBy(entity)
+                   .agg(F.max(value_col).alias(name)))
+        out = out.join(one, entity, "left")
+    return out

@@ -32,6 +32,7 @@ def build_session(master: str | None = None, shuffle_partitions: int | None = No
     if master:
         b = b.master(master)
         b = b.config("spark.ui.enabled", "false")
+        b = b.config("spark.ui.showConsoleProgress", "false")
         b = b.config("spark.driver.memory", os.environ.get("SHOPMART_DRIVER_MEMORY", "16g"))
     if shuffle_partitions:
         b = b.config("spark.sql.shuffle.partitions", str(shuffle_partitions))
