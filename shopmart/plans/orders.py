@@ -183,3 +183,25 @@ def customers(raw: Raw, cutoff: str = DEFAULT_CUTOFF, on_duplicate: str = "error
     if orders is None:
         orders = orders_fact(raw, cutoff, on_duplicate)
     return last_billing_address(base, orders)
+
+
+def address_key_two_ways(raw: Raw, cutoff: str = DEFAULT_CUTOFF) -> DataFrame:
+    """Billing and shipping keys of each completed order computed from the
+    pivoted columns (``concat_ws``) and from the attribute rows (text list in
+    key order), side by side.  Both give NULL for an order with no address
+    attribute; otherwise they agree unless a key is duplicated."""
+    orders = completed_orders(raw.posts, cutoff)
+    by_cols = orders_fact(raw, cutoff).select("id", "billing_address_id", "shipping_address_id")
+    out = by_cols
+    for t in ADDRESS_TYPES:
+        keys = ["_customer_user"] + [f"_{t}_{p}" for p, _ in ADDRESS_PARTS]
+        pos = F.array_position(F.array(*[F.lit(k) for k in keys]), F.col("meta_key"))
+        rows = (raw.postmeta.where(F.col("meta_key").isin(keys))
+                .join(orders, F.col("post_id") == orders.ID, "left_semi")
+                .groupBy("post_id")
+                .agg(F.array_sort(F.collect_list(F.struct(pos.alias("p"), F.col("meta_value").alias("v")))).alias("l")))
+        text = F.concat(F.array_join(F.transform("l", lambda x: x["v"]), ","), F.lit(f",{t}"))
+        from ..functions.keys import hex_prefix_to_unsigned
+        k = rows.select(F.col("post_id").alias(f"_{t}_pid"), hex_prefix_to_unsigned(F.sha1(text)).alias(f"{t}_key_by_rows"))
+        out = out.join(k, out.id == k[f"_{t}_pid"], "left").drop(f"_{t}_pid")
+    return out

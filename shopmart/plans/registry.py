@@ -221,6 +221,150 @@ def q_pending_dates(spark: SparkSession, raw: Raw) -> DataFrame:
     return L.pending_order_days(spark, raw, CUTOFF)
 
 
+# ---- single operators -----------------------------------------------------------
+
+@register("orders_completed")
+def q_orders_completed(raw: Raw) -> DataFrame:
+    from ..operators.filters import completed_orders
+    return completed_orders(raw.posts, CUTOFF)
+
+
+@register("orders_cutoff_variants")
+def q_cutoff_variants(raw: Raw) -> DataFrame:
+    from ..operators.filters import order_filter
+    flags = [
+        order_filter(CUTOFF).alias("in_orders"),
+        order_filter(CUTOFF, require_type=False).alias("in_customers"),
+        order_filter(CUTOFF, require_type=False, strict_after=True).alias("in_items"),
+        order_filter(None, require_type=False).alias("in_last_order"),
+    ]
+    return raw.posts.select("ID", *flags).where("in_orders OR in_customers OR in_items OR in_last_order")
+
+
+@register("delivered_keys_like")
+def q_delivered_like(raw: Raw) -> DataFrame:
+    from ..operators.eav import eav_keys_like
+    return eav_keys_like(raw.order_itemmeta, I.DELIVERED_LIKE).select("order_item_id", "meta_key", "meta_value")
+
+
+@register("key_in_list")
+def q_key_in_list(raw: Raw) -> DataFrame:
+    from ..operators.eav import select_keys
+    return select_keys(raw.postmeta, list(O.ORDER_KEYS)).groupBy("meta_key").agg(F.count(F.lit(1)).alias("n"))
+
+
+@register("exclude_ids")
+def q_exclude_ids(raw: Raw) -> DataFrame:
+    return raw.posts.where((F.col("post_type") == "product") & ~F.col("ID").isin(list(STOCK_EXCLUDED_PARENTS))) \
+                    .select("ID", "post_status")
+
+
+@register("orders_net_amounts")
+def q_net_amounts(raw: Raw) -> DataFrame:
+    return O.orders_fact(raw, CUTOFF).select("id", "order_total", "order_tax", "order_net",
+                                              "subtotal", "subtotal_tax", "subtotal_net")
+
+
+@register("return_flag")
+def q_return_flag(raw: Raw) -> DataFrame:
+    return I.delivered_returned_pairs(raw.order_itemmeta).select("order_item_id", "subqty_id", "is_retoure")
+
+
+@register("eav_lookup_left")
+def q_eav_lookup(raw: Raw) -> DataFrame:
+    from ..operators.eav import eav_lookup
+    orders = raw.posts.where(F.col("post_type") == "shop_order").select("ID")
+    return eav_lookup(orders, "ID", raw.postmeta, "post_id", {"_payment_method": "payment_method"})
+
+
+@register("eav_pivot_orders")
+def q_pivot_orders(raw: Raw) -> DataFrame:
+    from ..operators.eav import eav_pivot
+    return eav_pivot(raw.postmeta, "post_id", O.ORDER_KEYS)
+
+
+@register("eav_pivot_items")
+def q_pivot_items(raw: Raw) -> DataFrame:
+    from ..operators.eav import eav_pivot
+    return eav_pivot(raw.order_itemmeta, "order_item_id", I.ITEM_KEYS)
+
+
+@register("order_subtotals")
+def q_order_subtotals(raw: Raw) -> DataFrame:
+    return O.order_subtotals(raw.order_items, raw.order_itemmeta)
+
+
+@register("products_last_order")
+def q_products_last_order(raw: Raw) -> DataFrame:
+    return P.products(raw).select("id", "last_order_at")
+
+
+@register("customer_first_last_order")
+def q_first_last(raw: Raw) -> DataFrame:
+    return O.customer_first_last_order(raw, CUTOFF)
+
+
+@register("term_lookup")
+def q_term_lookup(raw: Raw) -> DataFrame:
+    from ..operators.terms import term_links
+    return term_links(raw.term_relationships, raw.term_taxonomy, raw.terms).select(
+        "object_id", "taxonomy", "term_taxonomy_id", "name", "slug")
+
+
+@register("last_billing_address")
+def q_last_billing(raw: Raw) -> DataFrame:
+    users = raw.users.select(F.col("ID").alias("id"))
+    return O.last_billing_address(users, O.orders_fact(raw, CUTOFF))
+
+
+@register("address_key_two_ways")
+def q_address_key_two_ways(raw: Raw) -> DataFrame:
+    return O.address_key_two_ways(raw, CUTOFF)
+
+
+@register("address_key")
+def q_address_key(raw: Raw) -> DataFrame:
+    return O.addresses(raw, CUTOFF).select("type", "id")
+
+
+@register("orders_sorted")
+def q_orders_sorted(raw: Raw) -> DataFrame:
+    return O.orders_fact(raw, CUTOFF).select("id", "customer_id", "order_date").orderBy("id")
+
+
+@register("first_category")
+def q_first_category(raw: Raw) -> DataFrame:
+    return P.parent_terms(raw).select("object_id", "category")
+
+
+@register("value_or_default")
+def q_value_or_default(raw: Raw) -> DataFrame:
+    from ..functions import value_or_default
+    from ..operators.eav import eav_lookup
+    orders = raw.posts.where(F.col("post_type") == "shop_order").select("ID")
+    j = eav_lookup(orders, "ID", raw.postmeta, "post_id", {"_payment_method": "pm"})
+    return j.select("ID", value_or_default("pm", "NONE").alias("payment_method"))
+
+
+@register("lenient_numbers")
+def q_lenient_numbers(raw: Raw) -> DataFrame:
+    from ..functions import is_number, lenient_decimal, lenient_long
+    v = F.col("meta_value")
+    return raw.postmeta.select("post_id", "meta_key", lenient_decimal(v, 12, 2).alias("as_decimal"),
+                               lenient_long(v).alias("as_long"), is_number(v).alias("is_number"))
+
+
+@register("order_taxes")
+def q_order_taxes(raw: Raw) -> DataFrame:
+    return O.orders_fact(raw, CUTOFF).select("id", "order_tax", "discount_tax")
+
+
+@register("text_cleanup")
+def q_text_cleanup(raw: Raw) -> DataFrame:
+    from ..operators.terms import AMP
+    return raw.terms.select("term_id", F.replace(F.col("name"), F.lit(AMP), F.lit("")).alias("clean_name"))
+
+
 def _hosts():
     from ..sources.fixture_star import NEW_IMAGE_HOST, OLD_IMAGE_HOST
     return (OLD_IMAGE_HOST, NEW_IMAGE_HOST)
