@@ -40,9 +40,11 @@ def eav_pivot(meta: DataFrame, entity: str, keys: Mapping[str, str] | Iterable[s
     small integer once (a literal map lookup), and one aggregate by entity
     keeps ``max(value)`` per key index.  The aggregation buffer is one slot
     per key, so memory per entity is bounded whatever the number of rows.
-    Strict mode costs one extra ``count``: an entity has a duplicate exactly
-    when it has more non-NULL values than non-NULL pivoted columns.  The
-    check is folded into every output column so column pruning cannot drop it.
+    Strict mode adds two fixed-width aggregates: the row count and a bitmask
+    of the keys seen (``bit_or(1 << index)``); an entity has a duplicate
+    exactly when it has more rows than bits.  Each output column carries the
+    check, and since it does not reference the other columns, Catalyst still
+    prunes the aggregates of attributes a query does not use.
     """
     if on_duplicate not in ("error", "max"):
         raise ValueError("on_duplicate must be 'error' or 'max'")
@@ -53,12 +55,17 @@ def eav_pivot(meta: DataFrame, entity: str, keys: Mapping[str, str] | Iterable[s
                 .select(F.col(entity), F.element_at(index, F.col(key_col)).alias("_ki"),
                         F.col(value_col).alias("_v")))
     aggs: list[Column] = [F.max(F.when(F.col("_ki") == i, F.col("_v"))).alias(n) for i, n in enumerate(names)]
+    n_masks = (len(names) + 62) // 63
     if on_duplicate == "error":
-        aggs.append(F.count("_v").alias("_nv"))
+        aggs.append(F.count(F.lit(1)).alias("_nrows"))
+        for m in range(n_masks):
+            bit = F.when(F.floor(F.col("_ki") / 63) == m, F.expr("shiftleft(1L, CAST(_ki % 63 AS INT))"))
+            aggs.append(F.bit_or(bit).alias(f"_mask{m}"))
     out = rows.groupBy(entity).agg(*aggs)
     if on_duplicate == "error":
-        present = sum((F.col(n).isNotNull().cast("int") for n in names), F.lit(0))
-        dup = F.col("_nv") > present
+        distinct_keys = sum((F.coalesce(F.bit_count(F.col(f"_mask{m}")), F.lit(0)).cast("bigint")
+                             for m in range(n_masks)), F.lit(0).cast("bigint"))
+        dup = F.col("_nrows") > distinct_keys
         vtype = value_col_type(meta, value_col)
         msg = F.concat(F.lit(f"an attribute occurs more than once for {entity} "), F.col(entity).cast("string"))
         out = out.select(F.col(entity), *[
