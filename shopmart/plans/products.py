@@ -127,8 +127,11 @@ def products(raw: Raw, *, first_id: int = FIRST_VARIATION_ID, old_host: str | No
         F.col("post_date").alias("created_at"), F.col("post_modified").alias("updated_at"))
     base = variation.join(parent, variation._parent == parent.parent_id)
 
+    # one pivot for the parent keys and the variation key: postmeta is
+    # scanned and aggregated once, then joined by parent id and by variation id
     pmeta = eav_pivot(raw.postmeta, "post_id",
-                      {"_thumbnail_id": "thumbnail_ref", "_uvp": "uvp_text", "_cogs": "cogs_text"},
+                      {"_thumbnail_id": "thumbnail_ref", "_uvp": "uvp_text", "_cogs": "cogs_text",
+                       CONDITION_KEY: "item_condition"},
                       on_duplicate=on_duplicate)
     thumbs = thumbnails(raw, pmeta, old_host, new_host).withColumnRenamed("post_id", "_thumb_pid")
     pattrs = (pmeta.join(thumbs, pmeta.post_id == thumbs._thumb_pid, "left")
@@ -137,8 +140,7 @@ def products(raw: Raw, *, first_id: int = FIRST_VARIATION_ID, old_host: str | No
                            lenient_decimal("uvp_text").alias("uvp"),
                            lenient_decimal("cogs_text").alias("cost_of_goods")))
     terms = parent_terms(raw).withColumnRenamed("object_id", "_t_oid")
-    vmeta = eav_pivot(raw.postmeta, "post_id", {CONDITION_KEY: "item_condition"},
-                      on_duplicate=on_duplicate).withColumnRenamed("post_id", "_vm_pid")
+    vmeta = pmeta.select(F.col("post_id").alias("_vm_pid"), "item_condition")
     sizes = variation_sizes(raw).withColumnRenamed("post_id", "_sz_pid")
     last = last_order_by_product(raw).withColumnRenamed("product_id", "_lo_pid")
 
