@@ -21,7 +21,6 @@ import json
 import os
 import statistics
 import sys
-import tempfile
 import time
 
 sys.path.insert(0, os.path.dirname(os.path.abspath(__file__)))
@@ -35,7 +34,7 @@ from shopmart.plans import loads as L  # noqa: E402
 from shopmart.plans import orders as O  # noqa: E402
 from shopmart.plans import products as P  # noqa: E402
 from shopmart.plans.registry import CUTOFF, ITEM_EXCLUDED, STOCK_EXCLUDED_PARENTS  # noqa: E402
-from shopmart.session import build_session  # noqa: E402
+from shopmart.session import build_session, checkpoint_dir  # noqa: E402
 from shopmart.sources.fixture_star import NEW_IMAGE_HOST, OLD_IMAGE_HOST, raw_from_star  # noqa: E402
 from shopmart.sources.snapshot import read_raw, stage_snapshot  # noqa: E402
 
@@ -59,7 +58,7 @@ def timed(make) -> float:
 def main() -> None:
     spark = build_session(f"local[{CPUS}]", CPUS)
     spark.sparkContext.setLogLevel("ERROR")
-    scratch = spark.conf.get("spark.checkpoint.dir", None) or tempfile.mkdtemp(prefix="shopmart-bench-")
+    scratch = checkpoint_dir(spark)
     root = f"{scratch.rstrip('/')}/raw-{int(time.time())}"
 
     t = time.perf_counter()

@@ -25,6 +25,13 @@ def _as_list(keys: str | Sequence[str]) -> list[str]:
     return [keys] if isinstance(keys, str) else list(keys)
 
 
+def _null_key(keys: Sequence[str]) -> Column:
+    cond = F.lit(False)
+    for k in keys:
+        cond = cond | F.col(k).isNull()
+    return cond
+
+
 def dedupe_last(source: DataFrame, keys: str | Sequence[str], order_by: str | None = None) -> DataFrame:
     """One row per key: the row with the greatest ``order_by`` (ties and
     ``order_by=None``: the greatest row by value, so the result is
@@ -77,8 +84,13 @@ def upsert(target: DataFrame, source: DataFrame, keys: str | Sequence[str],
     if nullify_empty:
         src = empty_to_null(src, [c for c, t in src.dtypes if t == "string" and c in cols])
     src = dedupe_last(src, ks, order_by)
+    # Rows with a NULL key part never match.  They bypass the join (target
+    # rows stay, source rows are inserted) instead of all hashing to the one
+    # partition of the NULL key in the full outer join.
+    src_null, src = src.where(_null_key(ks)), src.where(~_null_key(ks))
+    tgt_null, tgt = target.where(_null_key(ks)), target.where(~_null_key(ks))
     s = src.select(*[F.col(c).alias(f"_s_{c}") for c in cols], F.lit(True).alias("_s_present"))
-    t = target.select(*[F.col(c).alias(f"_t_{c}") for c in target.columns])
+    t = tgt.select(*[F.col(c).alias(f"_t_{c}") for c in target.columns])
     cond = None
     for k in ks:
         c = F.col(f"_t_{k}") == F.col(f"_s_{k}")
@@ -92,7 +104,10 @@ def upsert(target: DataFrame, source: DataFrame, keys: str | Sequence[str],
             out.append(F.when(present, F.col(f"_s_{c}").cast(target.schema[c].dataType)).otherwise(tc).alias(c))
         else:
             out.append(tc.alias(c))
-    return j.select(*out)
+    inserted_null = src_null.select(*[
+        (F.col(c).cast(target.schema[c].dataType) if c in cols else F.lit(None).cast(target.schema[c].dataType)).alias(c)
+        for c in target.columns])
+    return j.select(*out).unionByName(tgt_null).unionByName(inserted_null)
 
 
 @dataclass
@@ -143,13 +158,6 @@ def align_overflow(df: DataFrame, spec: TableSpec) -> DataFrame:
     return df.agg(*aggs)
 
 
-def _null_key(keys: Sequence[str]) -> Column:
-    cond = F.lit(False)
-    for k in keys:
-        cond = cond | F.col(k).isNull()
-    return cond
-
-
 def unique_violations(df: DataFrame, table: str, keys: Sequence[str]) -> DataFrame:
     """``table, rule, key_text, n``: key values held by more than one row,
     and rows whose key has a NULL part (they never conflict, so they slip

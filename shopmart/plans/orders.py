@@ -112,17 +112,15 @@ def addresses(raw: Raw, cutoff: str = DEFAULT_CUTOFF, on_duplicate: str = "error
     orders = completed_orders(raw.posts, cutoff)
     attrs = attributes if attributes is not None else order_attributes(raw, on_duplicate)
     j = orders.join(attrs, orders.ID == attrs.post_id, "left")
-    per_type = [
-        j.select(
-            F.lit(t).alias("type"),
-            lenient_long("customer_user").alias("customer_id"),
-            *[F.col(f"{t}_{p}").alias(n) for p, n in ADDRESS_PARTS],
-            address_key_of(t).alias("id"),
-        )
-        for t in ADDRESS_TYPES
-    ]
-    # one hash aggregate over both halves (UNION = distinct over all columns)
-    return per_type[0].unionByName(per_type[1]).where(F.col("id").isNotNull()).distinct()
+    # both address rows of an order from one pass over the join
+    both = F.array(*[
+        F.struct(F.lit(t).alias("type"),
+                 lenient_long("customer_user").alias("customer_id"),
+                 *[F.col(f"{t}_{p}").alias(n) for p, n in ADDRESS_PARTS],
+                 address_key_of(t).alias("id"))
+        for t in ADDRESS_TYPES])
+    # UNION = distinct over all columns: one hash aggregate, partial before the shuffle
+    return j.select(F.inline(both)).where(F.col("id").isNotNull()).distinct()
 
 
 USER_KEYS = {"billing_first_name": "firstname", "billing_last_name": "lastname", "billing_phone": "phone"}
