@@ -163,19 +163,20 @@ def q_upsert_compound(raw: Raw) -> DataFrame:
 
 @register("upsert_many_report", needs_spark=True)
 def q_upsert_many(spark: SparkSession, raw: Raw) -> DataFrame:
-    return L.upsert_many_report(spark, raw, CUTOFF, ITEM_EXCLUDED, STOCK_EXCLUDED_PARENTS, _hosts())
+    return L.upsert_many_report(spark, L.staged_raw(spark, raw), CUTOFF, ITEM_EXCLUDED,
+                                STOCK_EXCLUDED_PARENTS, _hosts())
 
 
-@register("fk_violations")
-def q_fk(raw: Raw) -> DataFrame:
-    v = L.key_violations(raw, CUTOFF, ITEM_EXCLUDED, STOCK_EXCLUDED_PARENTS, _hosts())
+@register("fk_violations", needs_spark=True)
+def q_fk(spark: SparkSession, raw: Raw) -> DataFrame:
+    v = L.key_violations(spark, L.staged_raw(spark, raw), CUTOFF, ITEM_EXCLUDED, STOCK_EXCLUDED_PARENTS, _hosts())
     return v.where(~F.col("rule").startswith("unique")).groupBy("table", "rule").agg(
         F.count(F.lit(1)).alias("violations"))
 
 
-@register("unique_violations")
-def q_unique(raw: Raw) -> DataFrame:
-    v = L.key_violations(raw, CUTOFF, ITEM_EXCLUDED, STOCK_EXCLUDED_PARENTS, _hosts())
+@register("unique_violations", needs_spark=True)
+def q_unique(spark: SparkSession, raw: Raw) -> DataFrame:
+    v = L.key_violations(spark, L.staged_raw(spark, raw), CUTOFF, ITEM_EXCLUDED, STOCK_EXCLUDED_PARENTS, _hosts())
     return v.where(F.col("rule").startswith("unique")).select("table", "rule", "key_text", "detail")
 
 
