@@ -2,7 +2,7 @@
 
 import os
 
-from shopmart.plans.pipeline import backfill, run_day
+from shopmart.plans.daily import backfill, run_day
 from shopmart.sources.fixture_star import raw_from_star
 from shopmart.sources.snapshot import stage_snapshot
 from shopmart.sources.tables import read_current, versions
