@@ -1,0 +1,2 @@
+"""The reporting data sets, the daily load, target schemas, the query
+registry and the DuckDB oracle."""

@@ -1,0 +1,8 @@
+"""No streaming operators.
+
+The shop data arrives as one full database snapshot per day and every
+reporting table is rebuilt from a snapshot; there is no event stream,
+watermark, window or per-key state to carry between batches.  Daily
+increments are handled by ``plans.daily`` (upsert into versioned tables,
+dynamic-partition append of the stock snapshot, run log + pending dates).
+"""
