@@ -97,7 +97,7 @@ def eav_lookup(entities: DataFrame, entity_key: str, meta: DataFrame, meta_entit
 def eav_numbered(meta: DataFrame, entity: str, first_prefix: str, second_prefix: str, *,
                  number_col: str = "n", first_name: str = "first", second_name: str = "second",
                  key_col: str = "meta_key", value_col: str = "meta_value",
-                 like_pattern: str | None = None) -> DataFrame:
+                 like_pattern: str | None = None, on_duplicate: str = "max") -> DataFrame:
     """Numbered attribute pairs ``<first_prefix><n>`` / ``<second_prefix><n>``.
 
     One row per entity and number that has a first attribute.  The number is
@@ -107,8 +107,12 @@ def eav_numbered(meta: DataFrame, entity: str, first_prefix: str, second_prefix:
     (``_`` matches any one character); default ``<first_prefix>%`` literal.
 
     Implemented as one pass: the number is derived on both kinds of rows and a
-    single aggregate by (entity, number) pairs them; no self-join.
+    single aggregate by (entity, number) pairs them; no self-join.  A number
+    held twice keeps the largest value (``on_duplicate='max'``) or fails the
+    job (``'error'``).
     """
+    if on_duplicate not in ("error", "max"):
+        raise ValueError("on_duplicate must be 'error' or 'max'")
     k, v = F.col(key_col), F.col(value_col)
     is_first = k.like(like_pattern) if like_pattern else k.startswith(first_prefix)
     is_second = k.startswith(second_prefix)
@@ -133,8 +137,15 @@ def eav_numbered(meta: DataFrame, entity: str, first_prefix: str, second_prefix:
         F.max("_first").alias(first_name),
         F.count("_first").alias("_n_firsts"),
         F.max("_second").alias(second_name),
+        F.count("_second").alias("_n_seconds"),
     )
-    return agg.where(F.col("_n_firsts") > 0).drop("_n_firsts")
+    out = agg.where(F.col("_n_firsts") > 0)
+    if on_duplicate == "error":
+        dup = (F.col("_n_firsts") > 1) | (F.col("_n_seconds") > 1)
+        msg = F.concat(F.lit(f"a numbered attribute occurs more than once for {entity} "),
+                       F.col(entity).cast("string"), F.lit(" number "), F.col(number_col))
+        out = out.withColumn(first_name, F.when(dup, F.raise_error(msg).cast("string")).otherwise(F.col(first_name)))
+    return out.drop("_n_firsts", "_n_seconds")
 
 
 def eav_keys_like(meta: DataFrame, pattern: str, key_col: str = "meta_key") -> DataFrame:

@@ -53,3 +53,13 @@ def test_numbered_pairs_and_like_wildcard(spark):
                      first_name="d", second_name="r", like_pattern="_delivered_%")
     got = sorted((r.order_item_id, r.n, r.d, r.r) for r in p.collect())
     assert got == [(1, "1", "d1", None), (1, "2", "d2", "r2"), (1, "3", "d3", None), (2, "Xdelivered-9", "dx", None)]
+
+
+def test_numbered_strict_mode(spark):
+    m = meta_df(spark, [(1, "_delivered_1", "a"), (1, "_delivered_1", "b"), (2, "_delivered_1", "c")],
+                entity="order_item_id")
+    got = eav_numbered(m, "order_item_id", "_delivered_", "_returned_", first_name="d", second_name="r")
+    assert sorted((r.order_item_id, r.d) for r in got.collect()) == [(1, "b"), (2, "c")]
+    with pytest.raises(Exception, match="more than once"):
+        eav_numbered(m, "order_item_id", "_delivered_", "_returned_", first_name="d", second_name="r",
+                     on_duplicate="error").collect()
