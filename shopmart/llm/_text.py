@@ -9,6 +9,9 @@ from __future__ import annotations
 import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
+from pyspark.sql import DataFrame
+from pyspark.sql import functions as F
+from pyspark.sql.types import StructType
 
 SLICE_BYTES = 2 << 20
 _BASE = 0x9E3779B97F4A7C15
@@ -117,3 +120,20 @@ def runs(flags: np.ndarray) -> np.ndarray:
     """Maximal runs of true flags as (start, end) rows."""
     edge = np.diff(np.concatenate([[0], flags.astype(np.int8), [0]]))
     return np.stack([np.flatnonzero(edge == 1), np.flatnonzero(edge == -1)], 1)
+
+
+def map_text(docs: DataFrame, text_col: str, keep: list[str], fields: str, fn, also: tuple[str, ...] = ()) -> DataFrame:
+    """Apply ``fn(text column, also columns ...) -> arrays`` slice by slice.
+
+    Returns ``row`` (a struct of the columns in ``keep``, so that no name can
+    clash) and the columns of ``fields`` (DDL).
+    """
+    src = docs.select(F.struct(*[F.col(f"`{c}`") for c in keep]).alias("row"), F.col(f"`{text_col}`").cast("string").alias("text"), *[F.col(f"`{c}`").alias(f"also{i}") for i, c in enumerate(also)])
+    schema = StructType([src.schema["row"], *StructType.fromDDL(fields).fields])
+    names = schema.names
+
+    def run(batches):
+        for part in slices(batches, 1):
+            yield pa.RecordBatch.from_arrays([part.column(0), *fn(*part.columns[1:])], names=names)
+
+    return src.mapInArrow(run, schema)

@@ -3,19 +3,49 @@
 from __future__ import annotations
 
 #: Words of a text, split at ASCII whitespace (an empty list for null).
-_RAW_WORDS = r"list_filter(regexp_split_to_array(coalesce(text, ''), '[\x20\x09-\x0D]+'), w -> w <> '')"
+_RAW_WORDS = r"list_filter(regexp_split_to_array(coalesce(text, ''), '[\x20\x09-\x0D]+'), lambda w: w <> '')"
 
 OP1 = f"""
 WITH d AS (SELECT row_number() OVER () AS rid, doc_id, {_RAW_WORDS} AS w FROM documents),
-win AS (SELECT rid, i, md5(array_to_string(w[i:i + 34], ' ')) AS h
-        FROM (SELECT rid, w, unnest(range(1, greatest(len(w) - 33, 1))) AS i FROM d)),
-rep AS (SELECT rid, i FROM win WHERE h IN (SELECT h FROM win GROUP BY h HAVING count(*) > 1)),
-gone AS (SELECT DISTINCT rid, i + j AS p FROM rep, (SELECT unnest(range(35)) AS j)),
-word AS (SELECT rid, unnest(range(1, len(w) + 1)) AS p, unnest(w) AS x FROM d),
-kept AS (SELECT rid, count(*) AS n, string_agg(x, ' ' ORDER BY p) AS t FROM word ANTI JOIN gone USING (rid, p) GROUP BY rid)
+word AS (SELECT rid, unnest(range(len(w))) AS p, unnest(w) AS x FROM d),
+win AS (SELECT rid, p, md5(string_agg(x, ' ') OVER (PARTITION BY rid ORDER BY p ROWS BETWEEN CURRENT ROW AND 34 FOLLOWING)) AS h,
+               lead(p, 34) OVER (PARTITION BY rid ORDER BY p) AS whole FROM word),
+rep AS (SELECT rid, p, count(*) OVER (PARTITION BY h) AS n FROM win WHERE whole IS NOT NULL),
+mark AS (SELECT rid, p, x, max(coalesce(n, 0)) OVER (PARTITION BY rid ORDER BY p ROWS BETWEEN 34 PRECEDING AND CURRENT ROW) > 1 AS gone
+         FROM word LEFT JOIN rep USING (rid, p)),
+kept AS (SELECT rid, count(*) AS n, string_agg(x, ' ' ORDER BY p) AS t FROM mark WHERE NOT gone GROUP BY rid)
 SELECT doc_id, len(w)::BIGINT AS n_words, (len(w) - coalesce(n, 0))::BIGINT AS n_removed, sha256(coalesce(t, '')) AS kept_sha256
 FROM d LEFT JOIN kept USING (rid)"""
 
+OP2 = r"""
+WITH d AS (SELECT doc_id, text, list_filter(string_split(coalesce(text, ''), chr(10)), lambda x: regexp_matches(x, '[^ \t\n\r\x0B\x0C]')) AS w FROM documents),
+line AS (SELECT doc_id, unnest(range(len(w))) AS p, unnest(w) AS x FROM d),
+pair AS (SELECT a.doc_id, a.p, row_number() OVER (PARTITION BY a.x, b.x ORDER BY a.doc_id, a.p) AS nth
+         FROM line a JOIN line b ON b.doc_id = a.doc_id AND b.p = a.p + 1),
+gone AS (SELECT doc_id, p FROM pair WHERE nth > 1 UNION SELECT doc_id, p + 1 FROM pair WHERE nth > 1),
+left_ AS (SELECT doc_id, count(*) AS n, string_agg(x, chr(10) ORDER BY p) AS t FROM line ANTI JOIN gone USING (doc_id, p) GROUP BY doc_id)
+SELECT doc_id, len(w)::BIGINT AS n_lines, (len(w) - coalesce(n, 0))::BIGINT AS n_removed,
+       sha256(CASE WHEN len(w) = coalesce(n, 0) THEN text ELSE coalesce(t, '') END) AS kept_sha256
+FROM d LEFT JOIN left_ USING (doc_id)"""
+
+_ALNUM_WORDS = r"regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+')"
+
+OP4 = f"""
+WITH d AS (SELECT row_number() OVER () AS rid, doc_id, {_ALNUM_WORDS} AS w FROM documents),
+item AS (SELECT item_id, {_ALNUM_WORDS} AS w FROM benchmark),
+phrase AS (SELECT DISTINCT item_id, least(len(w), 13) AS n, array_to_string(w[i:i + 12], ' ') AS t
+           FROM (SELECT item_id, w, unnest(range(1, greatest(len(w) - 12, 1) + 1)) AS i FROM item WHERE len(w) > 0)),
+word AS (SELECT rid, unnest(range(len(w))) AS p, unnest(w) AS x FROM d),
+size AS (SELECT DISTINCT n FROM phrase),
+place AS (SELECT rid, p, n, list(x) OVER (PARTITION BY rid, n ORDER BY p ROWS BETWEEN CURRENT ROW AND 12 FOLLOWING) AS v FROM word, size),
+found AS (SELECT DISTINCT rid, p, n, item_id FROM (SELECT rid, p, n, array_to_string(v[1:n], ' ') AS t FROM place WHERE len(v) >= n) JOIN phrase USING (n, t)),
+hit AS (SELECT rid, count(DISTINCT p) AS n_hit FROM (SELECT rid, unnest(range(p, p + n)) AS p FROM found) GROUP BY rid),
+items AS (SELECT rid, count(*) AS n_items, string_agg(item_id::VARCHAR, ',' ORDER BY item_id::VARCHAR) AS ids
+          FROM (SELECT DISTINCT rid, item_id FROM found) GROUP BY rid)
+SELECT doc_id, len(w)::BIGINT AS n_words, coalesce(n_hit, 0)::BIGINT AS n_hit, coalesce(n_items, 0)::BIGINT AS n_items,
+       sha256(coalesce(ids, '')) AS items_sha256, coalesce(n_hit > 0 AND 20 * n_hit >= len(w), false) AS contaminated
+FROM d LEFT JOIN hit USING (rid) LEFT JOIN items USING (rid)"""
+
 
 def oracle_sql() -> dict[str, str]:
-    return {"op1_substring_dedup": OP1}
+    return {"op1_substring_dedup": OP1, "op2_line_dedup": OP2, "op4_benchmark_decontamination": OP4}

@@ -7,6 +7,8 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from shopmart.llm.decontaminate import contaminated, find_benchmark
+from shopmart.llm.line_dedup import remove_repeated_runs
 from shopmart.llm.substring_dedup import remove_repeated_windows
 
 
@@ -19,5 +21,16 @@ def op1_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return out.select("doc_id", "n_words", "n_removed", F.sha2("kept", 256).alias("kept_sha256"))
 
 
+def op2_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    out = remove_repeated_runs(table(spark, sf_dir, "documents"), min_lines=2)
+    return out.select("row.doc_id", "n_lines", "n_removed", F.sha2("kept", 256).alias("kept_sha256"))
+
+
+def op4_benchmark_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
+    out = find_benchmark(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"), ["doc_id"], window=13)
+    return out.select("row.doc_id", "n_words", "n_hit", F.size("items").cast("long").alias("n_items"),
+                      F.sha2(F.concat_ws(",", "items"), 256).alias("items_sha256"), contaminated().alias("contaminated"))
+
+
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {n: f for n, f in globals().items() if n.startswith("op")}
