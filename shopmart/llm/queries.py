@@ -7,6 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from shopmart.llm import embedding_dedup, simhash
 from shopmart.llm.decontaminate import contaminated, find_benchmark
 from shopmart.llm.line_dedup import remove_repeated_runs
 from shopmart.llm.substring_dedup import remove_repeated_windows
@@ -32,5 +33,14 @@ def op4_benchmark_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame
                       F.sha2(F.concat_ws(",", "items"), 256).alias("items_sha256"), contaminated().alias("contaminated"))
 
 
+def op6_simhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    out = simhash.near_duplicates(table(spark, sf_dir, "documents"), ["doc_id"], shingle=3, max_bits=3)
+    return out.select("row.doc_id", F.lower(F.lpad(F.hex("fingerprint"), 16, "0")).alias("fingerprint"), "component_id")
+
+
+def op9_embedding_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return embedding_dedup.near_duplicates(table(spark, sf_dir, "embeddings"), least=0.9)
+
+
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {n: f for n, f in globals().items() if n.startswith("op")}
