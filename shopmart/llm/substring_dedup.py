@@ -21,8 +21,10 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.pandas.types import to_arrow_type
 
 from shopmart.llm import _text as T
+from shopmart.llm._store import stored
 
 #: Text bytes whose window hashes make one bucket (about 1.3 times as many bytes of hashes).
 BUCKET_BYTES = 16 << 20
@@ -161,13 +163,12 @@ def remove_repeated_windows(docs: DataFrame, id_col: str = "doc_id", text_col: s
     size = src.agg(F.sum(F.octet_length("text"))).first()[0] or 0
     buckets = max(int(spark.conf.get("spark.sql.shuffle.partitions")), -(-size // BUCKET_BYTES))
     hashed = src.select("k1", "k2", "text").mapInArrow(lambda it: _hashed(it, window, buckets), _PACKED)
-    # a number of partitions given by the caller's data, one bucket each
     dealt = hashed.repartitionById(buckets, F.col("bucket"))
     found = dealt.mapInArrow(_repeated, "slice binary, docs binary, firsts binary, flagged binary")
     spans = found.groupBy("slice").applyInArrow(lambda t: _intervals(t, window), "k1 long, k2 long, spans array<int>")
-    spans = spans.groupBy("k1", "k2").agg(F.first("spans").alias("spans"))
+    # stored, so that the join below has an exchange of its own, which adaptive execution may split at a hot text
+    spans = stored(spans.groupBy("k1", "k2").agg(F.first("spans").alias("spans")))
     id_type = src.schema["id"].dataType
-    from pyspark.sql.pandas.types import to_arrow_type
     field = pa.field("id", to_arrow_type(id_type))
     out = (src.join(spans, ["k1", "k2"], "left").select("id", "text", "spans")
            .mapInArrow(lambda it: _cut(it, field), f"id {id_type.simpleString()}, n_words long, n_removed long, kept string, removed array<int>"))
