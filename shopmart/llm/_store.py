@@ -3,8 +3,9 @@
 from __future__ import annotations
 
 import uuid
+from collections.abc import Callable
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
 
 from shopmart.session import checkpoint_dir
 
@@ -18,3 +19,15 @@ def stored(df: DataFrame) -> DataFrame:
     path = f"{checkpoint_dir(df.sparkSession).rstrip('/')}/llm/{uuid.uuid4().hex}"
     df.write.parquet(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)
+
+
+def shipped(spark: SparkSession, thing) -> Callable:
+    """Broadcast an object's fields; call the result in a task to get the object (workers need no package installed)."""
+    kind, fields = type(thing), spark.sparkContext.broadcast(vars(thing))
+
+    def get():
+        copy = kind.__new__(kind)
+        copy.__dict__.update(fields.value)
+        return copy
+
+    return get

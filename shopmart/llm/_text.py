@@ -17,7 +17,16 @@ SLICE_BYTES = 2 << 20
 _BASE = 0x9E3779B97F4A7C15
 _OTHER_BASE = 0xD1342543DE82EF95
 _TABLE = np.random.default_rng(20240607).integers(1, 1 << 63, 256, dtype=np.uint64) * np.uint64(2) + np.uint64(1)
-_POWERS: dict[int, np.ndarray] = {}
+
+
+class Cache(dict):
+    """Values that each process computes for itself: empty when a task is shipped."""
+
+    def __reduce__(self):
+        return Cache, ()
+
+
+_POWERS = Cache()
 
 #: ASCII whitespace is x20 and x09-x0D; every other byte belongs to a word.
 RAW_WORD = np.ones(256, bool)

@@ -21,6 +21,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from shopmart.llm import _text as T
+from shopmart.llm._store import shipped
 from shopmart.llm.fm_index import FMIndex
 
 #: Text bytes of benchmark items that may be broadcast at once.
@@ -135,14 +136,13 @@ def find_benchmark(docs: DataFrame, benchmark: DataFrame, keep: list[str], text_
     is found, its hits count, but it has no entry in ``items``; rows that
     repeat are documents of their own, items that repeat are one id.
     """
-    sc = docs.sparkSession.sparkContext
     fields = "n_words long, n_hit long, items array<string>, spans array<int>"
-    blocks = [sc.broadcast(Phrases(ids, texts, window)) for ids, texts in _blocks(benchmark, item_col, item_text)]
+    blocks = [shipped(docs.sparkSession, Phrases(ids, texts, window)) for ids, texts in _blocks(benchmark, item_col, item_text)]
     out = docs.select(F.struct(*[F.col(f"`{c}`") for c in keep]).alias("row"), F.col(f"`{text_col}`").cast("string").alias("text"),
                       F.array().cast("array<string>").alias("items"), F.array().cast("array<int>").alias("spans"))
     for i, block in enumerate(blocks):
         carried = ["row", "text"] if i + 1 < len(blocks) else ["row"]
-        out = T.map_text(out, "text", carried, fields, lambda *c, b=block: b.value.find(*c), also=("items", "spans"))
+        out = T.map_text(out, "text", carried, fields, lambda *c, b=block: b().find(*c), also=("items", "spans"))
         out = out.select("row.*", *[f.split()[0] for f in fields.split(", ")])
     return out.withColumn("items", F.array_sort(F.array_distinct(F.array_compact("items"))))
 

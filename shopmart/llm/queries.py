@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from shopmart.llm import embedding_dedup, simhash
+from shopmart.llm import embedding_dedup, langid, quality, simhash
 from shopmart.llm.decontaminate import contaminated, find_benchmark
 from shopmart.llm.line_dedup import remove_repeated_runs
 from shopmart.llm.substring_dedup import remove_repeated_windows
@@ -38,9 +38,28 @@ def op6_simhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return out.select("row.doc_id", F.lower(F.lpad(F.hex("fingerprint"), 16, "0")).alias("fingerprint"), "component_id")
 
 
+def _remainder(n: int):
+    """crc32 of the id as text, modulo n (null ids: null, which is in no fold)."""
+    return F.crc32(F.col("doc_id").cast("string")) % n
+
+
+def op7_quality_classifier(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs, labels = table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels")
+    train = docs.select("doc_id", "text").filter(_remainder(5) != 0).join(labels.select("doc_id", "quality"), "doc_id")
+    out = quality.score(docs, quality.fit(train), ["doc_id"])
+    return out.select("row.doc_id", "score").select("doc_id", F.coalesce(_remainder(5) == 0, F.lit(False)).alias("held_out"), "score", (F.col("score") >= 0.3).cast("int").alias("predicted"))
+
+
 def op9_embedding_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return embedding_dedup.near_duplicates(table(spark, sf_dir, "embeddings"), least=0.9)
 
 
+def op10_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents")
+    model = langid.fit(docs.filter(_remainder(3) != 1).select("text", "lang"))
+    out = langid.predict(docs, model, ["doc_id"]).select("row.doc_id", "lang_pred", "score")
+    return out.select("doc_id", F.coalesce(_remainder(3) == 1, F.lit(False)).alias("held_out"), "lang_pred", "score")
+
+
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {n: f for n, f in globals().items() if n.startswith("op")}
