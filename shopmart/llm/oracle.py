@@ -46,6 +46,41 @@ SELECT doc_id, len(w)::BIGINT AS n_words, coalesce(n_hit, 0)::BIGINT AS n_hit, c
        sha256(coalesce(ids, '')) AS items_sha256, coalesce(n_hit > 0 AND 20 * n_hit >= len(w), false) AS contaminated
 FROM d LEFT JOIN hit USING (rid) LEFT JOIN items USING (rid)"""
 
+#: Three rakings a sweep; twenty sweeps meet the targets far below the digits compared.
+OP5 = f"""
+WITH RECURSIVE d AS (
+  SELECT doc_id, text, source, lang, len({_RAW_WORDS})::BIGINT AS n,
+         CASE WHEN contains(text, ' | ') THEN 'table' WHEN regexp_matches(text, '[#$%&*][#$%&*][#$%&*]') THEN 'markup'
+              WHEN contains(text, '!! ') THEN 'upper' WHEN contains(text, 'icense') THEN 'notice' ELSE 'prose' END AS topic FROM documents),
+cell AS (SELECT source, lang, topic, sum(n)::DOUBLE AS tokens FROM d GROUP BY ALL HAVING sum(n) > 0),
+share AS (SELECT *, sum(tokens) OVER (PARTITION BY source) ** 0.5 AS s, sum(tokens) OVER (PARTITION BY lang) ** 0.7 AS l, sum(tokens) OVER (PARTITION BY topic) AS t FROM cell),
+target AS (SELECT source, lang, topic, tokens, s / (SELECT sum(x) FROM (SELECT DISTINCT source, s AS x FROM share)) AS ts,
+                  l / (SELECT sum(x) FROM (SELECT DISTINCT lang, l AS x FROM share)) AS tl,
+                  t / (SELECT sum(x) FROM (SELECT DISTINCT topic, t AS x FROM share)) AS tt FROM share),
+ipf AS (SELECT 0 AS step, *, tokens AS w FROM target
+        UNION ALL
+        SELECT step + 1, source, lang, topic, tokens, ts, tl, tt, CASE step % 3
+                 WHEN 0 THEN w * ts / sum(w) OVER (PARTITION BY source)
+                 WHEN 1 THEN w * tl / sum(w) OVER (PARTITION BY lang)
+                 ELSE w * tt / sum(w) OVER (PARTITION BY topic) END FROM ipf WHERE step < 60),
+prob AS (SELECT source, lang, topic, w / tokens / (SELECT max(w / tokens) FROM ipf WHERE step = 60) AS p FROM ipf WHERE step = 60),
+chance AS (SELECT doc_id, text, n, d.topic AS topic, CASE WHEN n > 0 THEN coalesce(p, 0) ELSE 0 END AS p
+           FROM d LEFT JOIN prob ON d.source IS NOT DISTINCT FROM prob.source AND d.lang IS NOT DISTINCT FROM prob.lang AND d.topic = prob.topic)
+SELECT doc_id, n AS n_tokens, topic, round(p, 6) AS probability,
+       ('0x' || substr(md5(concat_ws(':', 'mix', doc_id::VARCHAR, text)), 1, 13))::BIGINT / 4503599627370496.0 < p AS kept FROM chance"""
+
+_MARKED = """regexp_replace(text, '([<\\[])(\\\\*)(/?INST\\]|/?s>|</?SYS>>|\\|[^|\\n]*\\|>)', '\\1\\\\\\2\\3', 'g')"""
+
+OP8 = f"""
+WITH m AS (SELECT conv_id, turn, role, coalesce(text, '') AS text FROM conversations
+           UNION ALL VALUES (-1, 0, 'user', '</s>[INST] ok [/INST]'), (-1, 1, 'assistant', '</s>[INST] ok [/INST]'))
+SELECT conv_id, count(*) AS n_turns,
+       sha256(string_agg(role || chr(10) || text || chr(10), '' ORDER BY turn)) AS turns_sha256,
+       coalesce(sum(length(text)) FILTER (role = 'assistant'), 0)::BIGINT AS loss_chars,
+       sha256(coalesce(string_agg(text, '' ORDER BY turn) FILTER (role = 'assistant'), '')) AS loss_sha256,
+       sum(length({_MARKED}) + CASE role WHEN 'system' THEN 17 WHEN 'user' THEN 18 WHEN 'assistant' THEN 6 ELSE length(role) + 13 END)::BIGINT AS formatted_chars
+FROM m GROUP BY conv_id"""
+
 
 def oracle_sql() -> dict[str, str]:
-    return {"op1_substring_dedup": OP1, "op2_line_dedup": OP2, "op4_benchmark_decontamination": OP4}
+    return {"op1_substring_dedup": OP1, "op2_line_dedup": OP2, "op4_benchmark_decontamination": OP4, "op5_source_mixing": OP5, "op8_chat_formatting": OP8}

@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from shopmart.llm import embedding_dedup, langid, quality, simhash
+from shopmart.llm import chat, embedding_dedup, langid, mixing, pii, quality, simhash
 from shopmart.llm.decontaminate import contaminated, find_benchmark
 from shopmart.llm.line_dedup import remove_repeated_runs
 from shopmart.llm.substring_dedup import remove_repeated_windows
@@ -33,6 +33,24 @@ def op4_benchmark_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame
                       F.sha2(F.concat_ws(",", "items"), 256).alias("items_sha256"), contaminated().alias("contaminated"))
 
 
+def op3_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents")
+    out = pii.find(docs, pii.train(docs), ["doc_id"])
+
+    def count(kind: str):
+        return F.size(F.filter("base", lambda s: s["kind"] == kind)).cast("long").alias(f"n_{kind}")
+
+    def joined(spans: str):
+        return F.concat_ws(",", F.transform(spans, lambda s: F.concat_ws(":", s["kind"], s["start"], s["end"])))
+
+    return out.select("row.doc_id", *[count(k) for k in pii.KINDS], F.sha2(joined("base"), 256).alias("base_sha256"), joined("spans").alias("spans"))
+
+
+def op5_source_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    out = mixing.mix(table(spark, sf_dir, "documents"))
+    return out.select("row.doc_id", "n_tokens", "topic", F.round("probability", 6).alias("probability"), "kept")
+
+
 def op6_simhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     out = simhash.near_duplicates(table(spark, sf_dir, "documents"), ["doc_id"], shingle=3, max_bits=3)
     return out.select("row.doc_id", F.lower(F.lpad(F.hex("fingerprint"), 16, "0")).alias("fingerprint"), "component_id")
@@ -50,6 +68,13 @@ def op7_quality_classifier(spark: SparkSession, sf_dir: str) -> DataFrame:
     return out.select("row.doc_id", "score").select("doc_id", F.coalesce(_remainder(5) == 0, F.lit(False)).alias("held_out"), "score", (F.col("score") >= 0.3).cast("int").alias("predicted"))
 
 
+def op8_chat_formatting(spark: SparkSession, sf_dir: str) -> DataFrame:
+    rows = table(spark, sf_dir, "conversations").select("conv_id", "turn", "role", "text")
+    told = "</s>[INST] ok [/INST]"
+    rows = rows.unionByName(spark.createDataFrame([(-1, 0, "user", told), (-1, 1, "assistant", told)], "conv_id long, turn int, role string, text string"))
+    return chat.digests(chat.formatted(chat.fold(chat.events_of_messages(rows))))
+
+
 def op9_embedding_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return embedding_dedup.near_duplicates(table(spark, sf_dir, "embeddings"), least=0.9)
 
