@@ -11,7 +11,7 @@ import pyarrow as pa
 import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql.types import StructType
+from pyspark.sql.types import StringType, StructType
 
 SLICE_BYTES = 2 << 20
 _BASE = 0x9E3779B97F4A7C15
@@ -137,12 +137,20 @@ def map_text(docs: DataFrame, text_col: str, keep: list[str], fields: str, fn, a
     Returns ``row`` (a struct of the columns in ``keep``, so that no name can
     clash) and the columns of ``fields`` (DDL).
     """
-    src = docs.select(F.struct(*[F.col(f"`{c}`") for c in keep]).alias("row"), F.col(f"`{text_col}`").cast("string").alias("text"), *[F.col(f"`{c}`").alias(f"also{i}") for i, c in enumerate(also)])
+    row = F.struct(*[F.col(f"`{c}`") for c in keep]).alias("row")
+    more = [F.col(f"`{c}`").alias(f"also{i}") for i, c in enumerate(also)]
+    at = keep.index(text_col) if text_col in keep and docs.schema[text_col].dataType == StringType() else None
+    text = [] if at is not None else [F.col(f"`{text_col}`").cast("string").alias("text")]  # sent once
+    src = docs.select(row, *text, *more)
     schema = StructType([src.schema["row"], *StructType.fromDDL(fields).fields])
     names = schema.names
 
     def run(batches):
-        for part in slices(batches, 1):
-            yield pa.RecordBatch.from_arrays([part.column(0), *fn(*part.columns[1:])], names=names)
+        for batch in batches:
+            if at is not None:
+                inner = pc.struct_field(batch.column(0), [at])
+                batch = pa.RecordBatch.from_arrays([batch.column(0), inner, *batch.columns[1:]], names=["row", "text", *batch.schema.names[1:]])
+            for part in slices([batch], 1):
+                yield pa.RecordBatch.from_arrays([part.column(0), *fn(*part.columns[1:])], names=names)
 
     return src.mapInArrow(run, schema)

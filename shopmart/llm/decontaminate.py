@@ -53,13 +53,13 @@ class Phrases:
         self.owners = pairs[:, 1]
 
     def find(self, text: pa.Array, items: pa.Array, spans: pa.Array) -> list[pa.Array]:
-        """For each text: words, hit words, ids of the items found, byte spans of the hits; adds to what earlier blocks found."""
+        """For each text: words, hit words, ids of the items found, byte spans of the hits, what is left; adds to what earlier blocks found."""
         raw, off = T.utf8(text)
         data = T.LOWER[raw]
         start, end, first = T.words(data, off, T.ALNUM_WORD)
         n_words = np.diff(first)
-        n_hit, items, spans = np.zeros(len(text), np.int64), items.to_pylist(), spans.to_pylist()
-        hit = np.zeros(len(start), bool)
+        n_hit, items, spans, clean = np.zeros(len(text), np.int64), items.to_pylist(), spans.to_pylist(), [None] * len(text)
+        hit, pairs = np.zeros(len(start), bool), np.zeros((0, 2), np.int64)
         for d in [d for d, s in enumerate(spans) if s]:
             a, b = np.reshape(spans[d], (-1, 2)).T + off[d]
             hit |= T.covered(len(start), np.searchsorted(start, a), np.searchsorted(start, b) - np.searchsorted(start, a))
@@ -68,14 +68,17 @@ class Phrases:
             hit |= T.covered(len(start), at, self.lengths[phrase])
             doc = np.searchsorted(first, at, side="right") - 1
             pairs = np.unique(np.stack([doc, phrase], 1), axis=0)
-            n_hit = np.diff(np.concatenate([[0], np.cumsum(hit)])[first])
+        n_hit = np.diff(np.concatenate([[0], np.cumsum(hit)])[first])
+        if n_hit.any():
             for d in np.flatnonzero(n_hit).tolist():
                 found = pairs[np.searchsorted(pairs[:, 0], d): np.searchsorted(pairs[:, 0], d + 1), 1]
                 owners = np.unique(np.concatenate([self.owners[:0], *(self.owners[self.owner_cut[p]: self.owner_cut[p + 1]] for p in found)]))
                 items[d] = items[d] + self.ids[owners].tolist()
                 run = T.runs(hit[first[d]: first[d + 1]]) + first[d]
                 spans[d] = (np.stack([start[run[:, 0]], end[run[:, 1] - 1]], 1) - off[d]).ravel().tolist()
-        return [pa.array(n_words, pa.int64()), pa.array(n_hit, pa.int64()), pa.array(items, pa.list_(pa.string())), pa.array(spans, pa.list_(pa.int32()))]
+                whole = raw[off[d]: off[d + 1]].tobytes()
+                clean[d] = b"".join(whole[a:b] for a, b in zip([0, *spans[d][1::2]], [*spans[d][::2], len(whole)])).decode()
+        return [pa.array(n_words, pa.int64()), pa.array(n_hit, pa.int64()), pa.array(items, pa.list_(pa.string())), pa.array(spans, pa.list_(pa.int32())), pa.array(clean, pa.string())]
 
     def occurrences(self, word: np.ndarray, first: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         """First word and phrase of each occurrence in a shard."""
@@ -128,15 +131,16 @@ def find_benchmark(docs: DataFrame, benchmark: DataFrame, keep: list[str], text_
 
     Returns ``row`` (the columns in ``keep``), ``n_words``, ``n_hit`` (words
     inside any occurrence), ``items`` (ids of the items found, as strings,
-    sorted, distinct) and ``spans`` (byte offsets start, end, start, end ...
-    in the text, one pair for each maximal run of hit words).
+    sorted, distinct), ``spans`` (byte offsets start, end, start, end ... in
+    the text, one pair for each maximal run of hit words) and ``clean`` (the
+    text without these spans; null if there are none).
 
     Null or empty texts have no words and no hits; null or empty items have
     no phrases (with no item at all, nothing is hit); an item with a null id
     is found, its hits count, but it has no entry in ``items``; rows that
     repeat are documents of their own, items that repeat are one id.
     """
-    fields = "n_words long, n_hit long, items array<string>, spans array<int>"
+    fields = "n_words long, n_hit long, items array<string>, spans array<int>, clean string"
     blocks = [shipped(docs.sparkSession, Phrases(ids, texts, window)) for ids, texts in _blocks(benchmark, item_col, item_text)]
     out = docs.select(F.struct(*[F.col(f"`{c}`") for c in keep]).alias("row"), F.col(f"`{text_col}`").cast("string").alias("text"),
                       F.array().cast("array<string>").alias("items"), F.array().cast("array<int>").alias("spans"))

@@ -26,7 +26,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from shopmart.llm import _text as T
-from shopmart.llm._store import shipped
+from shopmart.llm._store import shipped, stored
 
 KINDS = ("email", "ip", "card", "phone")
 #: Documents that are searched for training contexts, contexts used, and passes over them.
@@ -317,6 +317,7 @@ def train(docs: DataFrame, text_col: str = "text") -> Model:
     share = max(1, (1 << 20) * TRAIN_DOCS // max(n, 1))
     sample = docs.select(text.alias("text")).filter(F.pmod(F.xxhash64(F.lit(5), "text"), F.lit(1 << 20)) < share)
     found = sample.mapInArrow(_contexts, "left string, span string, right string, kind string").distinct()
+    found = stored(found)
     each = TRAIN_CONTEXTS // (len(KINDS) + 1)
     h = F.xxhash64("left", "span", "right")
     rows = [r for kind in ("", *KINDS) for r in found.filter(F.col("kind") == kind).orderBy(h, "left", "span", "right").limit(each).collect()]

@@ -177,26 +177,30 @@ def fingerprint_links(distinct: DataFrame, max_bits: int = 3) -> DataFrame:
 def near_duplicates(docs: DataFrame, keep: list[str], id_col: str = "doc_id", text_col: str = "text", shingle: int = 3, max_bits: int = 3) -> DataFrame:
     """Fingerprint and near-duplicate group of each document.
 
-    Returns ``row`` (the columns in ``keep``, the id among them), ``fingerprint`` (long) and
-    ``component_id``: the smallest id among the documents reachable by links
-    between fingerprints at ``max_bits`` or fewer differing bits.
+    Returns ``row`` (the columns in ``keep``, the id among them),
+    ``fingerprint`` (long), ``component_id`` (the smallest id among the
+    documents reachable by links between fingerprints at ``max_bits`` or fewer
+    differing bits) and ``kept``, true for one row of each group: one with the
+    smallest id.
 
     A text of fewer words than ``shingle`` is one shingle of all its words;
     null and wordless texts have fingerprint 0, which links like any other.
     Rows that repeat share their group.  Null ids do not count as smallest; a
-    group of null ids only has a null id.
+    group of null ids only has a null id and keeps one of its rows.
     """
     def prints(text):
         return [pa.array([_signed(fingerprint(x, shingle)) for x in text.to_pylist()], pa.int64())]
 
-    fp = stored(T.map_text(docs, text_col, keep, "fp long", prints))
-    nodes = stored(fp.groupBy("fp").agg(F.min(f"row.`{id_col}`").alias("id")))
-    links = fingerprint_links(nodes.select("fp"), max_bits)
-    label = components(links)
-    grouped = nodes.join(label, nodes["fp"] == label["node"], "left").select("fp", "id", F.coalesce("label", "fp").alias("label"))
-    least = grouped.groupBy("label").agg(F.min("id").alias("component_id"))
-    by_print = stored(grouped.join(least, "label").select(F.col("fp").alias("of"), "component_id"))
-    return fp.join(by_print, fp["fp"] == by_print["of"], "left").select("row", F.col("fp").alias("fingerprint"), "component_id")
+    fp = T.map_text(docs, text_col, keep, "fp long", prints).withColumn("rid", F.monotonically_increasing_id())
+    fp = stored(fp)
+    doc_id = F.col(f"row.`{id_col}`")
+    nodes = stored(fp.groupBy("fp").agg(F.min(F.struct(doc_id.isNull().alias("none"), doc_id.alias("id"), "rid")).alias("first")))
+    label = components(fingerprint_links(nodes.select("fp"), max_bits))
+    grouped = nodes.join(label, nodes["fp"] == label["node"], "left").select("fp", "first", F.coalesce("label", "fp").alias("label"))
+    least = grouped.groupBy("label").agg(F.min("first").alias("least"))
+    by_print = stored(grouped.join(least, "label").select(F.col("fp").alias("of"), "least"))
+    out = fp.join(by_print, fp["fp"] == by_print["of"], "left")
+    return out.select("row", F.col("fp").alias("fingerprint"), F.col("least.id").alias("component_id"), (F.col("rid") == F.col("least.rid")).alias("kept"))
 
 
 def _signed(x: int) -> int:
