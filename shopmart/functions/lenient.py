@@ -19,6 +19,9 @@ from ._col import as_col
 # fraction, optional exponent) and the integer prefix (sign, digits).
 NUMERIC_PREFIX = r"^\s*([+-]?(\d+\.?\d*|\.\d+)([eE][+-]?\d+)?)"
 INTEGER_PREFIX = r"^\s*([+-]?\d+)"
+# Fixed pattern: what Python's float() reads (one '_' may stand between digits).
+WHOLE_NUMBER = (r"^\s*[+-]?(?:(?:\d+(?:_\d+)*(?:\.(?:\d+(?:_\d+)*)?)?|\.\d+(?:_\d+)*)(?:[eE][+-]?\d+(?:_\d+)*)?"
+                r"|[iI][nN][fF](?:[iI][nN][iI][tT][yY])?|[nN][aA][nN])\s*$")
 
 
 def _prefix(c: Column, pattern: str) -> Column:
@@ -61,4 +64,4 @@ def lenient_timestamp(c: Column | str) -> Column:
 
 def is_number(c: Column | str) -> Column:
     """True when the whole text reads as a number (Python ``float(s)`` test)."""
-    return as_col(c).try_cast("double").isNotNull()
+    return F.coalesce(as_col(c).rlike(WHOLE_NUMBER), F.lit(False))

@@ -16,7 +16,7 @@ from __future__ import annotations
 
 from collections.abc import Iterable, Mapping, Sequence
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 
@@ -97,55 +97,40 @@ def eav_lookup(entities: DataFrame, entity_key: str, meta: DataFrame, meta_entit
 def eav_numbered(meta: DataFrame, entity: str, first_prefix: str, second_prefix: str, *,
                  number_col: str = "n", first_name: str = "first", second_name: str = "second",
                  key_col: str = "meta_key", value_col: str = "meta_value",
-                 like_pattern: str | None = None, on_duplicate: str = "max") -> DataFrame:
+                 like_pattern: str | None = None, on_duplicate: str = "error") -> DataFrame:
     """Numbered attribute pairs ``<first_prefix><n>`` / ``<second_prefix><n>``.
 
-    One row per entity and number that has a first attribute.  The number is
-    the key text with ``first_prefix`` removed (every occurrence, as a text
-    replace does) and the second attribute must be ``second_prefix + number``
-    exactly.  ``like_pattern`` selects the first keys with SQL ``LIKE`` rules
-    (``_`` matches any one character); default ``<first_prefix>%`` literal.
-
-    Implemented as one pass: the number is derived on both kinds of rows and a
-    single aggregate by (entity, number) pairs them; no self-join.  A number
-    held twice keeps the largest value (``on_duplicate='max'``) or fails the
-    job (``'error'``).
+    One row per first attribute row.  The number is the key text with
+    ``first_prefix`` removed (every occurrence, as a text replace does) and the
+    second attribute must be ``second_prefix + number`` exactly.
+    ``like_pattern`` selects the first keys with SQL ``LIKE`` rules (``_``
+    matches any one character); default ``<first_prefix>%`` literal.
+
+    One scan and one shuffle: the number is derived on both kinds of rows, and
+    a window by (entity, number) hands the second attribute to the first ones.
+    A number held twice there fails the job (``on_duplicate='error'``, a
+    scalar subquery with two rows) or keeps the largest value (``'max'``).  A
+    repeated first attribute stays as many rows.
     """
     if on_duplicate not in ("error", "max"):
         raise ValueError("on_duplicate must be 'error' or 'max'")
     k, v = F.col(key_col), F.col(value_col)
     is_first = k.like(like_pattern) if like_pattern else k.startswith(first_prefix)
     is_second = k.startswith(second_prefix)
-    n_first = F.replace(k, F.lit(first_prefix), F.lit(""))
-    n_second = F.substring(k, len(second_prefix) + 1, 1 << 30)
-    rows = (meta.where(is_first | is_second)
-                .select(F.col(entity),
-                        is_first.alias("_is_first"), is_second.alias("_is_second"),
-                        n_first.alias("_n_first"), n_second.alias("_n_second"), v.alias("_v")))
-    # A key can be a first and a second one at once only with odd prefixes;
-    # emit one row per role.
-    roles = rows.select(
-        F.col(entity),
-        F.inline(F.array(
-            F.struct(F.when(F.col("_is_first"), F.col("_n_first")).alias(number_col),
-                     F.col("_v").alias("_first"), F.lit(None).cast("string").alias("_second")),
-            F.struct(F.when(F.col("_is_second"), F.col("_n_second")).alias(number_col),
-                     F.lit(None).cast("string").alias("_first"), F.col("_v").alias("_second")),
-        )),
-    ).where(F.col(number_col).isNotNull())
-    agg = roles.groupBy(entity, number_col).agg(
-        F.max("_first").alias(first_name),
-        F.count("_first").alias("_n_firsts"),
-        F.max("_second").alias(second_name),
-        F.count("_second").alias("_n_seconds"),
-    )
-    out = agg.where(F.col("_n_firsts") > 0)
+    # a key can be a first and a second one at once only with odd prefixes: one row per role
+    roles = meta.where(is_first | is_second).select(F.col(entity), v.alias("_v"), F.inline(F.array(
+        F.struct(F.when(is_first, F.replace(k, F.lit(first_prefix), F.lit(""))).alias(number_col), F.lit(True).alias("_first")),
+        F.struct(F.when(is_second, F.substring(k, len(second_prefix) + 1, 1 << 30)).alias(number_col), F.lit(False).alias("_first")),
+    ))).where(F.col(number_col).isNotNull())
+    pair = Window.partitionBy(entity, number_col)
+    second = F.max(F.when(~F.col("_first"), F.col("_v"))).over(pair)
     if on_duplicate == "error":
-        dup = (F.col("_n_firsts") > 1) | (F.col("_n_seconds") > 1)
         msg = F.concat(F.lit(f"a numbered attribute occurs more than once for {entity} "),
                        F.col(entity).cast("string"), F.lit(" number "), F.col(number_col))
-        out = out.withColumn(first_name, F.when(dup, F.raise_error(msg).cast("string")).otherwise(F.col(first_name)))
-    return out.drop("_n_firsts", "_n_seconds")
+        twice = F.count(F.when(~F.col("_first"), 1)).over(pair) > 1
+        second = F.when(twice, F.raise_error(msg).cast(value_col_type(meta, value_col))).otherwise(second)
+    out = roles.withColumn("_second", second).where("_first")
+    return out.select(entity, number_col, F.col("_v").alias(first_name), F.col("_second").alias(second_name))
 
 
 def eav_keys_like(meta: DataFrame, pattern: str, key_col: str = "meta_key") -> DataFrame:
@@ -158,20 +143,3 @@ def select_keys(meta: DataFrame, keys: Sequence[str], key_col: str = "meta_key",
     """Rows whose key is (not) in a literal list (pushed to the scan)."""
     cond = F.col(key_col).isin(list(keys))
     return meta.where(~cond if exclude else cond)
-
-
-def eav_pivot_per_key(meta: DataFrame, entity: str, keys: Mapping[str, str] | Iterable[str], *,
-                      key_col: str = "meta_key", value_col: str = "meta_value") -> DataFrame:
-    """The same result as ``eav_pivot(..., on_duplicate='max')`` built the way
-    Spark plans one correlated scalar subquery per attribute: one filtered
-    aggregate and one outer join per key.  Kept as the benchmark baseline and
-    as a cross-check in tests; do not use it for data sets.
-    """
-    km = _keys_map(keys)
-    ents = meta.where(F.col(key_col).isin(list(km))).select(entity).distinct()
-    out = ents
-    for key, name in km.items():
-        one = (meta.where(F.col(key_col) == key).groupBy(entity)
-                   .agg(F.max(value_col).alias(name)))
-        out = out.join(one, entity, "left")
-    return out

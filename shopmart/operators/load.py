@@ -3,10 +3,12 @@ alignment to a target schema, schema versions.
 
 Parquet has no MERGE, so an upsert is a full outer join of the target with
 the de-duplicated source on the key, producing the next version of the
-table; the caller writes it to a new version directory
-(``sources.tables.write_version``) and never overwrites the directory it
-reads.  Both sides are shuffled once on the key (sort-merge full outer join;
-AQE splits skewed key partitions), the source after a partial aggregate.
+table; the caller writes it as a new version (``sources.tables``) and never
+overwrites what it reads.  Source and target are each scanned once and
+shuffled once on the key: the source's de-duplication and the join share one
+partitioning, and rows with a NULL key part -- which never match -- carry a
+number of their own in the join key, so they neither meet nor pile up in the
+partition of the NULL key.
 """
 
 from __future__ import annotations
@@ -32,6 +34,25 @@ def _null_key(keys: Sequence[str]) -> Column:
     return cond
 
 
+def _spread_null_keys(df: DataFrame, keys: Sequence[str], sign: int) -> DataFrame:
+    """``_nk``: 0 for rows with a whole key, else a number of the row's own."""
+    if not any(df.schema[k].nullable for k in keys):
+        return df.withColumn("_nk", F.lit(0).cast("bigint"))
+    own = (F.monotonically_increasing_id() + 1) * sign
+    return df.withColumn("_nk", F.when(_null_key(keys), own).otherwise(F.lit(0).cast("bigint")))
+
+
+def _last_rows(source: DataFrame, keys: Sequence[str], order_by: str | None) -> DataFrame:
+    """One row per key and ``_nk`` (one aggregate over one scan)."""
+    others = [c for c in source.columns if c not in keys and c != "_nk"]
+    if not others:
+        return source.distinct()
+    row = F.struct(*[F.col(c) for c in others])
+    picked = F.max(row) if order_by is None else F.max_by(row, F.struct(F.col(order_by), row))
+    agg = source.groupBy(*keys, "_nk").agg(picked.alias("_row"))
+    return agg.select(*keys, "_nk", *[F.col("_row")[c].alias(c) for c in others])
+
+
 def dedupe_last(source: DataFrame, keys: str | Sequence[str], order_by: str | None = None) -> DataFrame:
     """One row per key: the row with the greatest ``order_by`` (ties and
     ``order_by=None``: the greatest row by value, so the result is
@@ -39,22 +60,10 @@ def dedupe_last(source: DataFrame, keys: str | Sequence[str], order_by: str | No
     key never conflicts (as with a database unique constraint).
 
     One aggregate by key with ``max_by`` over a struct of the row: partial
-    aggregation before the shuffle, bounded state per key.
+    aggregation before the shuffle, bounded state per key, one scan.
     """
     ks = _as_list(keys)
-    others = [c for c in source.columns if c not in ks]
-    null_key = F.lit(False)
-    for k in ks:
-        null_key = null_key | F.col(k).isNull()
-    keyed = source.where(~null_key)
-    row = F.struct(*[F.col(c) for c in others]) if others else F.lit(1)
-    if order_by is None:
-        picked = F.max(row) if others else F.max(F.lit(1))
-    else:
-        picked = F.max_by(row, F.struct(F.col(order_by), row))
-    agg = keyed.groupBy(*ks).agg(picked.alias("_row"))
-    deduped = agg.select(*ks, *[F.col("_row")[c].alias(c) for c in others]) if others else agg.select(*ks)
-    return deduped.select(*source.columns).unionByName(source.where(null_key))
+    return _last_rows(_spread_null_keys(source, ks, 1), ks, order_by).select(*source.columns)
 
 
 def upsert(target: DataFrame, source: DataFrame, keys: str | Sequence[str],
@@ -66,7 +75,10 @@ def upsert(target: DataFrame, source: DataFrame, keys: str | Sequence[str],
     * existing keys get every listed column from the source, unlisted
       columns keep the target's value;
     * within the source the last row per key wins (``order_by``, see
-      ``dedupe_last``); ``''`` in source text becomes NULL first.
+      ``dedupe_last``); ``''`` in source text becomes NULL first;
+    * with ``order_by`` a column of the target too, an existing row changes
+      only if the source row is not older (a NULL in the target is oldest, a
+      NULL in the source older than any value).
     """
     ks = _as_list(keys)
     cols = list(columns) if columns is not None else list(source.columns)
@@ -79,35 +91,28 @@ def upsert(target: DataFrame, source: DataFrame, keys: str | Sequence[str],
     missing = [c for c in cols if c not in source.columns]
     if missing:
         raise ValueError(f"columns not in source: {missing}")
+    ordered = order_by is not None and order_by in target.columns
     extra = [order_by] if order_by is not None and order_by not in cols else []
+    taken = cols + (extra if ordered else [])
     src = source.select(*cols, *extra)
     if nullify_empty:
         src = empty_to_null(src, [c for c, t in src.dtypes if t == "string" and c in cols])
-    src = dedupe_last(src, ks, order_by)
-    # Rows with a NULL key part never match.  They bypass the join (target
-    # rows stay, source rows are inserted) instead of all hashing to the one
-    # partition of the NULL key in the full outer join.
-    src_null, src = src.where(_null_key(ks)), src.where(~_null_key(ks))
-    tgt_null, tgt = target.where(_null_key(ks)), target.where(~_null_key(ks))
-    s = src.select(*[F.col(c).alias(f"_s_{c}") for c in cols], F.lit(True).alias("_s_present"))
-    t = tgt.select(*[F.col(c).alias(f"_t_{c}") for c in target.columns])
-    cond = None
+    src = _last_rows(_spread_null_keys(src, ks, 1), ks, order_by)
+    s = src.select(*[F.col(c).alias(f"_s_{c}") for c in taken], F.col("_nk").alias("_s_nk"), F.lit(True).alias("_s_present"))
+    tgt = _spread_null_keys(target, ks, -1)
+    t = tgt.select(*[F.col(c).alias(f"_t_{c}") for c in target.columns], F.col("_nk").alias("_t_nk"), F.lit(True).alias("_t_present"))
+    cond = F.col("_t_nk") == F.col("_s_nk")
     for k in ks:
-        c = F.col(f"_t_{k}") == F.col(f"_s_{k}")
-        cond = c if cond is None else cond & c
+        cond = cond & (F.col(f"_t_{k}") == F.col(f"_s_{k}"))
     j = t.join(s, cond, "full")
-    present = F.col("_s_present").isNotNull()
-    out = []
-    for c in target.columns:
-        tc = F.col(f"_t_{c}")
-        if c in cols:
-            out.append(F.when(present, F.col(f"_s_{c}").cast(target.schema[c].dataType)).otherwise(tc).alias(c))
-        else:
-            out.append(tc.alias(c))
-    inserted_null = src_null.select(*[
-        (F.col(c).cast(target.schema[c].dataType) if c in cols else F.lit(None).cast(target.schema[c].dataType)).alias(c)
+    take = F.col("_s_present").isNotNull()
+    if ordered:
+        newer = F.coalesce(F.col(f"_s_{order_by}") >= F.col(f"_t_{order_by}"), F.col(f"_t_{order_by}").isNull())
+        take = take & (F.col("_t_present").isNull() | newer)
+    return j.select(*[
+        (F.when(take, F.col(f"_s_{c}").cast(target.schema[c].dataType)).otherwise(F.col(f"_t_{c}"))
+         if c in taken else F.col(f"_t_{c}")).alias(c)
         for c in target.columns])
-    return j.select(*out).unionByName(tgt_null).unionByName(inserted_null)
 
 
 @dataclass
@@ -126,36 +131,60 @@ class TableSpec:
         return [f.name for f in self.schema.fields]
 
 
-def align(df: DataFrame, spec: TableSpec, strict: bool = True) -> DataFrame:
+def _sources(df: DataFrame, spec: TableSpec) -> dict[str, str]:
+    return {spec.renames.get(c, c): c for c in df.columns}
+
+
+def _overflows(df: DataFrame, spec: TableSpec) -> dict[str, Column]:
+    """Per target column: does a value not fit its type?"""
+    src = _sources(df, spec)
+    return {f.name: F.col(src[f.name]).isNotNull() & F.col(src[f.name]).try_cast(f.dataType).isNull()
+            for f in spec.schema.fields if f.name in src}
+
+
+def align(df: DataFrame, spec: TableSpec, strict: bool = True, on_overflow: str = "error") -> DataFrame:
     """Columns of ``df`` mapped to ``spec`` by name (after ``spec.renames``),
     cast to the target types, in target order.
 
-    A target column missing from ``df`` raises when ``strict`` (else NULL).
-    Casts use ``try_cast``: a value that does not fit (e.g. money above
-    numeric(8,2)) becomes NULL; ``align_overflow`` counts them.
+    A target column missing from ``df`` raises when ``strict`` (else NULL).  A
+    value that does not fit its type (an id above 2^31, money above
+    numeric(8,2)) fails the job, as the database does; ``on_overflow='null'``
+    makes it NULL, and ``split_overflow`` sets such rows apart.
     """
-    src = {spec.renames.get(c, c): c for c in df.columns}
+    if on_overflow not in ("error", "null"):
+        raise ValueError("on_overflow must be 'error' or 'null'")
+    src = _sources(df, spec)
     missing = [c for c in spec.columns if c not in src]
     if missing and strict:
         raise ValueError(f"{spec.name}: data set lacks target columns {missing}")
+    bad = _overflows(df, spec)
     out = []
     for f in spec.schema.fields:
-        if f.name in src:
-            out.append(F.col(src[f.name]).try_cast(f.dataType).alias(f.name))
-        else:
+        if f.name not in src:
             out.append(F.lit(None).cast(f.dataType).alias(f.name))
+            continue
+        c = F.col(src[f.name]).try_cast(f.dataType)
+        if on_overflow == "error" and df.schema[src[f.name]].dataType != f.dataType:
+            msg = F.concat(F.lit(f"{spec.name}.{f.name}: out of range for {f.dataType.simpleString()}: "), F.col(src[f.name]).cast("string"))
+            c = F.when(bad[f.name], F.raise_error(msg).cast(f.dataType)).otherwise(c)
+        out.append(c.alias(f.name))
     return df.select(*out)
 
 
+def split_overflow(df: DataFrame, spec: TableSpec) -> tuple[DataFrame, DataFrame]:
+    """``(fits, rejects)``: rows that ``align`` can store, and the others with
+    ``_overflow``, the target columns whose value does not fit."""
+    names = F.array_compact(F.array(*[F.when(c, F.lit(n)) for n, c in _overflows(df, spec).items()]))
+    marked = df.withColumn("_overflow", names)
+    return marked.where(F.size("_overflow") == 0).drop("_overflow"), marked.where(F.size("_overflow") > 0)
+
+
 def align_overflow(df: DataFrame, spec: TableSpec) -> DataFrame:
-    """Per target column, how many non-NULL values ``align`` would turn into NULL."""
-    src = {spec.renames.get(c, c): c for c in df.columns}
-    aggs = []
-    for f in spec.schema.fields:
-        if f.name in src:
-            c = F.col(src[f.name])
-            aggs.append(F.count(F.when(c.isNotNull() & c.try_cast(f.dataType).isNull(), 1)).alias(f.name))
-    return df.agg(*aggs)
+    """``column, n``: how many values of each target column do not fit its type (0 included)."""
+    bad = _overflows(df, spec)
+    counts = df.agg(*[F.count(F.when(c, 1)).alias(n) for n, c in bad.items()])
+    pairs = F.array(*[F.struct(F.lit(n).alias("column"), F.col(n).alias("n")) for n in bad])
+    return counts.select(F.inline(pairs))
 
 
 def unique_violations(df: DataFrame, table: str, keys: Sequence[str]) -> DataFrame:
@@ -195,7 +224,11 @@ def fk_violations(child: DataFrame, child_name: str, fk: Sequence[str], parent:
 
 def check_keys(tables: Mapping[str, DataFrame], specs: Iterable[TableSpec]) -> DataFrame:
     """All key rule violations of ``tables`` (by name) under ``specs``:
-    primary/unique duplicates and dangling foreign keys, one DataFrame."""
+    primary/unique duplicates and dangling foreign keys, one DataFrame.
+
+    A foreign key of a given table whose parent table is not given cannot be
+    checked and raises.
+    """
     parts: list[DataFrame] = []
     for spec in specs:
         df = tables.get(spec.name)
@@ -206,7 +239,7 @@ def check_keys(tables: Mapping[str, DataFrame], specs: Iterable[TableSpec]) -> D
             parts.append(u.select("table", "rule", "key_text", F.col("n").cast("string").alias("detail")))
         for fk, parent, pk in spec.foreign_keys:
             if parent not in tables:
-                continue
+                raise ValueError(f"{spec.name}({','.join(fk)}): parent table {parent} not given")
             v = fk_violations(df, spec.name, fk, tables[parent], parent, pk, spec.key or None)
             parts.append(v.select("table", "rule", "key_text", F.col("fk_text").alias("detail")))
     out = parts[0]
@@ -247,6 +280,9 @@ def evolve(df: DataFrame, versions: Sequence[StructType], from_version: int, to_
     columns are kept (versions only add columns)."""
     if not 1 <= from_version <= to_version <= len(versions):
         raise ValueError("bad version range")
+    for v in (from_version, to_version):
+        if versions[v - 1] is None:
+            raise ValueError(f"the table does not exist at schema version {v}")
     target = versions[to_version - 1]
     have = set(df.columns)
     return df.select(*[F.col(f.name) if f.name in have else F.lit(None).cast(f.dataType).alias(f.name)

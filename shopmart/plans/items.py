@@ -37,16 +37,17 @@ def epoch_text_to_date(c: Column | str) -> Column:
     return F.to_date(F.timestamp_seconds(lenient_long(c)))
 
 
-def delivered_returned_pairs(itemmeta: DataFrame) -> DataFrame:
+def delivered_returned_pairs(itemmeta: DataFrame, on_duplicate: str = "error") -> DataFrame:
     """``order_item_id, subqty_id, delivered_on, returned_on, is_retoure``.
 
     ``subqty_id`` is the key text after removing ``_delivered_``; the return
     must sit under ``_returned_<that text>``.  ``is_retoure`` is true only when
-    both dates exist and delivered >= returned.
+    both dates exist and delivered >= returned.  A repeated delivered key gives
+    a row each; a repeated returned key fails the job (``'max'``: the latest).
     """
     p = eav_numbered(itemmeta, "order_item_id", DELIVERED_PREFIX, RETURNED_PREFIX,
                      number_col="subqty", first_name="delivered", second_name="returned",
-                     like_pattern=DELIVERED_LIKE)
+                     like_pattern=DELIVERED_LIKE, on_duplicate=on_duplicate)
     d, r = epoch_text_to_date("delivered"), epoch_text_to_date("returned")
     return p.select(
         "order_item_id",
@@ -69,14 +70,15 @@ def product_choice(variation: Column, product: Column, *,
     """Variation id if it is a real product, else the product id, else the placeholder.
 
     Both ids must be present, one of them >= ``first_id`` and neither in
-    ``excluded``; otherwise the placeholder.  Text ids compare as numbers.
+    ``excluded``; otherwise the placeholder.  Text ids compare by the value of
+    their numeric prefix (``'7.3e3'`` is 7300); the chosen one loses its fraction.
     """
-    v, p = lenient_long(variation), lenient_long(product)
-    ex = list(excluded)
+    v, p = lenient_decimal(variation, 38, 10), lenient_decimal(product, 38, 10)
+    ex = [F.lit(i).cast("decimal(38,10)") for i in excluded]
     ok = (v.isNotNull() & p.isNotNull() & ((v >= first_id) | (p >= first_id))
           & ~v.isin(ex) & ~p.isin(ex))
-    chosen = F.when(v >= first_id, v).when(p >= first_id, p).otherwise(F.lit(first_id).cast("bigint"))
-    return F.when(ok, chosen).otherwise(F.lit(placeholder).cast("bigint"))
+    chosen = F.when(v >= first_id, v).when(p >= first_id, p).otherwise(F.lit(first_id).cast("decimal(38,10)"))
+    return F.when(ok, chosen.try_cast("bigint")).otherwise(F.lit(placeholder).cast("bigint"))
 
 
 def item_amounts(itemmeta: DataFrame, on_duplicate: str = "error") -> DataFrame:
@@ -107,7 +109,7 @@ def order_items(raw: Raw, cutoff: str = DEFAULT_CUTOFF, *,
     one row per delivered number."""
     orders = completed_orders(raw.posts, cutoff, require_type=False, strict_after=True)
     items = raw.order_items.join(orders, raw.order_items.order_id == orders.ID, "left_semi")
-    pairs = delivered_returned_pairs(raw.order_itemmeta)
+    pairs = delivered_returned_pairs(raw.order_itemmeta, on_duplicate)
     amounts = item_amounts(raw.order_itemmeta, on_duplicate)
     j = items.join(pairs, "order_item_id").join(amounts, "order_item_id", "left")
     return j.select(

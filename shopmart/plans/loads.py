@@ -11,13 +11,13 @@ from pyspark.sql import functions as F
 
 from ..functions.text import empty_to_null
 from ..operators.backfill import pending_dates
-from ..operators.load import align, check_keys, evolve, upsert, upsert_many
+from ..operators.load import align, align_overflow, check_keys, evolve, upsert, upsert_many, upsert_one
 from ..operators.snapshot import append_snapshot
 from ..session import checkpoint_dir
 from ..sources.csv_io import read_csv_checked, write_csv
 from ..sources.fixture_star import Raw
-from ..sources.snapshot import read_snapshot, stage_snapshot
-from ..sources.sqldump import load_sql_dump, write_sql_dump
+from ..sources.snapshot import read_raw, stage_snapshot
+from ..sources.sqldump import load_sql_dump, write_sql_dump, write_statements
 from . import items as I
 from . import orders as O
 from . import products as P
@@ -42,7 +42,6 @@ def staged_raw(spark: SparkSession, raw: Raw) -> Raw:
     then scan parquet instead of re-deriving the raw tables in every branch."""
     root = scratch(spark, "raw")
     stage_snapshot(raw, root, "2017-01-22", files_per_table=spark.sparkContext.defaultParallelism)
-    from ..sources.snapshot import read_raw
     return read_raw(spark, root, "2017-01-22")
 
 
@@ -58,8 +57,8 @@ def stage_tables(spark: SparkSession, tables: dict[str, DataFrame]) -> dict[str,
     return out
 
 
-def upsert_single_key(raw: Raw, cutoff: str) -> DataFrame:
-    facts = O.orders_fact(raw, cutoff)
+def upsert_single_key(raw: Raw, cutoff: str, facts: DataFrame | None = None) -> DataFrame:
+    facts = O.orders_fact(raw, cutoff) if facts is None else facts
     target = facts.where(F.col("order_date") < F.lit(OLD_UNTIL).cast("timestamp_ntz")) \
                   .withColumn("payment_method", F.lit("unknown"))
     source = facts.where(F.col("order_date") >= F.lit(NEW_FROM).cast("timestamp_ntz"))
@@ -75,16 +74,51 @@ def upsert_compound_key(raw: Raw, cutoff: str, excluded) -> DataFrame:
                   ["order_item_id", "subqty_id", "delivered_on", "returned_on", "is_retoure", "product_id"])
 
 
+def upsert_keep_newest(spark: SparkSession, raw: Raw, cutoff: str) -> DataFrame:
+    """Orders of a target loaded on two days (22nd and 24th) meet a source of the
+    23rd: only the rows that are older change."""
+    facts = stage_tables(spark, {"orders": O.orders_fact(raw, cutoff).select("id", "customer_id", "payment_method", "order_total", "order_date")})["orders"]
+    day = F.when(F.col("id") % 3 == 0, "2017-01-24").when(F.col("id") % 3 == 1, "2017-01-22").cast("date")
+    target = facts.where(F.col("id") % 5 != 0).select("id", "customer_id", F.lit("target").alias("payment_method"), "order_total", day.alias("snapshot_date"))
+    source = facts.where(F.col("id") % 2 == 0).select("id", "customer_id", "payment_method", "order_total", F.lit("2017-01-23").cast("date").alias("snapshot_date"))
+    return upsert(target, source, "id", ["id", "payment_method", "snapshot_date"], order_by="snapshot_date")
+
+
+def upsert_one_table(raw: Raw) -> DataFrame:
+    """Campaign trackings as one checked upsert: a third updated, a third inserted, a third untouched."""
+    rows = P.campaign_trackings(raw)
+    target = rows.where(F.col("id") % 3 != 0).withColumn("utm_medium", F.lit("old"))
+    return upsert_one(target, rows.where(F.col("id") % 3 != 1), ["id"], P.CAMPAIGN_COLUMNS)
+
+
+def overflow_counts(raw: Raw, cutoff: str) -> DataFrame:
+    """Orders some of whose ids and amounts are beyond the target's types."""
+    facts = O.orders_fact(raw, cutoff)
+    far = F.when(F.col("id") % 7 == 0, F.col("id") + (1 << 31)).otherwise(F.col("id"))
+    rich = F.when(F.col("id") % 5 == 0, (F.col("order_total") * 100).cast("decimal(12,2)")).otherwise(F.col("order_total").cast("decimal(12,2)"))
+    return align_overflow(facts.withColumns({"id": far, "order_total": rich}), schemas.SPECS_LATEST["orders"])
+
+
+def refresh_counts(spark: SparkSession, raw: Raw) -> DataFrame:
+    """The stored lookups of the products load and their rows."""
+    stored = P.refresh(raw, lambda name, df: stage_tables(spark, {name: df})[name])
+    out = None
+    for name, df in stored.items():
+        c = df.agg(F.count(F.lit(1)).alias("n")).select(F.lit(name).alias("lookup"), "n")
+        out = c if out is None else out.unionByName(c)
+    return out
+
+
 def data_sets(raw: Raw, cutoff: str, excluded, stock_excluded, hosts) -> dict[str, DataFrame]:
     """All reporting tables of one snapshot, aligned to the latest schema."""
-    orders = O.orders_fact(raw, cutoff)
     return {
-        "orders": align(orders, schemas.SPECS_LATEST["orders"]),
+        "orders": align(O.orders_fact(raw, cutoff), schemas.SPECS_LATEST["orders"]),
         "addresses": align(O.addresses(raw, cutoff), schemas.SPECS_LATEST["addresses"]),
-        "customers": align(O.customers(raw, cutoff, orders=orders), schemas.SPECS_LATEST["customers"]),
+        "customers": align(O.customers(raw, cutoff), schemas.SPECS_LATEST["customers"]),
         "orders_products": align(I.order_items(raw, cutoff, excluded=excluded), schemas.SPECS_LATEST["orders_products"]),
         "products": align(P.products(raw, old_host=hosts[0], new_host=hosts[1]), schemas.SPECS_LATEST["products"]),
         "campaign_trackings": align(P.campaign_trackings(raw), schemas.SPECS_LATEST["campaign_trackings"]),
+        "stock": align(P.stock(raw, excluded_parents=stock_excluded), schemas.SPECS_LATEST["stock"], strict=False),
     }
 
 
@@ -94,14 +128,15 @@ def key_violations(spark: SparkSession, raw: Raw, cutoff: str, excluded, stock_e
 
 
 def upsert_many_report(spark: SparkSession, raw: Raw, cutoff: str, excluded, stock_excluded, hosts) -> DataFrame:
-    """First load into empty tables as one unit, then the post step (last
-    billing address) once, then the deferred key checks: one report row per
-    table (rows after the load, violations)."""
-    new = data_sets(raw, cutoff, excluded, stock_excluded, hosts)
-    keys = {"orders": "id", "addresses": "id", "customers": "id",
-            "orders_products": ["order_item_id", "subqty_id"], "campaign_trackings": "id", "products": "id"}
-    plan = {n: (spark.createDataFrame([], schemas.SPECS_LATEST[n].schema), df, keys[n], df.columns)
-            for n, df in new.items()}
+    """A load into filled tables as one unit: of every table the target holds
+    the rows whose key is no multiple of 3, the source those with an even key
+    (updates, inserts, untouched rows); then the post step (last billing
+    address) once, then the deferred key checks.  One report row per table
+    (rows after the load, violations)."""
+    every = stage_tables(spark, data_sets(raw, cutoff, excluded, stock_excluded, hosts))
+    keys = {"orders": ["id"], "addresses": ["id"], "customers": ["id"],
+            "orders_products": ["order_item_id", "subqty_id"], "campaign_trackings": ["id"], "products": ["id"]}
+    plan = {n: (every[n].where(F.col(k[0]) % 3 != 0), every[n].where(F.col(k[0]) % 2 == 0), k, every[n].columns) for n, k in keys.items()}
 
     def post(t):
         t = dict(t)
@@ -110,7 +145,7 @@ def upsert_many_report(spark: SparkSession, raw: Raw, cutoff: str, excluded, sto
         return t
 
     tables, _ = upsert_many(plan, post=post)
-    tables = stage_tables(spark, tables)
+    tables = stage_tables(spark, tables) | {"stock": every["stock"]}
     report = check_keys(tables, schemas.SPECS_LATEST.values())
     counts = None
     for n, df in tables.items():
@@ -127,6 +162,18 @@ def schema_evolution(raw: Raw) -> DataFrame:
     return evolve(v1, schemas.VERSIONS["products"], 1, 4)
 
 
+def schema_evolution_orders(raw: Raw, cutoff: str) -> DataFrame:
+    """Orders written under schema version 3 (no campaign columns), read under version 4."""
+    v3 = align(O.orders_fact(raw, cutoff), schemas.spec("orders", 3))
+    return evolve(v3, schemas.VERSIONS["orders"], 3, 4)
+
+
+def schema_evolution_customers(raw: Raw, cutoff: str) -> DataFrame:
+    """Customers written under schema version 2, read under version 3."""
+    v2 = align(O.customers(raw, cutoff), schemas.spec("customers", 2))
+    return evolve(v2, schemas.VERSIONS["customers"], 2, 3)
+
+
 def stock_snapshots(spark: SparkSession, raw: Raw, stock_excluded) -> DataFrame:
     """Stock appended for two run dates, the second run twice (a rerun must
     not double it), read back."""
@@ -147,20 +194,42 @@ def csv_round_trip(spark: SparkSession, raw: Raw, cutoff: str) -> DataFrame:
     return read_csv_checked(spark, path, df.schema, header=True)
 
 
+def _dump(spark: SparkSession, raw: Raw) -> list[str]:
+    """Campaign trackings as a SQL dump in all the forms of INSERT, every 50th row in a statement that is cut short."""
+    rows, folders = P.campaign_trackings(raw), [scratch(spark, "dump") for _ in range(5)]
+    kind = F.when(F.col("id") % 50 == 7, 4).otherwise(F.col("id") % 4)
+    cols = P.CAMPAIGN_COLUMNS
+    write_sql_dump(rows.where(kind == 0), folders[0], "campaign_tracking")
+    write_sql_dump(rows.where(kind == 1), folders[1], "campaign_tracking", lead="-- Dumping data for table\n/*!40000 ALTER TABLE `campaign_tracking` DISABLE KEYS */\n")
+    write_sql_dump(rows.where(kind == 2).select(*cols[::-1]), folders[2], "campaign_tracking", verb="INSERT IGNORE INTO", name_columns=True)
+    write_sql_dump(rows.where(kind == 3).drop("utm_term"), folders[3], "campaign_tracking", verb="REPLACE INTO", name_columns=True)
+    write_statements(rows.where(kind == 4).select(F.concat(F.lit("INSERT INTO `campaign_tracking` VALUES ("), F.col("id").cast("string"), F.lit(",'cut"))), folders[4])
+    return folders
+
+
 def sql_dump_rows(spark: SparkSession, raw: Raw) -> DataFrame:
-    """Campaign tracking rows written as a SQL dump and read back."""
-    path = scratch(spark, "dump")
-    write_sql_dump(P.campaign_trackings(raw), path, "campaign_tracking")
-    rows, _errors = load_sql_dump(spark, path, "campaign_tracking", P.CAMPAIGN_COLUMNS,
-                                  schema=raw.campaign_tracking.schema, strict=True)
+    """Rows read back from the dump (those in readable statements)."""
+    rows, _errors = load_sql_dump(spark, _dump(spark, raw), "campaign_tracking", P.CAMPAIGN_COLUMNS, schema=raw.campaign_tracking.schema)
     return rows
 
 
+def sql_dump_errors(spark: SparkSession, raw: Raw) -> DataFrame:
+    """Statements of the dump that cannot be read, whole."""
+    _rows, errors = load_sql_dump(spark, _dump(spark, raw), "campaign_tracking", P.CAMPAIGN_COLUMNS, schema=raw.campaign_tracking.schema)
+    return errors.select("statement")
+
+
 def scan_snapshot(spark: SparkSession, raw: Raw) -> DataFrame:
-    """Raw posts staged as a dated snapshot and read back for that date."""
+    """All raw tables staged as a dated snapshot and read back for that date: rows and sum of ids."""
     root = scratch(spark, "raw")
     stage_snapshot(Raw(**{**raw.as_dict()}), root, "2017-01-22")
-    return read_snapshot(spark, root, "posts", "2017-01-22")
+    out = None
+    for name, df in read_raw(spark, root, "2017-01-22").as_dict().items():
+        key = df.columns[0]
+        c = df.agg(F.count(F.lit(1)).alias("n"), F.sum(F.col(key).cast("decimal(38,0)")).alias("id_sum"))
+        c = c.select(F.lit(name).alias("table"), "n", F.col("id_sum").cast("string").alias("id_sum"))
+        out = c if out is None else out.unionByName(c)
+    return out
 
 
 def order_day_runs(raw: Raw, cutoff: str) -> DataFrame:
@@ -174,9 +243,10 @@ def order_day_runs(raw: Raw, cutoff: str) -> DataFrame:
 def pending_order_days(spark: SparkSession, raw: Raw, cutoff: str) -> DataFrame:
     """Days between the first and last completed order without a run, newest first."""
     log = order_day_runs(raw, cutoff)
-    b = log.agg(F.min("run_date").alias("lo"), F.max("run_date").alias("hi"))
-    days = b.select(F.explode(F.sequence("lo", "hi")).alias("run_date"))
-    return days.join(log.select("run_date"), "run_date", "left_anti").orderBy(F.col("run_date").desc())
+    lo, hi = log.agg(F.min("run_date").cast("string"), F.max("run_date").cast("string")).first()
+    if lo is None:
+        return log.select("run_date").limit(0)
+    return pending_dates(spark, lo, hi, log, "orders")
 
 
 def empty_to_null_addresses(raw: Raw, cutoff: str) -> DataFrame:

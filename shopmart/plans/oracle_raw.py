@@ -62,8 +62,14 @@ _SHIPPING = _ADDR_COMMON + [
 _DISC = "CAST((o_orderkey % 50) * CAST(1.5 AS DECIMAL(2,1)) AS DECIMAL(12,2))"
 _TOTAL = "CAST(o_totalprice AS DECIMAL(12,2))"
 _TS = "'%Y-%m-%d %H:%M:%S'"
+
+
+def _odd(n: str) -> str:
+    return f"['abc', '12abc', '1e2', '1d'][{n} % 4 + 1]"
+
+
 _ORDER_PAIRS = [
-    ("'_customer_user'", "o_custkey"),
+    ("'_customer_user'", "CASE WHEN o_orderkey % 3 = 1 THEN '0' ELSE CAST(o_custkey AS VARCHAR) END"),
     ("'_completed_date'", f"strftime(o_orderdate + INTERVAL 3 DAY, {_TS})"),
     ("'_payment_method'", "CASE WHEN o_orderkey % 11 = 0 THEN NULL WHEN o_orderkey % 7 = 0 THEN '' ELSE o_orderpriority END"),
     ("'_order_total'", _TOTAL),
@@ -90,16 +96,17 @@ _RETAIL = "CAST(retail AS DECIMAL(12,2))"
 _PARENT_PAIRS = [
     ("'_thumbnail_id'", "CASE WHEN k % 8 = 0 THEN NULL ELSE CAST(31000000 + k AS VARCHAR) END"),
     ("'_uvp'", _RETAIL),
-    ("'_cogs'", f"CASE WHEN k % 6 = 0 THEN NULL ELSE CAST({_RETAIL} * CAST(0.4 AS DECIMAL(1,1)) AS VARCHAR) END"),
+    ("'_cogs'", f"CASE WHEN k % 6 = 0 THEN NULL WHEN k % 5 = 1 THEN {_odd('k')} ELSE CAST({_RETAIL} * CAST(0.4 AS DECIMAL(1,1)) AS VARCHAR) END"),
 ]
 _ITEM_PAIRS = [
     ("'_line_subtotal'", "sub"),
     ("'_line_total'", "line_total"),
     ("'_line_subtotal_tax'", "sub * tax"),
     ("'_line_tax'", "line_total * tax"),
-    ("'_qty'", "CAST(qty AS VARCHAR) || CASE WHEN l_orderkey % 2 = 0 THEN '.00' ELSE '' END"),
+    ("'_qty'", f"CASE WHEN l_orderkey % 41 = 3 THEN {_odd('l_orderkey')} ELSE CAST(qty AS VARCHAR) || CASE WHEN l_orderkey % 2 = 0 THEN '.00' ELSE '' END END"),
     ("'_product_id'", "1000000 + min_partkey // 4"),
-    ("'_variation_id'", "CASE WHEN l_orderkey % 13 = 0 THEN '0' ELSE CAST(7200 + min_partkey AS VARCHAR) END"),
+    ("'_variation_id'", "CASE WHEN l_orderkey % 13 = 0 THEN '0' WHEN l_orderkey % 29 = 2 THEN '7.3e3' "
+                        "WHEN l_orderkey % 13 = 1 THEN '0' || (7200 + min_partkey) ELSE CAST(7200 + min_partkey AS VARCHAR) END"),
 ]
 
 _ATTR_ID = "(100000000000 + ('0x' || substr(md5(taxonomy || '/' || slug), 1, 10))::BIGINT)"
@@ -140,7 +147,8 @@ RAW_CTES: dict[str, str] = {
         _meta("orders JOIN customer ON o_custkey = c_custkey JOIN nation ON c_nationkey = n_nationkey",
               "10000000 + o_orderkey", "post_id", _ORDER_PAIRS)
         + " UNION ALL " + _meta("part", "7200 + p_partkey", "post_id", _VARIATION_PAIRS)
-        + " UNION ALL " + _meta("x_parents", "1000000 + k", "post_id", _PARENT_PAIRS)),
+        + " UNION ALL " + _meta("x_parents", "1000000 + k", "post_id", _PARENT_PAIRS)
+        + " UNION ALL SELECT 7200 + p_partkey, '_original_stock', CAST(NULL AS VARCHAR) FROM part WHERE p_partkey % 14 = 1"),
     "users": """
         SELECT c_custkey AS ID, lower(replace(c_name, '#', '.')) || '@mail.example' AS user_email,
                CAST(DATE '2010-01-01' + CAST(c_custkey % 3000 AS INTEGER) AS TIMESTAMP) AS user_registered
@@ -171,6 +179,10 @@ RAW_CTES: dict[str, str] = {
           "{'meta_key': '_delivered_' || n, 'meta_value': CAST(CAST(epoch(l_shipdate) AS BIGINT) AS VARCHAR)}, "
           "{'meta_key': '_returned_' || n, 'meta_value': CASE WHEN l_returnflag = 'R' THEN "
           "CAST(CAST(epoch(l_shipdate + to_days(CAST(l_linenumber - 4 AS INTEGER))) AS BIGINT) AS VARCHAR) END}"
+          ", {'meta_key': '_delivered_' || n, 'meta_value': CASE WHEN n = '1' AND l_orderkey % 17 = 0 THEN "
+          "CAST(CAST(epoch(l_shipdate + INTERVAL 1 DAY) AS BIGINT) AS VARCHAR) END}, "
+          "{'meta_key': 'Xdelivered-9', 'meta_value': CASE WHEN n = '1' AND l_orderkey % 19 = 0 THEN "
+          "CAST(CAST(epoch(l_shipdate) AS BIGINT) AS VARCHAR) END}"
           "]) AS kv FROM (SELECT *, CAST(row_number() OVER (PARTITION BY l_orderkey, l_linenumber "
           "ORDER BY l_partkey, l_suppkey, l_shipdate, l_extendedprice) AS VARCHAR) AS n FROM lineitem)) "
           "WHERE kv.meta_value IS NOT NULL"),
@@ -191,7 +203,7 @@ RAW_CTES: dict[str, str] = {
             {'taxonomy': 'pa_geschlecht', 'name': CASE WHEN p_type IN ('ECONOMY', 'SMALL') THEN 'Maedchen'
                                                        WHEN p_type IN ('STANDARD', 'MEDIUM') THEN 'Jungen'
                                                        ELSE 'Unisex' END}
-          ]) AS a FROM part)
+          ]) AS a FROM part WHERE p_partkey // 4 % 12 <> 7)
         WHERE a.name IS NOT NULL""",
     "x_size_terms": """
         SELECT DISTINCT a.taxonomy AS taxonomy, a.name AS name, a.slug AS slug FROM (
@@ -215,13 +227,13 @@ RAW_CTES: dict[str, str] = {
             CASE WHEN k % 10 = 5 AND s_min % 4 = 0 THEN 40000000 + s_min END]) AS ttid
           FROM (SELECT l_partkey // 4 AS k, min(l_suppkey) AS s_min, max(l_suppkey) AS s_max
                 FROM lineitem GROUP BY l_partkey // 4))
-        WHERE ttid IS NOT NULL
+        WHERE ttid IS NOT NULL AND k % 12 <> 7
         UNION ALL
         SELECT 1000000 + k, {_ATTR_ID} FROM x_attr_rows""",
     "campaign_tracking": """
         SELECT event_id AS id, event_type AS utm_medium, CAST(user_id AS VARCHAR) AS utm_source,
                props AS utm_campaign, CAST(NULL AS VARCHAR) AS utm_term, CAST(NULL AS VARCHAR) AS utm_content
-        FROM events WHERE event_type IN ('signup', 'click')""",
+        FROM events""",
 }
 
 
@@ -230,4 +242,4 @@ def with_raw(query: str, extra_ctes: dict[str, str] | None = None) -> str:
     if extra_ctes:
         ctes.update(extra_ctes)
     body = ",\n".join(f"{n} AS ({sql})" for n, sql in ctes.items())
-    return f"WITH {body}\n{query}"
+    return f"WITH RECURSIVE {body}\nSELECT * FROM ({query})"

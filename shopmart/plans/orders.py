@@ -2,14 +2,14 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..functions import (address_key, lenient_decimal, lenient_long, lenient_round,
                          lenient_timestamp, money, value_or_default)
-from ..functions.keys import KEY_TYPE
+from ..functions.keys import KEY_TYPE, hex_prefix_to_unsigned
 from ..operators.eav import eav_pivot
-from ..operators.filters import DEFAULT_CUTOFF, completed_orders
+from ..operators.filters import DEFAULT_CUTOFF, ORDER_TYPE, completed_orders
 from ..sources.fixture_star import Raw
 
 # Order attribute keys of the shop.
@@ -41,14 +41,16 @@ def address_meta_keys() -> dict[str, str]:
     return {f"_{t}_{p}": f"{t}_{p}" for t in ADDRESS_TYPES for p, _ in ADDRESS_PARTS}
 
 
+ORIGIN_KEYS = {"customer_origin": "origin"}
+
+
 def order_attributes(raw: Raw, on_duplicate: str = "error") -> DataFrame:
-    """One pivot of all order and address attributes, keyed by ``post_id``.
+    """One pivot of all order, address and origin attributes, keyed by ``post_id``.
 
-    Orders and addresses both read it; stage it (``persist``/checkpoint) when
-    both are built in one job.
+    Orders, addresses and customers read it; stage it in the shared folder
+    when several of them are built in one job.
     """
-    keys = dict(ORDER_KEYS)
-    keys.update(address_meta_keys())
+    keys = {**ORDER_KEYS, **address_meta_keys(), **ORIGIN_KEYS}
     return eav_pivot(raw.postmeta, "post_id", keys, on_duplicate=on_duplicate)
 
 
@@ -126,17 +128,20 @@ def addresses(raw: Raw, cutoff: str = DEFAULT_CUTOFF, on_duplicate: str = "error
 USER_KEYS = {"billing_first_name": "firstname", "billing_last_name": "lastname", "billing_phone": "phone"}
 
 
-def customer_first_last_order(raw: Raw, cutoff: str = DEFAULT_CUTOFF) -> DataFrame:
+def customer_first_last_order(raw: Raw, cutoff: str = DEFAULT_CUTOFF, users: DataFrame | None = None) -> DataFrame:
     """First and last completed order of each customer in ONE aggregate.
 
     ``customer_user`` (text, as stored), first/last order id and date.
+    ``users`` (post_id, customer_user) replaces the scan of that attribute.
     """
     completed = raw.posts.where(
         (F.col("post_status") == "wc-completed") & (F.col("post_date") >= F.lit(cutoff).cast("timestamp_ntz"))
     ).select("ID", "post_date")
-    cu = raw.postmeta.where(F.col("meta_key") == "_customer_user").select("post_id", "meta_value")
-    j = cu.join(completed, cu.post_id == completed.ID)
-    return j.groupBy(F.col("meta_value").alias("customer_user")).agg(
+    if users is None:
+        users = raw.postmeta.where(F.col("meta_key") == "_customer_user").select(
+            "post_id", F.col("meta_value").alias("customer_user"))
+    j = users.join(completed, users.post_id == completed.ID)
+    return j.groupBy("customer_user").agg(
         F.min("post_id").alias("first_order_id"),
         F.min_by("post_date", "post_id").alias("first_order_date"),
         F.max("post_id").alias("last_order_id"),
@@ -160,27 +165,40 @@ def last_billing_address(customers: DataFrame, orders: DataFrame, *,
 
 
 def customers(raw: Raw, cutoff: str = DEFAULT_CUTOFF, on_duplicate: str = "error",
-              orders: DataFrame | None = None) -> DataFrame:
+              attributes: DataFrame | None = None, last_address: bool = True) -> DataFrame:
     """Users with at least one completed order since ``cutoff``.
 
-    ``last_billing_address_id`` is filled from the orders of the same
-    snapshot (the state after the load's post step).
+    One pass over the orders' attributes: a single aggregate by customer keeps
+    the first order (id, date, origin), the last order and the billing address
+    of the highest order id, which is the state after the load's post step.
+    ``last_address=False`` leaves the address out, for a load that runs that
+    step itself.
     """
-    fl = customer_first_last_order(raw, cutoff)
+    completed = raw.posts.where(
+        (F.col("post_status") == "wc-completed") & (F.col("post_date") >= F.lit(cutoff).cast("timestamp_ntz"))
+    ).select("ID", "post_date", F.col("post_type").alias("_type"))
+    attrs = attributes if attributes is not None else order_attributes(raw, on_duplicate)
+    own = attrs.where(F.col("customer_user").isNotNull()).select(
+        "post_id", "customer_user", "origin", address_key_of("billing").alias("_address"))
+    j = own.join(completed, own.post_id == completed.ID)
+    is_order = F.col("_type") == ORDER_TYPE
+    fl = j.groupBy("customer_user").agg(
+        F.min("post_id").alias("first_order_id"), F.min_by("post_date", "post_id").alias("first_order_date"),
+        F.min_by("origin", "post_id").alias("origin"),
+        F.max("post_id").alias("last_order_id"), F.max_by("post_date", "post_id").alias("last_order_date"),
+        F.max(F.when(is_order, F.struct("post_id", "_address"))).alias("_last"))
     users = raw.users.join(fl, raw.users.ID == lenient_long(fl.customer_user))
+    # ids stored as different text ('5', '05') are rows of their own; the last address is the user's
+    users = users.withColumn("_last", F.max("_last").over(Window.partitionBy("ID")))
     um = eav_pivot(raw.usermeta, "user_id", USER_KEYS, on_duplicate=on_duplicate)
-    origin = eav_pivot(raw.postmeta, "post_id", {"customer_origin": "origin"}, on_duplicate=on_duplicate)
-    j = (users.join(um, users.ID == um.user_id, "left")
-              .join(origin, F.col("first_order_id") == origin.post_id, "left"))
-    base = j.select(
+    out = users.join(um, users.ID == um.user_id, "left")
+    address = [F.col("_last._address").cast(KEY_TYPE).alias("last_billing_address_id")] if last_address else []
+    return out.select(
         F.col("ID").alias("id"), "firstname", "lastname", "phone",
         F.col("user_email").alias("email"),
         F.col("user_registered").alias("registered_date"),
-        "first_order_id", "first_order_date", "last_order_id", "last_order_date", "origin",
+        "first_order_id", "first_order_date", "last_order_id", "last_order_date", "origin", *address,
     )
-    if orders is None:
-        orders = orders_fact(raw, cutoff, on_duplicate)
-    return last_billing_address(base, orders)
 
 
 def address_key_two_ways(raw: Raw, cutoff: str = DEFAULT_CUTOFF) -> DataFrame:
@@ -199,7 +217,6 @@ def address_key_two_ways(raw: Raw, cutoff: str = DEFAULT_CUTOFF) -> DataFrame:
                 .groupBy("post_id")
                 .agg(F.array_sort(F.collect_list(F.struct(pos.alias("p"), F.col("meta_value").alias("v")))).alias("l")))
         text = F.concat(F.array_join(F.transform("l", lambda x: x["v"]), ","), F.lit(f",{t}"))
-        from ..functions.keys import hex_prefix_to_unsigned
         k = rows.select(F.col("post_id").alias(f"_{t}_pid"), hex_prefix_to_unsigned(F.sha1(text)).alias(f"{t}_key_by_rows"))
         out = out.join(k, out.id == k[f"_{t}_pid"], "left").drop(f"_{t}_pid")
     return out

@@ -44,16 +44,15 @@ PUBLISHED = "publish"
 def last_order_by_product(raw: Raw) -> DataFrame:
     """Latest completed order date per ordered variation (``product_id``, ``last_order_at``).
 
-    Grouped by the stored id text as the shop does; the id is then read as a
-    number and 0 (no variation) is left out -- it can never match a product.
+    Grouped by the id as a number (``'08000'`` is 8000); 0 (no variation) is
+    left out -- it can never match a product.
     """
     vm = raw.order_itemmeta.where(F.col("meta_key") == "_variation_id").select("order_item_id", "meta_value")
     items = raw.order_items.select("order_item_id", "order_id")
     done = raw.posts.where(F.col("post_status") == "wc-completed").select("ID", "post_date")
     j = vm.join(items, "order_item_id").join(done, F.col("order_id") == F.col("ID"))
-    agg = j.groupBy("meta_value").agg(F.max("post_date").alias("last_order_at"))
-    pid = lenient_long("meta_value")
-    return agg.select(pid.alias("product_id"), "last_order_at").where(F.col("product_id") != 0)
+    j = j.select(lenient_long("meta_value").alias("product_id"), "post_date").where(F.col("product_id") != 0)
+    return j.groupBy("product_id").agg(F.max("post_date").alias("last_order_at"))
 
 
 def parent_terms(raw: Raw, tree: DataFrame | None = None) -> DataFrame:
@@ -86,14 +85,14 @@ def parent_terms(raw: Raw, tree: DataFrame | None = None) -> DataFrame:
     return links.groupBy("object_id").agg(*aggs)
 
 
-def variation_sizes(raw: Raw, variation_ids: DataFrame | None = None) -> DataFrame:
+def variation_sizes(raw: Raw, size_rows: DataFrame | None = None) -> DataFrame:
     """``post_id, size, size_shopfilter``: size names looked up by slug in all terms.
 
-    The shop takes any one matching term; the one with the lowest term id is used.
+    The shop takes any one matching term; the one with the lowest term id is
+    used.  ``size_rows`` (post_id, meta_key, meta_value) replaces the scan of
+    all size attributes.
     """
-    m = raw.postmeta.where(F.col("meta_key").isin(SIZE_KEYS))
-    if variation_ids is not None:
-        m = m.join(variation_ids, m.post_id == variation_ids.ID, "left_semi")
+    m = size_rows if size_rows is not None else raw.postmeta.where(F.col("meta_key").isin(SIZE_KEYS))
     j = m.join(raw.terms.select("term_id", "name", "slug"), F.col("meta_value") == F.col("slug"))
     return j.groupBy("post_id").agg(
         first_by(F.col("name"), F.col("term_id")).alias("size"),
@@ -112,13 +111,38 @@ def thumbnails(raw: Raw, parent_meta: DataFrame, old_host: str | None, new_host:
     return j.select("post_id", url.alias("thumbnail_url"))
 
 
+PIVOT_KEYS = {"_thumbnail_id": "thumbnail_ref", "_uvp": "uvp_text", "_cogs": "cogs_text", CONDITION_KEY: "item_condition",
+              **{k: f"size_{i}" for i, k in enumerate(SIZE_KEYS)}}
+
+
+def product_attributes(raw: Raw, on_duplicate: str = "error") -> DataFrame:
+    """One pivot of every attribute that products read, of parents and variations (``post_id`` keyed)."""
+    return eav_pivot(raw.postmeta, "post_id", PIVOT_KEYS, on_duplicate=on_duplicate)
+
+
+def refresh(raw: Raw, staged) -> dict[str, DataFrame]:
+    """The lookups that products use several times, each computed once.
+
+    ``staged(name, df)`` stores a table and gives it back: the category tree,
+    the last order dates and the attribute pivot.
+    """
+    return {"tree": staged("category_tree", category_tree(raw.term_taxonomy, raw.terms)),
+            "last_order": staged("last_order", last_order_by_product(raw)),
+            "attributes": staged("product_attributes", product_attributes(raw))}
+
+
 def products(raw: Raw, *, first_id: int = FIRST_VARIATION_ID, old_host: str | None = None,
-             new_host: str | None = None, on_duplicate: str = "error") -> DataFrame:
+             new_host: str | None = None, on_duplicate: str = "error",
+             lookups: dict[str, DataFrame] | None = None) -> DataFrame:
     """Variations (id >= ``first_id``) of published parents with all attributes.
 
     Parent attributes (thumbnail, prices, terms) are computed once per parent
     and joined to its variations -- not looked up again for every variation.
+    ``lookups`` are the stored tables of ``refresh``; without them they are
+    part of the plan.
     """
+    lookups = lookups or {"tree": None, "last_order": last_order_by_product(raw),
+                          "attributes": product_attributes(raw, on_duplicate)}
     posts = raw.posts
     variation = posts.where((F.col("post_type") == VARIATION_TYPE) & (F.col("ID") >= first_id)).select(
         F.col("ID").alias("product_id"), F.col("post_parent").alias("_parent"))
@@ -127,22 +151,20 @@ def products(raw: Raw, *, first_id: int = FIRST_VARIATION_ID, old_host: str | No
         F.col("post_date").alias("created_at"), F.col("post_modified").alias("updated_at"))
     base = variation.join(parent, variation._parent == parent.parent_id)
 
-    # one pivot for the parent keys and the variation key: postmeta is
-    # scanned and aggregated once, then joined by parent id and by variation id
-    pmeta = eav_pivot(raw.postmeta, "post_id",
-                      {"_thumbnail_id": "thumbnail_ref", "_uvp": "uvp_text", "_cogs": "cogs_text",
-                       CONDITION_KEY: "item_condition"},
-                      on_duplicate=on_duplicate)
-    thumbs = thumbnails(raw, pmeta, old_host, new_host).withColumnRenamed("post_id", "_thumb_pid")
+    pmeta = lookups["attributes"]
+    thumbs = thumbnails(raw, pmeta.where(F.col("thumbnail_ref").isNotNull()), old_host, new_host).withColumnRenamed("post_id", "_thumb_pid")
     pattrs = (pmeta.join(thumbs, pmeta.post_id == thumbs._thumb_pid, "left")
                    .select(F.col("post_id").alias("_pm_pid"),
                            lenient_long("thumbnail_ref").alias("thumbnail_id"), "thumbnail_url",
                            lenient_decimal("uvp_text").alias("uvp"),
                            lenient_decimal("cogs_text").alias("cost_of_goods")))
-    terms = parent_terms(raw).withColumnRenamed("object_id", "_t_oid")
+    terms = parent_terms(raw, lookups["tree"]).withColumnRenamed("object_id", "_t_oid")
     vmeta = pmeta.select(F.col("post_id").alias("_vm_pid"), "item_condition")
-    sizes = variation_sizes(raw).withColumnRenamed("post_id", "_sz_pid")
-    last = last_order_by_product(raw).withColumnRenamed("product_id", "_lo_pid")
+    # the size attributes, back as rows, of this pivot
+    size_rows = pmeta.select("post_id", F.inline(F.array(*[
+        F.struct(F.lit(k).alias("meta_key"), F.col(PIVOT_KEYS[k]).alias("meta_value")) for k in SIZE_KEYS])))
+    sizes = variation_sizes(raw, size_rows.where(F.col("meta_value").isNotNull())).withColumnRenamed("post_id", "_sz_pid")
+    last = lookups["last_order"].withColumnRenamed("product_id", "_lo_pid")
 
     j = (base.join(pattrs, base.parent_id == pattrs._pm_pid, "left")
              .join(terms, base.parent_id == terms._t_oid, "left")
@@ -152,7 +174,9 @@ def products(raw: Raw, *, first_id: int = FIRST_VARIATION_ID, old_host: str | No
     return j.select(
         F.col("product_id").alias("id"), "name", "parent_id", "thumbnail_id", "thumbnail_url",
         "category", "primary_category", "super_category", "uvp", "cost_of_goods",
-        "color", "brand", "order_season", *[f"season_{s}" for s in SEASONS], "sex",
+        # a parent without any term link has the defaults of one without such a term
+        "color", F.coalesce("brand", F.lit(BRAND_DEFAULT)).alias("brand"), "order_season",
+        *[F.coalesce(f"season_{s}", F.lit(False)).alias(f"season_{s}") for s in SEASONS], "sex",
         "size", "size_shopfilter", "item_condition", "created_at", "updated_at", "last_order_at",
     )
 
@@ -161,7 +185,8 @@ def stock(raw: Raw, *, first_id: int = FIRST_VARIATION_ID,
           excluded_parents: Iterable[int] = EXCLUDED_STOCK_PARENTS, on_duplicate: str = "error") -> DataFrame:
     """Stock of variations (id > ``first_id``) of published, not excluded parents.
 
-    ``purchased_stock`` is ``_original_stock`` or 0.  One row per ``_stock`` row.
+    ``purchased_stock`` is ``_original_stock``, or 0 without such a row (a row
+    that holds NULL gives NULL).  One row per ``_stock`` row.
     """
     posts = raw.posts
     product = posts.where((F.col("post_type") == VARIATION_TYPE) & (F.col("ID") > first_id)).select(
@@ -177,7 +202,7 @@ def stock(raw: Raw, *, first_id: int = FIRST_VARIATION_ID,
     return j.select(
         F.col("post_id").alias("product_id"),
         lenient_long("meta_value").alias("stock"),
-        F.coalesce(lenient_long("orig"), F.lit(0).cast("bigint")).alias("purchased_stock"),
+        F.when(F.col("_o_pid").isNotNull(), lenient_long("orig")).otherwise(F.lit(0).cast("bigint")).alias("purchased_stock"),
     )
 
 

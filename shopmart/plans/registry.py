@@ -13,15 +13,22 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ..sources.fixture_star import Raw, raw_from_star
+from ..functions import is_number, lenient_decimal, lenient_long, value_or_default
+from ..operators.eav import eav_keys_like, eav_lookup, eav_pivot, select_keys
+from ..operators.filters import completed_orders, order_filter
+from ..operators.load import align
+from ..operators.terms import AMP, category_tree, term_links
+from ..sources.fixture_star import NEW_IMAGE_HOST, OLD_IMAGE_HOST, Raw, raw_from_star
 from . import items as I
 from . import loads as L
 from . import orders as O
 from . import products as P
+from . import schemas
 
 CUTOFF = "1996-01-01"
 ITEM_EXCLUDED = (7300, 1000003)
 STOCK_EXCLUDED_PARENTS = (1000003, 1000007)
+HOSTS = (OLD_IMAGE_HOST, NEW_IMAGE_HOST)   # image host rewrite of the test data
 
 QueryFn = Callable[[SparkSession, str], DataFrame]
 _QUERIES: dict[str, Callable[..., DataFrame]] = {}
@@ -76,8 +83,6 @@ def q_unit_discount(raw: Raw) -> DataFrame:
 
 @register("product_choice")
 def q_product_choice(raw: Raw) -> DataFrame:
-    from ..operators.eav import eav_pivot
-    from pyspark.sql import functions as F
     pv = eav_pivot(raw.order_itemmeta, "order_item_id", I.ITEM_KEYS)
     return pv.select("order_item_id", I.product_choice(F.col("variation_ref"), F.col("product_ref"),
                                                         excluded=ITEM_EXCLUDED).alias("product_id"))
@@ -85,13 +90,11 @@ def q_product_choice(raw: Raw) -> DataFrame:
 
 @register("category_tree")
 def q_category_tree(raw: Raw) -> DataFrame:
-    from ..operators.terms import category_tree
     return category_tree(raw.term_taxonomy, raw.terms)
 
 
 @register("products")
 def q_products(raw: Raw) -> DataFrame:
-    from ..sources.fixture_star import NEW_IMAGE_HOST, OLD_IMAGE_HOST
     return P.products(raw, old_host=OLD_IMAGE_HOST, new_host=NEW_IMAGE_HOST)
 
 
@@ -127,8 +130,6 @@ def q_size_by_slug(raw: Raw) -> DataFrame:
 
 @register("thumbnail_url")
 def q_thumbnail_url(raw: Raw) -> DataFrame:
-    from ..operators.eav import eav_pivot
-    from ..sources.fixture_star import NEW_IMAGE_HOST, OLD_IMAGE_HOST
     pm = eav_pivot(raw.postmeta, "post_id", {"_thumbnail_id": "thumbnail_ref"})
     return P.thumbnails(raw, pm, OLD_IMAGE_HOST, NEW_IMAGE_HOST)
 
@@ -148,9 +149,6 @@ def q_campaign_trackings(raw: Raw) -> DataFrame:
     return P.campaign_trackings(raw)
 
 
-HOSTS = None  # set below (image host rewrite of the test data)
-
-
 @register("upsert_single_key")
 def q_upsert_single(raw: Raw) -> DataFrame:
     return L.upsert_single_key(raw, CUTOFF)
@@ -161,29 +159,47 @@ def q_upsert_compound(raw: Raw) -> DataFrame:
     return L.upsert_compound_key(raw, CUTOFF, ITEM_EXCLUDED)
 
 
+@register("upsert_keep_newest", needs_spark=True)
+def q_upsert_newest(spark: SparkSession, raw: Raw) -> DataFrame:
+    return L.upsert_keep_newest(spark, raw, CUTOFF)
+
+
+@register("upsert_one")
+def q_upsert_one(raw: Raw) -> DataFrame:
+    return L.upsert_one_table(raw)
+
+
+@register("align_overflow")
+def q_overflow(raw: Raw) -> DataFrame:
+    return L.overflow_counts(raw, CUTOFF)
+
+
+@register("refresh_lookups", needs_spark=True)
+def q_refresh(spark: SparkSession, raw: Raw) -> DataFrame:
+    return L.refresh_counts(spark, L.staged_raw(spark, raw))
+
+
 @register("upsert_many_report", needs_spark=True)
 def q_upsert_many(spark: SparkSession, raw: Raw) -> DataFrame:
     return L.upsert_many_report(spark, L.staged_raw(spark, raw), CUTOFF, ITEM_EXCLUDED,
-                                STOCK_EXCLUDED_PARENTS, _hosts())
+                                STOCK_EXCLUDED_PARENTS, HOSTS)
 
 
 @register("fk_violations", needs_spark=True)
 def q_fk(spark: SparkSession, raw: Raw) -> DataFrame:
-    v = L.key_violations(spark, L.staged_raw(spark, raw), CUTOFF, ITEM_EXCLUDED, STOCK_EXCLUDED_PARENTS, _hosts())
+    v = L.key_violations(spark, L.staged_raw(spark, raw), CUTOFF, ITEM_EXCLUDED, STOCK_EXCLUDED_PARENTS, HOSTS)
     return v.where(~F.col("rule").startswith("unique")).groupBy("table", "rule").agg(
         F.count(F.lit(1)).alias("violations"))
 
 
 @register("unique_violations", needs_spark=True)
 def q_unique(spark: SparkSession, raw: Raw) -> DataFrame:
-    v = L.key_violations(spark, L.staged_raw(spark, raw), CUTOFF, ITEM_EXCLUDED, STOCK_EXCLUDED_PARENTS, _hosts())
+    v = L.key_violations(spark, L.staged_raw(spark, raw), CUTOFF, ITEM_EXCLUDED, STOCK_EXCLUDED_PARENTS, HOSTS)
     return v.where(F.col("rule").startswith("unique")).select("table", "rule", "key_text", "detail")
 
 
 @register("align_to_schema")
 def q_align(raw: Raw) -> DataFrame:
-    from ..operators.load import align
-    from . import schemas
     return align(O.orders_fact(raw, CUTOFF), schemas.SPECS_LATEST["orders"])
 
 
@@ -192,6 +208,16 @@ def q_schema_evolution(raw: Raw) -> DataFrame:
     return L.schema_evolution(raw)
 
 
+@register("schema_evolution_orders")
+def q_evolve_orders(raw: Raw) -> DataFrame:
+    return L.schema_evolution_orders(raw, CUTOFF)
+
+
+@register("schema_evolution_customers")
+def q_evolve_customers(raw: Raw) -> DataFrame:
+    return L.schema_evolution_customers(raw, CUTOFF)
+
+
 @register("empty_to_null")
 def q_empty_to_null(raw: Raw) -> DataFrame:
     return L.empty_to_null_addresses(raw, CUTOFF)
@@ -212,6 +238,11 @@ def q_dump(spark: SparkSession, raw: Raw) -> DataFrame:
     return L.sql_dump_rows(spark, raw)
 
 
+@register("sql_dump_errors", needs_spark=True)
+def q_dump_errors(spark: SparkSession, raw: Raw) -> DataFrame:
+    return L.sql_dump_errors(spark, raw)
+
+
 @register("scan_snapshot", needs_spark=True)
 def q_scan_snapshot(spark: SparkSession, raw: Raw) -> DataFrame:
     return L.scan_snapshot(spark, raw)
@@ -226,13 +257,11 @@ def q_pending_dates(spark: SparkSession, raw: Raw) -> DataFrame:
 
 @register("orders_completed")
 def q_orders_completed(raw: Raw) -> DataFrame:
-    from ..operators.filters import completed_orders
     return completed_orders(raw.posts, CUTOFF)
 
 
 @register("orders_cutoff_variants")
 def q_cutoff_variants(raw: Raw) -> DataFrame:
-    from ..operators.filters import order_filter
     flags = [
         order_filter(CUTOFF).alias("in_orders"),
         order_filter(CUTOFF, require_type=False).alias("in_customers"),
@@ -244,13 +273,11 @@ def q_cutoff_variants(raw: Raw) -> DataFrame:
 
 @register("delivered_keys_like")
 def q_delivered_like(raw: Raw) -> DataFrame:
-    from ..operators.eav import eav_keys_like
     return eav_keys_like(raw.order_itemmeta, I.DELIVERED_LIKE).select("order_item_id", "meta_key", "meta_value")
 
 
 @register("key_in_list")
 def q_key_in_list(raw: Raw) -> DataFrame:
-    from ..operators.eav import select_keys
     return select_keys(raw.postmeta, list(O.ORDER_KEYS)).groupBy("meta_key").agg(F.count(F.lit(1)).alias("n"))
 
 
@@ -273,20 +300,17 @@ def q_return_flag(raw: Raw) -> DataFrame:
 
 @register("eav_lookup_left")
 def q_eav_lookup(raw: Raw) -> DataFrame:
-    from ..operators.eav import eav_lookup
     orders = raw.posts.where(F.col("post_type") == "shop_order").select("ID")
     return eav_lookup(orders, "ID", raw.postmeta, "post_id", {"_payment_method": "payment_method"})
 
 
 @register("eav_pivot_orders")
 def q_pivot_orders(raw: Raw) -> DataFrame:
-    from ..operators.eav import eav_pivot
     return eav_pivot(raw.postmeta, "post_id", O.ORDER_KEYS)
 
 
 @register("eav_pivot_items")
 def q_pivot_items(raw: Raw) -> DataFrame:
-    from ..operators.eav import eav_pivot
     return eav_pivot(raw.order_itemmeta, "order_item_id", I.ITEM_KEYS)
 
 
@@ -307,7 +331,6 @@ def q_first_last(raw: Raw) -> DataFrame:
 
 @register("term_lookup")
 def q_term_lookup(raw: Raw) -> DataFrame:
-    from ..operators.terms import term_links
     return term_links(raw.term_relationships, raw.term_taxonomy, raw.terms).select(
         "object_id", "taxonomy", "term_taxonomy_id", "name", "slug")
 
@@ -340,8 +363,6 @@ def q_first_category(raw: Raw) -> DataFrame:
 
 @register("value_or_default")
 def q_value_or_default(raw: Raw) -> DataFrame:
-    from ..functions import value_or_default
-    from ..operators.eav import eav_lookup
     orders = raw.posts.where(F.col("post_type") == "shop_order").select("ID")
     j = eav_lookup(orders, "ID", raw.postmeta, "post_id", {"_payment_method": "pm"})
     return j.select("ID", value_or_default("pm", "NONE").alias("payment_method"))
@@ -349,7 +370,6 @@ def q_value_or_default(raw: Raw) -> DataFrame:
 
 @register("lenient_numbers")
 def q_lenient_numbers(raw: Raw) -> DataFrame:
-    from ..functions import is_number, lenient_decimal, lenient_long
     v = F.col("meta_value")
     return raw.postmeta.select("post_id", "meta_key", lenient_decimal(v, 12, 2).alias("as_decimal"),
                                lenient_long(v).alias("as_long"), is_number(v).alias("is_number"))
@@ -362,15 +382,9 @@ def q_order_taxes(raw: Raw) -> DataFrame:
 
 @register("text_cleanup")
 def q_text_cleanup(raw: Raw) -> DataFrame:
-    from ..operators.terms import AMP
     return raw.terms.select("term_id", F.replace(F.col("name"), F.lit(AMP), F.lit("")).alias("clean_name"))
 
 
-def _hosts():
-    from ..sources.fixture_star import NEW_IMAGE_HOST, OLD_IMAGE_HOST
-    return (OLD_IMAGE_HOST, NEW_IMAGE_HOST)
-
-
 def queries() -> dict[str, QueryFn]:
     def bind(name, fn):
         if name in _NEEDS_SPARK:

@@ -27,13 +27,17 @@ def write_csv(df: DataFrame, path: str, header: bool = True, sep: str = ",",
 
 
 def read_csv_checked(spark: SparkSession, path: str, schema: StructType, header: bool = True,
-                     sep: str = ",", encoding: str = "UTF-8") -> DataFrame:
+                     sep: str = ",", encoding: str = "UTF-8", multi_line: bool = False) -> DataFrame:
     """Read CSV with ``schema``; with ``header`` the file's header must name
     exactly the schema's columns (Spark raises otherwise).  Empty fields are
-    NULL; fields may hold quoted separators, quotes and line breaks."""
+    NULL; fields may hold quoted separators and quotes.
+
+    Files are split over tasks.  Fields with line breaks need ``multi_line``,
+    which makes each file one task; without it they fail the job.
+    """
     check_columns(schema.fieldNames())
     r = (spark.read.schema(schema).option("header", header).option("enforceSchema", not header)
-         .option("sep", sep).option("encoding", encoding).option("multiLine", True).option("mode", "FAILFAST"))
+         .option("sep", sep).option("encoding", encoding).option("multiLine", multi_line).option("mode", "FAILFAST"))
     for k, v in CSV_OPTIONS.items():
         r = r.option(k, v)
     return r.csv(path)

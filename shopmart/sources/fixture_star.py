@@ -22,14 +22,18 @@ Rules (ids are offsets so the id cuts of the shop queries take effect):
   suppliers) -> depth-4 node (suppliers divisible by 4); attribute terms for
   color, brand, order season, season, sex and sizes with ids from an md5 of
   ``taxonomy/slug``.
-* campaign trackings: ``signup`` and ``click`` events.
+* campaign trackings: all events.
+* traps: guest orders (``_customer_user`` ``'0'``, a third), attribute rows
+  holding NULL, parents without any term link, repeated and odd
+  ``_delivered_`` keys, ids with leading zeros or an exponent, amounts like
+  ``abc``, ``12abc``, ``1e2`` and ``1d``.
 """
 
 from __future__ import annotations
 
 from dataclasses import dataclass
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 # Fixed values of the projection (must equal plans/oracle.py).
@@ -42,6 +46,7 @@ DEEP_CATEGORY_OFFSET = 40_000_000
 ATTRIBUTE_TERM_OFFSET = 100_000_000_000
 PRODUCT_BASE_DATE = "2015-01-01"
 USER_BASE_DATE = "2010-01-01"
+ODD_NUMBERS = ["abc", "12abc", "1e2", "1d"]
 OLD_IMAGE_HOST = "old-shop.example"
 NEW_IMAGE_HOST = "shop.example"
 
@@ -109,6 +114,11 @@ def _kv(pairs: list[tuple[str | Column, Column]]) -> Column:
     ])
 
 
+def _odd_number(n: Column) -> Column:
+    """Text that is a number only in part, or not as plain digits."""
+    return F.element_at(F.array(*[F.lit(t) for t in ODD_NUMBERS]), (n % len(ODD_NUMBERS) + 1).cast("int"))
+
+
 def _explode_meta(df: DataFrame, id_col: str, id_name: str, pairs) -> DataFrame:
     return (df.select(F.col(id_col).cast("bigint").alias(id_name), F.inline(_kv(pairs)))
               .where(F.col("meta_value").isNotNull()))
@@ -203,7 +213,7 @@ def build_raw(star: dict[str, DataFrame]) -> Raw:
         ("state", state), ("country", F.col("n_name")),
     ]
     order_pairs = [
-        ("_customer_user", F.col("o_custkey").cast("string")),
+        ("_customer_user", F.when(okey % 3 == 1, F.lit("0")).otherwise(F.col("o_custkey").cast("string"))),
         ("_completed_date", _ts_text(_plus_days(F.col("o_orderdate"), 3))),
         ("_payment_method", F.when(okey % 11 == 0, F.lit(None))
                              .when(okey % 7 == 0, F.lit("")).otherwise(F.col("o_orderpriority"))),
@@ -242,10 +252,14 @@ def build_raw(star: dict[str, DataFrame]) -> Raw:
     parent_pairs = [
         ("_thumbnail_id", F.when(kk % 8 == 0, F.lit(None)).otherwise((F.lit(ATTACHMENT_OFFSET) + kk).cast("string"))),
         ("_uvp", retail.cast("string")),
-        ("_cogs", F.when(kk % 6 == 0, F.lit(None)).otherwise((retail * F.lit(0.4).cast("decimal(1,1)")).cast("string"))),
+        ("_cogs", F.when(kk % 6 == 0, F.lit(None)).when(kk % 5 == 1, _odd_number(kk))
+                   .otherwise((retail * F.lit(0.4).cast("decimal(1,1)")).cast("string"))),
     ]
     parent_meta = _explode_meta(parents.withColumn("pid", F.lit(PARENT_OFFSET) + kk), "pid", "post_id", parent_pairs)
-    postmeta = order_meta.unionByName(variation_meta).unionByName(parent_meta)
+    # attribute rows that are there and hold NULL
+    null_meta = part.where(pk % 14 == 1).select(
+        (F.lit(VARIATION_OFFSET) + pk).alias("post_id"), F.lit("_original_stock").alias("meta_key"), F.lit(None).cast("string").alias("meta_value"))
+    postmeta = order_meta.unionByName(variation_meta).unionByName(parent_meta).unionByName(null_meta)
 
     # ---- users -------------------------------------------------------------
     users = customer.select(
@@ -279,13 +293,14 @@ def build_raw(star: dict[str, DataFrame]) -> Raw:
         ("_line_total", F.col("line_total").cast("string")),
         ("_line_subtotal_tax", (F.col("sub") * F.col("tax")).cast("string")),
         ("_line_tax", (F.col("line_total") * F.col("tax")).cast("string")),
-        ("_qty", F.concat(F.col("qty").cast("string"), F.when(lk % 2 == 0, F.lit(".00")).otherwise(F.lit("")))),
+        ("_qty", F.when(lk % 41 == 3, _odd_number(lk))
+                  .otherwise(F.concat(F.col("qty").cast("string"), F.when(lk % 2 == 0, F.lit(".00")).otherwise(F.lit(""))))),
         ("_product_id", (F.lit(PARENT_OFFSET) + F.floor(F.col("min_partkey") / 4)).cast("bigint").cast("string")),
-        ("_variation_id", F.when(lk % 13 == 0, F.lit("0"))
+        ("_variation_id", F.when(lk % 13 == 0, F.lit("0")).when(lk % 29 == 2, F.lit("7.3e3"))
+                           .when(lk % 13 == 1, F.concat(F.lit("0"), (F.lit(VARIATION_OFFSET) + F.col("min_partkey")).cast("string")))
                            .otherwise((F.lit(VARIATION_OFFSET) + F.col("min_partkey")).cast("string"))),
     ]
     item_meta = _explode_meta(groups.select(item_id, "*"), "order_item_id", "order_item_id", item_pairs)
-    from pyspark.sql.window import Window
     w = Window.partitionBy("l_orderkey", "l_linenumber").orderBy(
         "l_partkey", "l_suppkey", "l_shipdate", "l_extendedprice")
     numbered = lineitem.select(
@@ -297,7 +312,13 @@ def build_raw(star: dict[str, DataFrame]) -> Raw:
          F.when(F.col("l_returnflag") == "R",
                 _epoch_text(_plus_days(F.col("l_shipdate"), (F.col("l_linenumber") - 4).cast("int"))))),
     ])
-    order_itemmeta = item_meta.unionByName(numbered_meta)
+    # the first delivery once more, a day later, and a key that only LIKE takes for one
+    n = F.col("n")
+    odd_meta = _explode_meta(numbered.withColumn("l_orderkey", F.floor(F.col("order_item_id") / 8)), "order_item_id", "order_item_id", [
+        (F.concat(F.lit("_delivered_"), n), F.when((n == "1") & (lk % 17 == 0), _epoch_text(_plus_days(F.col("l_shipdate"), 1)))),
+        ("Xdelivered-9", F.when((n == "1") & (lk % 19 == 0), _epoch_text(F.col("l_shipdate")))),
+    ])
+    order_itemmeta = item_meta.unionByName(numbered_meta).unionByName(odd_meta)
 
     # ---- terms -------------------------------------------------------------
     cat_nodes = (
@@ -329,7 +350,8 @@ def build_raw(star: dict[str, DataFrame]) -> Raw:
                 .when(F.col("p_type").isin("STANDARD", "MEDIUM"), F.lit("Jungen"))
                 .otherwise(F.lit("Unisex")))
     parent_id = F.lit(PARENT_OFFSET) + F.col("k")
-    attr_rows = part_k.select(F.col("k"), F.inline(F.array(
+    linked = part_k.where(F.col("k") % 12 != 7)
+    attr_rows = linked.select(F.col("k"), F.inline(F.array(
         F.struct(F.lit("pa_farbe").alias("taxonomy"), first_word.alias("name")),
         F.struct(F.lit("pa_marke").alias("taxonomy"),
                  F.when(parent_id % 9 == 0, F.lit(None)).otherwise(F.col("p_brand")).alias("name")),
@@ -368,13 +390,13 @@ def build_raw(star: dict[str, DataFrame]) -> Raw:
          .otherwise(F.lit(1000) + s_min),
         F.when((kk % 3 == 0) & (s_max != s_min), F.lit(1000) + s_max),
         F.when((kk % 10 == 5) & (s_min % 4 == 0), F.lit(DEEP_CATEGORY_OFFSET) + s_min),
-    )).alias("term_taxonomy_id")).where(F.col("term_taxonomy_id").isNotNull())
+    )).alias("term_taxonomy_id")).where(F.col("term_taxonomy_id").isNotNull() & (kk % 12 != 7))
     attr_links = attr_rows.select("k", _attr_term_id(F.col("taxonomy"), F.col("slug")).alias("term_taxonomy_id"))
     term_relationships = cat_links.unionByName(attr_links).select(
         (F.lit(PARENT_OFFSET) + F.col("k")).alias("object_id"),
         F.col("term_taxonomy_id").cast("bigint").alias("term_taxonomy_id"))
 
-    campaign_tracking = events.where(F.col("event_type").isin("signup", "click")).select(
+    campaign_tracking = events.select(
         F.col("event_id").alias("id"),
         F.col("event_type").alias("utm_medium"),
         F.col("user_id").cast("string").alias("utm_source"),

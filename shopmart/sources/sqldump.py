@@ -4,23 +4,30 @@ The dump is split into statements at ``;`` + newline by the text source
 (``lineSep``), so statements are distributed over tasks like any text file;
 a semicolon inside a value is kept because it is not followed by a newline
 there.  Only statements inserting into the wanted table are parsed, in
-Arrow batches (``mapInPandas``); a statement that cannot be read goes to the
+batches (``mapInPandas``), once: the result is stored in the shared folder
+and split into rows and errors.  Comments before a statement, ``INSERT
+IGNORE``, ``REPLACE``, a column list, ``_binary'..'`` and hex literals are
+read; a statement into the table that cannot be read goes, whole, to the
 error output instead of stopping the job, unless ``strict``.
 """
 
 from __future__ import annotations
 
 import re
+import uuid
 from collections.abc import Iterator, Sequence
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import StringType, StructField, StructType
 
+from ..session import checkpoint_dir
+
 STATEMENT_SEP = ";\n"
 _TOKEN = re.compile(
     r"\s*(?:(?P<open>\()|(?P<close>\))|(?P<comma>,)"
-    r"|'(?P<str>(?:[^'\\]|\\.|'')*)'"
+    r"|(?:_[A-Za-z0-9]+\s*)?'(?P<str>(?:[^'\\]|\\.|'')*)'"
+    r"|(?:0x(?P<hex>[0-9A-Fa-f]*)\b|[xX]'(?P<xhex>[0-9A-Fa-f]*)')"
     r"|(?P<null>NULL\b)"
     r"|(?P<num>[-+]?(?:\d+\.?\d*|\.\d+)(?:[eE][-+]?\d+)?))",
     re.S)
@@ -50,6 +57,9 @@ def parse_values(text: str, n_cols: int) -> list[list[str | None]]:
             pos = m.end()
             if m.group("str") is not None:
                 row.append(_unescape(m.group("str")))
+            elif m.group("hex") is not None or m.group("xhex") is not None:
+                digits = m.group("hex") if m.group("hex") is not None else m.group("xhex")
+                row.append(bytes.fromhex(digits if len(digits) % 2 == 0 else "0" + digits).decode("utf-8", "replace"))
             elif m.group("null"):
                 row.append(None)
             elif m.group("num") is not None:
@@ -74,16 +84,49 @@ def parse_values(text: str, n_cols: int) -> list[list[str | None]]:
         raise ValueError(f"unexpected text at {pos}")
 
 
-def load_sql_dump(spark: SparkSession, path: str, table: str, columns: Sequence[str],
+# A statement's start: blank lines and comments (dumps put settings into /*! ... */).
+_LEAD = re.compile(r"(?:\s+|--[^\n]*(?:\n|$)|#[^\n]*(?:\n|$)|/\*.*?\*/;?)*", re.S)
+_INSERT = re.compile(r"(?:INSERT|REPLACE)\b(?:\s+(?:LOW_PRIORITY|DELAYED|HIGH_PRIORITY|IGNORE))*(?:\s+INTO)?\s+(?:`?[^\s`.(]+`?\.)?`?(?P<table>[^\s`(]+)`?\s*", re.I)
+_COLUMNS = re.compile(r"\((?P<names>[^()']*)\)\s*(?=VALUES?\b)", re.I)
+_VALUES = re.compile(r"VALUES?\s*", re.I)
+
+
+def read_insert(statement: str, table: str, columns: Sequence[str]) -> list[list[str | None]] | None:
+    """Rows of an INSERT into ``table`` in the order of ``columns``; None for any other statement.
+
+    Raises ValueError if it inserts into the table and cannot be read.
+    """
+    m = _INSERT.match(statement, _LEAD.match(statement).end())
+    if not m or m.group("table").lower() != table.lower():
+        return None
+    pos, names = m.end(), list(columns)
+    m = _COLUMNS.match(statement, pos)
+    if m:
+        pos, names = m.end(), [n.strip().strip("`") for n in m.group("names").split(",")]
+        unknown = [n for n in names if n not in columns]
+        if unknown:
+            raise ValueError(f"unknown columns {unknown}")
+    m = _VALUES.match(statement, pos)
+    if not m:
+        raise ValueError(f"expected VALUES at {pos}")
+    rows = parse_values(statement[m.end():], len(names))
+    if names == list(columns):
+        return rows
+    at = [names.index(c) if c in names else None for c in columns]
+    return [[None if i is None else r[i] for i in at] for r in rows]
+
+
+def load_sql_dump(spark: SparkSession, path: str | list[str], table: str, columns: Sequence[str],
                   schema: StructType | None = None, strict: bool = False) -> tuple[DataFrame, DataFrame]:
     """``(rows, errors)`` of ``table`` in the dump at ``path``.
 
-    ``rows`` has ``columns`` as text, cast to ``schema`` when given;
-    ``errors`` has ``statement`` and ``error`` for statements of the table
-    that could not be read.  ``strict`` fails the job on the first such error.
+    ``rows`` has ``columns`` as text, cast to ``schema`` when given; a column
+    that an INSERT's column list leaves out is NULL.  ``errors`` has
+    ``statement`` and ``error`` for statements into the table that could not
+    be read and, with ``schema``, for rows with a value that does not fit its
+    type (the row as JSON).  ``strict`` fails the job if there is any.
     """
     cols = list(columns)
-    prefix = re.compile(r"^\s*INSERT\s+INTO\s+`?" + re.escape(table) + r"`?\s+VALUES\s*", re.I)
     out_schema = StructType([StructField(c, StringType(), True) for c in cols]
                             + [StructField("_error", StringType(), True), StructField("_statement", StringType(), True)])
 
@@ -92,30 +135,32 @@ def load_sql_dump(spark: SparkSession, path: str, table: str, columns: Sequence[
         for pdf in batches:
             out = []
             for stmt in pdf["value"]:
-                if stmt is None or not stmt.strip():
-                    continue
-                m = prefix.match(stmt)
-                if not m:
-                    continue
                 try:
-                    for r in parse_values(stmt[m.end():], len(cols)):
+                    for r in read_insert(stmt or "", table, cols) or ():
                         out.append(r + [None, None])
                 except ValueError as e:
-                    out.append([None] * len(cols) + [str(e), stmt[:500]])
+                    out.append([None] * len(cols) + [str(e), stmt])
             yield pd.DataFrame(out, columns=cols + ["_error", "_statement"])
 
     stmts = spark.read.option("lineSep", STATEMENT_SEP).text(path)
-    stmts = stmts.where(F.col("value").rlike(r"(?i)^\s*INSERT\s+INTO"))
+    stmts = stmts.where(F.col("value").rlike(r"(?i)\b(INSERT|REPLACE)\b"))
+    store = f"{checkpoint_dir(spark).rstrip('/')}/sqldump-{uuid.uuid4().hex}"
     parsed = stmts.mapInPandas(parse, out_schema)
-    err_col = F.col("_error")
-    if strict:
-        parsed = parsed.withColumn("_error", F.when(err_col.isNotNull(), F.raise_error(
-            F.concat(F.lit(f"unreadable INSERT for {table}: "), err_col))).otherwise(err_col))
+    if schema is not None:
+        bad = F.array_compact(F.array(*[F.when(F.col(f.name).isNotNull() & F.col(f.name).try_cast(f.dataType).isNull(), F.lit(f.name))
+                                        for f in schema.fields]))
+        misfit = F.col("_error").isNull() & (F.size(bad) > 0)
+        row = F.to_json(F.struct(*[F.col(c) for c in cols]))
+        parsed = parsed.withColumns({"_error": F.when(misfit, F.concat(F.lit("does not fit: "), F.array_join(bad, ","))).otherwise(F.col("_error")),
+                                     "_statement": F.when(misfit, row).otherwise(F.col("_statement"))})
+    parsed.write.parquet(store)
+    parsed = spark.read.parquet(store)
+    errors = parsed.where(F.col("_error").isNotNull()).select(F.col("_statement").alias("statement"), F.col("_error").alias("error"))
+    if strict and (first := errors.select("error").head()) is not None:
+        raise ValueError(f"unreadable INSERT for {table}: {first.error}")
     rows = parsed.where(F.col("_error").isNull()).select(*cols)
     if schema is not None:
         rows = rows.select(*[F.col(f.name).try_cast(f.dataType).alias(f.name) for f in schema.fields])
-    errors = parsed.where(F.col("_error").isNotNull()).select(F.col("_statement").alias("statement"),
-                                                               F.col("_error").alias("error"))
     return rows, errors
 
 
@@ -127,12 +172,18 @@ def sql_literal(c) -> F.Column:
     return F.when(s.isNull(), F.lit("NULL")).otherwise(F.concat(F.lit("'"), esc, F.lit("'")))
 
 
-def write_sql_dump(df: DataFrame, path: str, table: str, rows_per_statement: int = 100) -> None:
+def write_statements(statements: DataFrame, path: str) -> None:
+    """Write one text column as statements, each closed by a semicolon."""
+    statements.toDF("s").select(F.concat("s", F.lit(";")).alias("value")).write.mode("overwrite").text(path)
+
+
+def write_sql_dump(df: DataFrame, path: str, table: str, rows_per_statement: int = 100, lead: str = "",
+                   verb: str = "INSERT INTO", name_columns: bool = False) -> None:
     """Write ``df`` as INSERT statements (several rows each) -- a distributed
     writer used to produce dumps from tables (tests, fixtures)."""
     row_text = F.concat(F.lit("("), F.concat_ws(",", *[sql_literal(F.col(c)) for c in df.columns]), F.lit(")"))
     g = df.select(row_text.alias("r"), F.spark_partition_id().alias("_p"),
                   F.floor(F.monotonically_increasing_id() / rows_per_statement).alias("_g"))
     stm = g.groupBy("_p", "_g").agg(F.concat_ws(",", F.collect_list("r")).alias("v"))
-    stm.select(F.concat(F.lit(f"INSERT INTO `{table}` VALUES "), F.col("v"), F.lit(";")).alias("value")) \
-       .write.mode("overwrite").text(path)
+    names = " (" + ",".join(f"`{c}`" for c in df.columns) + ")" if name_columns else ""
+    write_statements(stm.select(F.concat(F.lit(f"{lead}{verb} `{table}`{names} VALUES "), F.col("v"))), path)

@@ -1,7 +1,8 @@
 import pytest
 from pyspark.sql import functions as F
 
-from shopmart.operators.eav import eav_lookup, eav_numbered, eav_pivot, eav_pivot_per_key
+from bench import eav_pivot_per_key
+from shopmart.operators.eav import eav_lookup, eav_numbered, eav_pivot
 
 from .conftest import meta_df
 
@@ -56,10 +57,13 @@ def test_numbered_pairs_and_like_wildcard(spark):
 
 
 def test_numbered_strict_mode(spark):
-    m = meta_df(spark, [(1, "_delivered_1", "a"), (1, "_delivered_1", "b"), (2, "_delivered_1", "c")],
+    m = meta_df(spark, [(1, "_delivered_1", "a"), (1, "_delivered_1", "b"), (1, "_returned_1", "r"), (2, "_delivered_1", "c")],
                 entity="order_item_id")
     got = eav_numbered(m, "order_item_id", "_delivered_", "_returned_", first_name="d", second_name="r")
-    assert sorted((r.order_item_id, r.d) for r in got.collect()) == [(1, "b"), (2, "c")]
+    # a repeated delivery keeps its rows, each with the return of its number
+    assert sorted((r.order_item_id, r.d, r.r) for r in got.collect()) == [(1, "a", "r"), (1, "b", "r"), (2, "c", None)]
+    twice = m.unionByName(meta_df(spark, [(1, "_returned_1", "s")], entity="order_item_id"))
     with pytest.raises(Exception, match="more than once"):
-        eav_numbered(m, "order_item_id", "_delivered_", "_returned_", first_name="d", second_name="r",
-                     on_duplicate="error").collect()
+        eav_numbered(twice, "order_item_id", "_delivered_", "_returned_", first_name="d", second_name="r").collect()
+    latest = eav_numbered(twice, "order_item_id", "_delivered_", "_returned_", first_name="d", second_name="r", on_duplicate="max")
+    assert {r.r for r in latest.collect()} == {"s", None}

@@ -18,10 +18,13 @@ def test_product_choice_cases(spark):
         (5, "8000", "9666"),     # product excluded -> placeholder
         (6, None, "7400"),       # a key missing -> placeholder
         (7, "abc", "7300"),      # lenient text -> 0, product ok
+        (8, "7.3e3", "1"),       # the numeric value counts, not the digits before the dot
+        (9, "7296.9", "7400"),   # below the first id: product
+        (10, "08000", "1"),
     ]
     df = spark.createDataFrame(rows, "i int, v string, p string")
     got = [r.pid for r in df.orderBy("i").select(product_choice(F.col("v"), F.col("p")).alias("pid")).collect()]
-    assert got == [8000, 7400, 7294, 7294, 7294, 7294, 7300]
+    assert got == [8000, 7400, 7294, 7294, 7294, 7294, 7300, 7300, 7400, 8000]
 
 
 def test_return_flag_before_on_after_null(spark):

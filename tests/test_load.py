@@ -5,7 +5,8 @@ import pytest
 from pyspark.sql import functions as F
 
 from shopmart.operators.backfill import pending_dates
-from shopmart.operators.load import check_keys, dedupe_last, evolve, TableSpec, upsert, upsert_one
+from shopmart.operators.load import (TableSpec, align, align_overflow, check_keys, dedupe_last, evolve,
+                                     split_overflow, upsert, upsert_one)
 from shopmart.operators.snapshot import append_snapshot
 from shopmart.sources.csv_io import read_csv_checked, write_csv
 from shopmart.sources.sqldump import load_sql_dump, parse_values
@@ -53,9 +54,27 @@ def test_reverse_backfill_both_modes(spark):
     after2 = upsert(empty, day2, "id", ["id", "name", "note", "snap"])
     blind = upsert(after2, day1, "id", ["id", "name", "note", "snap"])
     assert _rows(blind.select("name")) == [("v1",)]            # last run wins (shop behaviour)
-    newest = upsert(after2, after2.unionByName(day1.withColumn("extra", F.lit(None).cast("string"))).select(
-        "id", "name", "note", "snap"), "id", ["id", "name", "note", "snap"], order_by="snap")
+    newest = upsert(after2, day1, "id", ["id", "name", "note", "snap"], order_by="snap")
     assert _rows(newest.select("name")) == [("v2",)]           # newest snapshot wins
+    forward = upsert(upsert(empty, day1, "id", ["id", "name", "note"], order_by="snap"), day2, "id", ["id", "name", "note"], order_by="snap")
+    assert _rows(forward.select("name", "snap")) == [("v2", datetime.date(2017, 1, 2))]  # the order column moves along
+
+
+def test_keep_newest_nulls_and_ties(spark):
+    t = spark.createDataFrame([(1, "t", None), (2, "t", 5), (3, "t", 5), (4, "t", 5)], "id long, v string, o int")
+    s = spark.createDataFrame([(1, "s", None), (2, "s", None), (3, "s", 5), (4, "s", 4), (5, "s", None)], "id long, v string, o int")
+    got = _rows(upsert(t, s, "id", ["id", "v", "o"], order_by="o").select("id", "v"))
+    assert got == [(1, "s"), (2, "t"), (3, "s"), (4, "t"), (5, "s")]
+
+
+def test_upsert_scans_source_and_target_once(spark, tmp_dir):
+    spark.range(100).selectExpr("id", "cast(id as string) v", "id % 7 o").write.parquet(os.path.join(tmp_dir, "target"))
+    spark.range(50, 150).selectExpr("if(id % 9 = 0, null, id) id", "'s' v", "id % 5 o").write.parquet(os.path.join(tmp_dir, "source"))
+    t, s = (spark.read.parquet(os.path.join(tmp_dir, n)) for n in ("target", "source"))
+    out = upsert(t, s, "id", ["id", "v", "o"], order_by="o")
+    plan = out._jdf.queryExecution().executedPlan().toString()
+    assert plan.count("/source]") == 1 and plan.count("/target]") == 1, plan
+    assert out.count() == 100 + sum(1 for i in range(50, 150) if i % 9 == 0 or i >= 100)
 
 
 def test_upsert_compound_and_null_keys(spark):
@@ -88,11 +107,44 @@ def test_check_keys(spark):
     assert rules == [("c", "c(pid) -> p(id)"), ("c", "unique(cid)")]
 
 
+def test_check_keys_needs_the_parent(spark):
+    child = spark.createDataFrame([(10, 1)], "cid long, pid long")
+    with pytest.raises(ValueError, match="parent table p"):
+        check_keys({"c": child}, [TableSpec("c", child.schema, foreign_keys=[(["pid"], "p", ["id"])])])
+
+
+def test_align_overflow(spark):
+    spec = TableSpec("t", spark.createDataFrame([], "id int, money decimal(8,2)").schema)
+    df = spark.createDataFrame([(1, 5.0), (3_000_000_000, 1.0), (2, 1e7), (None, None)], "id long, money double")
+    with pytest.raises(Exception, match="out of range"):
+        align(df, spec).collect()
+    assert sorted(map(tuple, align_overflow(df, spec).collect())) == [("id", 1), ("money", 1)]
+    fits, rejects = split_overflow(df, spec)
+    assert align(fits, spec).count() == 2
+    assert sorted(tuple(r._overflow) for r in rejects.collect()) == [("id",), ("money",)]
+    assert align(df, spec, on_overflow="null").where("id IS NULL").count() == 2
+
+
+def test_csv_without_line_breaks_is_split(spark, tmp_dir):
+    p = os.path.join(tmp_dir, "wide")
+    df = spark.range(20000).selectExpr("cast(id as int) id", "repeat('x', 50) a").coalesce(1)
+    write_csv(df, p)
+    old = spark.conf.get("spark.sql.files.maxPartitionBytes")
+    spark.conf.set("spark.sql.files.maxPartitionBytes", "100k")
+    try:
+        back = read_csv_checked(spark, p, df.schema)
+        assert back.rdd.getNumPartitions() > 5 and back.count() == 20000
+    finally:
+        spark.conf.set("spark.sql.files.maxPartitionBytes", old)
+
+
 def test_evolve_adds_null_columns(spark):
     from shopmart.plans import schemas
     v1 = spark.createDataFrame([], schemas.VERSIONS["products"][0])
     v4 = evolve(v1, schemas.VERSIONS["products"], 1, 4)
     assert v4.columns == schemas.VERSIONS["products"][3].fieldNames()
+    with pytest.raises(ValueError, match="does not exist"):
+        evolve(v1, schemas.VERSIONS["campaign_trackings"], 1, 4)
 
 
 def test_append_snapshot_rerun_does_not_double(spark, tmp_dir):
@@ -118,7 +170,7 @@ def test_csv_round_trip_special_text(spark, tmp_dir):
     df = spark.createDataFrame(rows, "id int, a string, b string")
     p = os.path.join(tmp_dir, "csv")
     write_csv(df, p)
-    back = sorted((tuple(r) for r in read_csv_checked(spark, p, df.schema).collect()), key=_key)
+    back = sorted((tuple(r) for r in read_csv_checked(spark, p, df.schema, multi_line=True).collect()), key=_key)
     assert back == [(1, "a,b", 'say "hi"'), (2, "line\nbreak", "ümlaut"), (3, None, None)]
 
 
@@ -148,6 +200,25 @@ def test_sql_dump_reader(spark, tmp_dir):
         load_sql_dump(spark, p, "t", ["id", "a", "b"], strict=True)[0].collect()
 
 
+def test_sql_dump_insert_forms(spark, tmp_dir):
+    p = os.path.join(tmp_dir, "forms.sql")
+    long = "x" * 3000
+    with open(p, "w") as f:
+        f.write("-- Dumping data for table `t`\n--\n/*!40000 ALTER TABLE `t` DISABLE KEYS */;\n")
+        f.write("-- a comment with INSERT\n/*!40101 SET NAMES utf8 */ INSERT INTO t VALUES (1,'a',_binary 'b');\n")
+        f.write("INSERT IGNORE INTO `shop`.`t` (`b`,`id`) VALUES (x'636166C3A9',2),(0x61,3);\n")
+        f.write("replace into t VALUES (4,'it''s',NULL);\n")
+        f.write("INSERT INTO t (id, wrong) VALUES (5,'x');\n")
+        f.write("INSERT INTO t SET id=6;\n")
+        f.write(f"INSERT INTO t VALUES (7,'{long});\n")
+        f.write("INSERT INTO t VALUES (99999999999,'too wide','');\n")
+        f.write("INSERT INTO t2 VALUES (8);\n")
+    rows, errors = load_sql_dump(spark, p, "t", ["id", "a", "b"], schema=spark.createDataFrame([], "id int, a string, b string").schema)
+    assert _rows(rows) == [(1, "a", "b"), (2, None, "café"), (3, None, "a"), (4, "it's", None)]
+    bad = sorted(r.statement for r in errors.collect())
+    assert len(bad) == 4 and any(long in b for b in bad) and any("99999999999" in b for b in bad)
+
+
 def test_parse_values_width_check():
     assert parse_values("(1,'a')", 2) == [["1", "a"]]
     with pytest.raises(ValueError):

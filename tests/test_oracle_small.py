@@ -1,7 +1,4 @@
-"""Registered queries against their DuckDB oracle on the smallest test data.
-
-Runs a representative subset by default; ``SHOPMART_FULL_ORACLE=1`` runs all.
-"""
+"""Every registered query against its DuckDB oracle on the smallest test data."""
 
 import os
 import sys
@@ -11,14 +8,11 @@ import pytest
 sys.path.insert(0, os.path.join(os.path.dirname(os.path.dirname(os.path.abspath(__file__))), "tools"))
 
 SF = "/root/testdata/sf0.001"
-SUBSET = ["orders_fact", "addresses", "customers", "order_items", "products", "category_tree", "stock",
-          "upsert_single_key", "fk_violations"]
 
 
 def _names():
-    import __spark_entry__ as E
-    names = [n for n in E.queries() if n in E.oracle_sql()]
-    return names if os.environ.get("SHOPMART_FULL_ORACLE") else [n for n in names if n in SUBSET]
+    from shopmart.plans import oracle, registry
+    return [n for n in registry.queries() if n in oracle.oracle_sql()]
 
 
 @pytest.fixture(scope="module")
