@@ -25,8 +25,7 @@ def _documents(rows: DataFrame, columns: list[str], text=None) -> DataFrame:
 
 def quality_filter(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents that the classifier accepts (score 0.3 or more); it learns from the labelled rows outside the test fold."""
-    labels = _read(spark, sf_dir, "labels").select("doc_id", "quality")
-    train = docs.select("doc_id", "text").filter(F.crc32(F.col("doc_id").cast("string")) % 5 != 0).join(labels, "doc_id")
+    train = quality.training_rows(docs.filter(F.crc32(F.col("doc_id").cast("string")) % 5 != 0), _read(spark, sf_dir, "labels"))
     return _documents(quality.score(docs, quality.fit(train), docs.columns).filter("score >= 0.3"), docs.columns)
 
 

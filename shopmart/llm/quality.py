@@ -22,7 +22,7 @@ from shopmart.llm._store import shipped
 BITS = 18
 #: Labelled rows on which the hinge loss is fitted, at most; every fourth is kept back for calibration.
 SAMPLE = 8192
-_BLOCKS = 32
+_BLOCKS, _SPREAD = 32, 64
 
 
 def _kind_table() -> np.ndarray:
@@ -100,8 +100,8 @@ def _gathered(batches):
         yield pa.RecordBatch.from_arrays([pa.array(np.arange(_BLOCKS), pa.int32()), pa.array([blocks[:, b].tobytes() for b in range(_BLOCKS)], pa.binary()), pa.nulls(_BLOCKS, pa.int32()), pa.nulls(_BLOCKS, pa.binary())], names=names)
 
 
-def _summed(batches):
-    """One block of counts, summed as the rows stream in; sampled rows pass through."""
+def _summed(batches, kind: str):
+    """Blocks of counts, summed as the rows stream in; sampled rows pass through."""
     sums: dict[int, np.ndarray] = {}
     names = ["block", "counts", "label", "features"]
     for batch in batches:
@@ -110,7 +110,7 @@ def _summed(batches):
             yield sample
         for b, c in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist()):
             if b >= 0:
-                sums[b] = sums.get(b, 0) + np.frombuffer(c, "<i4").astype(np.int64)
+                sums[b] = sums.get(b, 0) + np.frombuffer(c, kind).astype(np.int64)
     if sums:
         yield pa.RecordBatch.from_arrays([pa.array(list(sums), pa.int32()), pa.array([s.tobytes() for s in sums.values()], pa.binary()), pa.nulls(len(sums), pa.int32()), pa.nulls(len(sums), pa.binary())], names=names)
 
@@ -148,6 +148,14 @@ def _calibrated(margin: np.ndarray, y: np.ndarray) -> tuple[float, float]:
     return float(p[0]), float(p[1])
 
 
+def training_rows(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col: str = "text", label_col: str = "quality") -> DataFrame:
+    """Texts with their labels.  Labels grow with the documents, so they are never broadcast: one plan at every size.
+
+    Rows without an id have no label; a document with several labels is a row for each.
+    """
+    return docs.select(id_col, text_col).join(labels.select(id_col, label_col).hint("merge"), id_col)
+
+
 def fit(labelled: DataFrame, text_col: str = "text", label_col: str = "quality", key_col: str = "doc_id", cost: float = 1.0) -> Model:
     """Fit on rows with a label 0 or 1 (others are left out); ``key_col`` only picks the sample.
 
@@ -160,7 +168,10 @@ def fit(labelled: DataFrame, text_col: str = "text", label_col: str = "quality",
     share = -(-(1 << 20) * SAMPLE // n) if n > SAMPLE else 1 << 20
     gathered = rows.select("text", "label", (F.col("u") < share).alias("sampled")).mapInArrow(_gathered, "block int, counts binary, label int, features binary")
     parts = int(spark.conf.get("spark.sql.shuffle.partitions"))
-    out = gathered.repartition(parts, F.when(F.col("block") >= 0, F.col("block")).otherwise(F.pmod(F.xxhash64("features"), F.lit(parts)) + _BLOCKS)).mapInArrow(_summed, gathered.schema).toArrow()
+    # two steps, so that no task receives the counts of all tasks
+    apart = F.pmod(F.xxhash64("features"), F.lit(parts))
+    some = gathered.repartition(parts, "block", F.when(F.col("block") >= 0, F.spark_partition_id() % _SPREAD).otherwise(apart)).mapInArrow(lambda it: _summed(it, "<i4"), gathered.schema)
+    out = some.repartition(parts, "block", F.when(F.col("block") < 0, apart)).mapInArrow(lambda it: _summed(it, "<i8"), gathered.schema).toArrow()
     counts, x, y = np.zeros((2, _BLOCKS, (1 << BITS) // _BLOCKS)), [], []
     for b, c, label, f in zip(*(out.column(i).to_pylist() for i in range(4))):
         if b >= 0:

@@ -63,7 +63,7 @@ def _remainder(n: int):
 
 def op7_quality_classifier(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs, labels = table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels")
-    train = docs.select("doc_id", "text").filter(_remainder(5) != 0).join(labels.select("doc_id", "quality"), "doc_id")
+    train = quality.training_rows(docs.filter(_remainder(5) != 0), labels)
     out = quality.score(docs, quality.fit(train), ["doc_id"])
     return out.select("row.doc_id", "score").select("doc_id", F.coalesce(_remainder(5) == 0, F.lit(False)).alias("held_out"), "score", (F.col("score") >= 0.3).cast("int").alias("predicted"))
 
