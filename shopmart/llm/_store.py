@@ -14,11 +14,14 @@ def stored(df: DataFrame) -> DataFrame:
     """Write ``df`` once to the shared checkpoint folder and read it from there.
 
     Cuts the lineage, survives lost executors, and freezes values such as
-    generated row ids that must not change when a task is run again.
+    generated row ids that must not change when a task is run again.  All
+    tables of an application are under ``llm/<application id>``, which can go
+    once it has ended.
     """
-    path = f"{checkpoint_dir(df.sparkSession).rstrip('/')}/llm/{uuid.uuid4().hex}"
+    spark = df.sparkSession
+    path = f"{checkpoint_dir(spark).rstrip('/')}/llm/{spark.sparkContext.applicationId}/{uuid.uuid4().hex}"
     df.write.parquet(path)
-    return df.sparkSession.read.schema(df.schema).parquet(path)
+    return spark.read.schema(df.schema).parquet(path)
 
 
 def shipped(spark: SparkSession, thing) -> Callable:
