@@ -67,7 +67,8 @@ def remove_repeated_runs(docs: DataFrame, id_col: str = "doc_id", text_col: str
         step = min(depth, min_lines - depth)
         after = runs.select("rid", (F.col("pos") - step).alias("pos"), F.col("rank").alias("then"))
         runs, depth = _ranked(runs.join(after, ["rid", "pos"]), ["rank", "then"]), depth + step
-    first = runs.groupBy("rank").agg(F.min(F.struct("id", "rid", "pos")).alias("first"))
+    # stored, so that the join has an exchange of its own, which adaptive execution may split at a hot run
+    first = stored(runs.groupBy("rank").agg(F.min(F.struct("id", "rid", "pos")).alias("first")))
     later = runs.join(first, "rank").filter(F.struct("rid", "pos") != F.struct("first.rid", "first.pos")).select("rid", "pos")
     order = W.partitionBy("rid").orderBy("pos")
     cut = F.col("pos") > F.lag("pos", 1, -min_lines - 1).over(order) + min_lines
