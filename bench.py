@@ -64,15 +64,15 @@ def eav_pivot_per_key(meta: DataFrame, entity: str, keys: dict[str, str]) -> Dat
     return out
 
 
-def run(df: DataFrame) -> float:
+def run(make) -> float:
     t = time.perf_counter()
-    df.write.format("noop").mode("overwrite").save()
+    make().write.format("noop").mode("overwrite").save()
     return time.perf_counter() - t
 
 
 def timed(make, runs: int = RUNS) -> float:
-    run(make())  # warm-up (codegen, file listing)
-    return round(statistics.median(run(make()) for _ in range(runs)), 3)
+    run(make)  # warm-up (codegen, file listing)
+    return round(statistics.median(run(make) for _ in range(runs)), 3)
 
 
 def staged_raw(spark: SparkSession, sf_dir: str, root: str) -> Raw:
@@ -160,7 +160,7 @@ def main() -> None:
     headline = {
         "orders_fact": (lambda: O.orders_fact(raw, CUTOFF), lambda: O.orders_fact(raw, CUTOFF, attributes=literal_orders(spark))),
         "order_items": (lambda: I.order_items(raw, CUTOFF, excluded=ITEM_EXCLUDED, on_duplicate="max"), lambda: literal_items(spark)),
-        "products": (lambda: P.products(raw, old_host=HOSTS[0], new_host=HOSTS[1]), lambda: literal_products(spark)),
+        "products": (lambda: L.products(spark, raw, HOSTS), lambda: literal_products(spark)),
         "addresses": (lambda: O.addresses(raw, CUTOFF), lambda: O.addresses(raw, CUTOFF, attributes=literal_orders(spark))),
         "upsert_single_key": (lambda: L.upsert_single_key(raw, CUTOFF), literal_upsert),
     }
@@ -179,7 +179,7 @@ def main() -> None:
         spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
         spark.conf.set("spark.sql.adaptive.autoBroadcastJoinThreshold", "-1")
         results["sf0.001_orders_fact_no_broadcast"] = timed(lambda: O.orders_fact(small, CUTOFF))
-        results["sf0.001_orders_fact_literal_no_broadcast"] = round(run(O.orders_fact(small, CUTOFF, attributes=literal_orders(spark))), 3)
+        results["sf0.001_orders_fact_literal_no_broadcast"] = round(run(lambda: O.orders_fact(small, CUTOFF, attributes=literal_orders(spark))), 3)
     total = sum(results[n] for n in headline)
     sf = os.path.basename(SF_DIR.rstrip("/")).replace("sf", "")
     notes = {"headline_literal_total": round(sum(results[f"{n}_literal"] for n in headline), 3)}

@@ -99,6 +99,12 @@ def overflow_counts(raw: Raw, cutoff: str) -> DataFrame:
     return align_overflow(facts.withColumns({"id": far, "order_total": rich}), schemas.SPECS_LATEST["orders"])
 
 
+def products(spark: SparkSession, raw: Raw, hosts) -> DataFrame:
+    """Products over the stored lookups, as the daily load builds them."""
+    lookups = P.refresh(raw, lambda name, df: stage_tables(spark, {name: df})[name])
+    return P.products(raw, old_host=hosts[0], new_host=hosts[1], lookups=lookups)
+
+
 def refresh_counts(spark: SparkSession, raw: Raw) -> DataFrame:
     """The stored lookups of the products load and their rows."""
     stored = P.refresh(raw, lambda name, df: stage_tables(spark, {name: df})[name])

@@ -85,14 +85,12 @@ def parent_terms(raw: Raw, tree: DataFrame | None = None) -> DataFrame:
     return links.groupBy("object_id").agg(*aggs)
 
 
-def variation_sizes(raw: Raw, size_rows: DataFrame | None = None) -> DataFrame:
+def variation_sizes(raw: Raw) -> DataFrame:
     """``post_id, size, size_shopfilter``: size names looked up by slug in all terms.
 
-    The shop takes any one matching term; the one with the lowest term id is
-    used.  ``size_rows`` (post_id, meta_key, meta_value) replaces the scan of
-    all size attributes.
+    The shop takes any one matching term; the one with the lowest term id is used.
     """
-    m = size_rows if size_rows is not None else raw.postmeta.where(F.col("meta_key").isin(SIZE_KEYS))
+    m = raw.postmeta.where(F.col("meta_key").isin(SIZE_KEYS))
     j = m.join(raw.terms.select("term_id", "name", "slug"), F.col("meta_value") == F.col("slug"))
     return j.groupBy("post_id").agg(
         first_by(F.col("name"), F.col("term_id")).alias("size"),
@@ -100,6 +98,21 @@ def variation_sizes(raw: Raw, size_rows: DataFrame | None = None) -> DataFrame:
     )
 
 
+def variation_attributes(raw: Raw) -> DataFrame:
+    """``_vm_pid, item_condition, size, size_shopfilter`` from one scan of the
+    attributes: the size slugs find their terms, the condition passes along."""
+    m = raw.postmeta.where(F.col("meta_key").isin([*SIZE_KEYS, CONDITION_KEY]))
+    is_size = F.col("meta_key") != CONDITION_KEY
+    j = m.join(raw.terms.select("term_id", "name", "slug"), (F.when(is_size, F.col("meta_value")) == F.col("slug")), "left")
+    found = is_size & F.col("term_id").isNotNull()
+    return j.groupBy(F.col("post_id").alias("_vm_pid")).agg(
+        F.max(F.when(~is_size, F.col("meta_value"))).alias("item_condition"),
+        first_by(F.col("name"), F.col("term_id"), found).alias("size"),
+        first_by(F.col("name"), F.col("term_id"), found & (F.col("meta_key") == SHOP_FILTER_SIZE_KEY)).alias("size_shopfilter"),
+        F.count(F.when(~is_size, 1)).alias("_conditions"),
+    )
+
+
 def thumbnails(raw: Raw, parent_meta: DataFrame, old_host: str | None, new_host: str | None) -> DataFrame:
     """``post_id, thumbnail_url``: guid of the attachment whose id the parent stores as text."""
     att = raw.posts.select(F.col("ID").alias("_att_id"), "guid")
@@ -111,24 +124,14 @@ def thumbnails(raw: Raw, parent_meta: DataFrame, old_host: str | None, new_host:
     return j.select("post_id", url.alias("thumbnail_url"))
 
 
-PIVOT_KEYS = {"_thumbnail_id": "thumbnail_ref", "_uvp": "uvp_text", "_cogs": "cogs_text", CONDITION_KEY: "item_condition",
-              **{k: f"size_{i}" for i, k in enumerate(SIZE_KEYS)}}
-
-
-def product_attributes(raw: Raw, on_duplicate: str = "error") -> DataFrame:
-    """One pivot of every attribute that products read, of parents and variations (``post_id`` keyed)."""
-    return eav_pivot(raw.postmeta, "post_id", PIVOT_KEYS, on_duplicate=on_duplicate)
-
-
 def refresh(raw: Raw, staged) -> dict[str, DataFrame]:
-    """The lookups that products use several times, each computed once.
+    """The lookups of the products load, each computed once.
 
-    ``staged(name, df)`` stores a table and gives it back: the category tree,
-    the last order dates and the attribute pivot.
+    ``staged(name, df)`` stores a table and gives it back: the category tree
+    and the last order dates.
     """
     return {"tree": staged("category_tree", category_tree(raw.term_taxonomy, raw.terms)),
-            "last_order": staged("last_order", last_order_by_product(raw)),
-            "attributes": staged("product_attributes", product_attributes(raw))}
+            "last_order": staged("last_order", last_order_by_product(raw))}
 
 
 def products(raw: Raw, *, first_id: int = FIRST_VARIATION_ID, old_host: str | None = None,
@@ -138,11 +141,11 @@ def products(raw: Raw, *, first_id: int = FIRST_VARIATION_ID, old_host: str | No
 
     Parent attributes (thumbnail, prices, terms) are computed once per parent
     and joined to its variations -- not looked up again for every variation.
+    Two scans of the attributes: those of parents, and those of variations.
     ``lookups`` are the stored tables of ``refresh``; without them they are
     part of the plan.
     """
-    lookups = lookups or {"tree": None, "last_order": last_order_by_product(raw),
-                          "attributes": product_attributes(raw, on_duplicate)}
+    lookups = lookups or {"tree": None, "last_order": last_order_by_product(raw)}
     posts = raw.posts
     variation = posts.where((F.col("post_type") == VARIATION_TYPE) & (F.col("ID") >= first_id)).select(
         F.col("ID").alias("product_id"), F.col("post_parent").alias("_parent"))
@@ -151,25 +154,27 @@ def products(raw: Raw, *, first_id: int = FIRST_VARIATION_ID, old_host: str | No
         F.col("post_date").alias("created_at"), F.col("post_modified").alias("updated_at"))
     base = variation.join(parent, variation._parent == parent.parent_id)
 
-    pmeta = lookups["attributes"]
-    thumbs = thumbnails(raw, pmeta.where(F.col("thumbnail_ref").isNotNull()), old_host, new_host).withColumnRenamed("post_id", "_thumb_pid")
-    pattrs = (pmeta.join(thumbs, pmeta.post_id == thumbs._thumb_pid, "left")
+    pmeta = eav_pivot(raw.postmeta, "post_id", {"_thumbnail_id": "thumbnail_ref", "_uvp": "uvp_text", "_cogs": "cogs_text"},
+                      on_duplicate=on_duplicate)
+    att = posts.select(F.col("ID").alias("_att_id"), "guid")
+    url = F.col("guid")
+    if old_host is not None and new_host is not None:
+        url = F.replace(url, F.lit(old_host), F.lit(new_host))
+    pattrs = (pmeta.join(att, lenient_long("thumbnail_ref") == F.col("_att_id"), "left")
                    .select(F.col("post_id").alias("_pm_pid"),
-                           lenient_long("thumbnail_ref").alias("thumbnail_id"), "thumbnail_url",
+                           lenient_long("thumbnail_ref").alias("thumbnail_id"), url.alias("thumbnail_url"),
                            lenient_decimal("uvp_text").alias("uvp"),
                            lenient_decimal("cogs_text").alias("cost_of_goods")))
     terms = parent_terms(raw, lookups["tree"]).withColumnRenamed("object_id", "_t_oid")
-    vmeta = pmeta.select(F.col("post_id").alias("_vm_pid"), "item_condition")
-    # the size attributes, back as rows, of this pivot
-    size_rows = pmeta.select("post_id", F.inline(F.array(*[
-        F.struct(F.lit(k).alias("meta_key"), F.col(PIVOT_KEYS[k]).alias("meta_value")) for k in SIZE_KEYS])))
-    sizes = variation_sizes(raw, size_rows.where(F.col("meta_value").isNotNull())).withColumnRenamed("post_id", "_sz_pid")
+    vmeta = variation_attributes(raw)
+    if on_duplicate == "error":
+        msg = F.concat(F.lit("an attribute occurs more than once for post_id "), F.col("_vm_pid").cast("string"))
+        vmeta = vmeta.withColumn("item_condition", F.when(F.col("_conditions") > 1, F.raise_error(msg).cast("string")).otherwise(F.col("item_condition")))
     last = lookups["last_order"].withColumnRenamed("product_id", "_lo_pid")
 
     j = (base.join(pattrs, base.parent_id == pattrs._pm_pid, "left")
              .join(terms, base.parent_id == terms._t_oid, "left")
              .join(vmeta, base.product_id == vmeta._vm_pid, "left")
-             .join(sizes, base.product_id == sizes._sz_pid, "left")
              .join(last, base.product_id == last._lo_pid, "left"))
     return j.select(
         F.col("product_id").alias("id"), "name", "parent_id", "thumbnail_id", "thumbnail_url",

@@ -93,9 +93,9 @@ def q_category_tree(raw: Raw) -> DataFrame:
     return category_tree(raw.term_taxonomy, raw.terms)
 
 
-@register("products")
-def q_products(raw: Raw) -> DataFrame:
-    return P.products(raw, old_host=OLD_IMAGE_HOST, new_host=NEW_IMAGE_HOST)
+@register("products", needs_spark=True)
+def q_products(spark: SparkSession, raw: Raw) -> DataFrame:
+    return L.products(spark, raw, HOSTS)
 
 
 @register("last_order_by_product")
