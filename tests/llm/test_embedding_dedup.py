@@ -49,12 +49,21 @@ def test_against_brute_force(spark, monkeypatch, kind):
     ids = [None if i % 41 == 3 else i * 13 % 997 for i in range(len(v))]
     df = spark.createDataFrame([(i, x, "c") for i, x in zip(ids, v)], f"vec_id long, embedding array<{kind}>, node string").repartition(4)
     key = lambda r: tuple((x is None, x or 0) for x in r)
-    got = sorted(map(tuple, near_duplicates(df).collect()), key=key)
+    got = sorted(map(tuple, near_duplicates(df, reach=1.0).collect()), key=key)
     want = sorted(brute(ids, v), key=key)
     assert got == want
     assert sum(r[1] for r in got) > 1000
 
 
+def test_recall_of_the_default_reach(spark, monkeypatch):
+    monkeypatch.setattr(embedding_dedup, "CELL", 60)
+    v = vectors(np.random.default_rng(11), 800, 64)
+    ids = list(range(len(v)))
+    df = spark.createDataFrame(list(zip(ids, v)), "vec_id long, embedding array<double>")
+    found, there = sum(r.n_links for r in near_duplicates(df).collect()), sum(r[1] for r in brute(ids, v))
+    assert there > 5000 and 0.99 * there <= found <= there
+
+
 def test_empty_table(spark):
     df = spark.createDataFrame([], "vec_id long, embedding array<float>")
     assert near_duplicates(df).count() == 0
