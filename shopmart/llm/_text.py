@@ -97,14 +97,26 @@ def mix(h: np.ndarray) -> np.ndarray:
 
 
 def _rolling(values: np.ndarray, start: np.ndarray, end: np.ndarray, base: int) -> np.ndarray:
-    """Rabin-Karp value modulo 2**64 of values[start:end], from prefix sums."""
-    sums = np.zeros(len(values) + 1, np.uint64)
-    np.cumsum(values * _powers(base, len(values)), out=sums[1:])
-    return (sums[end] - sums[start]) * _powers(pow(base, -1, 1 << 64), len(values) + 1)[start]
+    """Rabin-Karp value modulo 2**64 of values[start:end], from prefix sums.
+
+    The starts increase; sums are taken over stretches of bounded length, so a
+    very long text needs no longer arrays than a slice.
+    """
+    out = np.empty(len(start), np.uint64)
+    inverse = pow(base, -1, 1 << 64)
+    i = 0
+    while i < len(start):
+        j = max(i + 1, int(np.searchsorted(start, start[i] + SLICE_BYTES)))
+        a, b = int(start[i]), int(end[j - 1])
+        sums = np.zeros(b - a + 1, np.uint64)
+        np.cumsum(values[a:b] * _powers(base, b - a), out=sums[1:])
+        out[i:j] = (sums[end[i:j] - a] - sums[start[i:j] - a]) * _powers(inverse, b - a + 1)[start[i:j] - a]
+        i = j
+    return out
 
 
 def word_hashes(data: np.ndarray, start: np.ndarray, end: np.ndarray) -> np.ndarray:
-    return mix(_rolling(_TABLE[data], start, end, _BASE))
+    return mix(_rolling(_Looked(data), start, end, _BASE))
 
 
 def window_hashes(word_hash: np.ndarray, start: np.ndarray, n: int, other: bool = False) -> np.ndarray:
@@ -112,6 +124,16 @@ def window_hashes(word_hash: np.ndarray, start: np.ndarray, n: int, other: bool
     return mix(_rolling(word_hash, start, start + n, _OTHER_BASE if other else _BASE))
 
 
+class _Looked:
+    """Bytes as random 64-bit values, looked up a stretch at a time."""
+
+    def __init__(self, data: np.ndarray):
+        self.data = data
+
+    def __getitem__(self, stretch: slice) -> np.ndarray:
+        return _TABLE[self.data[stretch]]
+
+
 def window_starts(first: np.ndarray, n: int) -> np.ndarray:
     """Words at which n words of the same document begin."""
     at = np.arange(first[-1])

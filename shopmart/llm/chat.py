@@ -69,7 +69,12 @@ def parse(piece: str) -> tuple[str, str]:
 
 
 def events_of_messages(messages: DataFrame, conv_col: str = "conv_id", turn_col: str = "turn", role_col: str = "role", text_col: str = "text", delta: int = 256) -> DataFrame:
-    """The event log of finished messages: a start, then deltas of at most ``delta`` characters of the whole text."""
+    """The event log of finished messages: a start, then deltas of at most ``delta`` characters of the whole text.
+
+    Every row is a message of its own, also rows that repeat; rows of one turn
+    follow each other in order of arrival.  Null texts and roles are empty,
+    null turns come first, null conversation ids are one conversation.
+    """
     rows = stored(messages.select(
         F.col(f"`{conv_col}`").alias("conv_id"), F.col(f"`{turn_col}`").cast("long").alias("seq"), F.monotonically_increasing_id().alias("message"),
         F.coalesce(F.col(f"`{role_col}`").cast("string"), F.lit("")).alias("role"), F.coalesce(F.col(f"`{text_col}`").cast("string"), F.lit("")).alias("text")))

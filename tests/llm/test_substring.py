@@ -3,8 +3,10 @@ import random
 import re
 from collections import Counter
 
+import numpy as np
 from pyspark.sql import functions as F
 
+from shopmart.llm import _text as T
 from shopmart.llm import substring_dedup
 from shopmart.llm.substring_dedup import remove_repeated_windows
 
@@ -57,6 +59,18 @@ def test_small_slices_and_spans(spark):
     assert got[1].kept == "x" and got[2].kept == "y"
 
 
+def test_hashes_do_not_depend_on_the_stretch(monkeypatch):
+    data = np.frombuffer(" ".join(random.Random(1).choices(["a", "bb", "é" * 40, "ccc"], k=500)).encode(), np.uint8)
+    start, end, first = T.words(data, np.array([0, len(data)]), T.RAW_WORD)
+    whole = T.word_hashes(data, start, end)
+    windows = T.window_hashes(whole, T.window_starts(first, 7), 7)
+    monkeypatch.setattr(T, "SLICE_BYTES", 50)
+    assert np.array_equal(T.word_hashes(data, start, end), whole)
+    assert np.array_equal(T.window_hashes(whole, T.window_starts(first, 7), 7), windows)
+    words = bytes(data).split()
+    assert len(set(whole.tolist())) == len(set(words)) and len(dict(zip(whole.tolist(), words))) == len(set(words))
+
+
 def test_empty_table(spark):
     df = spark.createDataFrame([], "doc_id long, text string")
     assert remove_repeated_windows(df).count() == 0
