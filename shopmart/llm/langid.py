@@ -122,7 +122,7 @@ def fit(labelled: DataFrame, text_col: str = "text", lang_col: str = "lang") ->
     counted = rows.mapInArrow(_counted, "lang string, docs long, counts binary")
     # rows are per task and language; two steps, so that no task receives those of all tasks
     parts = int(labelled.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    some = counted.repartition(parts, "lang", F.spark_partition_id() % 16).mapInArrow(_summed, counted.schema)
+    some = counted.repartition(parts, "lang", F.spark_partition_id() % 64).mapInArrow(_summed, counted.schema)
     found = some.repartition(parts, "lang").mapInArrow(_summed, counted.schema).limit(MAX_LANGS + 1).toArrow().sort_by("lang")
     if found.num_rows > MAX_LANGS:
         raise ValueError(f"more than {MAX_LANGS} languages")
