@@ -9,6 +9,7 @@ loss is fitted by dual coordinate descent on a bounded sample of them
 
 from __future__ import annotations
 
+import hashlib
 from dataclasses import dataclass
 
 import numpy as np
@@ -179,9 +180,10 @@ def fit(labelled: DataFrame, text_col: str = "text", label_col: str = "quality",
         else:
             x.append(np.frombuffer(f, "<i4"))
             y.append(2 * label - 1)
+    del out
     counts = counts.reshape(2, -1) + 1
     ratio = np.log(counts[1] / counts[1].sum()) - np.log(counts[0] / counts[0].sum())
-    order = sorted(range(len(x)), key=lambda i: (x[i].tobytes(), y[i]))  # as it came is not an order
+    order = sorted(range(len(x)), key=lambda i: (hashlib.blake2b(x[i], digest_size=16).digest(), y[i]))  # as it came is not an order
     y = np.array([y[i] for i in order])
     if len(set(y.tolist())) < 2:
         return Model(np.zeros(1 << BITS), ratio ** 2, 0.0, 0.0, 0.0 if not len(y) else 4.0 * y[0])
@@ -189,7 +191,9 @@ def fit(labelled: DataFrame, text_col: str = "text", label_col: str = "quality",
     rows = []
     for i in order:
         v = ratio[x[i]]
-        rows.append((np.append(x[i], bias), np.append(v / max(np.linalg.norm(v), 1e-12), 1.0)))
+        v /= max(np.linalg.norm(v), 1e-12)
+        rows.append((np.append(x[i], np.int32(bias)), np.append(v, 1.0).astype(np.float32)))
+        x[i] = None
     balance = len(y) / (2 * np.where(y > 0, (y > 0).sum(), (y < 0).sum()))
     kept_back = np.zeros(len(y), bool)
     for sign in (-1, 1):  # every fourth of each class
