@@ -4,11 +4,9 @@ Cells are fitted on a bounded sample of distinct vectors; every vector is then
 assigned to the cell of its nearest centre (its home) and also visits each
 cell whose border is near: for two vectors u, v with homes g, h the sum of
 (c_h - c_g).v and (c_g - c_h).u is at most |u - v| |c_g - c_h|, so one of the
-two lies within half of that from the other's cell.  With ``reach`` = 1 that
-bound makes the search exact; a smaller ``reach`` visits fewer cells and may
-lose links, which has to be measured.  With 0.5, the default, a link is lost
-only if its direction of difference lies along that of the two centres to an
-extent that random directions in 64 dimensions do not reach.
+two lies within half of that from the other's cell.  With ``reach`` = 1, the
+default, that bound makes the search exact; a smaller ``reach`` visits fewer
+cells and may lose links, the more the fewer dimensions the vectors span.
 
 Exact copies are one vector with a count.  A cell's residents and visitors
 are dealt to blocks of bounded size and every pair of blocks is a task of its
@@ -140,7 +138,7 @@ def _compared(task: pa.Table, least: float, width: int) -> pa.Table:
     return pa.table({"node": pa.array(node[on], pa.int64()), "links": pa.array(links[on], pa.int64()), "up": pa.array(node[label[on]], pa.int64())})
 
 
-def near_duplicates(vectors: DataFrame, id_col: str = "vec_id", vector_col: str = "embedding", least: float = 0.9, reach: float = 0.5) -> DataFrame:
+def near_duplicates(vectors: DataFrame, id_col: str = "vec_id", vector_col: str = "embedding", least: float = 0.9, reach: float = 1.0) -> DataFrame:
     """Links at cosine ``least`` or more (double precision), one row per vector.
 
     Returns ``id_col``, ``n_links`` (other rows linked directly, copies

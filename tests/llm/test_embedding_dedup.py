@@ -64,6 +64,17 @@ def test_recall_of_the_default_reach(spark, monkeypatch):
     assert there > 5000 and 0.99 * there <= found <= there
 
 
+def test_default_reach_is_exact_on_few_dimensions_and_many_cells(spark, monkeypatch):
+    monkeypatch.setattr(embedding_dedup, "CELL", 8)
+    rng = np.random.default_rng(3)
+    low = rng.normal(size=(400, 3)) @ rng.normal(size=(3, 64))  # all of rank 3
+    plane = rng.normal(size=(200, 2)) @ rng.normal(size=(2, 64))
+    v = [list(map(float, x)) for x in np.concatenate([low, plane, low[:20] + 0.01 * rng.normal(size=(20, 64))])]
+    ids = list(range(len(v)))
+    df = spark.createDataFrame(list(zip(ids, v)), "vec_id long, embedding array<double>").repartition(4)
+    assert sorted(map(tuple, near_duplicates(df).collect())) == brute(ids, v)
+
+
 def test_empty_table(spark):
     df = spark.createDataFrame([], "vec_id long, embedding array<float>")
     assert near_duplicates(df).count() == 0
