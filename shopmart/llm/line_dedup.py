@@ -15,6 +15,9 @@ intervals of at least that depth.  All but the first suffix of an interval
 mark their lines; marks that touch merge to maximal runs.  Deeper ranks would
 not change the marks: a longer common prefix is a chain of intervals of this
 depth that overlap, so doubling stops there.
+
+Long lines may count alone: they are ranked once more by themselves, and all
+but the first of each are marked too.
 """
 
 from __future__ import annotations
@@ -39,15 +42,25 @@ def _ranked(runs: DataFrame, key: list[str]) -> DataFrame:
     return stored(runs.join(ranks, key).select("rid", "id", "pos", F.col("place").alias("rank")))
 
 
-def remove_repeated_runs(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", min_lines: int = 2) -> DataFrame:
-    """Delete later copies of runs of at least ``min_lines`` lines.
+def _later(runs: DataFrame, n: int) -> DataFrame:
+    """Start and end of all but the first of the runs of ``n`` lines of each rank."""
+    # stored, so that the join has an exchange of its own, which adaptive execution may split at a hot run
+    first = stored(runs.groupBy("rank").agg(F.min(F.struct("id", "rid", "pos")).alias("first")))
+    later = runs.join(first, "rank").filter(F.struct("rid", "pos") != F.struct("first.rid", "first.pos"))
+    return later.select("rid", "pos", (F.col("pos") + n).alias("end"))
+
+
+def remove_repeated_runs(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", min_lines: int = 2, long_words: int | None = None) -> DataFrame:
+    """Delete later copies of runs of at least ``min_lines`` lines, and of lines of ``long_words`` words or more.
 
     Lines are split at line feeds and compared as they are (two 64-bit
     hashes); lines of whitespace only are not counted.  A line goes if it lies
     in ``min_lines`` consecutive lines of its document that also occur, as a
     sequence, earlier: in a document with a smaller id (null first; rows of
     equal id in order of arrival) or before in the same document.  The first
-    occurrence of any line thus stays.
+    occurrence of any line thus stays.  With ``long_words``, a line of that
+    many words (split at ASCII whitespace) also goes if it occurs earlier,
+    whatever its neighbours.
 
     Returns ``row`` (a struct of all input columns), ``n_lines``,
     ``n_removed``, ``removed`` (maximal runs as start and end line, end
@@ -61,19 +74,20 @@ def remove_repeated_runs(docs: DataFrame, id_col: str = "doc_id", text_col: str
     base = stored(docs.select(F.monotonically_increasing_id().alias("rid"), F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("row")))
     doc_id, text = F.col(f"row.`{id_col}`"), F.col(f"row.`{text_col}`").cast("string")
     lines = base.select("rid", doc_id.alias("id"), F.posexplode(_lines(text)).alias("pos", "line"))
-    lines = stored(lines.select("rid", "id", "pos", F.xxhash64("line").alias("h1"), F.xxhash64(F.lit(1), "line").alias("h2")))
+    long = [] if long_words is None else [(F.regexp_count("line", F.lit(r"\S+")) >= long_words).alias("long")]
+    lines = stored(lines.select("rid", "id", "pos", F.xxhash64("line").alias("h1"), F.xxhash64(F.lit(1), "line").alias("h2"), *long))
     runs, depth = _ranked(lines, ["h1", "h2"]), 1
     while depth < min_lines:
         step = min(depth, min_lines - depth)
         after = runs.select("rid", (F.col("pos") - step).alias("pos"), F.col("rank").alias("then"))
         runs, depth = _ranked(runs.join(after, ["rid", "pos"]), ["rank", "then"]), depth + step
-    # stored, so that the join has an exchange of its own, which adaptive execution may split at a hot run
-    first = stored(runs.groupBy("rank").agg(F.min(F.struct("id", "rid", "pos")).alias("first")))
-    later = runs.join(first, "rank").filter(F.struct("rid", "pos") != F.struct("first.rid", "first.pos")).select("rid", "pos")
-    order = W.partitionBy("rid").orderBy("pos")
-    cut = F.col("pos") > F.lag("pos", 1, -min_lines - 1).over(order) + min_lines
+    later = _later(runs, min_lines)
+    if long:
+        later = later.unionByName(_later(_ranked(lines.filter("long"), ["h1", "h2"]), 1))
+    order = W.partitionBy("rid").orderBy("pos", "end")
+    cut = F.col("pos") > F.coalesce(F.max("end").over(order.rowsBetween(W.unboundedPreceding, -1)), F.lit(-1))
     runs = later.withColumn("cut", cut.cast("int")).withColumn("run", F.sum("cut").over(order))
-    runs = runs.groupBy("rid", "run").agg(F.min("pos").alias("start"), (F.max("pos") + min_lines).alias("end"))
+    runs = runs.groupBy("rid", "run").agg(F.min("pos").alias("start"), F.max("end").alias("end"))
     runs = runs.groupBy("rid").agg(F.sort_array(F.collect_list(F.struct("start", "end"))).alias("removed"))
     out = base.join(runs, "rid", "left").withColumn("lines", _lines(text))
     removed = F.coalesce("removed", F.array().cast("array<struct<start:int,end:int>>"))

@@ -46,6 +46,36 @@ def test_against_brute_force(spark, m):
         assert r.row.pos == str(i) and r.row.rank == "clash"
 
 
+def brute_long(texts, m, words):
+    """Kept texts if lines of ``words`` words or more count alone."""
+    seen, first, out = set(), set(), []
+    for text in texts:
+        lines = [x for x in (text or "").split("\n") if re.search(r"[^ \t\n\r\x0b\x0c]", x)]
+        gone = set()
+        for i, x in enumerate(lines):
+            if x in first and len(re.findall(r"[^ \t\n\r\x0b\x0c]+", x)) >= words:
+                gone.add(i)
+            first.add(x)
+            w = tuple(lines[i:i + m])
+            if len(w) == m and w in seen:
+                gone.update(range(i, i + m))
+            seen.add(w)
+        out.append((len(gone), text if not gone else "\n".join(x for i, x in enumerate(lines) if i not in gone)))
+    return out
+
+
+@pytest.mark.parametrize("m", [2, 3])
+def test_long_lines_count_alone(spark, m):
+    rng = random.Random(m)
+    vocab = [f"line {i}" for i in range(12)] + [" ".join(f"w{i}" for i in range(j, j + n)) for j in range(3) for n in (4, 5, 6)] + ["a\tb  ü d e"]
+    texts = [None, vocab[-2], "x\n" + vocab[-2] + "\ny", vocab[-2]]  # a document of one line, the line between others, the document again
+    texts += ["\n".join(rng.choices(vocab, k=rng.randint(0, 9))) for _ in range(60)]
+    df = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string").repartition(4)
+    got = {r.row.doc_id: (r.n_removed, r.kept) for r in remove_repeated_runs(df, min_lines=m, long_words=5).collect()}
+    assert [got[i] for i in range(len(texts))] == brute_long(texts, m, 5)
+    assert got[2] == (1, "x\ny") and got[3] == (1, "")
+
+
 def test_null_and_repeated_ids(spark):
     t = "a\nb\nc"
     df = spark.createDataFrame([(1, t), (None, t), (1, t), (None, None)], "doc_id long, text string")
