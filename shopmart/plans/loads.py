@@ -225,15 +225,27 @@ def sql_dump_errors(spark: SparkSession, raw: Raw) -> DataFrame:
     return errors.select("statement")
 
 
+def _hashed(df: DataFrame, sign: int) -> DataFrame:
+    """The first column as ``id`` and a hash of name, value and nullness of every column."""
+    every = [e for c in df.columns for e in (F.lit(c), F.col(f"`{c}`"), F.col(f"`{c}`").isNull())]
+    return df.select(F.lit(sign).alias("sign"), F.col(f"`{df.columns[0]}`").cast("decimal(38,0)").alias("id"), F.xxhash64(*every).cast("decimal(38,0)").alias("hash"))
+
+
 def scan_snapshot(spark: SparkSession, raw: Raw) -> DataFrame:
-    """All raw tables staged as a dated snapshot and read back for that date: rows and sum of ids."""
+    """All raw tables staged as a dated snapshot and read back for that date: rows and
+    sum of ids.  A table fails the job if what is read differs from what was staged
+    in the number of its rows or the sum of their hashes over all columns."""
     root = scratch(spark, "raw")
     stage_snapshot(Raw(**{**raw.as_dict()}), root, "2017-01-22")
     out = None
     for name, df in read_raw(spark, root, "2017-01-22").as_dict().items():
-        key = df.columns[0]
-        c = df.agg(F.count(F.lit(1)).alias("n"), F.sum(F.col(key).cast("decimal(38,0)")).alias("id_sum"))
-        c = c.select(F.lit(name).alias("table"), "n", F.col("id_sum").cast("string").alias("id_sum"))
+        both = _hashed(df, 1).unionAll(_hashed(raw.as_dict()[name], -1))
+        read = F.col("sign") == 1
+        c = both.agg(F.count(F.when(read, 1)).alias("n"), F.sum(F.when(read, F.col("id"))).alias("id_sum"),
+                     F.coalesce(F.sum("sign"), F.lit(0)).alias("rows_off"), F.coalesce(F.sum(F.col("sign") * F.col("hash")), F.lit(0)).alias("hash_off"))
+        same = (F.col("rows_off") == 0) & (F.col("hash_off") == 0)
+        n = F.when(same, F.col("n")).otherwise(F.raise_error(F.lit(f"snapshot of {name} is not what was staged")))
+        c = c.select(F.lit(name).alias("table"), n.alias("n"), F.col("id_sum").cast("string").alias("id_sum"))
         out = c if out is None else out.unionByName(c)
     return out
 
