@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from shopmart.llm import chat, embedding_dedup, langid, mixing, pii, quality, sharding, simhash
+from shopmart.llm import chat, embedding_dedup, langid, mixing, pii, quality, sharding, simhash, whitening
 from shopmart.llm.decontaminate import contaminated, find_benchmark
 from shopmart.llm.line_dedup import remove_repeated_runs
 from shopmart.llm.substring_dedup import remove_repeated_windows
@@ -86,6 +86,11 @@ def op10_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
     return out.select("doc_id", F.coalesce(_remainder(3) == 1, F.lit(False)).alias("held_out"), "lang_pred", "score")
 
 
+def op11_embedding_whitening(spark: SparkSession, sf_dir: str) -> DataFrame:
+    out = whitening.whiten(table(spark, sf_dir, "embeddings"), ["vec_id"], most=16)
+    return out.select("row.vec_id", "component", "n", "deviation", "whitened", "explained", "identity_error")
+
+
 def op12_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
     out = sharding.pack(table(spark, sf_dir, "documents"), ["doc_id"], shards=16)
     return out.select("row.doc_id", "size", "text_crc32", F.lit("bytes").alias("law"), "shard", "slot", F.lit(None).cast("int").alias("grown_shard"))
