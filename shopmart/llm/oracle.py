@@ -81,6 +81,26 @@ SELECT conv_id, count(*) AS n_turns,
        sum(length({_MARKED}) + CASE role WHEN 'system' THEN 17 WHEN 'user' THEN 18 WHEN 'assistant' THEN 6 ELSE length(role) + 13 END)::BIGINT AS formatted_chars
 FROM m GROUP BY conv_id"""
 
+_PIECES = r"regexp_split_to_array(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[.,;:!?\x0A-\x0D]')"
+
+#: Phrases as lists of words; counts of more than 64 bits on the way are HUGEINT.
+OP13 = f"""
+WITH piece AS (SELECT row_number() OVER () AS pid, lang, p FROM (SELECT coalesce(lang, 'und') AS lang, unnest({_PIECES}) AS p FROM documents)),
+split AS (SELECT pid, lang, list_filter(regexp_split_to_array(p, '[\\x20\\x09]+'), lambda w: w <> '') AS w FROM piece),
+total AS (SELECT lang, sum(len(w))::BIGINT AS n FROM split GROUP BY lang),
+place AS (SELECT lang, w, unnest(range(1, len(w) + 1)) AS i FROM split),
+gram AS (SELECT lang, w[i:i + k - 1] AS g FROM place, (SELECT unnest(range(1, 6)) AS k) WHERE i + k - 1 <= len(w)),
+f AS (SELECT lang, g, count(*) AS a FROM gram GROUP BY lang, g HAVING count(*) >= 100),
+cut AS (SELECT lang, g, a, unnest(range(1, len(g))) AS k FROM f WHERE len(g) > 1),
+scored AS (SELECT c.lang, c.g, c.a, c.k, x.a AS l, y.a AS r, n, (1000::HUGEINT * c.a * n) // (x.a::HUGEINT * y.a) AS score
+           FROM cut c JOIN f x ON x.lang = c.lang AND x.g = c.g[1:k] JOIN f y ON y.lang = c.lang AND y.g = c.g[k + 1:] JOIN total t ON t.lang = c.lang),
+best AS (SELECT * FROM scored QUALIFY row_number() OVER (PARTITION BY lang, g ORDER BY score, k) = 1),
+sub AS (SELECT lang, a, g[i:j] AS g FROM (SELECT lang, a, g, i, unnest(range(i + 1, len(g) + 1)) AS j FROM (SELECT lang, a, g, unnest(range(1, len(g))) AS i FROM f WHERE len(g) > 2)) WHERE j - i + 1 < len(g)),
+inside AS (SELECT lang, g, max(a) AS longer FROM sub GROUP BY lang, g),
+ranked AS (SELECT lang, array_to_string(g, ' ') AS phrase, a, l, r, n, score::BIGINT AS score FROM best LEFT JOIN inside USING (lang, g) WHERE longer IS NULL OR 100 * longer < 100 * a)
+SELECT lang, row_number() OVER (PARTITION BY lang ORDER BY score DESC, a DESC, phrase) AS rank, phrase, a, l, r, n, score
+FROM ranked QUALIFY rank <= 2000"""
+
 
 def oracle_sql() -> dict[str, str]:
-    return {"op1_substring_dedup": OP1, "op2_line_dedup": OP2, "op4_benchmark_decontamination": OP4, "op5_source_mixing": OP5, "op8_chat_formatting": OP8}
+    return {"op1_substring_dedup": OP1, "op2_line_dedup": OP2, "op4_benchmark_decontamination": OP4, "op5_source_mixing": OP5, "op8_chat_formatting": OP8, "op13_collocations": OP13}

@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from shopmart.llm import chat, embedding_dedup, langid, mixing, pii, quality, sharding, simhash, whitening
+from shopmart.llm import chat, collocations, embedding_dedup, langid, mixing, pii, quality, sharding, simhash, whitening
 from shopmart.llm.decontaminate import contaminated, find_benchmark
 from shopmart.llm.line_dedup import remove_repeated_runs
 from shopmart.llm.substring_dedup import remove_repeated_windows
@@ -96,5 +96,9 @@ def op12_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
     return out.select("row.doc_id", "size", "text_crc32", F.lit("bytes").alias("law"), "shard", "slot", F.lit(None).cast("int").alias("grown_shard"))
 
 
+def op13_collocations(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return collocations.collocations(table(spark, sf_dir, "documents"), least=100, longest=5, top=2000)
+
+
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {n: f for n, f in globals().items() if n.startswith("op")}

@@ -24,7 +24,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from shopmart.llm._store import stored
+from shopmart.llm._store import shipped, stored
 
 #: Spectra that one task combines; steps of the root search; vectors of a block in the last passes.
 FAN_IN, STEPS, BLOCK = 8, 60, 4096
@@ -325,6 +325,6 @@ def whiten(vectors: DataFrame, keep: list[str], vector_col: str = "embedding", m
     schema = f"row {rows.schema['row'].dataType.simpleString()}, component int, deviation long, whitened double, explained double"
     if not len(model.values):
         rows = rows.limit(0)
-    get = vectors.sparkSession.sparkContext.broadcast(vars(model))
-    out = rows.mapInArrow(lambda it: _whitened(it, Whitening(**get.value)), schema)
+    get = shipped(vectors.sparkSession, model)
+    out = rows.mapInArrow(lambda it: _whitened(it, get()), schema)
     return out.select("row", "component", F.lit(model.n).cast("long").alias("n"), "deviation", "whitened", "explained", F.lit(model.identity_error).alias("identity_error"))
