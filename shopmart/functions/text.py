@@ -15,6 +15,12 @@ def null_if_empty(c: Column | str) -> Column:
     return F.nullif(as_col(c), F.lit(""))
 
 
+def collated(c: Column | str, collation: str | None = None) -> Column:
+    """The text under a collation (``utf8_lcase``, ``UNICODE_CI_AI``, ...): joins, groups and
+    comparisons then follow it.  Without one texts compare byte by byte."""
+    return as_col(c) if collation is None else F.collate(as_col(c), collation)
+
+
 def value_or_default(c: Column | str, default: str) -> Column:
     """Missing, NULL or empty text -> ``default``."""
     return F.coalesce(null_if_empty(c), F.lit(default))

@@ -18,7 +18,7 @@ from dataclasses import dataclass, field
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql.types import StructField, StructType
+from pyspark.sql.types import StructType
 
 from ..functions.text import empty_to_null
 
@@ -248,6 +248,75 @@ def check_keys(tables: Mapping[str, DataFrame], specs: Iterable[TableSpec]) -> D
     return out
 
 
+#: Bits of the filter of changed foreign keys: at most 2**15 * FILTER_BLOCKS (16 MB).
+FILTER_BLOCKS = 1 << 12
+
+
+def _bit(columns: Sequence[Column]) -> Column:
+    return F.pmod(F.xxhash64(*columns), F.lit(FILTER_BLOCKS << 15))
+
+
+def _maybe_among(df: DataFrame, columns: Sequence[str], values: DataFrame) -> DataFrame:
+    """Rows of ``df`` whose ``columns`` may be among ``values`` (same column types, no NULL): a Bloom filter
+    with one hash, built by a bitmap aggregate of at most ``FILTER_BLOCKS`` blocks and broadcast.  It
+    lets none of the values fall; the rows of ``df`` that it spares are never shuffled."""
+    bit = _bit([F.col(c) for c in values.columns])
+    blocks = values.select(F.shiftright(bit, 15).alias("_block"), F.pmod(bit, F.lit(1 << 15)).alias("_bit"))
+    blocks = blocks.groupBy("_block").agg(F.bitmap_construct_agg("_bit").alias("_bits"))
+    mine = _bit([F.col(c) for c in columns])
+    place = F.pmod(mine, F.lit(1 << 15))
+    byte = F.conv(F.hex(F.substring(F.col("_bits"), (F.shiftright(place, 3) + 1).cast("int"), F.lit(1))), 16, 10).cast("int")
+    hit = F.get(F.transform(F.sequence(F.lit(0), F.lit(7)), lambda i: F.getbit(byte, i)), F.pmod(place, F.lit(8)).cast("int")) == 1
+    return df.join(F.broadcast(blocks), F.shiftright(mine, 15) == F.col("_block")).where(hit).drop("_block", "_bits")
+
+
+def check_changes(tables: Mapping[str, DataFrame], specs: Iterable[TableSpec], changed: Mapping[str, DataFrame],
+                  removed: Mapping[str, DataFrame] | None = None) -> DataFrame:
+    """The violations of ``check_keys`` that a load can have made.
+
+    ``tables`` are the tables after the load, ``changed`` the rows it inserted
+    or updated (by table), ``removed`` the rows whose keys are gone.  Checked
+    are the keys of changed rows (against the whole table), the foreign keys
+    of changed rows, and the foreign keys of all rows that point at a removed
+    key.  If the state before the load was clean, the report is that of the
+    full check.  Tables are scanned, but only rows that may meet a changed
+    key pass a Bloom filter and are shuffled.
+    """
+    removed = removed or {}
+    parts: list[DataFrame] = []
+    for spec in specs:
+        if spec.name not in tables:
+            continue
+        df, new = tables[spec.name], changed.get(spec.name)
+        for ks in ([spec.key] if spec.key else []) + spec.unique:
+            if new is None:
+                continue
+            touched = new.select(*ks).where(~_null_key(ks)).distinct()
+            near = _maybe_among(df.select(*ks).where(~_null_key(ks)), ks, touched).join(touched, ks, "left_semi")
+            nulls = new.select(*ks).where(_null_key(ks))
+            u = unique_violations(near.unionByName(nulls), spec.name, ks)
+            parts.append(u.select("table", "rule", "key_text", F.col("n").cast("string").alias("detail")))
+        for fk, parent, pk in spec.foreign_keys:
+            if parent not in tables:
+                raise ValueError(f"{spec.name}({','.join(fk)}): parent table {parent} not given")
+            ck = spec.key or fk
+            cols = list(dict.fromkeys([*fk, *ck]))
+            child = new.select(*cols) if new is not None else df.select(*cols).limit(0)
+            if parent in removed:
+                gone = removed[parent].select(*[F.col(p).cast(df.schema[f].dataType).alias(f) for p, f in zip(pk, fk)]).where(~_null_key(fk)).distinct()
+                # all rows that point at a removed key, changed or not, and the changed rows that do not
+                orphans = _maybe_among(df.select(*cols).where(~_null_key(fk)), fk, gone).join(gone, fk, "left_semi")
+                child = child.join(gone, fk, "left_anti").unionByName(orphans)
+            # of the parents only those that a child may name
+            wanted = child.select(*[F.col(f).cast(tables[parent].schema[p].dataType).alias(p) for f, p in zip(fk, pk)]).where(~_null_key(pk)).distinct()
+            v = fk_violations(child, spec.name, fk, _maybe_among(tables[parent].select(*pk).where(~_null_key(pk)), pk, wanted), parent, pk, spec.key or None)
+            parts.append(v.select("table", "rule", "key_text", F.col("fk_text").alias("detail")))
+    out = parts[0]
+    for p in parts[1:]:
+        out = out.unionByName(p)
+    return out
+
+
 def upsert_many(plan: Mapping[str, tuple[DataFrame, DataFrame, str | Sequence[str], Sequence[str] | None]],
                 post=None, specs: Iterable[TableSpec] | None = None) -> tuple[dict[str, DataFrame], DataFrame | None]:
     """Several upserts as one unit: returns the next version of every table
@@ -287,7 +356,3 @@ def evolve(df: DataFrame, versions: Sequence[StructType], from_version: int, to_
     have = set(df.columns)
     return df.select(*[F.col(f.name) if f.name in have else F.lit(None).cast(f.dataType).alias(f.name)
                        for f in target.fields])
-
-
-def schema_with(base: StructType, *added: StructField) -> StructType:
-    return StructType(list(base.fields) + list(added))

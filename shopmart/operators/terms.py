@@ -12,20 +12,23 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from ..functions.text import collated
+
 CATEGORY_TAXONOMY = "product_cat"
 AMP = "amp;"
 
 
 def term_links(relationships: DataFrame, term_taxonomy: DataFrame, terms: DataFrame,
-               taxonomies: list[str] | None = None) -> DataFrame:
+               taxonomies: list[str] | None = None, collation: str | None = None) -> DataFrame:
     """``object_id, term_taxonomy_id, term_id, taxonomy, name, slug`` of every link.
 
     The three-table inner join of a term lookup, done once for all
-    taxonomies (filtered to ``taxonomies`` at the scan when given).
+    taxonomies (filtered to ``taxonomies`` at the scan when given, compared
+    under ``collation``).
     """
     tt = term_taxonomy.select("term_taxonomy_id", "term_id", "taxonomy")
     if taxonomies is not None:
-        tt = tt.where(F.col("taxonomy").isin(taxonomies))
+        tt = tt.where(collated("taxonomy", collation).isin(taxonomies))
     return (relationships.select("object_id", "term_taxonomy_id")
             .join(tt, "term_taxonomy_id")
             .join(terms.select("term_id", "name", "slug"), "term_id"))

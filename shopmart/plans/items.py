@@ -32,23 +32,26 @@ ITEM_KEYS = {
 }
 
 
-def epoch_text_to_date(c: Column | str) -> Column:
-    """``CAST(FROM_UNIXTIME(text) AS DATE)`` in the session zone (UTC)."""
-    return F.to_date(F.timestamp_seconds(lenient_long(c)))
+def epoch_text_to_date(c: Column | str, zone: str | None = None) -> Column:
+    """``CAST(FROM_UNIXTIME(text) AS DATE)`` in ``zone`` (its summer time included), by default
+    the session zone (UTC)."""
+    at = F.timestamp_seconds(lenient_long(c))
+    return F.to_date(at if zone is None else F.convert_timezone(F.lit("UTC"), F.lit(zone), at.cast("timestamp_ntz")))
 
 
-def delivered_returned_pairs(itemmeta: DataFrame, on_duplicate: str = "error") -> DataFrame:
+def delivered_returned_pairs(itemmeta: DataFrame, on_duplicate: str = "error", zone: str | None = None) -> DataFrame:
     """``order_item_id, subqty_id, delivered_on, returned_on, is_retoure``.
 
     ``subqty_id`` is the key text after removing ``_delivered_``; the return
     must sit under ``_returned_<that text>``.  ``is_retoure`` is true only when
     both dates exist and delivered >= returned.  A repeated delivered key gives
     a row each; a repeated returned key fails the job (``'max'``: the latest).
+    ``zone`` is the time zone whose calendar the dates follow (default UTC).
     """
     p = eav_numbered(itemmeta, "order_item_id", DELIVERED_PREFIX, RETURNED_PREFIX,
                      number_col="subqty", first_name="delivered", second_name="returned",
                      like_pattern=DELIVERED_LIKE, on_duplicate=on_duplicate)
-    d, r = epoch_text_to_date("delivered"), epoch_text_to_date("returned")
+    d, r = epoch_text_to_date("delivered", zone), epoch_text_to_date("returned", zone)
     return p.select(
         "order_item_id",
         F.col("subqty").try_cast("bigint").alias("subqty_id"),

@@ -7,21 +7,26 @@ from __future__ import annotations
 import uuid
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 from ..functions.text import empty_to_null
 from ..operators.backfill import pending_dates
-from ..operators.load import align, align_overflow, check_keys, evolve, upsert, upsert_many, upsert_one
+from ..operators.changes import change_counts, changed_rows, snapshot_changes
+from ..operators.load import align, align_overflow, check_changes, check_keys, evolve, upsert, upsert_many, upsert_one
 from ..operators.snapshot import append_snapshot
 from ..session import checkpoint_dir
 from ..sources.csv_io import read_csv_checked, write_csv
 from ..sources.fixture_star import Raw
-from ..sources.snapshot import read_raw, stage_snapshot
+from ..sources import keyed
+from ..sources.snapshot import read_raw, read_sorted_ranges, stage_snapshot, write_sorted
 from ..sources.sqldump import load_sql_dump, write_sql_dump, write_statements
+from ..sources.tables import read_table
 from . import items as I
 from . import orders as O
 from . import products as P
 from . import schemas
+from .daily import KEYS, run_day
 
 # Scenario dates for the two-state upserts: the target is the reporting
 # table as loaded from an older state (orders up to OLD_UNTIL, with the
@@ -67,7 +72,7 @@ def upsert_single_key(raw: Raw, cutoff: str, facts: DataFrame | None = None) ->
 
 def upsert_compound_key(raw: Raw, cutoff: str, excluded) -> DataFrame:
     items = I.order_items(raw, cutoff, excluded=excluded)
-    target = items.where(F.col("delivered_on") < F.lit(OLD_UNTIL).cast("date")) \
+    target = items.where((F.col("delivered_on") < F.lit(OLD_UNTIL).cast("date")) | F.col("delivered_on").isNull()) \
                   .withColumn("is_retoure", F.lit(None).cast("boolean"))
     source = items.where(F.col("delivered_on") >= F.lit(NEW_FROM).cast("date"))
     return upsert(target, source, ["order_item_id", "subqty_id"],
@@ -80,7 +85,7 @@ def upsert_keep_newest(spark: SparkSession, raw: Raw, cutoff: str) -> DataFrame:
     facts = stage_tables(spark, {"orders": O.orders_fact(raw, cutoff).select("id", "customer_id", "payment_method", "order_total", "order_date")})["orders"]
     day = F.when(F.col("id") % 3 == 0, "2017-01-24").when(F.col("id") % 3 == 1, "2017-01-22").cast("date")
     target = facts.where(F.col("id") % 5 != 0).select("id", "customer_id", F.lit("target").alias("payment_method"), "order_total", day.alias("snapshot_date"))
-    source = facts.where(F.col("id") % 2 == 0).select("id", "customer_id", "payment_method", "order_total", F.lit("2017-01-23").cast("date").alias("snapshot_date"))
+    source = facts.where((F.col("id") % 2 == 0) | (F.col("id") % 5 == 0)).select("id", "customer_id", "payment_method", "order_total", F.lit("2017-01-23").cast("date").alias("snapshot_date"))
     return upsert(target, source, "id", ["id", "payment_method", "snapshot_date"], order_by="snapshot_date")
 
 
@@ -134,15 +139,18 @@ def key_violations(spark: SparkSession, raw: Raw, cutoff: str, excluded, stock_e
 
 
 def upsert_many_report(spark: SparkSession, raw: Raw, cutoff: str, excluded, stock_excluded, hosts) -> DataFrame:
-    """A load into filled tables as one unit: of every table the target holds
-    the rows whose key is no multiple of 3, the source those with an even key
-    (updates, inserts, untouched rows); then the post step (last billing
+    """A load into filled tables as one unit: of every table a third of the keys
+    is only in the target, a third only in the source and a third in both
+    (rows with a NULL key are in both); then the post step (last billing
     address) once, then the deferred key checks.  One report row per table
     (rows after the load, violations)."""
     every = stage_tables(spark, data_sets(raw, cutoff, excluded, stock_excluded, hosts))
     keys = {"orders": ["id"], "addresses": ["id"], "customers": ["id"],
             "orders_products": ["order_item_id", "subqty_id"], "campaign_trackings": ["id"], "products": ["id"]}
-    plan = {n: (every[n].where(F.col(k[0]) % 3 != 0), every[n].where(F.col(k[0]) % 2 == 0), k, every[n].columns) for n, k in keys.items()}
+    plan = {}
+    for n, k in keys.items():
+        third = F.coalesce(F.col(k[0]) % 3, F.lit(2))
+        plan[n] = (every[n].where(third != 0), every[n].where(third != 1), k, every[n].columns)
 
     def post(t):
         t = dict(t)
@@ -219,6 +227,173 @@ def sql_dump_rows(spark: SparkSession, raw: Raw) -> DataFrame:
     return rows
 
 
+def _dump_twice(spark: SparkSession, raw: Raw) -> list[str]:
+    """Campaign trackings as a dump whose later statements meet keys that are there, in all forms.
+
+    By id modulo 8: 1 INSERT IGNORE, 2 REPLACE without a column, 3 a plain
+    INSERT, 4 REPLACE and then INSERT IGNORE in the same file, 5 the key twice
+    in one REPLACE statement, 6 IGNORE of a new key (the id plus 10^9) and of
+    the old one, 7 and 0 nothing.
+    """
+    rows, folders = P.campaign_trackings(raw), [scratch(spark, "dump") for _ in range(6)]
+    kind = F.col("id") % 8
+    write_sql_dump(rows, folders[0], "campaign_tracking")
+    write_sql_dump(rows.where(kind == 1).withColumn("utm_medium", F.lit("ignored")), folders[1], "campaign_tracking", verb="INSERT IGNORE INTO")
+    write_sql_dump(rows.where(kind == 2).withColumn("utm_medium", F.lit("replaced")).drop("utm_campaign"), folders[2], "campaign_tracking", verb="REPLACE INTO", name_columns=True)
+    write_sql_dump(rows.where(kind == 3).withColumn("utm_medium", F.lit("twice")), folders[3], "campaign_tracking")
+
+    def said(verb: str, *values):
+        return F.concat(F.lit(f"{verb} `campaign_tracking` (id, utm_medium) VALUES "), F.concat_ws(",", *[F.concat(F.lit("("), i.cast("string"), F.lit(f",'{m}')")) for i, m in values]))
+
+    i = F.col("id")
+    end = F.lit(";\n")
+    both = F.concat(said("REPLACE INTO", (i, "first")), end, said("REPLACE INTO", (i, "second")), end, said("INSERT IGNORE INTO", (i, "third")))
+    write_statements(rows.where(kind == 4).select(both), folders[4])
+    pair = F.when(kind == 5, said("REPLACE INTO", (i, "one"), (i, "two"))).otherwise(said("INSERT IGNORE INTO", (i + 10**9, "new"), (i, "old")))
+    write_statements(rows.where(kind.isin(5, 6)).select(pair), folders[5])
+    return folders
+
+
+def sql_dump_in_order(spark: SparkSession, raw: Raw) -> DataFrame:
+    """The table after all statements of a dump with repeated keys have run in order."""
+    rows, _ = load_sql_dump(spark, _dump_twice(spark, raw), "campaign_tracking", P.CAMPAIGN_COLUMNS, schema=raw.campaign_tracking.schema, keys=["id"])
+    return rows
+
+
+def sql_dump_duplicates(spark: SparkSession, raw: Raw) -> DataFrame:
+    """Rows of plain INSERTs of that dump whose key was there."""
+    _, errors = load_sql_dump(spark, _dump_twice(spark, raw), "campaign_tracking", P.CAMPAIGN_COLUMNS, schema=raw.campaign_tracking.schema, keys=["id"])
+    return errors.select(F.get_json_object("statement", "$.id").cast("bigint").alias("id"), F.get_json_object("statement", "$.utm_medium").alias("utm_medium"), "error")
+
+
+# Days of the keyed-table scenario: the table as of DAY_ONE (orders of its last
+# days not yet paid), then the changes up to the newest snapshot.
+DAY_ONE, UNPAID_FROM = "1998-07-30", "1998-07-27"
+BUCKETS = 64
+
+
+def _day_one(facts: DataFrame) -> DataFrame:
+    old = facts.where((F.col("order_date") < F.lit(DAY_ONE).cast("timestamp_ntz")) | F.col("order_date").isNull())
+    late = F.col("order_date") >= F.lit(UNPAID_FROM).cast("timestamp_ntz")
+    return old.withColumn("payment_method", F.when(late, "unpaid").otherwise(F.col("payment_method")))
+
+
+def upsert_changed_buckets(spark: SparkSession, raw: Raw, cutoff: str) -> DataFrame:
+    """Orders in a keyed table: only rows that differ from the day before are loaded,
+    and only their buckets are rewritten.  One row a bucket: rows and sums after
+    the load, its files, and whether it was rewritten or carried over."""
+    facts = stage_tables(spark, {"orders": align(O.orders_fact(raw, cutoff), schemas.SPECS_LATEST["orders"])})["orders"]
+    root, old = scratch(spark, "keyed-orders"), _day_one(facts)
+    before = keyed.create(old, root, ["id"], BUCKETS)
+    after = keyed.upsert_changed(changed_rows(old, facts, ["id"]), root)
+    kept, new = keyed.rewritten(before, after)
+    flags = spark.createDataFrame([(b, b in set(new), after.parts[str(b)]["files"]) for b in kept + new], "bucket int, rewritten boolean, files int")
+    table = after.read(spark).withColumn("bucket", keyed.bucket_of(["id"], BUCKETS))
+    sums = table.groupBy("bucket").agg(F.count(F.lit(1)).alias("rows"), F.sum("id").alias("id_sum"), F.sum("order_total").alias("total"),
+                                       F.count(F.when(F.col("payment_method") == "unpaid", 1)).alias("unpaid"))
+    return sums.join(flags, "bucket")
+
+
+def snapshot_change_counts(spark: SparkSession, raw: Raw) -> DataFrame:
+    """Two snapshots of all raw tables, and how many keys of each were inserted, changed, deleted or stayed.
+
+    The first lacks the rows whose id is 3 modulo 7, the second those whose id
+    is 5 modulo 11; the last column of the second is another where the id is 1 modulo 5.
+    """
+    keys = {"posts": ["ID"], "postmeta": ["post_id", "meta_key"], "users": ["ID"], "usermeta": ["user_id", "meta_key"], "order_items": ["order_item_id"],
+            "order_itemmeta": ["order_item_id", "meta_key"], "terms": ["term_id"], "term_taxonomy": ["term_taxonomy_id"],
+            "term_relationships": ["object_id", "term_taxonomy_id"], "campaign_tracking": ["id"]}
+    days = {"2017-01-22": {}, "2017-01-23": {}}
+    for name, df in raw.as_dict().items():
+        i, last = F.col(keys[name][0]), df.columns[-1]
+        other = F.when(i % 5 == 1, F.lit(None)).otherwise(F.col(last)).cast(df.schema[last].dataType)
+        days["2017-01-22"][name] = df.where(F.coalesce(i % 7, F.lit(0)) != 3)
+        second = df.where(F.coalesce(i % 11, F.lit(0)) != 5)
+        days["2017-01-23"][name] = second if last in keys[name] else second.withColumn(last, other)
+    root = scratch(spark, "raw")
+    for day, tables in days.items():
+        stage_snapshot(Raw(**tables), root, day)
+    old, new = (read_raw(spark, root, day).as_dict() for day in days)
+    out = None
+    for name, k in keys.items():
+        c = change_counts(snapshot_changes(old[name], new[name], k)).select(F.lit(name).alias("table"), "change", "n")
+        out = c if out is None else out.unionByName(c)
+    return out
+
+
+def stored_versions(spark: SparkSession, raw: Raw, hosts) -> DataFrame:
+    """Products in a keyed table written under schema versions 1, 3 and 4, read as 4.
+
+    A third of the buckets is loaded under each version; columns that a
+    version lacks are NULL in the buckets written under it.
+    """
+    every = stage_tables(spark, {"products": align(P.products(raw, old_host=hosts[0], new_host=hosts[1]), schemas.spec("products", 4))})["products"]
+    third = F.floor(keyed.bucket_of(["id"], BUCKETS) * 3 / BUCKETS)
+    root, versions = scratch(spark, "keyed-products"), schemas.VERSIONS["products"]
+    keyed.create(align(every.where(third == 0), schemas.spec("products", 1)), root, ["id"], BUCKETS, schema_version=1)
+    for part, v in ((1, 3), (2, 4)):
+        keyed.evolve_stored(spark, root, versions[v - 1], v)
+        keyed.upsert_changed(align(every.where(third == part), schemas.spec("products", v)), root)
+    now = keyed.version(spark, root)
+    written = spark.createDataFrame([(int(b), p["schema_version"]) for b, p in now.parts.items()], "bucket int, written_under int")
+    return now.read(spark).withColumn("bucket", keyed.bucket_of(["id"], BUCKETS)).join(written, "bucket").drop("bucket")
+
+
+def changed_key_report(spark: SparkSession, raw: Raw, cutoff: str, excluded, stock_excluded, hosts) -> DataFrame:
+    """Check of a load by its changes alone: the load brings the orders, items and stock rows whose
+    order or product id is 0 modulo 3 and takes away the addresses and products whose id is 0 modulo 5."""
+    every = stage_tables(spark, data_sets(raw, cutoff, excluded, stock_excluded, hosts))
+    gone = {n: every[n].where(F.col("id") % 5 == 0) for n in ("addresses", "products")}
+    after = every | {n: every[n].where(F.col("id") % 5 != 0) for n in gone}
+    column = {"orders": "id", "orders_products": "order_id", "stock": "product_id", "customers": "id"}
+    changed = {n: after[n].where(F.col(c) % 3 == 0) for n, c in column.items()}
+    return check_changes(after, schemas.SPECS_LATEST.values(), changed, gone).groupBy("table", "rule").agg(F.count(F.lit(1)).alias("violations"))
+
+
+def sizes_collated(raw: Raw) -> DataFrame:
+    """Sizes by slugs that are written in capitals (odd ids) or with accents (ids 0 modulo 3)."""
+    capital = F.when(F.col("post_id") % 2 == 1, F.upper("meta_value")).otherwise(F.col("meta_value"))
+    accent = F.when(F.col("post_id") % 3 == 0, F.translate(capital, "aeiouAEIOU", "áéíóúÁÉÍÓÚ")).otherwise(capital)
+    size = F.col("meta_key").isin(P.SIZE_KEYS)
+    meta = raw.postmeta.withColumn("meta_value", F.when(size, accent).otherwise(F.col("meta_value")))
+    return P.variation_sizes(Raw(**{**raw.as_dict(), "postmeta": meta}), collation="UNICODE_CI_AI")
+
+
+def sorted_files(spark: SparkSession, raw: Raw, cutoff: str) -> DataFrame:
+    """Orders written in total order: rows, first and last id over all files, files whose range meets
+    that of the file before, and rows that are smaller than the one before."""
+    path = scratch(spark, "orders-sorted")
+    write_sorted(O.orders_fact(raw, cutoff), path, ["id"], files=8)
+    ranges = read_sorted_ranges(spark, path, "id")
+    meets = F.col("first") <= F.lag("last").over(W.orderBy("file_number"))  # one row a file
+    return ranges.withColumn("meets", F.coalesce(meets.cast("int"), F.lit(0))).agg(
+        F.sum("rows").alias("rows"), F.min("first").alias("first_id"), F.max("last").alias("last_id"), F.sum("meets").alias("files_meeting"), F.sum("falls").alias("rows_falling"))
+
+
+def daily_tables(spark: SparkSession, raw: Raw, cutoff: str, excluded, stock_excluded, hosts) -> DataFrame:
+    """The daily load over two snapshots: rows, rejected rows and stock days of each table.
+
+    On the second day all payments are another and the totals of orders whose
+    id ends in 3 do not fit their column.
+    """
+    root, out = scratch(spark, "raw"), scratch(spark, "reporting")
+    key = F.col("meta_key")
+    value = F.when(key == "_payment_method", "new").when((key == "_order_total") & (F.col("post_id") % 10 == 3), "1234567.00").otherwise(F.col("meta_value"))
+    stage_snapshot(raw, root, "2017-01-22")
+    stage_snapshot(Raw(**{**raw.as_dict(), "postmeta": raw.postmeta.withColumn("meta_value", value)}), root, "2017-01-23")
+    for day in ("2017-01-22", "2017-01-23"):
+        run_day(spark, root, out, day, cutoff=cutoff, excluded_products=excluded, excluded_parents=stock_excluded, old_host=hosts[0], new_host=hosts[1], fail_on_violations=False)
+    made = None
+    for name in KEYS:
+        df = read_table(spark, out, name)
+        new = F.count(F.when(F.col("payment_method") == "new", 1)) if name == "orders" else F.lit(0).cast("bigint")
+        rejects = spark.read.parquet(f"{out}/_rejects/{name}").agg(F.count(F.lit(1)).alias("rejects"))
+        c = df.agg(F.count(F.lit(1)).alias("rows"), new.alias("new_payments")).join(F.broadcast(rejects)).select(F.lit(name).alias("table"), "rows", "new_payments", "rejects")
+        made = c if made is None else made.unionByName(c)
+    stock = spark.read.parquet(f"{out}/stock").agg(F.count(F.lit(1)).alias("rows"))
+    return made.unionByName(stock.select(F.lit("stock").alias("table"), "rows", F.lit(0).cast("bigint").alias("new_payments"), F.lit(0).cast("bigint").alias("rejects")))
+
+
 def sql_dump_errors(spark: SparkSession, raw: Raw) -> DataFrame:
     """Statements of the dump that cannot be read, whole."""
     _rows, errors = load_sql_dump(spark, _dump(spark, raw), "campaign_tracking", P.CAMPAIGN_COLUMNS, schema=raw.campaign_tracking.schema)

@@ -7,7 +7,7 @@ from collections.abc import Iterable
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from ..functions import lenient_decimal, lenient_long
+from ..functions import collated, lenient_decimal, lenient_long
 from ..operators.eav import eav_pivot
 from ..operators.terms import (CATEGORY_TAXONOMY, category_tree, count_where, first_by, has_term,
                                term_links, text_list)
@@ -55,19 +55,19 @@ def last_order_by_product(raw: Raw) -> DataFrame:
     return j.groupBy("product_id").agg(F.max("post_date").alias("last_order_at"))
 
 
-def parent_terms(raw: Raw, tree: DataFrame | None = None) -> DataFrame:
+def parent_terms(raw: Raw, tree: DataFrame | None = None, collation: str | None = None) -> DataFrame:
     """All term attributes of every object in ONE aggregate over its term links.
 
     category / primary / super category, color, brand, order season, the four
     season flags and sex.
     """
     links = term_links(raw.term_relationships, raw.term_taxonomy, raw.terms,
-                       [CATEGORY_TAXONOMY, COLOR, BRAND, ORDER_SEASON, SEASON, SEX])
+                       [CATEGORY_TAXONOMY, COLOR, BRAND, ORDER_SEASON, SEASON, SEX], collation)
     if tree is None:
         tree = category_tree(raw.term_taxonomy, raw.terms)
     t = tree.select(F.col("term_id").alias("_tree_id"), "name0", "name1")
     links = links.join(t, links.term_id == t._tree_id, "left")
-    tax, name, slug, ttid = F.col("taxonomy"), F.col("name"), F.col("slug"), F.col("term_taxonomy_id")
+    tax, name, slug, ttid = collated("taxonomy", collation), F.col("name"), collated("slug", collation), F.col("term_taxonomy_id")
     is_cat = tax == CATEGORY_TAXONOMY
     in_tree = is_cat & F.col("_tree_id").isNotNull()
     is_sex = tax == SEX
@@ -80,48 +80,53 @@ def parent_terms(raw: Raw, tree: DataFrame | None = None) -> DataFrame:
         text_list(name, tax == ORDER_SEASON).alias("order_season"),
         *[has_term((tax == SEASON) & (slug == s)).alias(f"season_{s}") for s in SEASONS],
         F.when(count_where(is_sex) > 1, F.lit(BOTH_SEXES))
-         .otherwise(text_list(slug, is_sex, ",")).alias("sex"),
+         .otherwise(text_list(F.col("slug"), is_sex, ",")).alias("sex"),
     ]
     return links.groupBy("object_id").agg(*aggs)
 
 
-def variation_sizes(raw: Raw) -> DataFrame:
+def variation_sizes(raw: Raw, collation: str | None = None) -> DataFrame:
     """``post_id, size, size_shopfilter``: size names looked up by slug in all terms.
 
-    The shop takes any one matching term; the one with the lowest term id is used.
+    The shop takes any one matching term; the one with the lowest term id is
+    used.  Only variations with a matching term are returned.
     """
-    m = raw.postmeta.where(F.col("meta_key").isin(SIZE_KEYS))
-    j = m.join(raw.terms.select("term_id", "name", "slug"), F.col("meta_value") == F.col("slug"))
-    return j.groupBy("post_id").agg(
-        first_by(F.col("name"), F.col("term_id")).alias("size"),
-        first_by(F.col("name"), F.col("term_id"), F.col("meta_key") == SHOP_FILTER_SIZE_KEY).alias("size_shopfilter"),
-    )
+    found = variation_attributes(raw, collation).where(F.col("_sizes") > 0)
+    return found.select(F.col("_vm_pid").alias("post_id"), "size", "size_shopfilter")
 
 
-def variation_attributes(raw: Raw) -> DataFrame:
+def variation_attributes(raw: Raw, collation: str | None = None) -> DataFrame:
     """``_vm_pid, item_condition, size, size_shopfilter`` from one scan of the
-    attributes: the size slugs find their terms, the condition passes along."""
+    attributes: the size slugs find their terms, the condition passes along.
+
+    Rows that look up nothing join under a key of their own that no slug
+    equals, so they spread over the partitions instead of meeting under NULL.
+    """
     m = raw.postmeta.where(F.col("meta_key").isin([*SIZE_KEYS, CONDITION_KEY]))
     is_size = F.col("meta_key") != CONDITION_KEY
-    j = m.join(raw.terms.select("term_id", "name", "slug"), (F.when(is_size, F.col("meta_value")) == F.col("slug")), "left")
+    own = F.concat(F.lit("\0"), F.col("post_id").cast("string"))
+    m = m.withColumn("_slug", F.coalesce(F.when(is_size, F.col("meta_value")), own, F.lit("\0")))
+    terms = raw.terms.select("term_id", "name", F.coalesce("slug", F.lit("\0\0")).alias("slug"))
+    j = m.join(terms, collated("_slug", collation) == collated("slug", collation), "left")
     found = is_size & F.col("term_id").isNotNull()
     return j.groupBy(F.col("post_id").alias("_vm_pid")).agg(
         F.max(F.when(~is_size, F.col("meta_value"))).alias("item_condition"),
         first_by(F.col("name"), F.col("term_id"), found).alias("size"),
         first_by(F.col("name"), F.col("term_id"), found & (F.col("meta_key") == SHOP_FILTER_SIZE_KEY)).alias("size_shopfilter"),
         F.count(F.when(~is_size, 1)).alias("_conditions"),
+        F.count(F.when(found, 1)).alias("_sizes"),
     )
 
 
-def thumbnails(raw: Raw, parent_meta: DataFrame, old_host: str | None, new_host: str | None) -> DataFrame:
-    """``post_id, thumbnail_url``: guid of the attachment whose id the parent stores as text."""
+def thumbnails(raw: Raw, parent_meta: DataFrame, old_host: str | None, new_host: str | None, how: str = "inner") -> DataFrame:
+    """The columns of ``parent_meta`` and ``thumbnail_url``: guid of the attachment whose
+    id the parent stores as text (``how='left'``: NULL without one)."""
     att = raw.posts.select(F.col("ID").alias("_att_id"), "guid")
-    j = parent_meta.select("post_id", "thumbnail_ref").join(
-        att, lenient_long("thumbnail_ref") == F.col("_att_id"))
+    j = parent_meta.join(att, lenient_long("thumbnail_ref") == F.col("_att_id"), how)
     url = F.col("guid")
     if old_host is not None and new_host is not None:
         url = F.replace(url, F.lit(old_host), F.lit(new_host))
-    return j.select("post_id", url.alias("thumbnail_url"))
+    return j.select(*parent_meta.columns, url.alias("thumbnail_url"))
 
 
 def refresh(raw: Raw, staged) -> dict[str, DataFrame]:
@@ -136,14 +141,15 @@ def refresh(raw: Raw, staged) -> dict[str, DataFrame]:
 
 def products(raw: Raw, *, first_id: int = FIRST_VARIATION_ID, old_host: str | None = None,
              new_host: str | None = None, on_duplicate: str = "error",
-             lookups: dict[str, DataFrame] | None = None) -> DataFrame:
+             lookups: dict[str, DataFrame] | None = None, collation: str | None = None) -> DataFrame:
     """Variations (id >= ``first_id``) of published parents with all attributes.
 
     Parent attributes (thumbnail, prices, terms) are computed once per parent
     and joined to its variations -- not looked up again for every variation.
     Two scans of the attributes: those of parents, and those of variations.
     ``lookups`` are the stored tables of ``refresh``; without them they are
-    part of the plan.
+    part of the plan.  ``collation`` (such as ``UNICODE_CI_AI``) compares
+    taxonomies and slugs under it, as the shop's database does.
     """
     lookups = lookups or {"tree": None, "last_order": last_order_by_product(raw)}
     posts = raw.posts
@@ -156,17 +162,11 @@ def products(raw: Raw, *, first_id: int = FIRST_VARIATION_ID, old_host: str | No
 
     pmeta = eav_pivot(raw.postmeta, "post_id", {"_thumbnail_id": "thumbnail_ref", "_uvp": "uvp_text", "_cogs": "cogs_text"},
                       on_duplicate=on_duplicate)
-    att = posts.select(F.col("ID").alias("_att_id"), "guid")
-    url = F.col("guid")
-    if old_host is not None and new_host is not None:
-        url = F.replace(url, F.lit(old_host), F.lit(new_host))
-    pattrs = (pmeta.join(att, lenient_long("thumbnail_ref") == F.col("_att_id"), "left")
-                   .select(F.col("post_id").alias("_pm_pid"),
-                           lenient_long("thumbnail_ref").alias("thumbnail_id"), url.alias("thumbnail_url"),
-                           lenient_decimal("uvp_text").alias("uvp"),
-                           lenient_decimal("cogs_text").alias("cost_of_goods")))
-    terms = parent_terms(raw, lookups["tree"]).withColumnRenamed("object_id", "_t_oid")
-    vmeta = variation_attributes(raw)
+    pattrs = thumbnails(raw, pmeta, old_host, new_host, how="left").select(
+        F.col("post_id").alias("_pm_pid"), lenient_long("thumbnail_ref").alias("thumbnail_id"), "thumbnail_url",
+        lenient_decimal("uvp_text").alias("uvp"), lenient_decimal("cogs_text").alias("cost_of_goods"))
+    terms = parent_terms(raw, lookups["tree"], collation).withColumnRenamed("object_id", "_t_oid")
+    vmeta = variation_attributes(raw, collation)
     if on_duplicate == "error":
         msg = F.concat(F.lit("an attribute occurs more than once for post_id "), F.col("_vm_pid").cast("string"))
         vmeta = vmeta.withColumn("item_condition", F.when(F.col("_conditions") > 1, F.raise_error(msg).cast("string")).otherwise(F.col("item_condition")))

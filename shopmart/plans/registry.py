@@ -131,7 +131,12 @@ def q_size_by_slug(raw: Raw) -> DataFrame:
 @register("thumbnail_url")
 def q_thumbnail_url(raw: Raw) -> DataFrame:
     pm = eav_pivot(raw.postmeta, "post_id", {"_thumbnail_id": "thumbnail_ref"})
-    return P.thumbnails(raw, pm, OLD_IMAGE_HOST, NEW_IMAGE_HOST)
+    return P.thumbnails(raw, pm, OLD_IMAGE_HOST, NEW_IMAGE_HOST).select("post_id", "thumbnail_url")
+
+
+@register("size_by_slug_collated")
+def q_size_collated(raw: Raw) -> DataFrame:
+    return L.sizes_collated(raw)
 
 
 @register("product_variations")
@@ -243,6 +248,51 @@ def q_dump_errors(spark: SparkSession, raw: Raw) -> DataFrame:
     return L.sql_dump_errors(spark, raw)
 
 
+@register("sql_dump_in_order", needs_spark=True)
+def q_dump_in_order(spark: SparkSession, raw: Raw) -> DataFrame:
+    return L.sql_dump_in_order(spark, raw)
+
+
+@register("sql_dump_duplicates", needs_spark=True)
+def q_dump_duplicates(spark: SparkSession, raw: Raw) -> DataFrame:
+    return L.sql_dump_duplicates(spark, raw)
+
+
+@register("upsert_changed_buckets", needs_spark=True)
+def q_changed_buckets(spark: SparkSession, raw: Raw) -> DataFrame:
+    return L.upsert_changed_buckets(spark, raw, CUTOFF)
+
+
+@register("snapshot_changes", needs_spark=True)
+def q_snapshot_changes(spark: SparkSession, raw: Raw) -> DataFrame:
+    return L.snapshot_change_counts(spark, L.staged_raw(spark, raw))
+
+
+@register("stored_versions", needs_spark=True)
+def q_stored_versions(spark: SparkSession, raw: Raw) -> DataFrame:
+    return L.stored_versions(spark, raw, HOSTS)
+
+
+@register("changed_key_report", needs_spark=True)
+def q_changed_keys(spark: SparkSession, raw: Raw) -> DataFrame:
+    return L.changed_key_report(spark, L.staged_raw(spark, raw), CUTOFF, ITEM_EXCLUDED, STOCK_EXCLUDED_PARENTS, HOSTS)
+
+
+@register("run_day", needs_spark=True)
+def q_run_day(spark: SparkSession, raw: Raw) -> DataFrame:
+    return L.daily_tables(spark, L.staged_raw(spark, raw), CUTOFF, ITEM_EXCLUDED, STOCK_EXCLUDED_PARENTS, HOSTS)
+
+
+@register("orders_sorted_files", needs_spark=True)
+def q_sorted_files(spark: SparkSession, raw: Raw) -> DataFrame:
+    return L.sorted_files(spark, raw, CUTOFF)
+
+
+@register("delivered_returned_zone")
+def q_pairs_zone(raw: Raw) -> DataFrame:
+    return I.delivered_returned_pairs(raw.order_itemmeta, zone="Europe/Berlin")
+
+
 @register("scan_snapshot", needs_spark=True)
 def q_scan_snapshot(spark: SparkSession, raw: Raw) -> DataFrame:
     return L.scan_snapshot(spark, raw)

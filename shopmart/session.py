@@ -46,10 +46,8 @@ def build_session(master: str | None = None, shuffle_partitions: int | None = No
 def apply_conf(spark: SparkSession) -> None:
     """Apply the runtime SQL settings to an existing session."""
     for k, v in SESSION_CONF.items():
-        try:
+        if spark.conf.isModifiable(k):  # a static one on a shared session stays as set
             spark.conf.set(k, v)
-        except Exception:  # static conf on a shared session: leave it as set
-            pass
 
 
 def checkpoint_dir(spark: SparkSession) -> str:

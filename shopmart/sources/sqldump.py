@@ -9,6 +9,12 @@ and split into rows and errors.  Comments before a statement, ``INSERT
 IGNORE``, ``REPLACE``, a column list, ``_binary'..'`` and hex literals are
 read; a statement into the table that cannot be read goes, whole, to the
 error output instead of stopping the job, unless ``strict``.
+
+With ``keys`` the statements act on the table in their order, as a server
+would run them: REPLACE puts its row in the place of an earlier one, INSERT
+IGNORE keeps the earlier one, and a plain INSERT of a key that is there is an
+error.  That needs no sequential pass: of the rows of a key the last REPLACE
+stands, and without any the first row, which is one aggregate by key.
 """
 
 from __future__ import annotations
@@ -19,7 +25,7 @@ from collections.abc import Iterator, Sequence
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql.types import StringType, StructField, StructType
+from pyspark.sql.types import LongType, StringType, StructField, StructType
 
 from ..session import checkpoint_dir
 
@@ -87,6 +93,7 @@ def parse_values(text: str, n_cols: int) -> list[list[str | None]]:
 # A statement's start: blank lines and comments (dumps put settings into /*! ... */).
 _LEAD = re.compile(r"(?:\s+|--[^\n]*(?:\n|$)|#[^\n]*(?:\n|$)|/\*.*?\*/;?)*", re.S)
 _INSERT = re.compile(r"(?:INSERT|REPLACE)\b(?:\s+(?:LOW_PRIORITY|DELAYED|HIGH_PRIORITY|IGNORE))*(?:\s+INTO)?\s+(?:`?[^\s`.(]+`?\.)?`?(?P<table>[^\s`(]+)`?\s*", re.I)
+_MODE = re.compile(r"(?P<replace>REPLACE)\b|INSERT\b(?:\s+(?:LOW_PRIORITY|DELAYED|HIGH_PRIORITY))*(?P<ignore>\s+IGNORE\b)?", re.I)
 _COLUMNS = re.compile(r"\((?P<names>[^()']*)\)\s*(?=VALUES?\b)", re.I)
 _VALUES = re.compile(r"VALUES?\s*", re.I)
 
@@ -116,8 +123,55 @@ def read_insert(statement: str, table: str, columns: Sequence[str]) -> list[list
     return [[None if i is None else r[i] for i in at] for r in rows]
 
 
+_PLACE = ["_source", "_file", "_start", "_number"]
+
+
+def statement_mode(statement: str) -> str:
+    """``replace``, ``ignore`` or ``insert``: what a statement does with a key that is there."""
+    m = _MODE.match(statement, _LEAD.match(statement).end())
+    return "replace" if m and m.group("replace") else "ignore" if m and m.group("ignore") else "insert"
+
+
+def _statements(spark: SparkSession, paths: list[str]) -> DataFrame:
+    """``value`` and the place of a statement (``_PLACE``): file (in the order given, then by
+    name), start of the split in the file, and number within the split."""
+    out = None
+    for i, p in enumerate(paths):
+        s = spark.read.option("lineSep", STATEMENT_SEP).text(p).select(
+            "value", F.lit(i).alias("_source"), F.col("_metadata.file_path").alias("_file"),
+            F.col("_metadata.file_block_start").alias("_start"), F.monotonically_increasing_id().alias("_number"))
+        out = s if out is None else out.unionByName(s)
+    return out
+
+
+def in_order(rows: DataFrame, keys: Sequence[str]) -> tuple[DataFrame, DataFrame]:
+    """``(rows, duplicates)`` after the statements of ``rows`` (columns ``_mode`` and ``_at``) have run in their order.
+
+    Rows with a NULL key part never meet another.  ``duplicates`` are the rows
+    of plain INSERTs whose key was there.
+    """
+    keys = list(keys)
+    cols = [c for c in rows.columns if c not in ("_mode", "_at")]
+    missing = F.lit(False)
+    for k in keys:
+        missing = missing | F.col(k).isNull()
+    row = F.struct(*[F.col(c) for c in cols])
+    replace = F.col("_mode") == "replace"
+    agg = rows.where(~missing).groupBy(*keys).agg(
+        F.coalesce(F.max_by(row, F.when(replace, F.col("_at"))), F.min_by(row, "_at")).alias("_row"),
+        F.min("_at").alias("_first"), F.count(F.lit(1)).alias("_n"))
+    out = agg.select(*[F.col(f"_row.{c}").alias(c) for c in cols]).unionByName(rows.where(missing).select(*cols))
+    again = agg.where("_n > 1").select(*[F.col(k).alias(f"_again_{k}") for k in keys], "_first")
+    cond = F.col("_at") > F.col("_first")
+    for k in keys:
+        cond = cond & (F.col(k) == F.col(f"_again_{k}"))
+    twice = rows.where(F.col("_mode") == "insert").join(again, cond, "left_semi")
+    return out, twice.select(*cols)
+
+
 def load_sql_dump(spark: SparkSession, path: str | list[str], table: str, columns: Sequence[str],
-                  schema: StructType | None = None, strict: bool = False) -> tuple[DataFrame, DataFrame]:
+                  schema: StructType | None = None, strict: bool = False,
+                  keys: Sequence[str] | None = None) -> tuple[DataFrame, DataFrame]:
     """``(rows, errors)`` of ``table`` in the dump at ``path``.
 
     ``rows`` has ``columns`` as text, cast to ``schema`` when given; a column
@@ -125,24 +179,30 @@ def load_sql_dump(spark: SparkSession, path: str | list[str], table: str, column
     ``statement`` and ``error`` for statements into the table that could not
     be read and, with ``schema``, for rows with a value that does not fit its
     type (the row as JSON).  ``strict`` fails the job if there is any.
+
+    With ``keys`` the statements run in order: files in the order given (those
+    of a folder by name), statements and rows as they stand in a file.  A
+    plain INSERT of a key that is there goes to the errors, row by row.
     """
     cols = list(columns)
     out_schema = StructType([StructField(c, StringType(), True) for c in cols]
-                            + [StructField("_error", StringType(), True), StructField("_statement", StringType(), True)])
+                            + [StructField("_error", StringType(), True), StructField("_statement", StringType(), True),
+                               StructField("_mode", StringType(), True), StructField("_row", LongType(), True)])
+    stmts = _statements(spark, [path] if isinstance(path, str) else list(path))
+    out_schema = StructType([*out_schema.fields, *(stmts.schema[c] for c in _PLACE)])
 
     def parse(batches: Iterator) -> Iterator:
         import pandas as pd
         for pdf in batches:
             out = []
-            for stmt in pdf["value"]:
+            for stmt, at in zip(pdf["value"], pdf[_PLACE].itertuples(index=False, name=None)):
                 try:
-                    for r in read_insert(stmt or "", table, cols) or ():
-                        out.append(r + [None, None])
+                    for i, r in enumerate(read_insert(stmt or "", table, cols) or ()):
+                        out.append((*r, None, None, statement_mode(stmt), i, *at))
                 except ValueError as e:
-                    out.append([None] * len(cols) + [str(e), stmt])
-            yield pd.DataFrame(out, columns=cols + ["_error", "_statement"])
+                    out.append((*[None] * len(cols), str(e), stmt, None, 0, *at))
+            yield pd.DataFrame(out, columns=cols + ["_error", "_statement", "_mode", "_row", *_PLACE])
 
-    stmts = spark.read.option("lineSep", STATEMENT_SEP).text(path)
     stmts = stmts.where(F.col("value").rlike(r"(?i)\b(INSERT|REPLACE)\b"))
     store = f"{checkpoint_dir(spark).rstrip('/')}/sqldump-{uuid.uuid4().hex}"
     parsed = stmts.mapInPandas(parse, out_schema)
@@ -158,10 +218,17 @@ def load_sql_dump(spark: SparkSession, path: str | list[str], table: str, column
     errors = parsed.where(F.col("_error").isNotNull()).select(F.col("_statement").alias("statement"), F.col("_error").alias("error"))
     if strict and (first := errors.select("error").head()) is not None:
         raise ValueError(f"unreadable INSERT for {table}: {first.error}")
-    rows = parsed.where(F.col("_error").isNull()).select(*cols)
-    if schema is not None:
-        rows = rows.select(*[F.col(f.name).try_cast(f.dataType).alias(f.name) for f in schema.fields])
-    return rows, errors
+    typed = {f.name: F.col(f.name).try_cast(f.dataType).alias(f.name) for f in schema.fields} if schema is not None else {}
+    names = schema.names if schema is not None else cols
+    rows = parsed.where(F.col("_error").isNull()).select(
+        *[typed.get(c, F.col(c)) for c in names], "_mode", F.struct(*_PLACE, "_row").alias("_at"))
+    if keys is None:
+        return rows.drop("_mode", "_at"), errors
+    rows, twice = in_order(rows, keys)
+    if strict and (first := twice.head()) is not None:
+        raise ValueError(f"{table}: duplicate key in INSERT: {first}")
+    text = F.to_json(F.struct(*[F.col(c) for c in names]))
+    return rows, errors.unionByName(twice.select(text.alias("statement"), F.lit("duplicate key").alias("error")))
 
 
 def sql_literal(c) -> F.Column:
