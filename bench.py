@@ -7,17 +7,19 @@
    id (timed separately as ``stage_raw``; it aggregates and ranks the line
    items for several raw tables, work that production does not have, where the
    raw snapshot already is stored that way).
-2. Times the five headline queries over the staged snapshot, and each in its
-   literal form: one scalar subquery per attribute, plain Spark SQL.  One
-   warm-up, then the median of ``BENCH_RUNS`` full evaluations (``noop`` sink,
-   so every column is computed and nothing is collected); the other forms
-   ``BENCH_BASELINE_RUNS`` times.
-3. Times orders and addresses built from one aggregate and outer join per
-   attribute (``*_per_key_joins``), and, on the sf0.001 tables with broadcasts
-   off, orders in both forms (``sf0.001_*``): the plan that the literal form
-   gets once its per-attribute slices outgrow the broadcast threshold.
-
-Prints one JSON line; ``value`` is the sum of the headline queries.
+2. Times the five headline queries over the staged snapshot: one warm-up, then
+   the median of ``BENCH_RUNS`` full evaluations (``noop`` sink, so every
+   column is computed and nothing is collected).  Then customers, stock, the
+   upsert over stored tables and the upsert of changed buckets.
+3. Times the five again on the sf0.01 tables (``sf0.01_*``), each beside its
+   literal form there: one scalar subquery per attribute, plain Spark SQL.  At
+   sf0.1 the literal items and products plan as nested-loop joins that take
+   hours; at sf0.01 all five end.
+4. On the sf0.001 tables with broadcasts off, orders in both forms: the plan
+   that the literal form gets once its slices outgrow the broadcast threshold.
+
+After every row the result so far is printed as one JSON line and flushed; the
+last line is the whole result.  ``value`` is the sum of the headline queries.
 """
 
 from __future__ import annotations
@@ -39,6 +41,7 @@ from shopmart.plans import items as I  # noqa: E402
 from shopmart.plans import loads as L  # noqa: E402
 from shopmart.plans import orders as O  # noqa: E402
 from shopmart.plans import products as P  # noqa: E402
+from shopmart.sources import keyed  # noqa: E402
 from shopmart.plans.registry import CUTOFF, HOSTS, ITEM_EXCLUDED, STOCK_EXCLUDED_PARENTS  # noqa: E402
 from shopmart.session import build_session, checkpoint_dir  # noqa: E402
 from shopmart.sources.fixture_star import Raw, raw_from_star  # noqa: E402
@@ -46,26 +49,13 @@ from shopmart.sources.snapshot import read_raw, stage_snapshot  # noqa: E402
 
 SF_DIR = os.environ.get("BENCH_SF_DIR", "/root/testdata/sf0.1")
 SMALL_DIR = os.environ.get("BENCH_SMALL_SF_DIR", "/root/testdata/sf0.001")
+MIDDLE_DIR = os.environ.get("BENCH_MIDDLE_SF_DIR", "/root/testdata/sf0.01")
 CPUS = int(os.environ.get("BENCH_CPUS", "8"))
 RUNS = int(os.environ.get("BENCH_RUNS", "5"))
 BASELINE_RUNS = int(os.environ.get("BENCH_BASELINE_RUNS", "1"))
 SNAPSHOT_DATE = "2017-01-22"
 
 
-def eav_pivot_per_key(meta: DataFrame, entity: str, keys: dict[str, str]) -> DataFrame:
-    """The same result as ``eav_pivot(..., on_duplicate='max')`` built the way
-    Spark plans one correlated scalar subquery per attribute: one filtered
-    aggregate and one outer join per key.
-    """
-    ents = meta.where(F.col("meta_key").isin(list(keys))).select(entity).distinct()
-    out = ents
-    for key, name in keys.items():
-        one = (meta.where(F.col("meta_key") == key).groupBy(entity)
-                   .agg(F.max("meta_value").alias(name)))
-        out = out.join(one, entity, "left")
-    return out
-
-
 def run(make) -> float:
     t = time.perf_counter()
     make().write.format("noop").mode("overwrite").save()
@@ -148,45 +138,65 @@ def main() -> None:
     spark = build_session(f"local[{CPUS}]", CPUS)
     spark.sparkContext.setLogLevel("ERROR")
     root = f"{checkpoint_dir(spark).rstrip('/')}/raw-{int(time.time())}"
+    results: dict[str, float] = {}
+    names = ["orders_fact", "order_items", "products", "addresses", "upsert_single_key"]
+
+    def row(name: str, seconds: float) -> None:
+        results[name] = round(seconds, 3)
+        done = [n for n in names if n in results]
+        pairs = [n for n in names if f"sf0.01_{n}_literal" in results]
+        notes = {"headline_done": len(done), "sf0.01_pairs_done": len(pairs),
+                 "sf0.01_ours": round(sum(results[f"sf0.01_{n}"] for n in pairs), 3),
+                 "sf0.01_literal": round(sum(results[f"sf0.01_{n}_literal"] for n in pairs), 3)}
+        print(json.dumps({"metric": "headline_total_sec", "value": round(sum(results[n] for n in done), 3), "unit": "sec", "queries": results,
+                          "sf": os.path.basename(SF_DIR.rstrip("/")).replace("sf", ""), "cpus": CPUS, "runs": RUNS, "notes": notes}), flush=True)
+
+    def running(name: str) -> None:
+        print(f"running {name}", file=sys.stderr, flush=True)
+
+    def headline(raw: Raw) -> dict:
+        return {
+            "orders_fact": (lambda: O.orders_fact(raw, CUTOFF), lambda: O.orders_fact(raw, CUTOFF, attributes=literal_orders(spark))),
+            "order_items": (lambda: I.order_items(raw, CUTOFF, excluded=ITEM_EXCLUDED, on_duplicate="max"), lambda: literal_items(spark)),
+            "products": (lambda: L.products(spark, raw, HOSTS), lambda: literal_products(spark)),
+            "addresses": (lambda: O.addresses(raw, CUTOFF), lambda: O.addresses(raw, CUTOFF, attributes=literal_orders(spark))),
+            "upsert_single_key": (lambda: L.upsert_single_key(raw, CUTOFF),
+                                  lambda: L.upsert_single_key(raw, CUTOFF, O.orders_fact(raw, CUTOFF, attributes=literal_orders(spark)))),
+        }
+
+    running("stage_raw")
     t = time.perf_counter()
     raw = staged_raw(spark, SF_DIR, root)
-    results = {"stage_raw": round(time.perf_counter() - t, 3)}
-
-    def per_key_attrs():
-        return eav_pivot_per_key(raw.postmeta, "post_id", {**O.ORDER_KEYS, **O.address_meta_keys(), **O.ORIGIN_KEYS})
-
-    def literal_upsert():
-        facts = O.orders_fact(raw, CUTOFF, attributes=literal_orders(spark))
-        return L.upsert_single_key(raw, CUTOFF, facts)
-
-    headline = {
-        "orders_fact": (lambda: O.orders_fact(raw, CUTOFF), lambda: O.orders_fact(raw, CUTOFF, attributes=literal_orders(spark))),
-        "order_items": (lambda: I.order_items(raw, CUTOFF, excluded=ITEM_EXCLUDED, on_duplicate="max"), lambda: literal_items(spark)),
-        "products": (lambda: L.products(spark, raw, HOSTS), lambda: literal_products(spark)),
-        "addresses": (lambda: O.addresses(raw, CUTOFF), lambda: O.addresses(raw, CUTOFF, attributes=literal_orders(spark))),
-        "upsert_single_key": (lambda: L.upsert_single_key(raw, CUTOFF), literal_upsert),
-    }
-    for name, (ours, literal) in headline.items():
-        results[name] = timed(ours)
-        results[f"{name}_literal"] = timed(literal, BASELINE_RUNS)
-    results["customers"] = timed(lambda: O.customers(raw, CUTOFF))
-    results["stock"] = timed(lambda: P.stock(raw, excluded_parents=STOCK_EXCLUDED_PARENTS))
-    results["orders_fact_per_key_joins"] = timed(lambda: O.orders_fact(raw, CUTOFF, attributes=per_key_attrs()), BASELINE_RUNS)
-    results["addresses_per_key_joins"] = timed(lambda: O.addresses(raw, CUTOFF, attributes=per_key_attrs()), BASELINE_RUNS)
+    row("stage_raw", time.perf_counter() - t)
+    for name, (ours, _) in headline(raw).items():
+        running(name)
+        row(name, timed(ours))
     # the load step on its own: target and source are tables, as in the daily load
     facts = L.stage_tables(spark, {"facts": O.orders_fact(raw, CUTOFF)})["facts"]
-    results["upsert_stored"] = timed(lambda: upsert(facts, facts.where("id % 2 = 0"), "id", L.UPSERT_COLUMNS))
+    others = {"customers": lambda: O.customers(raw, CUTOFF), "stock": lambda: P.stock(raw, excluded_parents=STOCK_EXCLUDED_PARENTS),
+              "upsert_stored": lambda: upsert(facts, facts.where("id % 2 = 0"), "id", L.UPSERT_COLUMNS)}
+    for name, make in others.items():
+        running(name)
+        row(name, timed(make))
+    running("upsert_changed_buckets")
+    keyed.create(facts, f"{root}-keyed", ["id"], L.BUCKETS)
+    t = time.perf_counter()
+    keyed.upsert_changed(facts.where(F.col("order_date") >= F.lit(L.DAY_ONE).cast("timestamp_ntz")), f"{root}-keyed")
+    row("upsert_changed_buckets", time.perf_counter() - t)
+    if os.path.isdir(MIDDLE_DIR):
+        for name, (ours, literal) in headline(staged_raw(spark, MIDDLE_DIR, f"{root}-middle")).items():
+            running(f"sf0.01_{name}")
+            row(f"sf0.01_{name}", timed(ours))
+            running(f"sf0.01_{name}_literal")
+            row(f"sf0.01_{name}_literal", timed(literal, BASELINE_RUNS))
     if os.path.isdir(SMALL_DIR):
         small = staged_raw(spark, SMALL_DIR, f"{root}-small")
         spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
         spark.conf.set("spark.sql.adaptive.autoBroadcastJoinThreshold", "-1")
-        results["sf0.001_orders_fact_no_broadcast"] = timed(lambda: O.orders_fact(small, CUTOFF))
-        results["sf0.001_orders_fact_literal_no_broadcast"] = round(run(lambda: O.orders_fact(small, CUTOFF, attributes=literal_orders(spark))), 3)
-    total = sum(results[n] for n in headline)
-    sf = os.path.basename(SF_DIR.rstrip("/")).replace("sf", "")
-    notes = {"headline_literal_total": round(sum(results[f"{n}_literal"] for n in headline), 3)}
-    print(json.dumps({"metric": "headline_total_sec", "value": round(total, 3), "unit": "sec",
-                      "queries": results, "sf": sf, "cpus": CPUS, "runs": RUNS, "notes": notes}))
+        running("sf0.001_orders_fact_no_broadcast")
+        row("sf0.001_orders_fact_no_broadcast", timed(lambda: O.orders_fact(small, CUTOFF)))
+        running("sf0.001_orders_fact_literal_no_broadcast")
+        row("sf0.001_orders_fact_literal_no_broadcast", run(lambda: O.orders_fact(small, CUTOFF, attributes=literal_orders(spark))))
     spark.stop()
 
 
