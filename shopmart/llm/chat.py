@@ -2,12 +2,20 @@
 
 An event log (conversation, sequence, message, event) is folded into final
 messages, which are rendered with a template.  The fold is dealt by message,
-not by conversation: a conversation of any length spreads over the tasks, and
-each task reads its events in order, holding one message at a time.  A turn
+that is by conversation and, within it, by message: no event touches another
+message, so the messages of a conversation fold apart and a conversation of
+any length spreads over the tasks.  Each task reads its events in order of
+sequence, holding one message at a time.  A turn
 is rendered on its own; a formatted conversation is its turns' pieces in
 order, so it need never be in one row (``whole`` joins the pieces where they
 fit, ``digests`` reads them back as a stream).
 
+A control string in a text gets a backslash after its first character, at
+every place where one begins, also inside another.  An escaped text thus
+holds no mark, and since each closing mark begins with its only blank, none
+can arise where a text meets its mark: the open turn ends at the first closing
+mark of its role.
+
 Events: ``start`` opens a message with a role, ``delta`` appends to it,
 ``edit`` replaces its text, ``regenerate`` empties it for the deltas that
 follow, ``delete`` removes it.
@@ -31,21 +39,21 @@ MARKS = {
     "assistant": (" ", " </s>"),
 }
 OTHER = ("<|{role}|> ", " <|end|>")
-#: Control strings, with the backslashes that escape them: one more than the text had.
-_CONTROL = re.compile(r"([<\[])(\\*)(/?INST\]|/?s>|</?SYS>>|\|[^|\n]*\|>)")
-_ESCAPED = re.compile(r"([<\[])(\\*)\\(/?INST\]|/?s>|</?SYS>>|\|[^|\n]*\|>)")
+#: Where control strings begin, with the backslashes that escape them (one more than the text had).
+_CONTROL = re.compile(r"([<\[])(?=\\*(?:/?INST\]|/?s>|</?SYS>>|\|[^|\n]*\|>))")
+_ESCAPED = re.compile(r"([<\[])\\(?=\\*(?:/?INST\]|/?s>|</?SYS>>|\|[^|\n]*\|>))")
 _ROLE = re.compile(r"[\\|\n%]")
-_TURN = re.compile(r"(?:<<SYS>> (?P<system>.*) <</SYS>>|<s>\[INST\] (?P<user>.*) \[/INST\]|<\|(?P<role>[^|\n]*)\|> (?P<other>.*) <\|end\|>| (?P<assistant>.*) </s>)", re.S)
+_OPEN = re.compile(r"(?P<system><<SYS>> )|(?P<user><s>\[INST\] )|<\|(?P<role>[^|\n]*)\|> |(?P<assistant> )")
 _MESSAGES = "conv_id {id}, seq long, message long, role string, text string"
 _PIECES = "conv_id {id}, seq long, message long, role string, piece string, loss_start int, loss_end int"
 
 
 def escape(text: str) -> str:
-    return _CONTROL.sub(r"\1\\\2\3", text)
+    return _CONTROL.sub(r"\1\\", text)
 
 
 def unescape(text: str) -> str:
-    return _ESCAPED.sub(r"\1\2\3", text)
+    return _ESCAPED.sub(r"\1", text)
 
 
 def render(role: str, text: str) -> tuple[str, int, int]:
@@ -59,17 +67,51 @@ def render(role: str, text: str) -> tuple[str, int, int]:
     return before + body + after, *((len(before), end) if role == "assistant" else (0, 0))
 
 
-def parse(piece: str) -> tuple[str, str]:
-    """Role and text of a formatted turn."""
-    m = _TURN.fullmatch(piece)
-    for role in MARKS:
-        if m[role] is not None:
-            return role, unescape(m[role])
-    return re.sub("%(..)", lambda x: chr(int(x[1], 16)), m["role"]), unescape(m["other"])
+class Reader:
+    """Reads formatted conversations back from a stream of characters, given in parts of any length."""
+
+    def __init__(self):
+        self.text, self.at, self.role = "", 0, None  # what is not read yet, its place in the stream, the open role
+
+    def turns(self, more: str):
+        """(role, text, start and end in the stream) of the turns that end within what is there now."""
+        text = self.text + more
+        pos = 0
+        while True:
+            if self.role is None:
+                m = _OPEN.match(text, pos)
+                if not m:
+                    break
+                self.role = m.lastgroup if m.lastgroup != "role" else re.sub("%(..)", lambda x: chr(int(x[1], 16)), m["role"])
+                self.close = OTHER[1] if m.lastgroup == "role" else MARKS[self.role][1]
+                pos = m.end()
+            end = text.find(self.close, pos)
+            if end < 0:
+                break
+            yield self.role, unescape(text[pos:end]), self.at + pos, self.at + end
+            pos, self.role = end + len(self.close), None
+        self.text, self.at = text[pos:], self.at + pos
+
+    def whole(self) -> bool:
+        """Nothing is left over: the stream ended with a turn."""
+        return self.role is None and not self.text
+
+
+def parse(formatted: str) -> list[tuple[str, str]]:
+    """Role and text of the turns of a formatted conversation."""
+    reader = Reader()
+    found = [(role, text) for role, text, _, _ in reader.turns(formatted)]
+    if not reader.whole():
+        raise ValueError("the text does not end with a turn")
+    return found
 
 
 def events_of_messages(messages: DataFrame, conv_col: str = "conv_id", turn_col: str = "turn", role_col: str = "role", text_col: str = "text", delta: int = 256) -> DataFrame:
-    """The event log of finished messages: a start, then deltas of at most ``delta`` characters of the whole text.
+    """An event log that folds to the given messages: a start, then deltas of at most ``delta`` characters of the whole text.
+
+    So that every event occurs, a third of the messages has a draft and is
+    generated again, a third has a draft that an edit replaces, and beside
+    each of the others a message is written and deleted.
 
     Every row is a message of its own, also rows that repeat; rows of one turn
     follow each other in order of arrival.  Null texts and roles are empty,
@@ -78,10 +120,27 @@ def events_of_messages(messages: DataFrame, conv_col: str = "conv_id", turn_col:
     rows = stored(messages.select(
         F.col(f"`{conv_col}`").alias("conv_id"), F.col(f"`{turn_col}`").cast("long").alias("seq"), F.monotonically_increasing_id().alias("message"),
         F.coalesce(F.col(f"`{role_col}`").cast("string"), F.lit("")).alias("role"), F.coalesce(F.col(f"`{text_col}`").cast("string"), F.lit("")).alias("text")))
+    # how a message came about: written again from a draft, a draft edited, or another one deleted beside it
+    way = F.pmod(F.xxhash64("message"), F.lit(3))
+    way = F.when((way == 1) & (F.col("text") == ""), 0).otherwise(way)
+    rows = rows.withColumn("way", way)
     part = F.explode(F.sequence(F.lit(0), F.ceil(F.length("text") / delta).cast("int"))).alias("part")
-    return rows.select("*", part).select(
-        "conv_id", "seq", "part", "message", F.when(F.col("part") == 0, "start").otherwise("delta").alias("event"), "role",
+    event = F.when(F.col("part") == 0, "start").when((F.col("part") == 1) & (F.col("way") == 1), "edit").otherwise("delta")
+    log = rows.select("*", part).select(
+        "conv_id", "seq", (F.col("part") * 2).alias("part"), "message", event.alias("event"), "role",
         F.when(F.col("part") > 0, F.substring("text", (F.col("part") - 1) * delta + 1, F.lit(delta))).alias("text"))
+    draft = F.concat(F.lit("draft "), F.reverse(F.substring("text", 1, delta)))
+
+    def said(event: str, of: DataFrame, part: int, message, text=None) -> DataFrame:
+        return of.select("conv_id", "seq", F.lit(part).alias("part"), message.alias("message"), F.lit(event).alias("event"), "role", (F.lit(None).cast("string") if text is None else text).alias("text"))
+
+    message, other = F.col("message"), -1 - F.col("message")
+    drafts, beside = rows.filter("way < 2"), rows.filter("way = 2")
+    more = [said("delta", drafts, 1, message, draft), said("regenerate", rows.filter("way = 0"), 1, message),
+            said("start", beside, 0, other), said("delta", beside, 1, other, draft), said("delete", beside, 2, other)]
+    for m in more:
+        log = log.unionByName(m)
+    return log
 
 
 def _folded(batches, names: list[str]):
@@ -161,27 +220,45 @@ def digests(pieces: DataFrame) -> DataFrame:
     ordered = pieces.repartition(parts, "conv_id").sortWithinPartitions("conv_id", "seq", "message")
 
     def run(batches):
-        conv, n, chars, loss, turns_hash, loss_hash, some = None, 0, 0, 0, hashlib.sha256(), hashlib.sha256(), False
+        state = None
+
+        def fresh(conv):
+            return {"conv": conv, "n": 0, "chars": 0, "loss": 0, "turns": hashlib.sha256(), "under": hashlib.sha256(), "reader": Reader(), "mask": []}
+
+        def row(s):
+            if not s["reader"].whole() or s["mask"]:
+                raise ValueError(f"conversation {s['conv']} does not read back")
+            return s["conv"], s["n"], s["turns"].hexdigest(), s["loss"], s["under"].hexdigest(), s["chars"]
 
-        def out(kind):
-            return pa.RecordBatch.from_arrays([pa.array([conv], kind), pa.array([n], pa.int64()), pa.array([turns_hash.hexdigest()]), pa.array([loss], pa.int64()), pa.array([loss_hash.hexdigest()]), pa.array([chars], pa.int64())], names=names)
+        def batch_of(rows, id_type):
+            kinds = [id_type, pa.int64(), pa.string(), pa.int64(), pa.string(), pa.int64()]
+            return pa.RecordBatch.from_arrays([pa.array([r[i] for r in rows], k) for i, k in enumerate(kinds)], names=names)
 
         for batch in batches:
             made = []
             for c, piece, a, b in zip(*(x.to_pylist() for x in batch.columns)):
-                if some and c != conv:
-                    made.append(out(batch.column(0).type))
-                    n, chars, loss, turns_hash, loss_hash = 0, 0, 0, hashlib.sha256(), hashlib.sha256()
-                conv, some = c, True
-                role, text = parse(piece)
-                under = unescape(piece[a:b])
-                turns_hash.update(f"{role}\n{text}\n".encode())
-                loss_hash.update(under.encode())
-                n, chars, loss = n + 1, chars + len(piece), loss + len(under)
+                if state is None or c != state["conv"]:
+                    if state is not None:
+                        made.append(row(state))
+                    state = fresh(c)
+                reader = state["reader"]
+                if b > a:
+                    state["mask"].append((state["chars"] + a, state["chars"] + b))
+                # what the mask covers is cut out of the stream as it stands
+                before, held = reader.at, reader.text + piece
+                state["chars"] += len(piece)
+                for role, text, _, _ in reader.turns(piece):
+                    state["turns"].update(f"{role}\n{text}\n".encode())
+                    state["n"] += 1
+                while state["mask"] and state["mask"][0][1] <= state["chars"]:
+                    x, y = state["mask"].pop(0)
+                    under = unescape(held[x - before: y - before])
+                    state["under"].update(under.encode())
+                    state["loss"] += len(under)
             if made:
-                yield pa.Table.from_batches(made).combine_chunks().to_batches()[0]
+                yield batch_of(made, batch.column(0).type)
             last = batch.column(0).type
-        if some:
-            yield out(last)
+        if state is not None:
+            yield batch_of([row(state)], last)
 
     return ordered.select("conv_id", "piece", "loss_start", "loss_end").mapInArrow(run, f"conv_id {kind}, n_turns long, turns_sha256 string, loss_chars long, loss_sha256 string, formatted_chars long")

@@ -8,6 +8,12 @@ two lies within half of that from the other's cell.  With ``reach`` = 1, the
 default, that bound makes the search exact; a smaller ``reach`` visits fewer
 cells and may lose links, the more the fewer dimensions the vectors span.
 
+There are two levels.  A vector is sent once to its outer cell and to each
+outer cell it visits; these are few and large, so it is sent few times.  Inside
+a task vectors lie in fine cells, fitted alike: by the bound above the linked
+pairs of two fine cells lie among the vectors u of one and v of the other for
+which the two sums add up to at most the bound, and only those are multiplied.
+
 Exact copies are one vector with a count.  A cell's residents and visitors
 are dealt to blocks of bounded size and every pair of blocks is a task of its
 own, so a group of near copies of any size is split; a task returns link
@@ -26,10 +32,12 @@ from shopmart.llm._graph import components
 from shopmart.llm._store import stored
 from shopmart.llm.simhash import _forest
 
-#: Distinct vectors on which cells are fitted; vectors a cell shall hold; most cells; rounds of k-means.
-SAMPLE, CELL, MAX_CELLS, ROUNDS = 16384, 512, 1024, 8
-#: Residents and visitors in a block.
-BLOCK, VISITORS = 2048, 4096
+#: Distinct vectors on which cells are fitted; vectors an outer cell shall hold; most outer cells; rounds of k-means.
+SAMPLE, CELL, MAX_CELLS, ROUNDS = 16384, 8192, 1024, 8
+#: Vectors a fine cell shall hold; most fine cells.
+FINE, MAX_FINE = 96, 2048
+#: Residents and visitors in a block; found pairs that are joined to a forest at once.
+BLOCK, VISITORS, PAIRS = 8192, 8192, 1 << 20
 
 
 def _unit(column: pa.Array, width: int) -> np.ndarray:
@@ -56,17 +64,18 @@ def fit_cells(x: np.ndarray, k: int, rounds: int = ROUNDS) -> np.ndarray:
     return centres
 
 
-def _assigned(batches, centres: np.ndarray, margin: np.ndarray):
-    """Home cell and cells visited of each vector (columns node, vector)."""
+def _assigned(batches, centres: np.ndarray, margin: np.ndarray, fine: np.ndarray):
+    """Home cell, cells visited and fine cell of each vector (columns node, vector)."""
     for batch in batches:
         for i in range(0, batch.num_rows, 2048):
             part = batch.slice(i, 2048)
-            s = _unit(part.column(1), centres.shape[1]) @ centres.T
+            x = _unit(part.column(1), centres.shape[1])
+            s = x @ centres.T
             home = np.argmax(s, 1)
             near = s[np.arange(len(s)), home][:, None] - s <= margin[home]
             near[np.arange(len(s)), home] = False
             visits = np.split(np.nonzero(near)[1].astype(np.int32), np.cumsum(near.sum(1))[:-1])
-            yield pa.RecordBatch.from_arrays([part.column(0), pa.array(home, pa.int32()), pa.array(visits, pa.list_(pa.int32()))], names=["node", "home", "visits"])
+            yield pa.RecordBatch.from_arrays([part.column(0), pa.array(home, pa.int32()), pa.array(visits, pa.list_(pa.int32())), pa.array(np.argmax(x @ fine.T, 1), pa.int32())], names=["node", "home", "visits", "fine"])
 
 
 def _dealt(batches, residents: np.ndarray, visitors: np.ndarray):
@@ -98,7 +107,40 @@ def _dealt(batches, residents: np.ndarray, visitors: np.ndarray):
         yield from part.combine_chunks().to_batches()
 
 
-def _compared(task: pa.Table, least: float, width: int) -> pa.Table:
+def _near(x: np.ndarray, fine: np.ndarray, a: np.ndarray, b: np.ndarray, centres: np.ndarray, least: float):
+    """Rows of ``a`` and rows of ``b``, a pair of fine cells at a time, among which all linked pairs are (``b`` may be ``a``)."""
+    def grouped(side):
+        order = side[np.argsort(fine[side], kind="stable")]
+        cells, first = np.unique(fine[order], return_index=True)
+        return cells, np.split(order, first[1:])
+
+    alone = b is a
+    cells_a, rows_a = grouped(a)
+    cells_b, rows_b = (cells_a, rows_a) if alone else grouped(b)
+    bound = np.sqrt(np.maximum(0, 2 - 2 * centres[cells_a] @ centres[cells_b].T)) * np.sqrt(2 - 2 * least) + 2e-9
+
+    def least_of(cells, rows, others):
+        out = np.empty((len(cells), len(others)))
+        for i, (c, r) in enumerate(zip(cells, rows)):
+            out[i] = ((x[r] @ centres[c])[:, None] - x[r] @ centres[others].T).min(0)
+        return out
+
+    low_a = least_of(cells_a, rows_a, cells_b)
+    low_b = low_a if alone else least_of(cells_b, rows_b, cells_a)
+    for i, j in zip(*np.nonzero(low_a + low_b.T <= bound)):
+        if alone and j < i:
+            continue
+        rows, cols = rows_a[i], rows_b[j]
+        if cells_a[i] != cells_b[j]:
+            away = centres[cells_a[i]] - centres[cells_b[j]]
+            u, v = x[rows] @ away, -(x[cols] @ away)
+            rows, cols = rows[u <= bound[i, j] - low_b[j, i]], cols[v <= bound[i, j] - low_a[i, j]]
+        for at in range(0, len(rows), 1024):
+            if len(cols):
+                yield rows[at: at + 1024], cols
+
+
+def _compared(task: pa.Table, least: float, width: int, centres: np.ndarray) -> pa.Table:
     """Links of one block pair: a count for each vector, and the vector it hangs on."""
     name = task.column("task")[0].as_py().split()
     side = task.column("side").to_numpy()
@@ -122,18 +164,37 @@ def _compared(task: pa.Table, least: float, width: int) -> pa.Table:
             hit = distinct[at] == to
             both[of[hit], at[hit]] = True
         counted = ~(both & (distinct < cell)), which
-    for i in range(0, len(a), 512):
-        rows = a[i: i + 512]
-        hit = x[rows] @ x[b].T >= least
-        if alone:
-            hit &= rows[:, None] != b[None, :]
+    place = np.empty(len(node), np.int64)
+    place[a] = np.arange(len(a))
+    of_b = np.empty(len(node), np.int64)
+    of_b[b] = np.arange(len(b))
+    fine = task.column("fine").to_numpy()
+    found: list[tuple[np.ndarray, np.ndarray]] = []
+
+    def joined(label):
+        p, q = (np.concatenate(e) for e in zip(*found)) if found else (np.zeros(0, np.int64),) * 2
+        found.clear()
+        return _forest(len(node), np.concatenate([p, np.arange(len(node))]), np.concatenate([q, label]))
+
+    held = 0
+    for rows, cols in _near(x, fine, a, a if alone else b, centres, least):
+        hit = x[rows] @ x[cols].T >= least
+        same = alone and fine[rows[0]] == fine[cols[0]]
+        if same:
+            hit &= rows[:, None] != cols[None, :]
         if counted:
-            hit &= counted[0][i: i + 512][:, counted[1]]
-        links[rows] += hit @ copies[b]
-        if not alone:
-            links[b] += copies[rows] @ hit
+            hit &= counted[0][place[rows]][:, counted[1][of_b[cols]]]
         p, q = np.nonzero(hit)
-        label = _forest(len(node), np.concatenate([rows[p], np.arange(len(node))]), np.concatenate([b[q], label]))
+        if not len(p):
+            continue
+        links[rows] += hit @ copies[cols]
+        if not same:
+            links[cols] += copies[rows] @ hit
+        found.append((rows[p], cols[q]))
+        held += len(p)
+        if held > PAIRS:
+            label, held = joined(label), 0
+    label = joined(label)
     on = (links > 0) | (label != np.arange(len(node)))
     return pa.table({"node": pa.array(node[on], pa.int64()), "links": pa.array(links[on], pa.int64()), "up": pa.array(node[label[on]], pa.int64())})
 
@@ -167,17 +228,21 @@ def near_duplicates(vectors: DataFrame, id_col: str = "vec_id", vector_col: str
     centres = fit_cells(_unit(sample.column("vector").combine_chunks(), width), k) if sample.num_rows else np.zeros((1, width))
     apart = np.sqrt(np.maximum(0, 2 - 2 * centres @ centres.T))
     margin = reach * 0.5 * np.sqrt(2 - 2 * least) * apart + 1e-9
-    model = spark.sparkContext.broadcast((centres, margin))
-    cells = stored(distinct.select("node", "vector").mapInArrow(lambda it: _assigned(it, *model.value), "node long, home int, visits array<int>"))
+    f = int(np.clip(n // FINE, 1, min(MAX_FINE, max(sample.num_rows // 4, 1))))
+    fine = fit_cells(_unit(sample.column("vector").combine_chunks(), width), f, rounds=3) if sample.num_rows else np.zeros((1, width))
+    model = spark.sparkContext.broadcast((centres, margin, fine))
+    cells = stored(distinct.select("node", "vector").mapInArrow(lambda it: _assigned(it, *model.value), "node long, home int, visits array<int>, fine int"))
     residents, visitors = np.ones(k, np.int64), np.zeros(k, np.int64)
+    # a row for each set of cells visited, at most one a vector, is counted before it is spread over its cells
     for r in cells.groupBy("home").count().collect():  # at most MAX_CELLS rows
         residents[r["home"]] = -(-r["count"] // BLOCK)
-    for r in cells.select(F.explode("visits").alias("home")).groupBy("home").count().collect():
+    sets = cells.filter(F.size("visits") > 0).groupBy("visits").count()
+    for r in sets.select(F.explode("visits").alias("home"), "count").groupBy("home").agg(F.sum("count").alias("count")).collect():
         visitors[r["home"]] = -(-r["count"] // VISITORS)
     kind = distinct.schema["vector"].dataType.simpleString()
     dealt = cells.join(distinct.select("node", "copies", "vector"), "node").mapInArrow(
-        lambda it: _dealt(it, residents, visitors), f"node long, home int, visits array<int>, copies long, vector {kind}, task string, side int")
-    found = stored(dealt.groupBy("task").applyInArrow(lambda t: _compared(t, least, width), "node long, links long, up long"))
+        lambda it: _dealt(it, residents, visitors), f"node long, home int, visits array<int>, fine int, copies long, vector {kind}, task string, side int")
+    found = stored(dealt.groupBy("task").applyInArrow(lambda t: _compared(t, least, width, model.value[2]), "node long, links long, up long"))
     label = components(found.select("node", "up"))
     links = found.groupBy("node").agg(F.sum("links").alias("links"))
     nodes = distinct.select("node", "id", "k1", "k2", "copies").join(label, "node", "left").join(links, "node", "left")

@@ -69,7 +69,9 @@ chance AS (SELECT doc_id, text, n, d.topic AS topic, CASE WHEN n > 0 THEN coales
 SELECT doc_id, n AS n_tokens, topic, round(p, 6) AS probability,
        ('0x' || substr(md5(concat_ws(':', 'mix', doc_id::VARCHAR, text)), 1, 13))::BIGINT / 4503599627370496.0 < p AS kept FROM chance"""
 
-_MARKED = """regexp_replace(text, '([<\\[])(\\\\*)(/?INST\\]|/?s>|</?SYS>>|\\|[^|\\n]*\\|>)', '\\1\\\\\\2\\3', 'g')"""
+#: Length of an escaped text: one more for every place where a control string begins, also inside another.
+_MARKED = r"""(length(text) + len(list_filter(range(1, length(text) + 1), lambda i: text[i] IN ('<', '[')
+  AND regexp_matches(text[i:], '^[<\[]\\*(/?INST\]|/?s>|</?SYS>>|\|[^|\n]*\|>)'))))"""
 
 OP8 = f"""
 WITH m AS (SELECT conv_id, turn, role, coalesce(text, '') AS text FROM conversations
@@ -78,7 +80,7 @@ SELECT conv_id, count(*) AS n_turns,
        sha256(string_agg(role || chr(10) || text || chr(10), '' ORDER BY turn)) AS turns_sha256,
        coalesce(sum(length(text)) FILTER (role = 'assistant'), 0)::BIGINT AS loss_chars,
        sha256(coalesce(string_agg(text, '' ORDER BY turn) FILTER (role = 'assistant'), '')) AS loss_sha256,
-       sum(length({_MARKED}) + CASE role WHEN 'system' THEN 17 WHEN 'user' THEN 18 WHEN 'assistant' THEN 6 ELSE length(role) + 13 END)::BIGINT AS formatted_chars
+       sum({_MARKED} + CASE role WHEN 'system' THEN 17 WHEN 'user' THEN 18 WHEN 'assistant' THEN 6 ELSE length(role) + 13 END)::BIGINT AS formatted_chars
 FROM m GROUP BY conv_id"""
 
 _PIECES = r"regexp_split_to_array(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[.,;:!?\x0A-\x0D]')"

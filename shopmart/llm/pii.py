@@ -33,8 +33,8 @@ KINDS = ("email", "ip", "card", "phone")
 TRAIN_DOCS, TRAIN_CONTEXTS, EPOCHS = 4000, 900, 8
 #: Tokens in an entity at most; characters of context around a trigger; hashed features.
 MAX_TOKENS, CONTEXT, BUCKETS = 16, 48, 1 << 12
-#: Characters that are decoded at once at most.
-STRETCH = 4096
+#: Tokens whose segments are scored at once at most.
+STRETCH = 2048
 
 # The base patterns.  The look-behind only spares repeated scans of one digit run.
 _DOMAIN = re.compile(r"[A-Za-z0-9-]+(\.[A-Za-z0-9-]+)+")
@@ -75,7 +75,7 @@ def base_spans(text: str) -> list[_Span]:
     """Spans of the base patterns, leftmost and non-overlapping within a kind; matches that fail their check are dropped."""
     out = list(_emails(text))
     for m in _IP.finditer(text):
-        if all(len(p.lstrip("0")) <= 3 and int(p) <= 255 for p in m.group().split(".")):
+        if all(len(p) <= 3 and int(p or 0) <= 255 for p in (q.lstrip("0") for q in m.group().split("."))):
             out.append(("ip", *m.span()))
     for m in _CARD.finditer(text):
         digits = _NOT_DIGIT.sub("", m.group())
@@ -96,8 +96,17 @@ def _bucket(feature: str) -> int:
     return zlib.crc32(feature.encode()) % BUCKETS
 
 
+def _digit(c: str) -> bool:
+    """An ASCII digit: other scripts' and raised digits are no digits here."""
+    return "0" <= c <= "9"
+
+
+def _alnum(c: str) -> bool:
+    return _digit(c) or c.isalpha()
+
+
 def _shape(token: str) -> str:
-    if token[0].isdigit():
+    if _digit(token[0]):
         return f"d{min(len(token), 20)}"
     return "a" if token[0].isalpha() else "_" if token.isspace() else token
 
@@ -112,7 +121,7 @@ class Region:
         free = [not any(a < e and s < b for s, e in blocked) for a, b in self.tokens]
         self.segments = []
         for i, p in enumerate(part):
-            if not free[i] or not (p[0].isalnum() or p[0] in "+("):
+            if not free[i] or not (_alnum(p[0]) or p[0] in "+("):
                 continue
             digits = ""
             letters = False
@@ -120,9 +129,9 @@ class Region:
                 if not free[j - 1]:
                     break
                 q = part[j - 1]
-                digits += q if q[0].isdigit() and q.isascii() else ""
+                digits += q if _digit(q[0]) else ""
                 letters |= q[0].isalpha()
-                if not q[0].isalnum() or (not letters and len(digits) < 4):
+                if not _alnum(q[0]) or (not letters and len(digits) < 4):
                     continue
                 span = text[self.tokens[i][0]: self.tokens[j - 1][1]]
                 if letters and not _AT.search(span):
@@ -134,7 +143,7 @@ class Region:
     @staticmethod
     def features(span, part, shape, i, j, digits, letters) -> np.ndarray:
         left, right = shape[i - 1] if i else "^", shape[j] if j < len(shape) else "$"
-        seps = "".join(sorted({p for p in part if not p[0].isalnum()}))
+        seps = "".join(sorted({p for p in part if not _alnum(p[0])}))
         names = ["bias", f"left:{left}", f"left2:{shape[i - 2] if i > 1 else '^'} {left}", f"right:{right}", f"right2:{right} {shape[j + 1] if j + 1 < len(shape) else '$'}", f"seps:{seps}"]
         if letters:
             marks = [m.group().lower().strip() for m in _AT.finditer(span)]
@@ -142,9 +151,9 @@ class Region:
             names += [f"at:{marks[0][:3] if len(marks) == 1 else len(marks)}", f"ends:{min(len(ends), 8)}", f"spaces:{sum(p.isspace() for p in part)}", f"dots:{span.count('.') + span.lower().count(' dot ')}",
                       f"first:{shape[i]}", f"tokens:{j - i}"]
         else:
-            groups = [len(p) for p in part if p[0].isdigit()]
-            names += [f"groups:{groups}", f"digits:{len(digits)}", f"shape:{''.join(shape[i:j])}", f"luhn:{13 < len(digits) < 20 and luhn(digits)}", f"starts:{span[0] if not span[0].isdigit() else 'd'}",
-                      f"bytes:{len(groups) == 4 and max(groups) < 4 and all(int(p) < 256 for p in part if p[0].isdigit())} {seps}", f"parens:{span.count('(') == span.count(')')}"]
+            groups = [len(p) for p in part if _digit(p[0])]
+            names += [f"groups:{groups}", f"digits:{len(digits)}", f"shape:{''.join(shape[i:j])}", f"luhn:{13 < len(digits) < 20 and luhn(digits)}", f"starts:{span[0] if not _digit(span[0]) else 'd'}",
+                      f"bytes:{len(groups) == 4 and max(groups) < 4 and all(int(p) < 256 for p in part if _digit(p[0]))} {seps}", f"parens:{span.count('(') == span.count(')')}"]
         return np.array([_bucket(n) for n in names])
 
     def scored(self, weight: np.ndarray):
@@ -237,23 +246,54 @@ class Model:
                 regions[-1][1] = b
             else:
                 regions.append([a, b])
-        out, done = [], 0
+        out = []
         for a, b in regions:
-            for x in range(a, b, STRETCH):  # dense digits: stretches of bounded length that overlap
-                y = min(b, x + STRETCH + CONTEXT)
-                near = [(max(s - x, 0), e - x) for s, e in blocked[max(bisect.bisect_right(starts, x) - 1, 0): bisect.bisect_left(starts, y)] if e > x]
-                key = (text[x:y], tuple(near))
+            near = [(max(s - a, 0), e - a) for s, e in blocked[max(bisect.bisect_right(starts, a) - 1, 0): bisect.bisect_left(starts, b)] if e > a]
+            if b - a > 4 * STRETCH:
+                found = decode_long(text[a:b], near, self.weight)
+            else:
+                key = (text[a:b], tuple(near))
                 if key not in memo:
                     if len(memo) > 20000:
                         memo.clear()
-                    memo[key] = Region(text[x:y], near).decode(self.weight)
-                for k, s, e in memo[key]:
-                    if s < STRETCH and s + x >= done:
-                        out.append((k, s + x, e + x))
-                        done = e + x
+                    memo[key] = Region(text[a:b], near).decode(self.weight)
+                found = memo[key]
+            out += [(k, s + a, e + a) for k, s, e in found]
         return out
 
 
+def decode_long(text: str, blocked: list[tuple[int, int]], weight: np.ndarray) -> list[_Span]:
+    """``Region(text, blocked).decode(weight)`` without all segments at once: a stretch of tokens is
+    scored with the tokens that its segments and their features can reach, and the dynamic program runs
+    on over all stretches, so the result does not depend on where they end."""
+    start = np.fromiter((m.start() for m in _TOKEN.finditer(text)), np.int64)
+    n = len(start)
+    start = np.append(start, len(text))
+    best, first, kind = np.zeros(n + 1), np.full(n + 1, -1, np.int64), np.zeros(n + 1, np.int8)
+    at = [s for s, _ in blocked]
+    by_end: dict[int, list] = {}
+    for t in range(0, n, STRETCH):
+        low, high = max(0, t - 2), min(n, t + STRETCH + MAX_TOKENS + 2)
+        x, y = int(start[low]), int(start[high])
+        near = [(s - x, e - x) for s, e in blocked[max(bisect.bisect_right(at, x) - 1, 0): bisect.bisect_left(at, y)] if e > x]
+        for i, j, k, s in Region(text[x:y], near).scored(weight):
+            if s > 0 and t <= i + low < t + STRETCH:
+                by_end.setdefault(j + low, []).append((i + low, k, s))
+        for j in range(t + 1, min(n, t + STRETCH) + 1):
+            best[j] = best[j - 1]
+            for i, k, s in by_end.pop(j, ()):
+                if best[i] + s > best[j]:
+                    best[j], first[j], kind[j] = best[i] + s, i, k
+    out, j = [], n
+    while j:
+        if first[j] >= 0:
+            out.append((KINDS[kind[j]], int(start[first[j]]), int(start[j])))
+            j = int(first[j])
+        else:
+            j -= 1
+    return out[::-1]
+
+
 def _merged(spans: list[_Span]) -> list[tuple[int, int]]:
     out: list[tuple[int, int]] = []
     for _, s, e in sorted(spans, key=lambda x: x[1]):

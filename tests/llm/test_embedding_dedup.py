@@ -43,6 +43,8 @@ def test_against_brute_force(spark, monkeypatch, kind):
     monkeypatch.setattr(embedding_dedup, "CELL", 60)
     monkeypatch.setattr(embedding_dedup, "BLOCK", 40)  # several blocks a cell
     monkeypatch.setattr(embedding_dedup, "VISITORS", 50)
+    monkeypatch.setattr(embedding_dedup, "FINE", 12)
+    monkeypatch.setattr(embedding_dedup, "PAIRS", 500)
     v = vectors(np.random.default_rng(7))
     if kind == "float":
         v = [x if x is None else [y if y is None else float(np.float32(min(y, 1e38))) for y in x] for x in v]
@@ -66,6 +68,7 @@ def test_recall_of_the_default_reach(spark, monkeypatch):
 
 def test_default_reach_is_exact_on_few_dimensions_and_many_cells(spark, monkeypatch):
     monkeypatch.setattr(embedding_dedup, "CELL", 8)
+    monkeypatch.setattr(embedding_dedup, "FINE", 4)
     rng = np.random.default_rng(3)
     low = rng.normal(size=(400, 3)) @ rng.normal(size=(3, 64))  # all of rank 3
     plane = rng.normal(size=(200, 2)) @ rng.normal(size=(2, 64))
@@ -75,6 +78,16 @@ def test_default_reach_is_exact_on_few_dimensions_and_many_cells(spark, monkeypa
     assert sorted(map(tuple, near_duplicates(df).collect())) == brute(ids, v)
 
 
+def test_one_dense_ball(spark):
+    """All vectors in one ball, over several blocks and fine cells: every pair may link."""
+    rng = np.random.default_rng(9)
+    x = rng.normal(size=(1, 16)) + 0.3 / np.sqrt(16) * rng.normal(size=(900, 16))
+    v = [list(map(float, r)) for r in x]
+    df = spark.createDataFrame(list(enumerate(v)), "vec_id long, embedding array<double>").repartition(3)
+    got = sorted(map(tuple, near_duplicates(df).collect()))
+    assert got == brute(list(range(len(v))), v) and sum(r[1] for r in got) > 300000
+
+
 def test_empty_table(spark):
     df = spark.createDataFrame([], "vec_id long, embedding array<float>")
     assert near_duplicates(df).count() == 0

@@ -135,3 +135,36 @@ def test_nothing_to_learn_from(spark):
     model = train(spark.createDataFrame([(1, None), (2, "words only")], "doc_id long, text string"))
     assert not model.weight.any() and model.added("call 555 0199 123", [], {}) == []
     assert fit([]).added("x 1234 5678", [], {}) == []
+
+
+ODD = ["²", "³", "①", "٣", "५", "１", "½", "Ⅷ", "0" * 5000, "1.1.1." + "0" * 5000, "0" * 30 + "7.0.0.1", "12.34.56.²", "call 12 34 56 ² now", "tel 123-45-6-²", "x@y.z", "+", "(", ")", "-", " ", ".", "[at]", " dot ", "é", "9" * 4400,
+       "4111 1111 1111 1111", "+49 (30) 123-45678", "555 0199", "\n", "𝟗", "@"]
+
+
+def test_odd_digits_do_not_end_the_job():
+    rng = np.random.default_rng(12)
+    weight = rng.normal(size=(1 << 12, len(KINDS)))
+    model = fit([])
+    model.weight = weight
+    for text in ["1.1.1." + "0" * 5000, "call 12 34 56 ² now", "x 12.34.56.²", "tel 123-45-6-²"]:
+        model.added(text, base_spans(text), {})
+    for _ in range(300):
+        text = "".join(rng.choice(ODD, rng.integers(1, 25)))
+        base = base_spans(text)
+        for k, s, e in base + model.added(text, base, {}):
+            assert k in KINDS and 0 <= s < e <= len(text)
+    assert ("ip", 0, 5006) in base_spans("1.1.1." + "0" * 5000) and base_spans("1.1.1.256") == []
+
+
+@pytest.mark.parametrize("stretch", [1, 7, 40])
+def test_long_regions_decode_as_one(monkeypatch, stretch):
+    from shopmart.llm import pii
+    monkeypatch.setattr(pii, "STRETCH", stretch)
+    rng = np.random.default_rng(stretch)
+    weight = rng.normal(size=(1 << 12, len(KINDS))) * 0.7
+    for _ in range(25):
+        text = "".join(rng.choice(ODD[:8] + ODD[14:], rng.integers(20, 120)))
+        blocked = [(int(a), int(a) + 5) for a in sorted(rng.choice(len(text) // 8, 3, replace=False) * 8)]
+        want = Region(text, blocked).decode(weight)
+        assert pii.decode_long(text, blocked, weight) == want
+    assert want
