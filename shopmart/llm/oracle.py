@@ -22,7 +22,9 @@ WITH d AS (SELECT doc_id, text, list_filter(string_split(coalesce(text, ''), chr
 line AS (SELECT doc_id, unnest(range(len(w))) AS p, unnest(w) AS x FROM d),
 pair AS (SELECT a.doc_id, a.p, row_number() OVER (PARTITION BY a.x, b.x ORDER BY a.doc_id, a.p) AS nth
          FROM line a JOIN line b ON b.doc_id = a.doc_id AND b.p = a.p + 1),
-gone AS (SELECT doc_id, p FROM pair WHERE nth > 1 UNION SELECT doc_id, p + 1 FROM pair WHERE nth > 1),
+solo AS (SELECT doc_id, p, row_number() OVER (PARTITION BY x ORDER BY doc_id, p) AS nth FROM line
+         WHERE len(regexp_extract_all(x, '[^ \t\n\r\x0B\x0C]+')) >= 20),
+gone AS (SELECT doc_id, p FROM pair WHERE nth > 1 UNION SELECT doc_id, p + 1 FROM pair WHERE nth > 1 UNION SELECT doc_id, p FROM solo WHERE nth > 1),
 left_ AS (SELECT doc_id, count(*) AS n, string_agg(x, chr(10) ORDER BY p) AS t FROM line ANTI JOIN gone USING (doc_id, p) GROUP BY doc_id)
 SELECT doc_id, len(w)::BIGINT AS n_lines, (len(w) - coalesce(n, 0))::BIGINT AS n_removed,
        sha256(CASE WHEN len(w) = coalesce(n, 0) THEN text ELSE coalesce(t, '') END) AS kept_sha256

@@ -23,7 +23,7 @@ def op1_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op2_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
-    out = remove_repeated_runs(table(spark, sf_dir, "documents"), min_lines=2)
+    out = remove_repeated_runs(table(spark, sf_dir, "documents"), min_lines=2, long_words=20)
     return out.select("row.doc_id", "n_lines", "n_removed", F.sha2("kept", 256).alias("kept_sha256"))
 
 

@@ -76,6 +76,17 @@ def test_long_lines_count_alone(spark, m):
     assert got[2] == (1, "x\ny") and got[3] == (1, "")
 
 
+def test_no_long_line_is_kept_twice(spark):
+    """On the whole table: of lines of 20 words or more only the first copy stays, alone in their documents or not."""
+    from shopmart.llm.queries import table
+    docs = table(spark, "/root/testdata/sf0.001", "documents")
+    kept = remove_repeated_runs(docs, min_lines=2, long_words=20).select("kept").collect()
+    lines = [x for r in kept for x in (r.kept or "").split("\n") if len(re.findall(r"[^ \t\n\r\x0b\x0c]+", x)) >= 20]
+    assert lines and len(lines) == len(set(lines))
+    before = [x for r in docs.collect() for x in set((r.text or "").split("\n")) if len(x.split()) >= 20]
+    assert set(lines) == set(before) and len(before) > len(lines)
+
+
 def test_null_and_repeated_ids(spark):
     t = "a\nb\nc"
     df = spark.createDataFrame([(1, t), (None, t), (1, t), (None, None)], "doc_id long, text string")

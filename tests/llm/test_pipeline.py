@@ -8,7 +8,7 @@ import pytest
 from shopmart.llm._store import stored
 from shopmart.llm.queries import queries
 from tests.llm.test_decontaminate import brute as brute_hits
-from tests.llm.test_line_dedup import brute as brute_lines
+from tests.llm.test_line_dedup import brute_long as brute_lines
 from tests.llm.test_simhash import brute_components, brute_print
 
 SF = "/root/testdata/sf0.001"
@@ -35,7 +35,7 @@ def test_quality(spark, stages):
 def test_line_dedup(stages):
     _, rows, _ = stages
     before, after = rows["quality classifier"], rows["line dedup"]
-    want = [w[3] for w in brute_lines([r.text for r in before], 2)]
+    want = [w[1] for w in brute_lines([r.text for r in before], 2, 20)]
     assert [tuple(r) for r in after] == [(r.doc_id, t, r.lang, r.source, len(t)) for r, t in zip(before, want)]
 
 
