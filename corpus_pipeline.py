@@ -30,8 +30,8 @@ def quality_filter(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFra
 
 
 def line_dedup_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """All documents, without later copies of runs of two lines or more."""
-    return _documents(line_dedup.remove_repeated_runs(docs, min_lines=2), docs.columns, F.col("kept"))
+    """All documents, without later copies of runs of two lines or more, and of lines of 20 words or more."""
+    return _documents(line_dedup.remove_repeated_runs(docs, min_lines=2, long_words=20), docs.columns, F.col("kept"))
 
 
 def near_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
