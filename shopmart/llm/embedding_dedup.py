@@ -3,18 +3,18 @@
 Cells are fitted on a bounded sample of distinct vectors; every vector is then
 assigned to the cell of its nearest centre (its home) and also visits each
 cell whose border is near: for two vectors u, v with homes g, h the sum of
-(c_h - c_g).v and (c_g - c_h).u is at most |u - v| |c_g - c_h|, so one of the
+(c_g - c_h).u and (c_h - c_g).v is at most |u - v| |c_g - c_h|, so one of the
 two lies within half of that from the other's cell.  With ``reach`` = 1, the
 default, that bound makes the search exact; a smaller ``reach`` visits fewer
 cells and may lose links, the more the fewer dimensions the vectors span.
 
-There are two levels.  A vector is sent once to its outer cell and to each
-outer cell it visits; these are few and large, so it is sent few times.  Inside
-a task vectors lie in fine cells, fitted alike: by the bound above the linked
-pairs of two fine cells lie among the vectors u of one and v of the other for
-which the two sums add up to at most the bound, and only those are multiplied.
+There are two levels.  The cells are many and small, so that a vector is
+compared with few others; they are gathered into few large groups, and a
+vector is sent once to the group of its home and to each group that holds a
+cell it visits, so it is sent few times.  A task compares, for each cell of a
+group, its residents with the vectors that visit it.
 
-Exact copies are one vector with a count.  A cell's residents and visitors
+Exact copies are one vector with a count.  A group's residents and visitors
 are dealt to blocks of bounded size and every pair of blocks is a task of its
 own, so a group of near copies of any size is split; a task returns link
 counts per vector and a spanning forest, never its pairs.
@@ -32,10 +32,10 @@ from shopmart.llm._graph import components
 from shopmart.llm._store import stored
 from shopmart.llm.simhash import _forest
 
-#: Distinct vectors on which cells are fitted; vectors an outer cell shall hold; most outer cells; rounds of k-means.
-SAMPLE, CELL, MAX_CELLS, ROUNDS = 16384, 8192, 1024, 8
-#: Vectors a fine cell shall hold; most fine cells.
-FINE, MAX_FINE = 96, 2048
+#: Distinct vectors on which cells are fitted; vectors a cell shall hold; most cells; rounds of k-means.
+SAMPLE, CELL, MAX_CELLS, ROUNDS = 16384, 128, 2048, 4
+#: Vectors a group of cells shall hold.
+GROUP = 8192
 #: Residents and visitors in a block; found pairs that are joined to a forest at once.
 BLOCK, VISITORS, PAIRS = 8192, 8192, 1 << 20
 
@@ -64,137 +64,109 @@ def fit_cells(x: np.ndarray, k: int, rounds: int = ROUNDS) -> np.ndarray:
     return centres
 
 
-def _assigned(batches, centres: np.ndarray, margin: np.ndarray, fine: np.ndarray):
-    """Home cell, cells visited and fine cell of each vector (columns node, vector)."""
+def _margins(centres: np.ndarray, least: float, reach: float) -> np.ndarray:
+    """How much nearer to its home than to another cell a vector may be and still visit it."""
+    return reach * 0.5 * np.sqrt(2 - 2 * least) * np.sqrt(np.maximum(0, 2 - 2 * centres @ centres.T)) + 1e-9
+
+
+def _assigned(batches, centres: np.ndarray, group: np.ndarray, least: float, reach: float):
+    """Group and cell of the home of each vector, and the groups it visits (columns node, vector)."""
+    margin = _margins(centres, least, reach)
     for batch in batches:
         for i in range(0, batch.num_rows, 2048):
             part = batch.slice(i, 2048)
-            x = _unit(part.column(1), centres.shape[1])
-            s = x @ centres.T
-            home = np.argmax(s, 1)
-            near = s[np.arange(len(s)), home][:, None] - s <= margin[home]
-            near[np.arange(len(s)), home] = False
-            visits = np.split(np.nonzero(near)[1].astype(np.int32), np.cumsum(near.sum(1))[:-1])
-            yield pa.RecordBatch.from_arrays([part.column(0), pa.array(home, pa.int32()), pa.array(visits, pa.list_(pa.int32())), pa.array(np.argmax(x @ fine.T, 1), pa.int32())], names=["node", "home", "visits", "fine"])
+            s = _unit(part.column(1), centres.shape[1]) @ centres.T
+            cell = np.argmax(s, 1)
+            near = s[np.arange(len(s)), cell][:, None] - s <= margin[cell]
+            there = np.zeros((len(s), group.max() + 1), bool)
+            for g in range(there.shape[1]):
+                there[:, g] = near[:, group == g].any(1)
+            there[np.arange(len(s)), group[cell]] = False
+            visits = np.split(np.nonzero(there)[1].astype(np.int32), np.cumsum(there.sum(1))[:-1])
+            yield pa.RecordBatch.from_arrays([part.column(0), pa.array(group[cell], pa.int32()), pa.array(cell, pa.int32()), pa.array(visits, pa.list_(pa.int32()))],
+                                             names=["node", "home", "cell", "visits"])
 
 
 def _dealt(batches, residents: np.ndarray, visitors: np.ndarray):
-    """Each vector with the block pairs it takes part in: residents i x j of a cell, and residents j x visitors q."""
+    """Each vector with the tasks it takes part in: a block of a group's residents (side 0) against each block of
+    its residents and of its visitors (side 1; 2 is both)."""
     for batch in batches:
         node = batch.column(0).to_numpy()
         home = batch.column(1).to_numpy()
-        visits = batch.column(2).to_pylist()
+        visits = batch.column(3).to_pylist()
         rows, tasks, sides = [], [], []
         spread = (node.astype(np.uint64) * np.uint64(0x9E3779B97F4A7C15) >> np.uint64(33)).astype(np.int64)
-        for r, (c, v) in enumerate(zip(home.tolist(), visits)):
-            mine = int(spread[r]) % residents[c]
-            for j in range(residents[c]):
-                rows.append(r)
-                tasks.append(f"{c} {min(mine, j)} {max(mine, j)}")
-                sides.append(int(j < mine))
-            for q in range(visitors[c]):
-                rows.append(r)
-                tasks.append(f"{c} {mine} visit {q}")
-                sides.append(0)
-            for c in v:
-                q = int(spread[r]) % visitors[c]
-                for j in range(residents[c]):
-                    rows.append(r)
-                    tasks.append(f"{c} {j} visit {q}")
-                    sides.append(1)
+        for r, (g, v) in enumerate(zip(home.tolist(), visits)):
+            mine = int(spread[r]) % residents[g]
+            put = [(f"{g} {mine} {mine}", 2)]
+            for j in range(residents[g]):
+                if j != mine:
+                    put += [(f"{g} {mine} {j}", 0), (f"{g} {j} {mine}", 1)]
+            put += [(f"{g} {mine} visit {q}", 0) for q in range(visitors[g])]
+            for g in v:
+                q = int(spread[r]) % visitors[g]
+                put += [(f"{g} {j} visit {q}", 1) for j in range(residents[g])]
+            rows += [r] * len(put)
+            tasks += [t for t, _ in put]
+            sides += [s for _, s in put]
         part = pa.Table.from_batches([batch]).take(pa.array(rows, pa.int64()))
         part = part.append_column("task", pa.array(tasks, pa.string())).append_column("side", pa.array(sides, pa.int32()))
         yield from part.combine_chunks().to_batches()
 
 
-def _near(x: np.ndarray, fine: np.ndarray, a: np.ndarray, b: np.ndarray, centres: np.ndarray, least: float):
-    """Rows of ``a`` and rows of ``b``, a pair of fine cells at a time, among which all linked pairs are (``b`` may be ``a``)."""
-    def grouped(side):
-        order = side[np.argsort(fine[side], kind="stable")]
-        cells, first = np.unique(fine[order], return_index=True)
-        return cells, np.split(order, first[1:])
-
-    alone = b is a
-    cells_a, rows_a = grouped(a)
-    cells_b, rows_b = (cells_a, rows_a) if alone else grouped(b)
-    bound = np.sqrt(np.maximum(0, 2 - 2 * centres[cells_a] @ centres[cells_b].T)) * np.sqrt(2 - 2 * least) + 2e-9
-
-    def least_of(cells, rows, others):
-        out = np.empty((len(cells), len(others)))
-        for i, (c, r) in enumerate(zip(cells, rows)):
-            out[i] = ((x[r] @ centres[c])[:, None] - x[r] @ centres[others].T).min(0)
-        return out
-
-    low_a = least_of(cells_a, rows_a, cells_b)
-    low_b = low_a if alone else least_of(cells_b, rows_b, cells_a)
-    for i, j in zip(*np.nonzero(low_a + low_b.T <= bound)):
-        if alone and j < i:
-            continue
-        rows, cols = rows_a[i], rows_b[j]
-        if cells_a[i] != cells_b[j]:
-            away = centres[cells_a[i]] - centres[cells_b[j]]
-            u, v = x[rows] @ away, -(x[cols] @ away)
-            rows, cols = rows[u <= bound[i, j] - low_b[j, i]], cols[v <= bound[i, j] - low_a[i, j]]
-        for at in range(0, len(rows), 1024):
-            if len(cols):
-                yield rows[at: at + 1024], cols
+def _compared(task: pa.Table, least: float, width: int, centres: np.ndarray, reach: float) -> pa.Table:
+    """Links of one pair of blocks: a count for each vector, and the vector it hangs on.
 
-
-def _compared(task: pa.Table, least: float, width: int, centres: np.ndarray) -> pa.Table:
-    """Links of one block pair: a count for each vector, and the vector it hangs on."""
-    name = task.column("task")[0].as_py().split()
+    A pair of one cell is met from either end, each counting its own; a pair
+    of two cells is met once, or, if each visits the other's cell, counted in
+    the smaller cell only.
+    """
     side = task.column("side").to_numpy()
     node = task.column("node").to_numpy()
     copies = task.column("copies").to_numpy()
+    cell = task.column("cell").to_numpy()
     x = _unit(task.column("vector").combine_chunks(), width)
-    alone = "visit" not in name and name[1] == name[2]
-    a, b = np.flatnonzero(side == 0), np.flatnonzero(side == (0 if alone else 1))
+    margin = _margins(centres, least, reach)
+    own = np.einsum("ij,ij->i", x, centres[cell])
+    here, there = np.flatnonzero(side != 1), np.flatnonzero(side != 0)
+    here = here[np.argsort(cell[here], kind="stable")]
+    cells, first = np.unique(cell[here], return_index=True)
+    away = own[there][:, None] - x[there] @ centres[cells].T
+    near = away <= margin[cell[there]][:, cells]
+    near |= cell[there][:, None] == cells[None, :]
     links, label = np.zeros(len(node), np.int64), np.arange(len(node))
-    counted = None
-    if "visit" in name:
-        # a pair whose two members visit each other's cell counts in the smaller cell only
-        cell, homes = int(name[0]), task.column("home").to_numpy()[b]
-        visits = task.column("visits").take(pa.array(a))
-        of = np.repeat(np.arange(len(a)), [len(v) for v in visits.to_pylist()])
-        to = visits.combine_chunks().flatten().to_numpy()
-        distinct, which = np.unique(homes, return_inverse=True)
-        both = np.zeros((len(a), len(distinct)), bool)
-        at = np.minimum(np.searchsorted(distinct, to), max(len(distinct) - 1, 0))
-        if len(distinct):
-            hit = distinct[at] == to
-            both[of[hit], at[hit]] = True
-        counted = ~(both & (distinct < cell)), which
-    place = np.empty(len(node), np.int64)
-    place[a] = np.arange(len(a))
-    of_b = np.empty(len(node), np.int64)
-    of_b[b] = np.arange(len(b))
-    fine = task.column("fine").to_numpy()
     found: list[tuple[np.ndarray, np.ndarray]] = []
+    held = 0
 
-    def joined(label):
-        p, q = (np.concatenate(e) for e in zip(*found)) if found else (np.zeros(0, np.int64),) * 2
+    def joined():
+        p, q = (np.concatenate(e) for e in zip(*found))
         found.clear()
         return _forest(len(node), np.concatenate([p, np.arange(len(node))]), np.concatenate([q, label]))
 
-    held = 0
-    for rows, cols in _near(x, fine, a, a if alone else b, centres, least):
-        hit = x[rows] @ x[cols].T >= least
-        same = alone and fine[rows[0]] == fine[cols[0]]
-        if same:
-            hit &= rows[:, None] != cols[None, :]
-        if counted:
-            hit &= counted[0][place[rows]][:, counted[1][of_b[cols]]]
-        p, q = np.nonzero(hit)
-        if not len(p):
-            continue
-        links[rows] += hit @ copies[cols]
-        if not same:
-            links[cols] += copies[rows] @ hit
-        found.append((rows[p], cols[q]))
-        held += len(p)
-        if held > PAIRS:
-            label, held = joined(label), 0
-    label = joined(label)
+    for c, (h, stays) in enumerate(zip(cells, np.split(here, first[1:]))):
+        comes = there[near[:, c]]
+        for i in range(0, len(comes), 2048):
+            rows = comes[i: i + 2048]
+            p, q = np.nonzero(x[rows] @ x[stays].T >= least)
+            p, q = rows[p], stays[q]
+            other = cell[p] != h
+            # does the resident visit the other's cell, and is that the smaller one?
+            back = other & (cell[p] < h)
+            at = np.flatnonzero(back)
+            if len(at):
+                back[at] = own[q[at]] - np.einsum("ij,ij->i", x[q[at]], centres[cell[p[at]]]) <= margin[h, cell[p[at]]]
+            on = (p != q) & ~back
+            p, q, other = p[on], q[on], other[on]
+            if not len(p):
+                continue
+            np.add.at(links, p, copies[q])
+            np.add.at(links, q[other], copies[p[other]])
+            found.append((p, q))
+            held += len(p)
+            if held > PAIRS:
+                label, held = joined(), 0
+    if found:
+        label = joined()
     on = (links > 0) | (label != np.arange(len(node)))
     return pa.table({"node": pa.array(node[on], pa.int64()), "links": pa.array(links[on], pa.int64()), "up": pa.array(node[label[on]], pa.int64())})
 
@@ -226,14 +198,12 @@ def near_duplicates(vectors: DataFrame, id_col: str = "vec_id", vector_col: str
     sample = distinct.filter(F.pmod(F.xxhash64(F.lit(3), "k1"), F.lit(1 << 20)) < share).select("k1", "vector").limit(2 * SAMPLE).toArrow().sort_by("k1")
     k = int(np.clip(n // CELL, 1, min(MAX_CELLS, max(sample.num_rows // 4, 1))))
     centres = fit_cells(_unit(sample.column("vector").combine_chunks(), width), k) if sample.num_rows else np.zeros((1, width))
-    apart = np.sqrt(np.maximum(0, 2 - 2 * centres @ centres.T))
-    margin = reach * 0.5 * np.sqrt(2 - 2 * least) * apart + 1e-9
-    f = int(np.clip(n // FINE, 1, min(MAX_FINE, max(sample.num_rows // 4, 1))))
-    fine = fit_cells(_unit(sample.column("vector").combine_chunks(), width), f, rounds=3) if sample.num_rows else np.zeros((1, width))
-    model = spark.sparkContext.broadcast((centres, margin, fine))
-    cells = stored(distinct.select("node", "vector").mapInArrow(lambda it: _assigned(it, *model.value), "node long, home int, visits array<int>, fine int"))
-    residents, visitors = np.ones(k, np.int64), np.zeros(k, np.int64)
-    # a row for each set of cells visited, at most one a vector, is counted before it is spread over its cells
+    groups = int(np.clip(n // GROUP, 1, k))
+    group = np.unique(np.argmax(centres @ fit_cells(centres, groups).T, 1), return_inverse=True)[1]
+    model = spark.sparkContext.broadcast((centres, group))
+    cells = stored(distinct.select("node", "vector").mapInArrow(lambda it: _assigned(it, *model.value, least, reach), "node long, home int, cell int, visits array<int>"))
+    residents, visitors = np.ones(group.max() + 1, np.int64), np.zeros(group.max() + 1, np.int64)
+    # a row for each set of groups visited, at most one a vector, is counted before it is spread over its groups
     for r in cells.groupBy("home").count().collect():  # at most MAX_CELLS rows
         residents[r["home"]] = -(-r["count"] // BLOCK)
     sets = cells.filter(F.size("visits") > 0).groupBy("visits").count()
@@ -241,8 +211,8 @@ def near_duplicates(vectors: DataFrame, id_col: str = "vec_id", vector_col: str
         visitors[r["home"]] = -(-r["count"] // VISITORS)
     kind = distinct.schema["vector"].dataType.simpleString()
     dealt = cells.join(distinct.select("node", "copies", "vector"), "node").mapInArrow(
-        lambda it: _dealt(it, residents, visitors), f"node long, home int, visits array<int>, fine int, copies long, vector {kind}, task string, side int")
-    found = stored(dealt.groupBy("task").applyInArrow(lambda t: _compared(t, least, width, model.value[2]), "node long, links long, up long"))
+        lambda it: _dealt(it, residents, visitors), f"node long, home int, cell int, visits array<int>, copies long, vector {kind}, task string, side int")
+    found = stored(dealt.groupBy("task").applyInArrow(lambda t: _compared(t, least, width, model.value[0], reach), "node long, links long, up long"))
     label = components(found.select("node", "up"))
     links = found.groupBy("node").agg(F.sum("links").alias("links"))
     nodes = distinct.select("node", "id", "k1", "k2", "copies").join(label, "node", "left").join(links, "node", "left")

@@ -40,10 +40,10 @@ def vectors(rng, n=400, dim=12):
 
 @pytest.mark.parametrize("kind", ["double", "float"])
 def test_against_brute_force(spark, monkeypatch, kind):
-    monkeypatch.setattr(embedding_dedup, "CELL", 60)
+    monkeypatch.setattr(embedding_dedup, "CELL", 20)
     monkeypatch.setattr(embedding_dedup, "BLOCK", 40)  # several blocks a cell
     monkeypatch.setattr(embedding_dedup, "VISITORS", 50)
-    monkeypatch.setattr(embedding_dedup, "FINE", 12)
+    monkeypatch.setattr(embedding_dedup, "GROUP", 120)
     monkeypatch.setattr(embedding_dedup, "PAIRS", 500)
     v = vectors(np.random.default_rng(7))
     if kind == "float":
@@ -68,7 +68,7 @@ def test_recall_of_the_default_reach(spark, monkeypatch):
 
 def test_default_reach_is_exact_on_few_dimensions_and_many_cells(spark, monkeypatch):
     monkeypatch.setattr(embedding_dedup, "CELL", 8)
-    monkeypatch.setattr(embedding_dedup, "FINE", 4)
+    monkeypatch.setattr(embedding_dedup, "GROUP", 60)
     rng = np.random.default_rng(3)
     low = rng.normal(size=(400, 3)) @ rng.normal(size=(3, 64))  # all of rank 3
     plane = rng.normal(size=(200, 2)) @ rng.normal(size=(2, 64))
