@@ -9,11 +9,13 @@ from __future__ import annotations
 import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
+import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import StringType, StructType
 
 SLICE_BYTES = 2 << 20
+LONG_WORD = 256
 _BASE = 0x9E3779B97F4A7C15
 _OTHER_BASE = 0xD1342543DE82EF95
 _TABLE = np.random.default_rng(20240607).integers(1, 1 << 63, 256, dtype=np.uint64) * np.uint64(2) + np.uint64(1)
@@ -116,7 +118,11 @@ def _rolling(values: np.ndarray, start: np.ndarray, end: np.ndarray, base: int)
 
 
 def word_hashes(data: np.ndarray, start: np.ndarray, end: np.ndarray) -> np.ndarray:
-    return mix(_rolling(_Looked(data), start, end, _BASE))
+    """A hash of each word.  Sums modulo 2**64 cannot tell certain long words apart, so long ones take XXH64."""
+    out = mix(_rolling(_Looked(data), start, end, _BASE))
+    for i in np.flatnonzero(end - start >= LONG_WORD).tolist():
+        out[i] = xxhash.xxh64_intdigest(data[start[i]: end[i]].tobytes(), 7)
+    return out
 
 
 def window_hashes(word_hash: np.ndarray, start: np.ndarray, n: int, other: bool = False) -> np.ndarray:

@@ -77,3 +77,15 @@ def test_empty_table(spark):
     empty = spark.createDataFrame([(None, None)], "doc_id long, text string")
     r = remove_repeated_windows(empty).withColumn("h", F.sha2("kept", 256)).first()
     assert (r.n_words, r.n_removed, r.h) == (0, 0, hashlib.sha256(b"").hexdigest())
+
+
+def test_long_words_that_sums_modulo_two_to_the_64_take_for_equal():
+    a = [0]
+    while len(a) < 4096:
+        a += [1 - x for x in a]
+    data = np.array(a + [1 - x for x in a], np.uint8) + 0x61
+    hashes = T.word_hashes(data, np.array([0, 4096, 8000]), np.array([4096, 8192, 8192]))
+    assert len(set(hashes.tolist())) == 3
+    short = T.word_hashes(data, np.array([0, 10]), np.array([10, 20]))
+    again = T.word_hashes(data[10:], np.array([0]), np.array([10]))
+    assert short[1] == again[0] != short[0]
