@@ -81,9 +81,9 @@ class Model:
 
 
 def _gathered(batches):
-    """Per task: feature counts by class (in blocks), and the features of sampled rows (columns text, label, sampled)."""
+    """Per task: feature counts by class (in blocks), and the features of sampled rows (columns text, label, sampled, u)."""
     counts = np.zeros((2, 1 << BITS), np.int64)
-    names = ["block", "counts", "label", "features"]
+    names = ["block", "counts", "label", "features", "u"]
     seen = False
     for part in T.slices(batches, 0):
         seen = True
@@ -95,16 +95,16 @@ def _gathered(batches):
             cut = np.searchsorted(doc, [sampled, sampled + 1])
             yield pa.RecordBatch.from_arrays([
                 pa.array(np.full(len(sampled), -1), pa.int32()), pa.nulls(len(sampled), pa.binary()), pa.array(label[sampled], pa.int32()),
-                pa.array([f[a:b].astype("<i4").tobytes() for a, b in zip(*cut)], pa.binary())], names=names)
+                pa.array([f[a:b].astype("<i4").tobytes() for a, b in zip(*cut)], pa.binary()), part.column(3).take(pa.array(sampled))], names=names)
     if seen:
         blocks = counts.astype("<i4").reshape(2, _BLOCKS, -1)
-        yield pa.RecordBatch.from_arrays([pa.array(np.arange(_BLOCKS), pa.int32()), pa.array([blocks[:, b].tobytes() for b in range(_BLOCKS)], pa.binary()), pa.nulls(_BLOCKS, pa.int32()), pa.nulls(_BLOCKS, pa.binary())], names=names)
+        yield pa.RecordBatch.from_arrays([pa.array(np.arange(_BLOCKS), pa.int32()), pa.array([blocks[:, b].tobytes() for b in range(_BLOCKS)], pa.binary()), pa.nulls(_BLOCKS, pa.int32()), pa.nulls(_BLOCKS, pa.binary()), pa.nulls(_BLOCKS, pa.int64())], names=names)
 
 
 def _summed(batches, kind: str):
     """Blocks of counts, summed as the rows stream in; sampled rows pass through."""
     sums: dict[int, np.ndarray] = {}
-    names = ["block", "counts", "label", "features"]
+    names = ["block", "counts", "label", "features", "u"]
     for batch in batches:
         sample = batch.filter(pa.array(batch.column(0).to_numpy() < 0))
         if sample.num_rows:
@@ -113,7 +113,7 @@ def _summed(batches, kind: str):
             if b >= 0:
                 sums[b] = sums.get(b, 0) + np.frombuffer(c, kind).astype(np.int64)
     if sums:
-        yield pa.RecordBatch.from_arrays([pa.array(list(sums), pa.int32()), pa.array([s.tobytes() for s in sums.values()], pa.binary()), pa.nulls(len(sums), pa.int32()), pa.nulls(len(sums), pa.binary())], names=names)
+        yield pa.RecordBatch.from_arrays([pa.array(list(sums), pa.int32()), pa.array([s.tobytes() for s in sums.values()], pa.binary()), pa.nulls(len(sums), pa.int32()), pa.nulls(len(sums), pa.binary()), pa.nulls(len(sums), pa.int64())], names=names)
 
 
 def dual_coordinate_descent(rows: list[tuple[np.ndarray, np.ndarray]], y: np.ndarray, size: int, cost: np.ndarray, epochs: int = 12, seed: int = 5) -> np.ndarray:
@@ -167,10 +167,10 @@ def fit(labelled: DataFrame, text_col: str = "text", label_col: str = "quality",
     rows = labelled.filter(F.col(label_col).isin(0, 1)).select(F.col(text_col).cast("string").alias("text"), F.col(label_col).cast("int").alias("label"), F.pmod(F.xxhash64(F.lit(4), F.col(key_col)), F.lit(1 << 20)).alias("u"))
     n = rows.count()  # reads no text
     share = -(-(1 << 20) * SAMPLE // n) if n > SAMPLE else 1 << 20
-    gathered = rows.select("text", "label", (F.col("u") < share).alias("sampled")).mapInArrow(_gathered, "block int, counts binary, label int, features binary")
+    gathered = rows.select("text", "label", (F.col("u") < share).alias("sampled"), "u").mapInArrow(_gathered, "block int, counts binary, label int, features binary, u long")
     parts = int(spark.conf.get("spark.sql.shuffle.partitions"))
     # two steps, so that no task receives the counts of all tasks
-    apart = F.pmod(F.xxhash64("features"), F.lit(parts))
+    apart = F.pmod(F.xxhash64("features", "u"), F.lit(parts))  # copies of a text have ids of their own
     some = gathered.repartition(parts, "block", F.when(F.col("block") >= 0, F.spark_partition_id() % _SPREAD).otherwise(apart)).mapInArrow(lambda it: _summed(it, "<i4"), gathered.schema)
     out = some.repartition(parts, "block", F.when(F.col("block") < 0, apart)).mapInArrow(lambda it: _summed(it, "<i8"), gathered.schema).toArrow()
     counts, x, y = np.zeros((2, _BLOCKS, (1 << BITS) // _BLOCKS)), [], []
