@@ -5,6 +5,7 @@ from __future__ import annotations
 import uuid
 from collections.abc import Callable
 
+from pyspark import Broadcast
 from pyspark.sql import DataFrame, SparkSession
 
 from shopmart.session import checkpoint_dir
@@ -26,6 +27,11 @@ def stored(df: DataFrame) -> DataFrame:
 
 def shipped(spark: SparkSession, thing) -> Callable:
     """Broadcast an object's fields; call the result in a task to get the object (workers need no package installed)."""
+    return lent(spark, thing)[0]
+
+
+def lent(spark: SparkSession, thing) -> tuple[Callable, Broadcast]:
+    """As ``shipped``, with the broadcast, which the caller can release."""
     kind, fields = type(thing), spark.sparkContext.broadcast(vars(thing))
 
     def get():
@@ -33,4 +39,4 @@ def shipped(spark: SparkSession, thing) -> Callable:
         copy.__dict__.update(fields.value)
         return copy
 
-    return get
+    return get, fields

@@ -8,9 +8,12 @@ Words outside the benchmark's vocabulary cannot take part in an occurrence:
 they only separate runs, and runs shorter than the shortest phrase are left
 out of the index.  One narrow pass over the documents, no shuffle.
 
-The phrases are broadcast.  Their text is read in blocks of items and its
-size is checked (``MAX_BENCHMARK_BYTES``); a larger benchmark is searched in
-several passes, one for each block, whose hits are merged by document.
+Spark hashes the words of the items and packs them into blocks of checked size
+(``MAX_BENCHMARK_BYTES``); long items are cut into pieces that share words, so
+that no window is lost.  The phrases of one block at a time pass the driver
+and are broadcast; a larger benchmark is searched in several passes, one for
+each block, whose hits are merged by document, and a block is released before
+the next one is sent.
 """
 
 from __future__ import annotations
@@ -21,36 +24,40 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from shopmart.llm import _text as T
-from shopmart.llm._store import shipped
+from shopmart.llm._store import lent, stored
 from shopmart.llm.fm_index import FMIndex
 
-#: Text bytes of benchmark items that may be broadcast at once.
+#: Bytes of hashed benchmark words (8 a word) whose phrases are broadcast at once; what is sent has at most 40 bytes a word.
 MAX_BENCHMARK_BYTES = 32 << 20
+#: Windows of an item that stay together.
+PIECE = 1 << 16
 
 
 class Phrases:
-    """The distinct phrases of a block of items, as vocabulary ids."""
-
-    def __init__(self, ids: list, texts: list, window: int):
-        data, off = T.utf8(pa.array(texts, pa.large_string()))
-        start, end, first = T.words(T.LOWER[data], off, T.ALNUM_WORD)
-        self.vocabulary, word = np.unique(T.word_hashes(T.LOWER[data], start, end), return_inverse=True)
-        rows, owners = [], []
-        for i in range(len(ids)):
-            w = word[first[i]: first[i + 1]] + 1
-            for at in range(max(len(w) - window, 0) + 1 if len(w) else 0):
-                part = w[at: at + window]
-                rows.append(np.pad(part, (0, window - len(part))))
-                owners.append(i)
+    """The distinct phrases of a block of pieces of items, as ends and lengths in one sequence of vocabulary ids."""
+
+    def __init__(self, ids: list, pieces: list, window: int):
+        first = np.concatenate([[0], np.cumsum([len(p) for p in pieces], dtype=np.int64)])
+        self.vocabulary, word = np.unique(np.concatenate([np.zeros(0, np.uint64), *pieces]), return_inverse=True)
+        self.symbols = word.astype(np.int32) + 1
+        size = np.diff(first)
+        length, n = np.minimum(size, window), np.where(size > 0, np.maximum(size - window, 0) + 1, 0)
+        owner = np.repeat(np.arange(len(size)), n)
+        start = first[owner] + np.arange(len(owner)) - (np.cumsum(n) - n)[owner]
         self.ids = np.array(ids, object)
-        if not rows:
-            self.phrases = self.lengths = self.owner_cut = self.owners = np.zeros(0, np.int64)
-            return
-        self.phrases, which = np.unique(np.array(rows), axis=0, return_inverse=True)
-        self.lengths = (self.phrases > 0).sum(1)
-        pairs = np.unique(np.stack([which.ravel(), owners], 1), axis=0)
-        self.owner_cut = np.searchsorted(pairs[:, 0], np.arange(len(self.phrases) + 1))
-        self.owners = pairs[:, 1]
+        which, ends, lengths = np.zeros(len(start), np.int64), [np.zeros(0, np.int64)], [np.zeros(0, np.int64)]
+        for m in np.unique(length[owner]).tolist():
+            on = np.flatnonzero(length[owner] == m)
+            rank = np.zeros(len(on), np.int64)
+            for t in range(m):  # equal ranks: the first t + 1 words are equal
+                _, at, rank = np.unique(rank * (len(self.vocabulary) + 1) + self.symbols[start[on] + t], return_index=True, return_inverse=True)
+            which[on] = rank + sum(map(len, ends))
+            ends.append(start[on][at] + m)
+            lengths.append(np.full(len(at), m))
+        self.ends, self.lengths = np.concatenate(ends), np.concatenate(lengths)
+        pairs = np.unique(np.stack([which, owner], 1), axis=0)
+        self.owner_cut = np.searchsorted(pairs[:, 0], np.arange(len(self.ends) + 1))
+        self.owners = pairs[:, 1].astype(np.int32)
 
     def find(self, text: pa.Array, items: pa.Array, spans: pa.Array) -> list[pa.Array]:
         """For each text: words, hit words, ids of the items found, byte spans of the hits, what is left; adds to what earlier blocks found."""
@@ -63,7 +70,7 @@ class Phrases:
         for d in [d for d, s in enumerate(spans) if s]:
             a, b = np.reshape(spans[d], (-1, 2)).T + off[d]
             hit |= T.covered(len(start), np.searchsorted(start, a), np.searchsorted(start, b) - np.searchsorted(start, a))
-        if len(self.phrases) and len(start):
+        if len(self.ends) and len(start):
             at, phrase = self.occurrences(T.word_hashes(data, start, end), first)
             hit |= T.covered(len(start), at, self.lengths[phrase])
             doc = np.searchsorted(first, at, side="right") - 1
@@ -100,25 +107,51 @@ class Phrases:
         place[np.repeat(put, length) + inside] = np.repeat(begin, length) + inside
         seq = np.where(place >= 0, near[place] + 1, 0)
         index = FMIndex(seq, len(self.vocabulary) + 1)
-        low, high = index.search(self.phrases, self.lengths)
+        low, high = index.search_in(self.symbols, self.ends, self.lengths)
         n = np.maximum(high - low, 0)
         rows = np.arange(int(n.sum())) - np.repeat(np.cumsum(n) - n, n) + np.repeat(low, n)
         return place[index.locate(rows)], np.repeat(np.arange(len(n)), n)
 
 
-def _blocks(benchmark: DataFrame, id_col: str, text_col: str):
-    """Item ids and texts in blocks under the broadcast limit (one partition of the benchmark at a time on the driver)."""
-    ids, texts, size = [], [], 0
-    for r in benchmark.select(F.col(id_col).cast("string"), F.col(text_col)).toLocalIterator():
-        if r[1]:
-            n = len(r[1].encode())
-            if ids and size + n > MAX_BENCHMARK_BYTES:
-                yield ids, texts
-                ids, texts, size = [], [], 0
-            ids.append(r[0])
-            texts.append(r[1])
-            size += n
-    yield ids, texts
+def _pieces(batches, window: int, most: int):
+    """Items as hashed words, in pieces of at most ``most`` windows; consecutive pieces share window - 1 words."""
+    for part in T.slices(batches, 1):
+        raw, off = T.utf8(part.column(1))
+        data = T.LOWER[raw]
+        start, end, first = T.words(data, off, T.ALNUM_WORD)
+        word, ids = T.word_hashes(data, start, end), part.column(0).to_pylist()
+        cuts = [(ids[i], word[at: min(at + most + window - 1, b)].tobytes())
+                for i, (a, b) in enumerate(zip(first[:-1].tolist(), first[1:].tolist()))
+                for at in range(a, max(b - window + 1, a + (b > a)), most)]
+        yield pa.RecordBatch.from_arrays([pa.array([i for i, _ in cuts], pa.string()), pa.array([w for _, w in cuts], pa.binary())], names=["item", "words"])
+
+
+def _packed(batches, most: int):
+    """Numbers the pieces of a task so that no number holds more than ``most`` bytes, unless it holds one piece only."""
+    block, filled = 0, 0
+    for batch in batches:
+        blocks = []
+        for w in batch.column(1):
+            n = len(w.as_buffer())
+            if filled and filled + n > most:
+                block, filled = block + 1, 0
+            blocks.append(block)
+            filled += n
+        yield pa.RecordBatch.from_arrays([*batch.columns, pa.array(blocks, pa.int64())], names=["item", "words", "block"])
+
+
+def _blocks(benchmark: DataFrame, id_col: str, text_col: str, window: int):
+    """Item ids and hashed pieces, one block under the broadcast limit at a time on the driver."""
+    limit, parts = MAX_BENCHMARK_BYTES, int(benchmark.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    items = benchmark.select(F.col(f"`{id_col}`").cast("string").alias("item"), F.col(f"`{text_col}`").cast("string").alias("text")).filter("text <> ''")
+    pieces = stored(items.mapInArrow(lambda it: _pieces(it, window, PIECE), "item string, words binary").distinct())
+    size = pieces.agg(F.sum(F.length("words"))).first()[0] or 0
+    tasks = min(-(-size // (8 * limit)), parts)  # each packs several blocks, so few are left half empty
+    dealt = pieces.repartition(tasks, F.xxhash64("item", "words")) if tasks > 1 else pieces.coalesce(1)
+    packed = stored(dealt.mapInArrow(lambda it: _packed(it, limit), "item string, words binary, block long").select("item", "words", "block", F.spark_partition_id().alias("task")))
+    for task, block in sorted(tuple(r) for r in packed.select("task", "block").distinct().collect()):
+        rows = packed.filter((F.col("task") == task) & (F.col("block") == block)).select("item", "words").toArrow()
+        yield rows.column(0).to_pylist(), [np.frombuffer(w, np.uint64) for w in rows.column(1).to_pylist()]
 
 
 def find_benchmark(docs: DataFrame, benchmark: DataFrame, keep: list[str], text_col: str = "text",
@@ -141,13 +174,19 @@ def find_benchmark(docs: DataFrame, benchmark: DataFrame, keep: list[str], text_
     repeat are documents of their own, items that repeat are one id.
     """
     fields = "n_words long, n_hit long, items array<string>, spans array<int>, clean string"
-    blocks = [shipped(docs.sparkSession, Phrases(ids, texts, window)) for ids, texts in _blocks(benchmark, item_col, item_text)]
     out = docs.select(F.struct(*[F.col(f"`{c}`") for c in keep]).alias("row"), F.col(f"`{text_col}`").cast("string").alias("text"),
                       F.array().cast("array<string>").alias("items"), F.array().cast("array<int>").alias("spans"))
-    for i, block in enumerate(blocks):
-        carried = ["row", "text"] if i + 1 < len(blocks) else ["row"]
-        out = T.map_text(out, "text", carried, fields, lambda *c, b=block: b().find(*c), also=("items", "spans"))
+    blocks = _blocks(benchmark, item_col, item_text, window)
+    block = next(blocks, ([], []))
+    while block is not None:
+        phrases, held = lent(docs.sparkSession, Phrases(*block, window))
+        block = next(blocks, None)
+        carried = ["row", "text"] if block else ["row"]
+        out = T.map_text(out, "text", carried, fields, lambda *c, b=phrases: b().find(*c), also=("items", "spans"))
         out = out.select("row.*", *[f.split()[0] for f in fields.split(", ")])
+        if block:
+            out = stored(out)
+            held.unpersist()
     return out.withColumn("items", F.array_sort(F.array_distinct(F.array_compact("items"))))
 
 

@@ -92,12 +92,16 @@ class FMIndex:
         return self.before[symbol] + self.tree.rank(symbol, at)
 
     def search(self, phrases: np.ndarray, lengths: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-        """Backward search: rows [low, high) of the suffix order that begin with each phrase (rows of a 0-padded matrix)."""
-        low, high = np.zeros(len(phrases), np.int64), np.full(len(phrases), self.n, np.int64)
-        live = np.arange(len(phrases))
-        for t in range(phrases.shape[1]):
+        """``search_in`` for the rows of a 0-padded matrix."""
+        return self.search_in(phrases.ravel(), phrases.shape[1] * np.arange(len(phrases)) + lengths, lengths)
+
+    def search_in(self, symbols: np.ndarray, ends: np.ndarray, lengths: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """Backward search: rows [low, high) of the suffix order that begin with each phrase, symbols[end - length:end]."""
+        low, high = np.zeros(len(ends), np.int64), np.full(len(ends), self.n, np.int64)
+        live = np.arange(len(ends))
+        for t in range(int(lengths.max(initial=0))):
             on = live[lengths[live] > t]
-            symbol = phrases[on, lengths[on] - 1 - t]
+            symbol = symbols[ends[on] - 1 - t].astype(np.int64)
             low[on], high[on] = self.step(symbol, low[on]), self.step(symbol, high[on])
             live = live[low[live] < high[live]]
             if not len(live):

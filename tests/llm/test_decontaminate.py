@@ -83,3 +83,18 @@ def test_empty_tables(spark):
     r = find_benchmark(docs, none, ["doc_id"]).first()
     assert (r.n_words, r.n_hit, r["items"]) == (3, 0, [])
     assert find_benchmark(docs.limit(0), spark.createDataFrame([(1, "a b")], none.schema), ["doc_id"]).count() == 0
+
+
+def test_pieces_and_blocks(spark, monkeypatch):
+    """Long items in pieces, several blocks: as in one."""
+    rng = random.Random(8)
+    items = [(i, " ".join(f"w{rng.randint(0, 9)}" for _ in range(n))) for i, n in enumerate([300, 0, 1, 3, 4, 5, 41])]
+    texts = [" ".join(f"w{rng.randint(0, 9)}" for _ in range(60)) + " " + items[0][1][at:at + 200] for at in range(0, 700, 90)]
+    docs = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    bench = spark.createDataFrame(items + items[:2], "item_id long, text string")
+    want = [brute(t, items, 4) for t in texts]
+    for piece, limit in ((1 << 16, 32 << 20), (7, 32 << 20), (50, 1000)):
+        monkeypatch.setattr(decontaminate, "PIECE", piece)
+        monkeypatch.setattr(decontaminate, "MAX_BENCHMARK_BYTES", limit)
+        got = find_benchmark(docs, bench, ["doc_id"], window=4).orderBy("row.doc_id").collect()
+        assert [(r.n_words, r.n_hit, r["items"], r.spans) for r in got] == want
