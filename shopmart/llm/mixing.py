@@ -74,13 +74,46 @@ def fit(cells: DataFrame, targets: DataFrame, sweeps: int = 60, tolerance: float
     return w
 
 
+def sized(cells: DataFrame, targets: DataFrame, tokens: float) -> DataFrame:
+    """Probability ``p`` of each cell in a mix of ``tokens`` expected tokens.
+
+    Cells that the fit asks more of than they hold are taken whole, and the
+    others are raked to what the targets still lack, until no cell is short.
+    Where whole cells alone exceed the target of a value, or hold less than
+    it, that target cannot be met; the others share the difference.
+    """
+    free, whole, left = cells.filter("tokens > 0"), None, float(tokens)
+    share = targets.filter("share > 0").select("dim", "value", (F.col("share") * F.lit(left) / F.sum("share").over(W.partitionBy("dim"))).alias("share"))
+    while True:
+        lacking = None
+        for dim in DIMS:
+            t = share.filter(F.col("dim") == dim).join(free.select(F.col(dim).alias("value")).distinct(), "value", "left_semi")
+            if whole is not None:
+                had = whole.groupBy(F.col(dim).alias("value")).agg(F.sum("tokens").alias("had"))
+                t = t.join(had, "value", "left").withColumn("share", F.col("share") - F.coalesce("had", F.lit(0)))
+            t = t.filter("share > 0").select("dim", "value", "share")
+            lacking = t if lacking is None else lacking.unionByName(t)
+        fitted = fit(free, stored(lacking)).select(*DIMS, "tokens", (F.col("w") * F.lit(left)).alias("w"))
+        short = fitted.filter("w >= tokens").select(*DIMS, "tokens")
+        if short.isEmpty():
+            break
+        whole = stored(short if whole is None else whole.unionByName(short))
+        free = stored(free.join(whole, list(DIMS), "left_anti"))
+        left = max(0.0, float(tokens) - whole.agg(F.sum("tokens")).first()[0])
+    p = fitted.select(*DIMS, (F.col("w") / F.col("tokens")).alias("p"))
+    return p if whole is None else p.unionByName(whole.select(*DIMS, F.lit(1.0).alias("p")))
+
+
 def mix(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", source_col: str = "source", lang_col: str = "lang",
-        topic: Column | None = None, targets: DataFrame | None = None, temper: dict[str, float] = TEMPER, seed: str = "mix") -> DataFrame:
+        topic: Column | None = None, targets: DataFrame | None = None, temper: dict[str, float] = TEMPER, seed: str = "mix", tokens: float | None = None) -> DataFrame:
     """Probability of each document and whether it is drawn.
 
     ``topic`` defaults to the form of the text; ``targets`` (dim, value,
     share; dims source, lang, topic; a value as text behind '=', or 'null')
-    to the observed shares tempered by ``temper``.
+    to the observed shares tempered by ``temper``.  Without ``tokens`` the
+    mix meets the targets exactly and is as large as that allows: one small
+    cell that the targets raise much makes it small.  With ``tokens``, the
+    expected size of the mix, such cells are taken whole (see ``sized``).
 
     Returns ``row`` (a struct of all input columns), ``n_tokens``, ``topic``,
     ``probability`` and ``kept``.  The draw is a hash of seed, id and text:
@@ -94,10 +127,13 @@ def mix(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", source_
     rows = docs.select(F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("row"), text.alias("text"), n_words(text).alias("n_tokens"),
                        _key(F.col(f"`{source_col}`")).alias("source"), _key(F.col(f"`{lang_col}`")).alias("lang"), _key(form(text) if topic is None else topic).alias("topic"))
     cells = stored(rows.groupBy(*DIMS).agg(F.sum("n_tokens").alias("tokens")))
-    fitted = fit(cells, targets if targets is not None else tempered(cells, temper))
-    factor = fitted.select(*DIMS, (F.col("w") / F.col("tokens")).alias("f"))
-    most = factor.agg(F.max("f")).first()[0]
-    factor = stored(factor.select(*DIMS, (F.col("f") / F.lit(most).cast("double")).alias("p")))
+    targets = targets if targets is not None else tempered(cells, temper)
+    if tokens is None:
+        factor = fit(cells, targets).select(*DIMS, (F.col("w") / F.col("tokens")).alias("f"))
+        most = factor.agg(F.max("f")).first()[0]
+        factor = stored(factor.select(*DIMS, (F.col("f") / F.lit(most).cast("double")).alias("p")))
+    else:
+        factor = stored(sized(cells, targets, tokens))
     draw = F.conv(F.substring(F.md5(F.concat_ws(":", F.lit(seed), F.col(f"row.`{id_col}`").cast("string"), "text").cast("binary")), 1, 13), 16, 10).cast("double") / float(1 << 52)
     p = F.when(F.col("n_tokens") > 0, F.coalesce("p", F.lit(0.0))).otherwise(0.0)
     out = rows.join(factor, list(DIMS), "left")

@@ -80,3 +80,62 @@ def test_edges(spark):
     assert {(r.row.doc_id, r.n_tokens, r.kept) for r in twice} == {(1, 2, True), (2, 40000, True)}
     assert spark.range(1).select(n_words(F.lit("\t a\x0b b \r\n"))).first()[0] == 2
     assert "Python" not in mix(spark.createDataFrame([(1, "a", "s", "x")], schema))._jdf.queryExecution().toString()
+
+
+def brute_sized(cube, targets, size):
+    """Take short cells whole, rake the others to what the targets lack."""
+    whole = np.zeros(cube.shape, bool)
+    while True:
+        free = np.where(whole, 0.0, cube)
+        left, w = size - cube[whole].sum(), free.copy()
+        lacking = []
+        for d in range(3):
+            others = tuple(x for x in range(3) if x != d)
+            t = np.maximum(targets[d] * size - np.where(whole, cube, 0).sum(others), 0) * (free.sum(others) > 0)
+            lacking.append(t / max(t.sum(), 1e-300))
+        for _ in range(60):
+            for d in range(3):
+                s = w.sum(tuple(x for x in range(3) if x != d), keepdims=True)
+                w = w * np.divide(lacking[d].reshape([-1 if x == d else 1 for x in range(3)]), s, out=np.zeros_like(s), where=s > 0)
+        w *= max(left, 0.0)
+        short = ~whole & (cube > 0) & (w >= cube)
+        if not short.any():
+            return np.where(whole, 1.0, np.divide(w, cube, out=np.zeros_like(w), where=cube > 0))
+        whole |= short
+
+
+def test_a_target_size(spark):
+    """One tiny cell that the targets raise does not shrink a mix of a given size."""
+    rng = random.Random(6)
+    data = []
+    for i in range(400):
+        k = (rng.choice(["s1"] * 8 + ["s2"] * 3), rng.choice(["en", "en", "de"]))
+        data.append((i, " ".join(["w"] * rng.randint(1, 40)), *k))
+    data += [(900, "w w w", "tiny", "en"), (901, None, "s1", "en"), (902, "", None, None)]
+    df = spark.createDataFrame(data, "doc_id long, text string, source string, lang string")
+    total = sum(len((t or "").split()) for _, t, _, _ in data)
+    plain = mix(df).agg(F.sum(F.col("probability") * F.col("n_tokens"))).first()[0]
+    size = 0.5 * total
+    assert plain < 0.2 * size
+    got = mix(df, tokens=size).collect()
+    cells = {}
+    for _, t, a, b in data:
+        if t:
+            cells[a, b, "prose"] = cells.get((a, b, "prose"), 0) + len(t.split())
+    values = [sorted({k[d] for k in cells}) for d in range(3)]
+    cube = np.zeros([len(v) for v in values])
+    for k, n in cells.items():
+        cube[tuple(v.index(x) for v, x in zip(values, k))] = n
+    targets = []
+    for d in range(3):
+        t = cube.sum(tuple(x for x in range(3) if x != d)) ** mixing.TEMPER[mixing.DIMS[d]]
+        targets.append(t / t.sum())
+    want = brute_sized(cube, targets, size)
+    for r in got:
+        p = want[tuple(v.index(x) for v, x in zip(values, (r.row.source, r.row.lang, "prose")))] if r.n_tokens else 0.0
+        assert r.probability == pytest.approx(p, abs=1e-6)
+    assert {r.probability for r in got if r.row.source == "tiny"} == {1.0}
+    assert sum(r.probability * r.n_tokens for r in got) == pytest.approx(size, rel=1e-6)
+    every = mix(df, tokens=2.0 * total).collect()
+    assert all(r.probability == (1.0 if r.n_tokens else 0.0) for r in every) and len(every) == len(data)
+    assert mix(df.limit(0), tokens=10.0).count() == 0
