@@ -16,7 +16,13 @@ the bits instead of all keep the boundary thin: about 13% of the points of a
 node are sent twice (27% with whole fingerprints), which makes the work grow
 as about the power 1.2 of the number of distinct fingerprints.
 
-A shard returns a spanning forest of its links, not all pairs.
+A sphere is used only if it leaves at most ``GAIN`` of the pairs of a node, so
+the copies on a level are bounded and the work of a shard never exceeds that
+of comparing it directly.  A leaf that no sphere parts (a dense ball of near
+copies) and that the sample shows to be large is dealt in blocks: every pair
+of blocks is a task of its own, so no task holds more than two blocks.
+
+A task returns a spanning forest of its links, not all pairs.
 """
 
 from __future__ import annotations
@@ -31,10 +37,15 @@ from shopmart.llm import _text as T
 from shopmart.llm._graph import components
 from shopmart.llm._store import stored
 
-#: Distinct fingerprints on which the upper tree is fitted, and how many of them make a shard at least.
-SAMPLE, SAMPLE_LEAF = 1 << 16, 8
+#: Distinct fingerprints on which the upper tree is fitted (one in ``SAMPLE_SHARE`` between the two bounds), and
+#: how many of them make a shard at least.
+SAMPLE, MAX_SAMPLE, SAMPLE_SHARE, SAMPLE_LEAF = 1 << 16, 1 << 20, 512, 8
 #: Distinct fingerprints that a shard shall hold, and that are compared without a further split.
 SHARD, LEAF = 4096, 192
+#: Distinct fingerprints of a leaf in one block, about.
+BLOCK = 1 << 15
+#: Share of the pairs of a node that a sphere may leave at most.
+GAIN = 0.85
 _LOW = np.uint64(0xFFFFFFFF)
 _LOWER = bytes(T.LOWER)
 
@@ -57,21 +68,22 @@ def fingerprint(text: str | None, shingle: int = 3, seed: int = 42) -> int:
 
 
 def _split(points: np.ndarray, reach: int):
-    """Vantage point and radius that make the larger side smallest; None if no sphere parts the points well."""
+    """Vantage point and radius that leave the fewest pairs to compare; None if no sphere parts the points well."""
     best = None
     for at in np.linspace(0, len(points) - 1, 7).astype(int):
-        n = np.cumsum(np.bincount(np.bitwise_count(points ^ points[at]), minlength=65))
+        n = np.cumsum(np.bincount(np.bitwise_count(points ^ points[at]), minlength=65)) / len(points)
         inside = n[np.minimum(np.arange(65) + reach, 64)]  # with visitors
-        larger = np.maximum(inside, len(points) - n)
-        radius = int(np.argmin(larger))
-        if best is None or larger[radius] < best[0]:
-            best = larger[radius], points[at], radius
-    return best[1:] if best[0] <= 0.9 * len(points) else None
+        pairs = inside ** 2 + (1 - n) ** 2
+        radius = int(np.argmin(pairs))
+        if best is None or pairs[radius] < best[0]:
+            best = pairs[radius], points[at], radius
+    return best[1:] if best[0] <= GAIN else None
 
 
-def _grow(sample: np.ndarray, reach: int, leaf: int) -> list:
-    """Upper tree as a list of nodes: (vantage point, radius, inside, outside), or None for a leaf."""
-    nodes, todo = [None], [(0, sample)]
+def _grow(sample: np.ndarray, reach: int, leaf: int, each: float) -> list:
+    """Upper tree as a list of nodes: (vantage point, radius, inside, outside), or the number of blocks of a leaf
+    (a sampled point stands for ``each`` points)."""
+    nodes, todo = [1], [(0, sample)]
     while todo:
         at, points = todo.pop()
         cut = _split(points, reach) if len(points) > leaf else None
@@ -79,27 +91,42 @@ def _grow(sample: np.ndarray, reach: int, leaf: int) -> list:
             d = np.bitwise_count(points ^ cut[0])
             nodes[at] = (*cut, len(nodes), len(nodes) + 1)
             todo += [(len(nodes), points[d <= cut[1] + reach]), (len(nodes) + 1, points[d > cut[1]])]
-            nodes += [None, None]
+            nodes += [1, 1]
+        else:
+            nodes[at] = max(1, -int(-len(points) * each // BLOCK))
     return nodes
 
 
+def _in_blocks(fp: np.ndarray, blocks: int):
+    """Rows of ``fp`` with the pairs of blocks (smaller block times ``blocks`` plus larger) they take part in, and
+    their side there: 0 for the points of the smaller block."""
+    mine = (fp * np.uint64(0x9E3779B97F4A7C15) >> np.uint64(33)).astype(np.int64) % blocks
+    rows, other = np.repeat(np.arange(len(fp)), blocks), np.tile(np.arange(blocks), len(fp))
+    low, high = np.minimum(mine[rows], other), np.maximum(mine[rows], other)
+    return rows, low * blocks + high, (mine[rows] > other).astype(np.int32)
+
+
 def _dealt(batches, trees: list, reach: int):
-    """Each fingerprint with every leaf it lives in or visits."""
+    """Each fingerprint with every leaf, and pair of blocks of it, that it lives in or visits."""
     for batch in batches:
         fp = batch.column(0).to_numpy(zero_copy_only=False).view(np.uint64)
-        shards, members = [], []
+        shards, pairs, sides, members = [], [], [], []
         for t, tree in enumerate(trees):
             half, todo = _half(fp, t), [(0, np.arange(len(fp)))]
             while todo:
                 at, rows = todo.pop()
-                if tree[at] is None:
-                    shards.append(np.full(len(rows), at * len(trees) + t))
-                    members.append(fp[rows])
+                if isinstance(tree[at], int):
+                    r, pair, side = _in_blocks(fp[rows], tree[at])
+                    shards.append(np.full(len(r), at * len(trees) + t))
+                    pairs.append(pair)
+                    sides.append(side)
+                    members.append(fp[rows[r]])
                 elif len(rows):
                     point, radius, inside, outside = tree[at]
                     d = np.bitwise_count(half[rows] ^ point)
                     todo += [(inside, rows[d <= radius + reach]), (outside, rows[d > radius])]
-        yield pa.RecordBatch.from_arrays([pa.array(np.concatenate(shards)), pa.array(np.concatenate(members).view(np.int64))], names=["shard", "fp"])
+        columns = [np.concatenate(shards), np.concatenate(pairs), np.concatenate(sides), np.concatenate(members).view(np.int64)]
+        yield pa.RecordBatch.from_arrays([pa.array(c) for c in columns], names=["shard", "pair", "side", "fp"])
 
 
 def _half(fp: np.ndarray, t: int) -> np.ndarray:
@@ -121,37 +148,39 @@ def _forest(n: int, a: np.ndarray, b: np.ndarray) -> np.ndarray:
     return label
 
 
-def _close(points: np.ndarray, max_bits: int):
-    """Spanning links of points compared directly, in blocks of rows."""
-    label = np.arange(len(points))
-    block = max(1, (1 << 20) // len(points))
-    for i in range(0, len(points), block):
-        a, b = np.nonzero(np.bitwise_count(points[i: i + block, None] ^ points[None, :]) <= max_bits)
-        a += i
-        label = _forest(len(points), np.concatenate([a, np.arange(len(points))]), np.concatenate([b, label]))
+def _close(points: np.ndarray, side: np.ndarray, max_bits: int):
+    """Spanning links of points compared directly, in blocks of rows; with two sides, of one against the other."""
+    label, here = np.arange(len(points)), np.flatnonzero(side == side[0])
+    there = np.flatnonzero(side != side[0]) if len(here) < len(points) else here
+    block = max(1, (1 << 20) // len(there))
+    for i in range(0, len(here), block):
+        a, b = np.nonzero(np.bitwise_count(points[here[i: i + block], None] ^ points[None, there]) <= max_bits)
+        label = _forest(len(points), np.concatenate([here[i + a], np.arange(len(points))]), np.concatenate([there[b], label]))
     on = label != np.arange(len(points))
     return points[on], points[label[on]]
 
 
-def _linked(shard: pa.Table, max_bits: int) -> pa.Table:
-    """Spanning links within a shard, by growing its tree further."""
-    t = shard.column("shard")[0].as_py() % 2
-    fp = np.unique(shard.column("fp").to_numpy().view(np.uint64))
-    a, b, todo = [], [], [(fp, False)]
+def _linked(task: pa.Table, max_bits: int) -> pa.Table:
+    """Spanning links within a block, or between two, by growing the tree further."""
+    t = task.column("shard")[0].as_py() % 2
+    fp, first = np.unique(task.column("fp").to_numpy().view(np.uint64), return_index=True)
+    side = task.column("side").to_numpy()[first]
+    two = (side != side[0]).any()
+    a, b, todo = [], [], [(fp, side, False)]
     while todo:
-        points, whole = todo.pop()
-        if len(points) < 2:
+        points, side, whole = todo.pop()
+        if len(points) < 2 or two and (side == side[0]).all():
             continue
         # points that agree in this half are split by all bits, with the wider boundary
         key, reach = (points, max_bits) if whole else (_half(points, t), max_bits // 2)
         cut = _split(key, reach) if len(points) > LEAF else None
         if cut:
             d = np.bitwise_count(key ^ cut[0])
-            todo += [(points[d <= cut[1] + reach], whole), (points[d > cut[1]], whole)]
+            todo += [(points[on], side[on], whole) for on in (d <= cut[1] + reach, d > cut[1])]
         elif len(points) > LEAF and not whole:
-            todo.append((points, True))
+            todo.append((points, side, True))
         else:
-            x, y = _close(points, max_bits)
+            x, y = _close(points, side, max_bits)
             a.append(x)
             b.append(y)
     a, b = (np.concatenate([np.zeros(0, np.uint64), *x]).view(np.int64) for x in (a, b))
@@ -164,14 +193,16 @@ def fingerprint_links(distinct: DataFrame, max_bits: int = 3) -> DataFrame:
     Not all pairs, but enough that any pair within ``max_bits`` is connected.
     """
     spark, n = distinct.sparkSession, distinct.count()
-    share = max(1, (1 << 20) * SAMPLE // max(n, 1))
-    chosen = distinct.filter(F.pmod(F.xxhash64(F.lit(2), "fp"), F.lit(1 << 20)) < share).limit(2 * SAMPLE)
-    sample = np.sort(np.array([r.fp for r in chosen.collect()], np.int64).view(np.uint64))
+    size = min(max(SAMPLE, n // SAMPLE_SHARE), MAX_SAMPLE)
+    share = max(1, (1 << 20) * size // max(n, 1))
+    chosen = distinct.filter(F.pmod(F.xxhash64(F.lit(2), "fp"), F.lit(1 << 20)) < share).limit(2 * size)
+    sample = np.sort(chosen.toArrow().column("fp").to_numpy().view(np.uint64))
     reach = max_bits // 2
     leaf = max(SAMPLE_LEAF, SHARD * len(sample) // max(n, 1))
-    trees = spark.sparkContext.broadcast([_grow(_half(sample, t), reach, leaf) for t in (0, 1)])
-    shards = distinct.mapInArrow(lambda it: _dealt(it, trees.value, reach), "shard long, fp long")
-    return shards.groupBy("shard").applyInArrow(lambda s: _linked(s, max_bits), "a long, b long")
+    each = n / max(len(sample), 1)
+    trees = spark.sparkContext.broadcast([_grow(_half(sample, t), reach, leaf, each) for t in (0, 1)])
+    tasks = distinct.mapInArrow(lambda it: _dealt(it, trees.value, reach), "shard long, pair long, side int, fp long")
+    return tasks.groupBy("shard", "pair").applyInArrow(lambda s: _linked(s, max_bits), "a long, b long")
 
 
 def near_duplicates(docs: DataFrame, keep: list[str], id_col: str = "doc_id", text_col: str = "text", shingle: int = 3, max_bits: int = 3) -> DataFrame:

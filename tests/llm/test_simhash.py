@@ -2,6 +2,7 @@ import random
 import re
 
 import numpy as np
+import pyarrow as pa
 import xxhash
 
 from shopmart.llm import simhash
@@ -74,6 +75,41 @@ def test_links_against_brute_force(spark, monkeypatch):
     assert [got.get(x, x) for x in every.view(np.int64).tolist()] == want
 
 
+def test_a_dense_ball_is_dealt_in_blocks(spark, monkeypatch):
+    """Points that agree in one half, and a ball around one of them: no task holds more than two blocks."""
+    rng = np.random.default_rng(8)
+    base = np.uint64(0x0123456789ABCDEF)
+    same = base ^ (rng.integers(0, 1 << 32, 900, dtype=np.uint64) << np.uint64(32))
+    ball = np.full(900, base)
+    for _ in range(5):
+        ball ^= np.uint64(1) << rng.integers(0, 64, 900, dtype=np.uint64)
+    tight = base ^ (np.uint64(1) << rng.integers(0, 64, 300, dtype=np.uint64)) ^ (np.uint64(1) << rng.integers(0, 64, 300, dtype=np.uint64))
+    every = np.unique(np.concatenate([same, ball, tight, rng.integers(0, 1 << 63, 500, dtype=np.uint64)]))
+    for name, value in (("SHARD", 200), ("LEAF", 30), ("BLOCK", 150)):
+        monkeypatch.setattr(simhash, name, value)
+    trees = [simhash._grow(simhash._half(every, t), 1, 200, 1.0) for t in (0, 1)]
+    assert max(n for n in trees[1] if isinstance(n, int)) > 3
+    fp = pa.RecordBatch.from_arrays([pa.array(every.view(np.int64))], names=["fp"])
+    dealt = pa.Table.from_batches(simhash._dealt([fp], trees, 1)).group_by(["shard", "pair"]).aggregate([("fp", "count")])
+    assert max(dealt["fp_count"].to_pylist()) < 3 * 150
+    df = spark.createDataFrame([(x,) for x in every.view(np.int64).tolist()], "fp long").repartition(4)
+    got = {r.node: r.label for r in components(fingerprint_links(df)).collect()}
+    ids = every.view(np.int64).tolist()
+    want = brute_components(every.tolist(), ids)
+    assert [got.get(x, x) for x in ids] == want and 400 < len(set(want)) < len(ids) - 300
+
+
+def test_a_sphere_leaves_fewer_pairs():
+    """No split of a dense ball doubles the work; spread points are parted."""
+    rng = np.random.default_rng(9)
+    ball = np.unique(np.uint64(7) ^ (np.uint64(1) << rng.integers(0, 64, 2000, dtype=np.uint64)) ^ (np.uint64(1) << rng.integers(0, 64, 2000, dtype=np.uint64)))
+    assert simhash._split(ball, 3) is None
+    spread = rng.integers(0, 1 << 63, 2000, dtype=np.uint64)
+    point, radius = simhash._split(spread >> np.uint64(32), 1)
+    d = np.bitwise_count((spread >> np.uint64(32)) ^ point)
+    assert (d <= radius + 1).mean() ** 2 + (d > radius).mean() ** 2 <= simhash.GAIN
+
+
 def test_long_and_empty(spark):
     t = "w" * 5 + " x y z" * 30000
     assert fingerprint(t) == brute_print(t)
