@@ -65,6 +65,21 @@ def utf8(column: pa.Array) -> tuple[np.ndarray, np.ndarray]:
     return data[off[0]: off[-1]], off - off[0]
 
 
+def stretches(data: np.ndarray, limit: int):
+    """Cut the bytes of one text at ASCII whitespace into pieces of about ``limit`` bytes (a longer word stays whole)."""
+    at = 0
+    while at < len(data):
+        to = at + limit
+        while to < len(data):
+            space = np.flatnonzero(~RAW_WORD[data[to: to + limit]])
+            if len(space):
+                to += int(space[0])
+                break
+            to += limit
+        yield data[at: to]
+        at = to
+
+
 def words(data: np.ndarray, off: np.ndarray, is_word: np.ndarray):
     """Start and end byte of each word, and the first word of each document (one more entry at the end)."""
     if not len(data):
@@ -119,7 +134,7 @@ def _rolling(values: np.ndarray, start: np.ndarray, end: np.ndarray, base: int)
 
 def word_hashes(data: np.ndarray, start: np.ndarray, end: np.ndarray) -> np.ndarray:
     """A hash of each word.  Sums modulo 2**64 cannot tell certain long words apart, so long ones take XXH64."""
-    out = mix(_rolling(_Looked(data), start, end, _BASE))
+    out = mix(_rolling(_Looked(data), start, np.minimum(end, start + LONG_WORD), _BASE))
     for i in np.flatnonzero(end - start >= LONG_WORD).tolist():
         out[i] = xxhash.xxh64_intdigest(data[start[i]: end[i]].tobytes(), 7)
     return out

@@ -22,6 +22,8 @@ BITS = 16
 #: Languages that may be learned; bounds the matrix that is broadcast.
 MAX_LANGS = 512
 _SLICE = 1 << 20
+#: Characters of a long text that are taken at a time.
+STRETCH = 1 << 20
 
 
 _LETTERS = T.Cache()
@@ -37,10 +39,12 @@ def _letters(code: np.ndarray) -> np.ndarray:
     return letter
 
 
-def grams(texts: list[str | None]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+def grams(texts: list[str | None], starts: int | None = None) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     """Document and hash of every n-gram that holds a letter, by document, and the documents that have a letter.
 
-    Texts are lower-cased, characters that are no letters count as one blank each.
+    Texts are lower-cased, characters that are no letters count as one blank
+    each.  With ``starts``, only n-grams that begin in the first so many
+    characters count (for one text).
     """
     texts = [(t or "").lower() for t in texts]
     size = np.array([len(t) for t in texts], np.int64)
@@ -58,6 +62,8 @@ def grams(texts: list[str | None]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
         here = doc[n - 1:] == doc[: len(doc) - n + 1]
         # a 1-gram is a letter, a 3-gram has one in the middle, a 2-gram at either end
         here &= letter[n // 3: n // 3 + len(h)] | (letter[1: 1 + len(h)] if n == 2 else False)
+        if starts is not None:
+            here[starts:] = False
         docs.append(doc[: len(h)][here])
         hashes.append((T.mix(h[here] + np.uint64(n << 56)) >> np.uint64(64 - BITS)).astype(np.int32))
     if not docs:
@@ -66,6 +72,18 @@ def grams(texts: list[str | None]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     return np.concatenate(docs), np.concatenate(hashes), has
 
 
+def _parts(texts: list[str | None]):
+    """The short texts together, and each long one a stretch at a time: numbers of the texts, and their ``grams``."""
+    short = [i for i, t in enumerate(texts) if len(t or "") <= STRETCH]
+    if short:
+        yield np.array(short), *grams([texts[i] for i in short])
+    for i, t in enumerate(texts):
+        if len(t or "") > STRETCH:
+            t = t.lower()
+            for a in range(0, len(t), STRETCH):  # two characters more end the n-grams that begin here
+                yield np.array([i]), *grams([t[a: a + STRETCH + 2]], STRETCH)
+
+
 @dataclass
 class Model:
     langs: list[str]
@@ -73,10 +91,11 @@ class Model:
     prior: np.ndarray
 
     def predict(self, texts: list[str | None]) -> tuple[list[str], np.ndarray]:
-        doc, h, has = grams(texts)
-        total = np.zeros((len(texts), len(self.langs)))
-        for k in range(len(self.langs)):
-            total[:, k] = np.bincount(doc, self.log_prob[:, k][h], len(texts))
+        total, has = np.zeros((len(texts), len(self.langs))), np.zeros(len(texts), bool)
+        for at, doc, h, letters in _parts(texts):
+            has[at] |= letters
+            for k in range(len(self.langs)):
+                total[at, k] += np.bincount(doc, self.log_prob[:, k][h], len(at))
         total += self.prior
         if not self.langs:
             return ["und"] * len(texts), np.zeros(len(texts))
@@ -90,9 +109,11 @@ def _counted(batches):
     docs: dict[str, int] = {}
     for part in T.slices(batches, 0, _SLICE):
         langs = np.array(part.column(1).to_pylist(), object)
-        doc, h, has = grams(part.column(0).to_pylist())
         names, which = np.unique(langs.astype(str), return_inverse=True)
-        found = np.bincount((which[doc].astype(np.int64) << BITS) + h, minlength=len(names) << BITS).reshape(len(names), -1)
+        found, has = np.zeros((len(names), 1 << BITS), np.int64), np.zeros(len(langs), bool)
+        for at, doc, h, letters in _parts(part.column(0).to_pylist()):
+            has[at] |= letters
+            found += np.bincount((which[at[doc]].astype(np.int64) << BITS) + h, minlength=len(names) << BITS).reshape(len(names), -1)
         for k, name in enumerate(names):
             counts[name] = counts.get(name, 0) + found[k]
             docs[name] = docs.get(name, 0) + int(has[which == k].sum())

@@ -24,6 +24,8 @@ BITS = 18
 #: Labelled rows on which the hinge loss is fitted, at most; every fourth is kept back for calibration.
 SAMPLE = 8192
 _BLOCKS, _SPREAD = 32, 64
+#: Bytes of a long text that are taken at a time.
+STRETCH = T.SLICE_BYTES
 
 
 def _kind_table() -> np.ndarray:
@@ -36,29 +38,63 @@ def _kind_table() -> np.ndarray:
 _KIND = _kind_table()
 
 
-def features(column: pa.Array) -> tuple[np.ndarray, np.ndarray]:
-    """Distinct (document, feature) pairs of a slice, by document."""
-    data, off = T.utf8(column)
-    start, end, first = T.words(data, off, T.RAW_WORD)
-    if not len(start):
-        return np.zeros(0, np.int64), np.zeros(0, np.int64)
+def _values(data: np.ndarray, start: np.ndarray, end: np.ndarray, first: np.ndarray, last: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Hash and shape of each word; ``last`` holds the word before the first one, if there is one."""
     word = T.word_hashes(T.LOWER[data], start, end)
     new_doc = np.zeros(len(start) + 1, bool)
     new_doc[first] = True
     repeats = np.concatenate([[False], word[1:] == word[:-1]]) & ~new_doc[:-1]
+    if len(last):
+        repeats[0] = word[0] == last[0]
     shape = _KIND[data[start]]
     for at, room in ((np.minimum(start + 1, end - 1), 300), (np.maximum(end - 2, start), 300), (end - 1, 300)):
         shape = shape * np.uint64(room) + _KIND[data[at]]
     shape = shape * np.uint64(10) + np.minimum(np.log2(end - start).astype(np.uint64), 4) * np.uint64(2) + repeats.astype(np.uint64)
-    shape = T.mix(shape)
-    doc_of = np.repeat(np.arange(len(off) - 1), np.diff(first))
+    return word, T.mix(shape)
+
+
+def _keys(word: np.ndarray, shape: np.ndarray, first: np.ndarray) -> np.ndarray:
+    """Distinct document << ``BITS`` | feature, sorted."""
+    doc_of = np.repeat(np.arange(len(first) - 1), np.diff(first))
     keys = []
     for salt, (values, n) in enumerate([(word, 1), (word, 2), (shape, 1), (shape, 2), (shape, 3)]):
         at = T.window_starts(first, n)
         h = T.mix(T.window_hashes(values, at, n) + np.uint64(salt)) >> np.uint64(64 - BITS)
         keys.append((doc_of[at] << BITS) + h.astype(np.int64))
     keys = np.sort(np.concatenate(keys))
-    keys = keys[np.concatenate([[True], keys[1:] != keys[:-1]])]
+    return keys[np.concatenate([[True], keys[1:] != keys[:-1]])] if len(keys) else keys
+
+
+def _of_long(data: np.ndarray) -> np.ndarray:
+    """Features of one long text, a stretch at a time; the last two words go along to the next stretch."""
+    word, shape, found = np.zeros(0, np.uint64), np.zeros(0, np.uint64), np.zeros(0, np.int64)
+    for part in T.stretches(data, STRETCH):
+        start, end, first = T.words(part, np.array([0, len(part)]), T.RAW_WORD)
+        if len(start):
+            w, s = _values(part, start, end, first, word[-1:])
+            word, shape = np.concatenate([word[-2:], w]), np.concatenate([shape[-2:], s])
+            found = np.union1d(found, _keys(word, shape, np.array([0, len(word)])))
+    return found
+
+
+def features(column: pa.Array) -> tuple[np.ndarray, np.ndarray]:
+    """Distinct (document, feature) pairs of a slice, by document."""
+    data, off = T.utf8(column)
+    edges = [0]  # long texts by themselves, what lies between them together
+    for d in np.flatnonzero(np.diff(off) > STRETCH).tolist():
+        edges += [d, d + 1]
+    keys = [np.zeros(0, np.int64)]
+    for a, b in zip(edges, [*edges[1:], len(off) - 1]):
+        if a == b:
+            continue
+        part, inner = data[off[a]: off[b]], off[a: b + 1] - off[a]
+        if b == a + 1 and len(part) > STRETCH:
+            found = _of_long(part)
+        else:
+            start, end, first = T.words(part, inner, T.RAW_WORD)
+            found = _keys(*_values(part, start, end, first, start[:0]), first) if len(start) else keys[0][:0]
+        keys.append(found + (a << BITS))
+    keys = np.concatenate(keys)
     return keys >> BITS, keys & ((1 << BITS) - 1)
 
 

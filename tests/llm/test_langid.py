@@ -35,6 +35,20 @@ def test_grams_against_brute_force():
     assert not name
 
 
+def test_long_texts_in_stretches(monkeypatch):
+    texts = ["ΑΣ ΣΑΣ" * 9, None, "x", "1" * 50, "ab 1 " * 20, "İé𝔸x" * 13, ""]
+    doc, h, has = grams(texts)
+    want = [Counter(h[doc == i].tolist()) for i in range(len(texts))]
+    for stretch in (1, 2, 3, 10, 64):
+        monkeypatch.setattr(langid, "STRETCH", stretch)
+        got, letters = [Counter() for _ in texts], [False] * len(texts)
+        for at, d, x, some in langid._parts(texts):
+            for k, i in enumerate(at.tolist()):
+                got[i].update(x[d == k].tolist())
+                letters[i] |= bool(some[k])
+        assert got == want and letters == has.tolist()
+
+
 def test_against_naive_bayes(spark):
     rng = random.Random(5)
     train, test = rows(rng, 150), rows(rng, 60)

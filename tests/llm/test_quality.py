@@ -27,6 +27,19 @@ def test_features_are_distinct_and_by_document():
         assert np.array_equal(alone, f[doc == i])
 
 
+def test_long_texts_in_stretches(monkeypatch):
+    """Features do not depend on where a long text is cut, words longer than a stretch included."""
+    rng = random.Random(7)
+    words = ["a", "a", "Bc!", "é", "x" * 40, "y" * 300, "42"]
+    texts = ["".join(rng.choice(words) + rng.choice([" ", "\n", "  \t"]) for _ in range(rng.randint(0, 60))) for _ in range(30)]
+    texts += [None, "", " " * 90, "z" * 900, "z" * 900 + " z", " a a"]
+    want = features(pa.array(texts))
+    for stretch in (1, 7, 50, 400):
+        monkeypatch.setattr(quality, "STRETCH", stretch)
+        got = features(pa.array(texts))
+        assert all(np.array_equal(x, y) for x, y in zip(got, want))
+
+
 def test_dual_coordinate_descent_reaches_the_optimum():
     rng = np.random.default_rng(1)
     x = rng.normal(size=(60, 5))
