@@ -26,8 +26,10 @@ from pyspark.sql.pandas.types import to_arrow_type
 from shopmart.llm import _text as T
 from shopmart.llm._store import stored
 
-#: Text bytes whose window hashes make one bucket (about 1.3 times as many bytes of hashes).
+#: Text bytes whose window hashes make one bucket (about 1.3 times as many bytes of hashes), at least.
 BUCKET_BYTES = 16 << 20
+#: Text bytes for each row of hashes (one slice in one bucket), at least: some thirty windows.
+ROW_BYTES = 200
 _PACKED = "bucket int, slice binary, hashes binary, gaps binary, known binary, docs binary, firsts binary, flagged binary"
 
 
@@ -41,9 +43,21 @@ def _unpack_ints(b: bytes) -> np.ndarray:
     return np.cumsum(np.ascontiguousarray(planes.T).view("<u4").ravel().astype(np.int64))
 
 
-def _hashed(batches, window: int, buckets: int):
+def sizes(size: int) -> tuple[int, int]:
+    """Text bytes of a bucket and of a slice for a corpus of ``size`` bytes.
+
+    There is a row for every slice and bucket, so with fixed sizes the rows
+    would grow as the square of the corpus.  Beyond some 160 GB both sizes grow
+    as its square root (16 and 2 MB; about 390 and 49 MB for 100 TB), which
+    keeps ``ROW_BYTES`` of text a row.
+    """
+    grown = max(1.0, (ROW_BYTES * size / (BUCKET_BYTES * T.SLICE_BYTES)) ** 0.5)
+    return int(BUCKET_BYTES * grown), int(T.SLICE_BYTES * grown)
+
+
+def _hashed(batches, window: int, buckets: int, limit: int):
     schema = pa.schema([("bucket", pa.int32())] + [(n, pa.binary()) for n in ("slice", "hashes", "gaps", "known", "docs", "firsts", "flagged")])
-    for part in T.slices(batches, 2):
+    for part in T.slices(batches, 2, limit):
         data, off = T.utf8(part.column(2))
         start, end, first = T.words(data, off, T.RAW_WORD)
         at = T.window_starts(first, window)
@@ -161,8 +175,9 @@ def remove_repeated_windows(docs: DataFrame, id_col: str = "doc_id", text_col: s
     src = docs.select(F.col(id_col).alias("id"), F.col(text_col).alias("text"),
                       F.xxhash64(F.col(text_col)).alias("k1"), F.xxhash64(F.lit(1), F.col(text_col)).alias("k2"))
     size = src.agg(F.sum(F.octet_length("text"))).first()[0] or 0
-    buckets = max(int(spark.conf.get("spark.sql.shuffle.partitions")), -(-size // BUCKET_BYTES))
-    hashed = src.select("k1", "k2", "text").mapInArrow(lambda it: _hashed(it, window, buckets), _PACKED)
+    bucket_bytes, slice_bytes = sizes(size)
+    buckets = max(int(spark.conf.get("spark.sql.shuffle.partitions")), -(-size // bucket_bytes))
+    hashed = src.select("k1", "k2", "text").mapInArrow(lambda it: _hashed(it, window, buckets, slice_bytes), _PACKED)
     dealt = hashed.repartitionById(buckets, F.col("bucket"))
     found = dealt.mapInArrow(_repeated, "slice binary, docs binary, firsts binary, flagged binary")
     spans = found.groupBy("slice").applyInArrow(lambda t: _intervals(t, window), "k1 long, k2 long, spans array<int>")

@@ -51,6 +51,19 @@ def test_against_brute_force(spark, monkeypatch):
     assert run(spark, rows, 3) == Counter((i, *w) for i, w in zip(ids, brute(t, 3)))
 
 
+def test_sizes_follow_the_corpus(spark, monkeypatch):
+    bucket, piece = substring_dedup.BUCKET_BYTES, T.SLICE_BYTES
+    assert substring_dedup.sizes(0) == substring_dedup.sizes(10 ** 11) == (bucket, piece)
+    for size in (10 ** 12, 10 ** 13, 10 ** 14):
+        b, s = substring_dedup.sizes(size)
+        rows = (size / b) * (size / s)
+        assert 0.99 * substring_dedup.ROW_BYTES <= size / rows <= 1.01 * substring_dedup.ROW_BYTES
+    assert max(substring_dedup.sizes(10 ** 14)) < 400 << 20
+    t = texts(random.Random(8))
+    monkeypatch.setattr(substring_dedup, "ROW_BYTES", 10 ** 13)  # as if the corpus were large
+    assert run(spark, [(i, x, "clash", None) for i, x in enumerate(t)], 5) == Counter((i, *w) for i, w in enumerate(brute(t, 5)))
+
+
 def test_small_slices_and_spans(spark):
     a = " ".join(f"p{i}" for i in range(50))
     df = spark.createDataFrame([(1, "x " + a), (2, a + " y"), (3, "z")], "doc_id long, text string").repartition(3)
