@@ -30,6 +30,8 @@ from pyspark.sql.types import LongType, StringType, StructField, StructType
 from ..session import checkpoint_dir
 
 STATEMENT_SEP = ";\n"
+#: Parsed rows that a Python worker holds before it hands them on (and those of one statement).
+ROWS_A_BATCH = 5_000
 _TOKEN = re.compile(
     r"\s*(?:(?P<open>\()|(?P<close>\))|(?P<comma>,)"
     r"|(?:_[A-Za-z0-9]+\s*)?'(?P<str>(?:[^'\\]|\\.|'')*)'"
@@ -193,15 +195,20 @@ def load_sql_dump(spark: SparkSession, path: str | list[str], table: str, column
 
     def parse(batches: Iterator) -> Iterator:
         import pandas as pd
+        names = cols + ["_error", "_statement", "_mode", "_row", *_PLACE]
         for pdf in batches:
             out = []
             for stmt, at in zip(pdf["value"], pdf[_PLACE].itertuples(index=False, name=None)):
                 try:
+                    mode = statement_mode(stmt or "")
                     for i, r in enumerate(read_insert(stmt or "", table, cols) or ()):
-                        out.append((*r, None, None, statement_mode(stmt), i, *at))
+                        out.append((*r, None, None, mode, i, *at))
                 except ValueError as e:
                     out.append((*[None] * len(cols), str(e), stmt, None, 0, *at))
-            yield pd.DataFrame(out, columns=cols + ["_error", "_statement", "_mode", "_row", *_PLACE])
+                if len(out) >= ROWS_A_BATCH:
+                    yield pd.DataFrame(out, columns=names)
+                    out = []
+            yield pd.DataFrame(out, columns=names)
 
     stmts = stmts.where(F.col("value").rlike(r"(?i)\b(INSERT|REPLACE)\b"))
     store = f"{checkpoint_dir(spark).rstrip('/')}/sqldump-{uuid.uuid4().hex}"
