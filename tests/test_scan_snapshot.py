@@ -30,3 +30,10 @@ def test_a_changed_value_beside_the_id_fails(spark, raw, monkeypatch, change):
     monkeypatch.setattr(loads, "read_raw", lambda *a: (lambda r: dataclasses.replace(r, terms=change(r.terms)))(read(*a)))
     with pytest.raises(Exception, match="snapshot of terms is not what was staged"):
         loads.scan_snapshot(spark, raw).collect()
+
+
+def test_sums_beyond_64_bits_are_exact(spark):
+    ids = [2**63 - 1, 2**63 - 1, -5, -2**63, None, 7, 2**62]
+    df = spark.createDataFrame([(i,) for i in ids], "id long")
+    assert int(df.agg(loads._exact_sum(F.col("id"))).first()[0]) == sum(i for i in ids if i is not None)
+    assert df.limit(0).agg(loads._exact_sum(F.col("id"))).first()[0] is None
