@@ -26,6 +26,29 @@ def test_sorted_files_are_written_from_a_stored_table(spark, monkeypatch):
     assert written == [[]]
 
 
+def test_the_second_day_is_staged_from_the_first(spark, monkeypatch):
+    staged, real = [], loads.stage_snapshot
+
+    def stage(raw, root, day, **how):
+        staged.append({t for df in raw.as_dict().values() for t in _tables_in(df)})
+        real(raw, root, day, **how)
+
+    monkeypatch.setattr(loads, "stage_snapshot", stage)
+    monkeypatch.setattr(loads, "run_day", lambda *a, **k: (_ for _ in ()).throw(InterruptedError))
+    with pytest.raises(InterruptedError):
+        registry.queries()["run_day"](spark, SF)
+    assert staged == [{"lineitem.parquet", "orders.parquet"}, set()]
+
+
+def test_items_read_each_text_once(spark):
+    plan = registry.queries()["order_items"](spark, SF)._jdf.queryExecution().optimizedPlan().toString()
+    assert 0 < plan.count("regexp_extract(") <= 2 * 9  # the second only where the first gives no number
+
+
+def test_a_scanned_snapshot_is_not_derived_again(spark):
+    assert _tables_in(registry.queries()["scan_snapshot"](spark, SF)) == []
+
+
 @pytest.mark.parametrize("name", ["refresh_lookups", "snapshot_changes"])
 def test_raw_tables_are_not_stored_once_more(spark, monkeypatch, name):
     stored = []
