@@ -36,8 +36,12 @@ from shopmart.llm.simhash import _forest
 SAMPLE, CELL, MAX_CELLS, ROUNDS = 16384, 128, 2048, 4
 #: Vectors a group of cells shall hold.
 GROUP = 8192
-#: Residents and visitors in a block; found pairs that are joined to a forest at once.
+#: Residents and visitors in a block; products taken, and found pairs joined to a forest, at once.
 BLOCK, VISITORS, PAIRS = 8192, 8192, 1 << 20
+#: Groups and blocks grow with the table up to so many times, so that a vector of a large table is sent less often.
+GROWN = 4
+#: Bytes of vectors that leave a task at once, each copy counted.
+DEALT = 4 << 20
 
 
 def _unit(column: pa.Array, width: int) -> np.ndarray:
@@ -73,8 +77,8 @@ def _assigned(batches, centres: np.ndarray, group: np.ndarray, least: float, rea
     """Group and cell of the home of each vector, and the groups it visits (columns node, vector)."""
     margin = _margins(centres, least, reach)
     for batch in batches:
-        for i in range(0, batch.num_rows, 2048):
-            part = batch.slice(i, 2048)
+        for i in range(0, batch.num_rows, 512):
+            part = batch.slice(i, 512)
             s = _unit(part.column(1), centres.shape[1]) @ centres.T
             cell = np.argmax(s, 1)
             near = s[np.arange(len(s)), cell][:, None] - s <= margin[cell]
@@ -91,27 +95,35 @@ def _dealt(batches, residents: np.ndarray, visitors: np.ndarray):
     """Each vector with the tasks it takes part in: a block of a group's residents (side 0) against each block of
     its residents and of its visitors (side 1; 2 is both)."""
     for batch in batches:
-        node = batch.column(0).to_numpy()
         home = batch.column(1).to_numpy()
-        visits = batch.column(3).to_pylist()
+        ends, flat = batch.column(3).offsets.to_numpy(), batch.column(3).values.to_numpy()
+        spread = (batch.column(0).to_numpy().astype(np.uint64) * np.uint64(0x9E3779B97F4A7C15) >> np.uint64(33)).astype(np.int64)
+        most = max(1, DEALT * batch.num_rows // max(batch.nbytes, 1))  # a vector may go to very many tasks
         rows, tasks, sides = [], [], []
-        spread = (node.astype(np.uint64) * np.uint64(0x9E3779B97F4A7C15) >> np.uint64(33)).astype(np.int64)
-        for r, (g, v) in enumerate(zip(home.tolist(), visits)):
+
+        def sent():
+            part = pa.Table.from_batches([batch]).take(pa.array(rows, pa.int64()))
+            part = part.append_column("task", pa.array(tasks, pa.string())).append_column("side", pa.array(sides, pa.int32()))
+            return part.combine_chunks().to_batches()
+
+        for r, g in enumerate(home.tolist()):
             mine = int(spread[r]) % residents[g]
             put = [(f"{g} {mine} {mine}", 2)]
             for j in range(residents[g]):
                 if j != mine:
                     put += [(f"{g} {mine} {j}", 0), (f"{g} {j} {mine}", 1)]
             put += [(f"{g} {mine} visit {q}", 0) for q in range(visitors[g])]
-            for g in v:
+            for g in flat[ends[r]: ends[r + 1]].tolist():
                 q = int(spread[r]) % visitors[g]
                 put += [(f"{g} {j} visit {q}", 1) for j in range(residents[g])]
             rows += [r] * len(put)
             tasks += [t for t, _ in put]
             sides += [s for _, s in put]
-        part = pa.Table.from_batches([batch]).take(pa.array(rows, pa.int64()))
-        part = part.append_column("task", pa.array(tasks, pa.string())).append_column("side", pa.array(sides, pa.int32()))
-        yield from part.combine_chunks().to_batches()
+            if len(rows) >= most:
+                yield from sent()
+                rows, tasks, sides = [], [], []
+        if rows:
+            yield from sent()
 
 
 def _compared(task: pa.Table, least: float, width: int, centres: np.ndarray, reach: float) -> pa.Table:
@@ -132,7 +144,7 @@ def _compared(task: pa.Table, least: float, width: int, centres: np.ndarray, rea
     here = here[np.argsort(cell[here], kind="stable")]
     cells, first = np.unique(cell[here], return_index=True)
     away = own[there][:, None] - x[there] @ centres[cells].T
-    near = away <= margin[cell[there]][:, cells]
+    near = away <= margin[np.ix_(cell[there], cells)]
     near |= cell[there][:, None] == cells[None, :]
     links, label = np.zeros(len(node), np.int64), np.arange(len(node))
     found: list[tuple[np.ndarray, np.ndarray]] = []
@@ -145,8 +157,9 @@ def _compared(task: pa.Table, least: float, width: int, centres: np.ndarray, rea
 
     for c, (h, stays) in enumerate(zip(cells, np.split(here, first[1:]))):
         comes = there[near[:, c]]
-        for i in range(0, len(comes), 2048):
-            rows = comes[i: i + 2048]
+        step = max(1, PAIRS // len(stays))
+        for i in range(0, len(comes), step):
+            rows = comes[i: i + step]
             p, q = np.nonzero(x[rows] @ x[stays].T >= least)
             p, q = rows[p], stays[q]
             other = cell[p] != h
@@ -198,17 +211,18 @@ def near_duplicates(vectors: DataFrame, id_col: str = "vec_id", vector_col: str
     sample = distinct.filter(F.pmod(F.xxhash64(F.lit(3), "k1"), F.lit(1 << 20)) < share).select("k1", "vector").limit(2 * SAMPLE).toArrow().sort_by("k1")
     k = int(np.clip(n // CELL, 1, min(MAX_CELLS, max(sample.num_rows // 4, 1))))
     centres = fit_cells(_unit(sample.column("vector").combine_chunks(), width), k) if sample.num_rows else np.zeros((1, width))
-    groups = int(np.clip(n // GROUP, 1, k))
+    grown = int(np.clip(n // (8 * GROUP), 1, GROWN))
+    groups = int(np.clip(n // (GROUP * grown), 1, k))
     group = np.unique(np.argmax(centres @ fit_cells(centres, groups).T, 1), return_inverse=True)[1]
     model = spark.sparkContext.broadcast((centres, group))
     cells = stored(distinct.select("node", "vector").mapInArrow(lambda it: _assigned(it, *model.value, least, reach), "node long, home int, cell int, visits array<int>"))
     residents, visitors = np.ones(group.max() + 1, np.int64), np.zeros(group.max() + 1, np.int64)
     # a row for each set of groups visited, at most one a vector, is counted before it is spread over its groups
     for r in cells.groupBy("home").count().collect():  # at most MAX_CELLS rows
-        residents[r["home"]] = -(-r["count"] // BLOCK)
+        residents[r["home"]] = -(-r["count"] // (BLOCK * grown))
     sets = cells.filter(F.size("visits") > 0).groupBy("visits").count()
     for r in sets.select(F.explode("visits").alias("home"), "count").groupBy("home").agg(F.sum("count").alias("count")).collect():
-        visitors[r["home"]] = -(-r["count"] // VISITORS)
+        visitors[r["home"]] = -(-r["count"] // (VISITORS * grown))
     kind = distinct.schema["vector"].dataType.simpleString()
     dealt = cells.join(distinct.select("node", "copies", "vector"), "node").mapInArrow(
         lambda it: _dealt(it, residents, visitors), f"node long, home int, cell int, visits array<int>, copies long, vector {kind}, task string, side int")

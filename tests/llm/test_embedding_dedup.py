@@ -1,4 +1,8 @@
+import tracemalloc
+
 import numpy as np
+import pyarrow as pa
+import pyarrow.compute as pc
 import pytest
 
 from shopmart.llm import embedding_dedup
@@ -92,3 +96,41 @@ def test_empty_table(spark):
     df = spark.createDataFrame([], "vec_id long, embedding array<float>")
     assert near_duplicates(df).count() == 0
     assert tuple(near_duplicates(spark.createDataFrame([(4, None)], df.schema)).first()) == (4, 0, 4, True)
+
+
+def test_vectors_leave_a_task_in_bounded_batches():
+    """All vectors of a batch go to all groups: far more copies than what may be held at once."""
+    n, groups = 3000, 60
+    flat = pa.array([0.5] * (n * 16), pa.float32())
+    vector = pa.ListArray.from_arrays(pa.array(range(0, n * 16 + 1, 16), pa.int32()), flat)
+    visits = pa.array([[g for g in range(groups) if g != i % groups] for i in range(n)], pa.list_(pa.int32()))
+    batch = pa.RecordBatch.from_arrays([pa.array(range(n), pa.int64()), pa.array([i % groups for i in range(n)], pa.int32()), pa.array([0] * n, pa.int32()),
+                                        visits, pa.array([1] * n, pa.int64()), vector], names=["node", "home", "cell", "visits", "copies", "vector"])
+    residents, visitors = np.full(groups, 2), np.full(groups, 3)
+    sent = list(embedding_dedup._dealt([batch.slice(0, 1000), batch.slice(1000)], residents, visitors))
+    assert max(b.nbytes for b in sent) < 3 * embedding_dedup.DEALT
+    rows = pa.Table.from_batches(sent)
+    # a block against itself, both ways against the other block, against 3 blocks of visitors, and to 2 blocks of each group visited
+    assert rows.num_rows == n * (1 + 2 + 3 + 2 * (groups - 1))
+    got = sorted((r["task"], r["side"]) for r in rows.filter(pc.equal(rows["node"], 1501)).select(["task", "side"]).to_pylist())
+    mine = int(1501 * 0x9E3779B97F4A7C15 % 2**64 >> 33)
+    home, a, q = 1501 % groups, mine % 2, mine % 3
+    want = [(f"{home} {a} {a}", 2), (f"{home} {a} {1 - a}", 0), (f"{home} {1 - a} {a}", 1)] + [(f"{home} {a} visit {v}", 0) for v in range(3)]
+    assert got == sorted(want + [(f"{g} {j} visit {q}", 1) for g in range(groups) if g != home for j in range(2)])
+
+
+def test_memory_of_a_comparison_is_bounded():
+    """A dense cell among very many cells: neither its pairs nor the distances to all cells are held at once."""
+    rng = np.random.default_rng(5)
+    centres = rng.normal(size=(2048, 4))
+    centres /= np.linalg.norm(centres, axis=1, keepdims=True)
+    n = 4000
+    x = centres[7] + 0.01 * rng.normal(size=(n, 4))
+    task = pa.table({"node": pa.array(range(n), pa.int64()), "home": [0] * n, "cell": pa.array([7] * n, pa.int32()), "copies": pa.array([1] * n, pa.int64()),
+                     "vector": pa.array(x.tolist(), pa.list_(pa.float64())), "side": pa.array([2] * n, pa.int32())})
+    tracemalloc.start()
+    out = embedding_dedup._compared(task, 0.9, 4, centres, 1.0)
+    peak = tracemalloc.get_traced_memory()[1]
+    tracemalloc.stop()
+    assert out.column("links").to_pylist() == [n - 1] * n
+    assert peak < 250 << 20
