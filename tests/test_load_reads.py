@@ -1,8 +1,13 @@
 """What the load queries compute: once what is read twice, and only what is read."""
 
+import time
+
 import pytest
+from pyspark.sql import functions as F
 
 from shopmart.plans import loads, registry
+from shopmart.session import FREED
+from shopmart.sources.fixture_star import raw_from_star
 
 SF = "/root/testdata/sf0.001"
 
@@ -55,3 +60,45 @@ def test_raw_tables_are_not_stored_once_more(spark, monkeypatch, name):
     monkeypatch.setattr(loads, "staged_raw", lambda s, raw: stored.append(name) or raw)
     registry.queries()[name](spark, SF)
     assert stored == []
+
+
+@pytest.mark.parametrize("name", ["unique_violations", "fk_violations", "changed_key_report", "upsert_many_report"])
+def test_data_sets_are_made_from_the_parts_that_they_read(spark, monkeypatch, name):
+    raw, tables, real = [], [], loads.stage_tables
+    monkeypatch.setattr(loads, "staged_raw", lambda s, r: raw.append(name) or r)
+    monkeypatch.setattr(loads, "stage_tables", lambda s, t: tables.append([k for k, df in t.items() if _tables_in(df)]) or real(s, t))
+    registry.queries()[name](spark, SF)
+    assert raw == [] and tables[0] == ["order_attributes", "order_items"]  # stored once, read several times
+
+
+def test_items_are_dealt_once(spark):
+    """The lines are shuffled by their item, and neither by order and line nor again for the window of the numbered attributes."""
+    df = registry.queries()["order_items"](spark, SF)
+    assert "RepartitionByExpression [order_item_id" in df._jdf.queryExecution().optimizedPlan().toString()
+    moved = [x for x in df._jdf.queryExecution().executedPlan().toString().splitlines() if "Exchange" in x]
+    assert moved and not any("(l_orderkey" in x or "subqty#" in x for x in moved)
+
+
+def test_address_parts_are_not_shuffled_for_the_orders(spark):
+    attrs = loads.stage_tables(spark, {"attrs": loads.O.order_attributes(raw_from_star(spark, SF))})["attrs"]
+    plan = loads.O.orders_fact(raw_from_star(spark, SF), attributes=attrs)._jdf.queryExecution().optimizedPlan().toString()
+    below = plan[plan.index("Join"):]
+    assert below.count("sha1(") == 2 and "sha1(" not in plan[:plan.index("Join")]
+
+
+def test_shuffles_of_stored_tables_are_freed(spark):
+    disk = spark._jsc.sc().env().blockManager().diskBlockManager()
+
+    def files():
+        return {f.getName() for f in (disk.getAllFiles().apply(i) for i in range(disk.getAllFiles().size())) if f.getName().startswith("shuffle_")}
+
+    before = files()
+    made = loads.stage_tables(spark, {"t": spark.range(1000).groupBy((F.col("id") % 7).alias("k")).count()})["t"]
+    for _ in range(50):
+        if files() <= before:
+            break
+        time.sleep(0.2)
+    assert files() <= before and made.count() == 7
+    assert spark.conf.get(FREED, None) is None  # for writes only: this is collected twice
+    df = spark.range(1000).groupBy((F.col("id") % 7).alias("k")).count()
+    assert df.collect() == df.collect()
