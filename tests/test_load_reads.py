@@ -5,6 +5,7 @@ import time
 import pytest
 from pyspark.sql import functions as F
 
+from shopmart.operators.changes import snapshot_changes
 from shopmart.plans import loads, registry
 from shopmart.session import FREED
 from shopmart.sources.fixture_star import raw_from_star
@@ -102,3 +103,19 @@ def test_shuffles_of_stored_tables_are_freed(spark):
     assert spark.conf.get(FREED, None) is None  # for writes only: this is collected twice
     df = spark.range(1000).groupBy((F.col("id") % 7).alias("k")).count()
     assert df.collect() == df.collect()
+
+
+def test_two_snapshots_meet_in_one_shuffle(spark):
+    old = spark.createDataFrame([(1, "a", 5), (1, "a", 5), (2, None, 6), (3, "c", 7), (4, "d", 8)], "id long, part string, v long")
+    new = spark.createDataFrame([(1, "a", 6), (1, "a", 4), (2, None, 6), (4, "d", 8), (4, "d", 8), (5, "e", 9)], "id long, part string, v long")
+    df = snapshot_changes(old, new, ["id", "part"])
+    plan = df._jdf.queryExecution().executedPlan().toString()
+    assert "Join" not in plan and sum("Exchange" in x for x in plan.splitlines()) == 1
+    assert {r.id: r.change for r in df.collect()} == {1: "changed", 2: "same", 3: "deleted", 4: "changed", 5: "inserted"}
+
+
+def test_tables_of_two_snapshots_are_compared_one_by_one(spark, monkeypatch):
+    tables, real = [], loads.stage_tables
+    monkeypatch.setattr(loads, "stage_tables", lambda s, t: tables.extend(t) or real(s, t))
+    assert len(registry.queries()["snapshot_changes"](spark, SF).collect()) == 40
+    assert len(tables) == 10
