@@ -6,8 +6,8 @@ import pytest
 from pyspark.sql import functions as F
 
 from shopmart.operators.changes import snapshot_changes
-from shopmart.plans import loads, registry
-from shopmart.session import FREED
+from shopmart.plans import daily, loads, registry
+from shopmart.session import FREED, SPLIT, SPLIT_BYTES
 from shopmart.sources.fixture_star import raw_from_star
 
 SF = "/root/testdata/sf0.001"
@@ -119,3 +119,12 @@ def test_tables_of_two_snapshots_are_compared_one_by_one(spark, monkeypatch):
     monkeypatch.setattr(loads, "stage_tables", lambda s, t: tables.extend(t) or real(s, t))
     assert len(registry.queries()["snapshot_changes"](spark, SF).collect()) == 40
     assert len(tables) == 10
+
+
+def test_a_day_is_read_in_small_splits(spark, monkeypatch):
+    """A stored attribute row takes far more memory than it takes of a file."""
+    seen = []
+    monkeypatch.setattr(daily, "_run_once", lambda spark, *a: seen.append(spark.conf.get(SPLIT)) or seen)
+    before = spark.conf.get(SPLIT)
+    assert daily.run_day(spark, "/none", "/none", "2017-01-22") is seen
+    assert seen == [str(SPLIT_BYTES)] and spark.conf.get(SPLIT) == before
